@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FEATURES = ["revenue", "discount", "tax", "quantity", "n_lines"]
-EVENT_FEATURES = ["value_sum", "value_max", "value_mean", "n_events"]
+EVENT_FEATURES = ["value_sum", "value_max", "value_mean", "value_min"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,7 +63,7 @@ def event_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(
         F.round(F.sum("value"), 2).alias("value_sum"), F.max("value").alias("value_max"),
         (F.round(F.sum("value"), 2) / F.count(F.lit(1)).cast("double")).alias("value_mean"),
-        F.count(F.lit(1)).cast("double").alias("n_events"),
+        F.min("value").alias("value_min"),
     )
 
 

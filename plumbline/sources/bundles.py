@@ -171,8 +171,7 @@ def flatten_feature_map(
             continue
         numeric = all(r["numeric"] or not r["n_values"] for r in rows) and any(
             r["numeric"] for r in rows)
-        values = [F.try_variant_get(col(feature_map), _path(r["key"]), "double" if numeric else "string")
-                  for r in rows]
+        values = [_entry(feature_map, r["key"], "double" if numeric else "string") for r in rows]
         value = F.coalesce(*[finite(v) if numeric else v for v in values])
         columns.append(value.alias(name))
         if numeric and name not in names.NOT_FEATURES and name not in names.BUNDLE_BOOKKEEPING:
@@ -180,8 +179,13 @@ def flatten_feature_map(
     return FlatFilings(df.select(*keep, *columns), features, collisions)
 
 
-def _path(key: str) -> str:
-    return '$["' + key.replace("\\", "\\\\").replace('"', '\\"') + '"]'
+def _entry(feature_map: str, key: str, kind: str) -> Column:
+    """Value of one key, NULL when absent or of another type. Paths quote with either mark."""
+    for mark in ('"', "'"):
+        if mark not in key:
+            return F.try_variant_get(col(feature_map), f"$[{mark}{key}{mark}]", kind)
+    entries = col(feature_map).cast("map<string,variant>")
+    return F.try_variant_get(F.try_element_at(entries, F.lit(key)), "$", kind)
 
 
 def flatten_bundles(bundles: DataFrame) -> FlatFilings:

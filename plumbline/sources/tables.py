@@ -67,7 +67,7 @@ def scores_schema(features: Sequence[str], n_drivers: int = names.N_DRIVERS) ->
     numbers = ["anomaly_score_0_100", "mahalanobis_distance", "self_history_score",
                "peer_relative_score", "combined_signal_strength"]
     fields = [(c, "string") for c in text] + [(c, "double") for c in numbers]
-    fields.append(("num_features_used", "int"))
+    fields.append(("num_features_used", "integer"))
     for i in range(1, n_drivers + 1):
         fields += [(f"top_driver_{i}", "string"), (f"top_driver_{i}_value", "double")]
     fields.append(("model_type", "string"))
