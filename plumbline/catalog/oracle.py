@@ -197,21 +197,37 @@ kept AS (SELECT x, y FROM raw, factor WHERE d2 < f * (-2 * ln(0.025))),
 fit AS (SELECT {_MOMENTS} FROM kept)
 SELECT ticker, report_date, {r6(_D2, 'mahalanobis_distance')} FROM xy, fit"""
 
-FILINGS = PANEL + """,
+SUPPLIER_FILINGS = PANEL + """,
 filings AS (
   SELECT ticker, s_name AS company_name, lpad(ticker, 10, '0') AS cik,
          strftime(report_date, '%Y-%m-%d') AS report_date,
          strftime(report_date + INTERVAL 40 DAY, '%Y-%m-%d') AS filing_date,
          'urn:filing:' || ticker || ':' || strftime(report_date, '%Y-%m-%d') AS filing_url,
-         CAST(ticker AS BIGINT) AS t, year(report_date) AS y, quarter(report_date) AS q,
-         revenue, tax, quantity, n_lines
-  FROM panel LEFT JOIN supplier ON CAST(s_suppkey AS VARCHAR) = ticker),
+         CAST(ticker AS BIGINT) AS t, year(report_date) AS y, revenue, tax, quantity, n_lines
+  FROM panel LEFT JOIN supplier ON CAST(s_suppkey AS VARCHAR) = ticker)"""
+
+EVENT_FILINGS = """
+weeks AS (
+  SELECT user_id AS t, CAST(user_id AS VARCHAR) AS ticker,
+         CAST(date_trunc('week', ts) AS DATE) AS day, round(sum(value), 2) AS revenue,
+         round(sum(value), 2) / CAST(count(*) AS DOUBLE) AS tax, max(value) AS quantity,
+         CAST(count(*) AS DOUBLE) AS n_lines
+  FROM events GROUP BY 1, 2, 3),
+filings AS (
+  SELECT ticker, 'User ' || ticker AS company_name, lpad(ticker, 10, '0') AS cik,
+         strftime(day, '%Y-%m-%d') AS report_date,
+         strftime(day + INTERVAL 40 DAY, '%Y-%m-%d') AS filing_date,
+         'urn:filing:' || ticker || ':' || strftime(day, '%Y-%m-%d') AS filing_url,
+         t, year(day) AS y, revenue, tax, quantity, n_lines FROM weeks)"""
+
+_ACCEPT = """,
 listed AS (
   SELECT * FROM filings
-  WHERE n_lines % 7 <> 0 AND (t + y) % 11 <> 0 AND NOT (t % 17 = 0 AND q = 2)),
-accepted AS (SELECT * FROM listed WHERE NOT (t % 13 = 0 AND q = 1))"""
+  WHERE n_lines % 7 <> 0 AND (t + y) % 11 <> 0 AND NOT (t % 17 = 0 AND n_lines % 3 = 0)),
+accepted AS (SELECT * FROM listed WHERE NOT (t % 13 = 0 AND n_lines % 2 = 0))"""
+FILINGS = SUPPLIER_FILINGS + _ACCEPT
 
-FLAT = f"""WITH {FILINGS}
+_FLAT = f"""
 SELECT ticker, company_name, cik, '10-Q' AS form_type, report_date, filing_date, filing_url,
        {r6('revenue', 'revenue_total')}, {r6('tax', 'f_2yr_tax')}, {r6('n_lines', 'n_lines_')},
        'text' AS note, 'true' AS flag, '5' AS digits,
@@ -366,8 +382,8 @@ ORACLE: dict[str, str] = {
     "publish_outputs":
         f"WITH {_EVENT_SCORES} SELECT ticker, report_date, anomaly_score_0_100, num_features_used "
         "FROM scored",
-    "bundle_flatten": FLAT,
-    "bundle_scan": FLAT,
+    "bundle_flatten": f"WITH {FILINGS} {_FLAT}",
+    "bundle_scan": f"WITH {EVENT_FILINGS} {_ACCEPT} {_FLAT}",
     "bundle_first_tickers":
         f"WITH {FILINGS} SELECT ticker, report_date FROM accepted WHERE ticker IN (SELECT ticker "
         "FROM listed GROUP BY ticker ORDER BY min(ticker || '/' || report_date) LIMIT 30)",
@@ -383,7 +399,7 @@ ORACLE: dict[str, str] = {
         SELECT * FROM k""",
     "bundle_malformed":
         f"WITH {FILINGS} SELECT ticker || '/' || report_date AS path FROM filings "
-        "WHERE t % 17 = 0 AND q = 2",
+        "WHERE t % 17 = 0 AND n_lines % 3 = 0",
     "json_flatten":
         "SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events",
     "features_round_trip":

@@ -67,6 +67,24 @@ def event_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User by week with filing metadata, in the columns of `filing_panel` that bundles need."""
+    day = F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd")
+    n = F.count(F.lit(1)).cast("double")
+    grouped = table(spark, sf_dir, "events").groupBy(
+        F.col("user_id").cast("string").alias("ticker"), day.alias("report_date"),
+    ).agg(
+        F.round(F.sum("value"), 2).alias("revenue"),
+        (F.round(F.sum("value"), 2) / n).alias("tax"),
+        F.max("value").alias("quantity"), n.alias("n_lines"))
+    return grouped.select(
+        "ticker", F.concat(F.lit("User "), "ticker").alias("company_name"),
+        F.lpad("ticker", 10, "0").alias("cik"), "report_date",
+        F.date_format(F.date_add(F.to_date("report_date"), 40), "yyyy-MM-dd").alias("filing_date"),
+        F.concat(F.lit("urn:filing:"), "ticker", F.lit(":"), "report_date").alias("filing_url"),
+        "revenue", "tax", "quantity", "n_lines")
+
+
 def account_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts for the earnings-quality score, as fixed combinations of the supplier measures."""
     p = supplier_panel(spark, sf_dir)

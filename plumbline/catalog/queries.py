@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plumbline import names
 from plumbline.catalog.panels import (
-    EVENT_FEATURES, FEATURES, account_panel, event_panel, filing_panel, sparse_panel,
+    EVENT_FEATURES, FEATURES, account_panel, event_filings, event_panel, filing_panel, sparse_panel,
     supplier_panel, table,
 )
 from plumbline.functions.expressions import col, safe_name
@@ -281,8 +281,8 @@ def published_outputs(spark, sf):
 
 # --- bundles -------------------------------------------------------------------------------------
 
-def bundle_texts(spark, sf):
-    """One JSON bundle per supplier and quarter, with rejects and awkward keys among them."""
+def bundle_texts(filings):
+    """One JSON bundle per filing, with rejects and awkward keys among them."""
     ticker = F.col("ticker").cast("bigint")
     features = F.struct(
         F.col("revenue").alias("Revenue Total"), F.col("tax").alias("2yr-tax"),
@@ -292,7 +292,7 @@ def bundle_texts(spark, sf):
     filing = F.struct(
         F.when(F.col("n_lines") % 7 == 0, F.lit("10-Q/A")).otherwise(F.lit("10-Q")).alias("form"),
         F.col("company_name"), F.col("cik"), F.col("report_date"), F.col("filing_date"))
-    empty = (ticker % 13 == 0) & (F.quarter(F.to_date("report_date")) == 1)
+    empty = (ticker % 13 == 0) & (F.col("n_lines") % 2 == 0)
     listed = F.struct(F.when((ticker + F.year("report_date")) % 11 == 0, F.lit(""))
                       .otherwise(F.col("ticker")).alias("ticker"))
     whole = F.concat(
@@ -301,8 +301,8 @@ def bundle_texts(spark, sf):
         F.lit(',"selected_filing_url":"'), F.col("filing_url"),
         F.lit('","engineered_anomaly_features":'),
         F.when(empty, F.lit("{}")).otherwise(F.to_json(features)), F.lit("}"))
-    broken = (ticker % 17 == 0) & (F.quarter(F.to_date("report_date")) == 2)
-    return filing_panel(spark, sf).select(
+    broken = (ticker % 17 == 0) & (F.col("n_lines") % 3 == 0)
+    return filings.select(
         "ticker", "report_date", F.concat("ticker", F.lit("/"), "report_date").alias("path"),
         F.when(broken, F.lit('{"selected_filing": {"form": ')).otherwise(whole).alias("text"))
 
@@ -316,29 +316,29 @@ def _flat_output(flat):
 
 def bundle_flatten(spark, sf):
     return _flat_output(flatten_bundles(accepted_bundles(
-        parse_bundles(bundle_texts(spark, sf), "text", "path"))))
+        parse_bundles(bundle_texts(filing_panel(spark, sf)), "text", "path"))))
 
 
 def bundle_first_tickers(spark, sf):
     kept = accepted_bundles(
-        parse_bundles(bundle_texts(spark, sf), "text", "path"), max_tickers=30)
+        parse_bundles(bundle_texts(filing_panel(spark, sf)), "text", "path"), max_tickers=30)
     return flatten_bundles(kept).table.select("ticker", "report_date")
 
 
 def bundle_keys(spark, sf):
-    kept = accepted_bundles(parse_bundles(bundle_texts(spark, sf), "text", "path"))
+    kept = accepted_bundles(parse_bundles(bundle_texts(filing_panel(spark, sf)), "text", "path"))
     return feature_key_table(kept).select("key", "name", "n_values", "numeric")
 
 
 def bundle_malformed(spark, sf):
-    return malformed_bundles(parse_bundles(bundle_texts(spark, sf), "text", "path")).select(
+    return malformed_bundles(parse_bundles(bundle_texts(filing_panel(spark, sf)), "text", "path")).select(
         F.col("source_path").alias("path"))
 
 
 def bundle_scan(spark, sf):
     """The same bundles written as one file each and scanned from their folder."""
     root = scratch_path(spark, "bundles")
-    files = bundle_texts(spark, sf).select(
+    files = bundle_texts(event_filings(spark, sf)).select(
         "text", F.col("ticker").alias("folder"), F.col("report_date").alias("day"))
     files.repartition(64, "folder", "day").write.partitionBy("folder", "day").text(root)
     return _flat_output(load_bundles(spark, root, file_glob="*.txt"))
