@@ -8,7 +8,8 @@ from plumbline.operators.quantiles import column_quantiles, group_quantiles
 from plumbline.operators.ranking import ordered_scores, percentile_scores, preview, top_n
 from plumbline.operators.winsor import impute_medians, squared_norm, winsorize
 from plumbline.operators.zscores import (
-    combine_zscores, peer_zscores, sector_peer_zscores, self_history_zscores,
+    combine_zscores, peer_zscores, sector_peer_zscores, self_and_peer_zscores,
+    self_history_zscores,
 )
 from plumbline.plans.flatten import flatten_bundle_folder, flatten_filings_table
 from plumbline.plans.review import build_review_pack

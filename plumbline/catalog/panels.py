@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.session import materialize
+
 FEATURES = ["revenue", "discount", "tax", "quantity", "n_lines"]
 EVENT_FEATURES = ["value_sum", "value_max", "value_mean", "value_min"]
 
@@ -14,13 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def supplier_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier by ship quarter, five features.
+    """Supplier by ship quarter, five features, aggregated and written once.
 
+    Operators pass over their input more than once, so the aggregate is not left to be repeated.
     Inputs have two decimals, so sums rounded to four are the same number in any order of summation.
     """
     lines = table(spark, sf_dir, "lineitem")
     n = F.count(F.lit(1)).cast("double")
-    return lines.groupBy(
+    return materialize(lines.groupBy(
         F.col("l_suppkey").cast("string").alias("ticker"),
         F.to_date(F.date_trunc("quarter", "l_shipdate")).alias("report_date"),
     ).agg(
@@ -29,7 +32,7 @@ def supplier_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.round(F.sum("l_tax"), 2) / n).alias("tax"),
         (F.round(F.sum("l_quantity"), 2) / n).alias("quantity"),
         n.alias("n_lines"),
-    )
+    ), "supplier-panel")
 
 
 def sparse_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,14 +60,14 @@ def filing_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User by week, four features of the event values."""
-    return table(spark, sf_dir, "events").groupBy(
+    return materialize(table(spark, sf_dir, "events").groupBy(
         F.col("user_id").cast("string").alias("ticker"),
         F.to_date(F.date_trunc("week", "ts")).alias("report_date"),
     ).agg(
         F.round(F.sum("value"), 2).alias("value_sum"), F.max("value").alias("value_max"),
         (F.round(F.sum("value"), 2) / F.count(F.lit(1)).cast("double")).alias("value_mean"),
         F.min("value").alias("value_min"),
-    )
+    ), "event-panel")
 
 
 def event_filings(spark: SparkSession, sf_dir: str) -> DataFrame:

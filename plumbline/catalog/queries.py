@@ -24,7 +24,8 @@ from plumbline.operators.winsor import (
     apply_bounds, impute_medians, squared_norm, winsor_bounds, winsorize,
 )
 from plumbline.operators.zscores import (
-    QUARTILES, combine_zscores, peer_zscores, sector_peer_zscores, self_history_zscores,
+    QUARTILES, combine_zscores, peer_zscores, sector_peer_zscores, self_and_peer_zscores,
+    self_history_zscores,
 )
 from plumbline.plans.review import build_review_pack
 from plumbline.plans.scoring import score_filings
@@ -146,8 +147,7 @@ def sector_peer_z(spark, sf):
 
 def _blended(spark, sf):
     panel = winsorize(sparse_panel(spark, sf), FEATURES)
-    return combine_zscores(
-        peer_zscores(self_history_zscores(panel, FEATURES), FEATURES), FEATURES)
+    return combine_zscores(self_and_peer_zscores(panel, FEATURES), FEATURES)
 
 
 def combined_z(spark, sf):

@@ -10,9 +10,19 @@ from pyspark.sql import functions as F
 from plumbline import names
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text, dots and spaces included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def col(name: str) -> Column:
     """Reference a column by its literal name, dots and spaces included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
+
+
+def number(value: float) -> str:
+    """A double as SQL text."""
+    return f"({float(value)!r}D)"
 
 
 def finite(value: Column) -> Column:

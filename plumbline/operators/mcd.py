@@ -10,7 +10,7 @@ the rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -19,16 +19,22 @@ from pyspark.sql import functions as F
 
 from plumbline import names
 from plumbline.functions.chi2 import chi2_quantile
-from plumbline.functions.expressions import col, total_of
+from plumbline.functions.expressions import col, number, quoted
 from plumbline.operators.groups import GROUP_CELLS
 from plumbline.operators.quantiles import column_quantiles
-from plumbline.operators.winsor import feature_medians, fill_medians, squared_norm
+from plumbline.operators.winsor import fill_medians, squared_norm
 from plumbline.session import materialize
 
-SAMPLE_ROWS = 2_000
+# Random starts use START_ROWS sampled rows; the kept ones converge on a larger sample, at most
+# SAMPLE_ROWS rows and SAMPLE_CELLS numbers, so that few steps over all rows remain.
+START_ROWS = 2_000
+SAMPLE_ROWS = 20_000
+SAMPLE_CELLS = 1_000_000
 N_STARTS = 500
 N_KEPT = 10
 MAX_STEPS = 30
+# Steps end when the determinant falls by less than this share.
+LOGDET_TOLERANCE = 1e-5
 # Up to this many features the distance and the moments are plain column expressions; beyond it the
 # p-by-p arithmetic runs on Arrow batches.
 COLUMN_FEATURES = 20
@@ -48,11 +54,10 @@ class Shape:
     def distance(self) -> Column:
         """Squared distance of a row as a column."""
         if len(self.features) <= COLUMN_FEATURES:
-            centred = [col(f) - F.lit(float(m)) for f, m in zip(self.features, self.location)]
-            parts = [
-                total_of([F.lit(float(w)) * c for w, c in zip(row, centred)])
-                for row in self.whiten]
-            return total_of([part * part for part in parts]) if parts else F.lit(0.0)
+            centred = _centred(self.features, self.location)
+            parts = ["(" + " + ".join(f"{number(w)} * {c}" for w, c in zip(row, centred)) + ")"
+                     for row in self.whiten]
+            return F.expr(" + ".join(f"{part} * {part}" for part in parts) or "0.0D")
         location, whiten = self.location, self.whiten
 
         @F.pandas_udf("double")
@@ -65,38 +70,61 @@ class Shape:
         return batch_distance(F.array(*[col(f) for f in self.features]))
 
 
+def _centred(features: Sequence[str], centre: np.ndarray) -> list[str]:
+    return [f"({quoted(f)} - {number(c)})" for f, c in zip(features, centre)]
+
+
 def _whitening(covariance: np.ndarray) -> tuple[np.ndarray, float]:
-    """Square root of the pseudo-inverse, and the log determinant (-inf when singular)."""
-    values, vectors = np.linalg.eigh((covariance + covariance.T) / 2)
-    floor = max(values.max(initial=0.0), 0.0) * len(values) * np.finfo(float).eps
-    kept = values > floor
-    whiten = vectors[:, kept].T / np.sqrt(values[kept])[:, None]
-    return whiten, float(np.log(values[kept]).sum()) if kept.all() else float("-inf")
+    """Square root of the pseudo-inverse, and the log determinant (-inf when singular).
+
+    Works on the correlation scale, so features measured in very different units all count.
+    """
+    spread = np.sqrt(np.clip(np.diag(covariance), 0.0, None))
+    varies = spread > 0
+    scale = np.where(varies, spread, 1.0)
+    values, vectors = np.linalg.eigh(covariance / np.outer(scale, scale))
+    kept = values > max(values.max(initial=0.0), 0.0) * len(values) * np.finfo(float).eps
+    whiten = vectors[:, kept].T / np.sqrt(values[kept])[:, None] / scale
+    if not kept.all() or not varies.all():
+        return whiten, float("-inf")
+    return whiten, float(np.log(values).sum() + 2 * np.log(scale).sum())
 
 
 def _concentrate(rows: np.ndarray, subset: np.ndarray, h: int, steps: int):
-    """Concentration steps on a bounded sample; returns (logdet, location, covariance)."""
+    """Concentration steps on a bounded sample; returns (logdet, location, covariance).
+
+    Only subsets of h rows are compared: the starting subset is smaller and its determinant says
+    nothing about theirs.
+    """
+    p = rows.shape[1]
+    location = rows[subset].mean(axis=0)
+    covariance = np.cov(rows[subset].T, bias=True).reshape(p, p)
     best = None
-    for _ in range(steps + 1):
-        location = rows[subset].mean(axis=0)
-        covariance = np.cov(rows[subset].T, bias=True).reshape(rows.shape[1], rows.shape[1])
-        whiten, logdet = _whitening(covariance)
+    for _ in range(steps):
+        whiten, _ = _whitening(covariance)
+        white = (rows - location) @ whiten.T
+        nearest = np.argpartition(np.einsum("ij,ij->i", white, white), h - 1)[:h]
+        location = rows[nearest].mean(axis=0)
+        covariance = np.cov(rows[nearest].T, bias=True).reshape(p, p)
+        logdet = _whitening(covariance)[1]
         if best is not None and logdet >= best[0]:
             break
         best = (logdet, location, covariance)
         if logdet == float("-inf"):
             break
-        white = (rows - location) @ whiten.T
-        subset = np.argpartition(np.einsum("ij,ij->i", white, white), h - 1)[:h]
     return best
 
 
 def _best_start(spark, sample: np.ndarray, support_fraction: float, seed: int):
     """Random starts as Spark tasks, two steps each; the best ones run on to convergence."""
-    n, p = sample.shape
-    h = max(p + 1, min(n, int(support_fraction * n)))
+    p = sample.shape[1]
+    small = sample[:START_ROWS]
+    n = len(small)
     schema = "start int, logdet double, location array<double>, covariance array<double>"
 
+    def support(rows):
+        return max(p + 1, min(len(rows), int(support_fraction * len(rows))))
+
     def rows_of(found):
         return pd.DataFrame(
             [(s, logdet, loc.tolist(), cov.ravel().tolist()) for s, (logdet, loc, cov) in found],
@@ -109,10 +137,10 @@ def _best_start(spark, sample: np.ndarray, support_fraction: float, seed: int):
                 pick = np.random.default_rng([seed, int(start)]).permutation(n)
                 size = p + 1
                 # A subset without full rank grows until it has one, as the published scheme does.
-                while size < n and np.linalg.matrix_rank(np.cov(sample[pick[:size]].T)) < p \
-                        and size < 2 * p + 10:
+                while size < min(n, 2 * p + 10) and np.linalg.matrix_rank(
+                        np.cov(small[pick[:size]].T)) < p:
                     size += 1
-                found.append((int(start), _concentrate(sample, pick[:size], h, 2)))
+                found.append((int(start), _concentrate(small, pick[:size], support(small), 2)))
             yield rows_of(found)
 
     def converge(batches):
@@ -122,8 +150,9 @@ def _best_start(spark, sample: np.ndarray, support_fraction: float, seed: int):
                     starts["start"], starts["location"], starts["covariance"]):
                 whiten, _ = _whitening(np.asarray(covariance).reshape(p, p))
                 white = (sample - np.asarray(location)) @ whiten.T
-                subset = np.argpartition(np.einsum("ij,ij->i", white, white), h - 1)[:h]
-                found.append((int(start), _concentrate(sample, subset, h, MAX_STEPS)))
+                h = support(sample)
+                nearest = np.argpartition(np.einsum("ij,ij->i", white, white), h - 1)[:h]
+                found.append((int(start), _concentrate(sample, nearest, h, MAX_STEPS)))
             yield rows_of(found)
 
     tasks = max(1, min(N_STARTS, spark.sparkContext.defaultParallelism))
@@ -137,11 +166,10 @@ def _moments(rows: DataFrame, features: Sequence[str], centre: np.ndarray):
     """Count, mean and covariance in one pass; products are taken around ``centre``."""
     p = len(features)
     if p <= COLUMN_FEATURES:
-        centred = [col(f) - F.lit(float(c)) for f, c in zip(features, centre)]
-        found = rows.agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.sum(c).alias(f"s{i}") for i, c in enumerate(centred)],
-            *[F.sum(centred[i] * centred[j]).alias(f"s{i}_{j}")
+        centred = _centred(features, centre)
+        found = rows.selectExpr(
+            "count(1) AS n", *[f"sum({c}) AS s{i}" for i, c in enumerate(centred)],
+            *[f"sum({centred[i]} * {centred[j]}) AS s{i}_{j}"
               for i in range(p) for j in range(i, p)]).first()
         n = found["n"]
         sums = np.array([found[f"s{i}"] for i in range(p)], dtype=float)
@@ -190,48 +218,50 @@ def fit_shape(
         whiten, logdet = _whitening(covariance)
         return Shape(features, location, whiten, logdet, n_rows, steps)
 
-    def distance_quantiles(current, probs):
-        measured = rows.select(current.distance().alias("d2"))
-        return column_quantiles(measured, ["d2"], probs, cells, n_rows=n_rows)["d2"][1]
-
-    def moments_within(current, cut, strict=False):
-        d2 = current.distance()
-        return _moments(rows.where(d2 < cut if strict else d2 <= cut), features, current.location)
+    def distance_quantile(d2, prob):
+        measured = rows.select(d2.alias("d2"))
+        return column_quantiles(measured, ["d2"], [prob], cells, n_rows=n_rows)["d2"][1][0]
 
+    n_sample = min(SAMPLE_ROWS, max(START_ROWS, SAMPLE_CELLS // p))
     order = F.xxhash64(F.lit(random_state), col(pick))
-    sampled = rows
-    if n_rows > SAMPLE_ROWS:
+    candidates = rows
+    if n_rows > n_sample:
         # Twice the wanted share of the hash range, then exactly the first rows in hash order.
-        edge = int(-(2**63) + 2**64 * min(1.0, 2.0 * SAMPLE_ROWS / n_rows))
-        sampled = rows.where(order <= F.lit(min(edge, 2**63 - 1))).orderBy(order).limit(SAMPLE_ROWS)
-    else:
-        sampled = rows.orderBy(order, *[col(f) for f in features])
-    sample = sampled.select(*[col(f) for f in features]).toPandas().to_numpy(dtype=float)
+        edge = int(-(2**63) + 2**64 * min(1.0, 2.0 * n_sample / n_rows))
+        candidates = rows.where(order <= F.lit(min(edge, 2**63 - 1)))
+    sample = _hash_ordered(candidates, order, features, n_sample)
     if len(sample) < p + 1:  # so many copies of so few rows that the hash range held none
-        sample = rows.orderBy(order).limit(SAMPLE_ROWS).select(
-            *[col(f) for f in features]).toPandas().to_numpy(dtype=float)
+        sample = _hash_ordered(rows, order, features, n_sample)
 
     current = shape(*_best_start(rows.sparkSession, sample, support_fraction, random_state), 0)
     h = max(p + 1, min(n_rows, int(support_fraction * n_rows)))
+    # Half a rank above the h-th distance, so rounding cannot drop the h-th row itself.
+    prob = min(1.0, (h - 0.5) / max(1, n_rows - 1))
     for step in range(1, MAX_STEPS + 1):
-        # Half a rank above the h-th distance, so rounding cannot drop the h-th row itself.
-        prob = min(1.0, (h - 0.5) / max(1, n_rows - 1))
-        cut = distance_quantiles(current, [prob])[0]
-        _, location, covariance = moments_within(current, cut)
+        d2 = current.distance()
+        cut = distance_quantile(d2, prob)
+        _, location, covariance = _moments(rows.where(d2 <= cut), features, current.location)
         following = shape(location, covariance, step)
-        improved = step == 1 or following.logdet < current.logdet - 1e-12 * abs(current.logdet)
-        current = following if improved else current
-        if not improved or current.logdet == float("-inf"):
+        gain = current.logdet - following.logdet
+        if step == 1 or gain > 0:
+            current = following
+        if current.logdet == float("-inf") or (step > 1 and gain < LOGDET_TOLERANCE):
             break
 
-    factor = distance_quantiles(current, [0.5])[0] / chi2_quantile(0.5, p)
+    d2 = current.distance()
+    factor = distance_quantile(d2, 0.5) / chi2_quantile(0.5, p)
     if factor > 0:
-        _, location, covariance = moments_within(
-            current, factor * chi2_quantile(0.975, p), strict=True)
+        near = rows.where(d2 < factor * chi2_quantile(0.975, p))
+        _, location, covariance = _moments(near, features, current.location)
         current = shape(location, covariance, current.steps)
     return current
 
 
+def _hash_ordered(rows: DataFrame, order: Column, features: Sequence[str], n: int) -> np.ndarray:
+    chosen = rows.orderBy(order, *[col(f) for f in features]).limit(n)
+    return chosen.select(*[col(f) for f in features]).toPandas().to_numpy(dtype=float)
+
+
 def robust_mahalanobis(
     df: DataFrame, features: Sequence[str], support_fraction: float = names.SUPPORT_FRACTION,
     random_state: int = names.SEED, out: str = "mahalanobis_distance", cells: int = GROUP_CELLS,
@@ -239,12 +269,15 @@ def robust_mahalanobis(
     """Add the robust squared distance of every row, missing features filled with their median.
 
     Features that are missing everywhere take no part. With fewer rows than features + 1 the
-    distance is the sum of squares.
+    distance is the sum of squares. A feature with one value throughout adds nothing to any distance
+    and stays out of the fit.
     """
-    medians = feature_medians(df, features, cells)
-    used = [f for f in features if medians[f] is not None]
+    found = column_quantiles(df, features, [0.0, 0.5, 1.0], cells)
+    used = [f for f in features if found[f][0]]
+    medians = {f: found[f][1][1] for f in used}
+    varying = [f for f in used if found[f][1][0] != found[f][1][2]]
     scalar = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    filled = fill_medians(df, {f: medians[f] for f in used}).select(
+    filled = fill_medians(df, medians).select(
         *[col(f).cast("double").alias(f) for f in used],
         F.xxhash64(*[col(c) for c in scalar]).alias("__pick"))
     complete = materialize(filled, "complete-features")
@@ -256,8 +289,10 @@ def robust_mahalanobis(
         measured = squared_norm(df.select("*", *[c.alias(f"__f_{f}") for f, c in as_used.items()]),
                                 [f"__f_{f}" for f in used], out)
         return measured.select(*[col(c) for c in df.columns if c != out], F.col(out))
-    fitted = fit_shape(complete, used, n_rows, support_fraction, random_state, cells=cells)
-    own = Shape(tuple(f"__f_{f}" for f in used), fitted.location, fitted.whiten, fitted.logdet, n_rows)
+    if not varying:
+        return df.withColumn(out, F.lit(0.0))
+    fitted = fit_shape(complete, varying, n_rows, support_fraction, random_state, cells=cells)
+    own = replace(fitted, features=tuple(f"__f_{f}" for f in varying))
     staged = df.select("*", *[c.alias(f"__f_{f}") for f, c in as_used.items()])
     return staged.withColumn(out, own.distance()).select(
         *[col(c) for c in df.columns if c != out], F.col(out))

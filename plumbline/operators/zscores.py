@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,31 +10,47 @@ from pyspark.sql import functions as F
 from plumbline import names
 from plumbline.functions.expressions import blend, calendar_quarter, col, robust_z
 from plumbline.operators.groups import GROUP_CELLS, attach_small
-from plumbline.operators.quantiles import attach_group_stats, group_quantiles, n_col, q_col
+from plumbline.operators.quantiles import (
+    GroupStats, attach_group_stats, group_quantiles, n_col, q_col,
+)
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def robust_zscores(
-    df: DataFrame, by: Sequence[str], features: Sequence[str], name, cells: int = GROUP_CELLS,
+def quartile_stats(
+    df: DataFrame, by: Sequence[str], features: Sequence[str], cells: int = GROUP_CELLS,
+) -> GroupStats:
+    """Counts and quartiles per group, one aggregate for all features."""
+    return group_quantiles(df, by, features, QUARTILES, cells)
+
+
+def attach_zscores(
+    df: DataFrame, scores: Sequence[tuple[GroupStats, Callable[[str], str]]],
+    features: Sequence[str],
 ) -> DataFrame:
-    """Add one robust z-score column per feature, relative to the row's group.
+    """Add one robust z-score column per feature and grouping, one join per grouping.
 
-    All features share one aggregate and one join. Rows without a group key get no score.
+    The statistics come first and are separate from ``df``, so measuring one grouping never repeats
+    the joins of another. Rows without a group key get no score.
     """
-    stats = group_quantiles(df, by, features, QUARTILES, cells)
-    joined = attach_group_stats(df, stats)
-    return joined.select(
-        *[col(c) for c in df.columns],
-        *[robust_z(col(f).cast("double"), col(n_col(f)), col(q_col(f))).alias(name(f))
-          for f in features])
+    out, added = df, []
+    for i, (stats, name) in enumerate(scores):
+        joined = attach_group_stats(out, stats)
+        fresh = {name(f): robust_z(col(f).cast("double"), col(n_col(f)), col(q_col(f)))
+                 for f in features}
+        out = joined.select(
+            *[col(c) for c in df.columns], *[col(c) for c in added],
+            *[z.alias(c) for c, z in fresh.items()])
+        added += list(fresh)
+    return out
 
 
 def self_history_zscores(
     df: DataFrame, features: Sequence[str], entity: str = names.ENTITY, cells: int = GROUP_CELLS,
 ) -> DataFrame:
     """Add `self_z__*`: each row against the whole history of its entity, later periods included."""
-    return robust_zscores(df, [entity], features, names.self_z, cells)
+    stats = quartile_stats(df, [entity], features, cells)
+    return attach_zscores(df, [(stats, names.self_z)], features)
 
 
 def peer_zscores(
@@ -42,7 +58,24 @@ def peer_zscores(
     cells: int = GROUP_CELLS,
 ) -> DataFrame:
     """Add `peer_z__*`: each row against all rows sharing its peer keys, itself included."""
-    return robust_zscores(df, peer_keys, features, names.peer_z, cells)
+    stats = quartile_stats(df, peer_keys, features, cells)
+    return attach_zscores(df, [(stats, names.peer_z)], features)
+
+
+def self_and_peer_zscores(
+    df: DataFrame, features: Sequence[str], entity: str = names.ENTITY,
+    peer_keys: Sequence[str] = (names.PERIOD,), cells: int = GROUP_CELLS,
+    measure: DataFrame | None = None,
+) -> DataFrame:
+    """Add both `self_z__*` and `peer_z__*`.
+
+    ``measure`` is a cheaper table with the same keys and features to take the statistics from, for
+    when ``df`` already carries joins that the statistics do not need.
+    """
+    source = df if measure is None else measure
+    own = quartile_stats(source, [entity], features, cells)
+    peers = quartile_stats(source, peer_keys, features, cells)
+    return attach_zscores(df, [(own, names.self_z), (peers, names.peer_z)], features)
 
 
 def sector_peer_zscores(

@@ -16,7 +16,7 @@ from plumbline.operators.groups import GROUP_CELLS
 from plumbline.operators.mcd import robust_mahalanobis
 from plumbline.operators.ranking import ordered_scores, percentile_scores
 from plumbline.operators.winsor import squared_norm, winsorize
-from plumbline.operators.zscores import combine_zscores, peer_zscores, self_history_zscores
+from plumbline.operators.zscores import combine_zscores, self_and_peer_zscores
 from plumbline.session import materialize
 
 DISTANCES = ("mcd", "l2")
@@ -52,7 +52,7 @@ def score_filings(
         measured = squared_norm(clipped, features)
     ranked = percentile_scores(measured)
     scored = combine_zscores(
-        peer_zscores(self_history_zscores(ranked, features, cells=cells), features, peer_keys, cells),
+        self_and_peer_zscores(ranked, features, names.ENTITY, peer_keys, cells, measure=clipped),
         features)
     finished = top_drivers(summary_scores(scored, features), features, n_drivers)
     out = finished.select(*score_columns(finished, features, n_drivers, started))
