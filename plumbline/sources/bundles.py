@@ -83,9 +83,12 @@ def parse_bundles(texts: DataFrame, json_column: str, path_column: str) -> DataF
 
 
 def malformed_bundles(bundles: DataFrame) -> DataFrame:
-    """Path and text of the documents that could not be parsed; the flatten skips them."""
+    """Path, ticker if readable, and text of the documents that could not be parsed.
+
+    The flatten skips them.
+    """
     return bundles.where(F.col(_CORRUPT).isNotNull()).select(
-        SOURCE_PATH, _CORRUPT, "selected_filing_url").drop("selected_filing_url")
+        SOURCE_PATH, F.col(METADATA["ticker"]).alias("ticker"), _CORRUPT)
 
 
 def accepted_bundles(
