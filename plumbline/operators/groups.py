@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from plumbline.functions.expressions import col
 from plumbline.session import BROADCAST_BYTES, materialize
 
-# Rows x features one task may hold for one group (about 64 bytes of aggregate state per cell).
-GROUP_CELLS = 4_000_000
+# Rows x features one task may hold for one group (about 64 bytes of aggregate state per cell, and
+# Spark keeps up to 128 groups side by side before it sorts them).
+GROUP_CELLS = 500_000
 # Salt values for hot rows; also the number of copies of a table too large to broadcast.
 SPREAD = 1 << 20
 COPIES = 32
@@ -31,6 +32,7 @@ class GroupSizes:
     n_groups: int
     n_rows: int
     n_hot: int
+    n_hot_rows: int
     hot: DataFrame | None
 
 
@@ -52,12 +54,14 @@ def group_sizes(df: DataFrame, by: Sequence[str], width: int, cells: int = GROUP
         F.count(F.lit(1)).alias("groups"),
         F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows"),
         F.count_if(F.col("__rows") > hot_rows).alias("hot"),
+        F.coalesce(F.sum(F.when(F.col("__rows") > hot_rows, F.col("__rows"))), F.lit(0))
+        .alias("hot_row_count"),
     ).first()
     hot = None
     if seen["hot"]:
         hot = materialize(
             sizes.where(F.col("__rows") > hot_rows).select(*[col(c) for c in by]), "hot-keys")
-    return GroupSizes(tuple(by), seen["groups"], seen["rows"], seen["hot"], hot)
+    return GroupSizes(tuple(by), seen["groups"], seen["rows"], seen["hot"], seen["hot_row_count"], hot)
 
 
 def fits_broadcast(rows: int, row_bytes: int) -> bool:

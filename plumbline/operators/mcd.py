@@ -9,7 +9,7 @@ the rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -265,34 +265,41 @@ def _hash_ordered(rows: DataFrame, order: Column, features: Sequence[str], n: in
 def robust_mahalanobis(
     df: DataFrame, features: Sequence[str], support_fraction: float = names.SUPPORT_FRACTION,
     random_state: int = names.SEED, out: str = "mahalanobis_distance", cells: int = GROUP_CELLS,
+    ranges: Mapping[str, tuple[float, float, float] | None] | None = None,
 ) -> DataFrame:
     """Add the robust squared distance of every row, missing features filled with their median.
 
     Features that are missing everywhere take no part. With fewer rows than features + 1 the
     distance is the sum of squares. A feature with one value throughout adds nothing to any distance
     and stays out of the fit.
+
+    Pass ``ranges`` (least value, median, greatest value per feature, None if wholly missing) when
+    they are known and ``df`` is cheap to scan, such as a projection of a written table; otherwise
+    they are measured and the features are written once for the passes of the fit.
     """
-    found = column_quantiles(df, features, [0.0, 0.5, 1.0], cells)
-    used = [f for f in features if found[f][0]]
-    medians = {f: found[f][1][1] for f in used}
-    varying = [f for f in used if found[f][1][0] != found[f][1][2]]
+    scannable = ranges is not None
+    if ranges is None:
+        found = column_quantiles(df, features, [0.0, 0.5, 1.0], cells)
+        ranges = {f: tuple(q) if n else None for f, (n, q) in found.items()}
+    used = [f for f in features if ranges[f] is not None]
+    medians = {f: ranges[f][1] for f in used}
+    varying = [f for f in used if ranges[f][0] != ranges[f][2]]
     scalar = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    filled = fill_medians(df, medians).select(
+    complete = fill_medians(df, medians).select(
         *[col(f).cast("double").alias(f) for f in used],
         F.xxhash64(*[col(c) for c in scalar]).alias("__pick"))
-    complete = materialize(filled, "complete-features")
+    if not scannable:
+        complete = materialize(complete, "complete-features")
     n_rows = complete.count()
-    as_used = {f: F.coalesce(col(f).cast("double"), F.lit(medians[f])) for f in used}
     if not used:
         return df.withColumn(out, F.lit(None).cast("double"))
+    kept = [col(c) for c in df.columns if c != out]
+    staged = df.select("*", *[
+        F.coalesce(col(f).cast("double"), F.lit(medians[f])).alias(f"__f_{f}") for f in used])
     if n_rows < len(used) + 1:
-        measured = squared_norm(df.select("*", *[c.alias(f"__f_{f}") for f, c in as_used.items()]),
-                                [f"__f_{f}" for f in used], out)
-        return measured.select(*[col(c) for c in df.columns if c != out], F.col(out))
+        return squared_norm(staged, [f"__f_{f}" for f in used], out).select(*kept, F.col(out))
     if not varying:
         return df.withColumn(out, F.lit(0.0))
     fitted = fit_shape(complete, varying, n_rows, support_fraction, random_state, cells=cells)
     own = replace(fitted, features=tuple(f"__f_{f}" for f in varying))
-    staged = df.select("*", *[c.alias(f"__f_{f}") for f, c in as_used.items()])
-    return staged.withColumn(out, own.distance()).select(
-        *[col(c) for c in df.columns if c != out], F.col(out))
+    return staged.withColumn(out, own.distance()).select(*kept, F.col(out))

@@ -1,12 +1,14 @@
 """Exact linear-interpolation quantiles, per group or over everything, at any group size.
 
 Ordinary groups use Spark's `percentile` aggregate: one shuffle, all features at once. A hot group
-would make that aggregate hold every distinct value in one task, so hot groups are narrowed instead:
-each pass keeps, per group and feature, only counts and a fixed-size quantile sketch of the values
-strictly inside the current bracket, and the next bracket is read off the sketch. Runs of equal
-values end up on a bracket edge, where they are counted and not collected. When few values remain
-inside, they are sorted and the wanted order statistics are taken: the answer is exact, the counts
-prove that the bracket holds the wanted ranks, and no task ever holds a group.
+would make that aggregate hold every distinct value in one task, so hot groups are narrowed instead.
+Each pass keeps, per group and feature, exact counts around the current bracket and a sketch of a
+bounded random sample of the values strictly inside it; the next bracket is read off the sketch.
+Runs of equal values end up on a bracket edge, where they are counted and not collected. When few
+values remain inside, they are sorted and the wanted order statistics are taken. The sample only
+proposes brackets: every value is counted in every pass, the counts prove that the bracket holds the
+wanted ranks (a bracket that misses is widened), so the answer is exact and no task ever holds a
+group.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ from plumbline.session import materialize
 
 GRID_STEPS = 1000
 SKETCH_ACCURACY = 10_000
+# Values per group, feature and pass that go into a sketch.
+SKETCH_VALUES = 1_000_000
 # Values one bracket may hold when it is finally sorted.
-FINAL_VALUES = 100_000
+FINAL_VALUES = 200_000
 _INF = float("inf")
 
 
@@ -66,7 +70,8 @@ def group_quantiles(
         return GroupStats(sizes, _by_aggregate(rows, by, features, probs), None, row_bytes)
     hot_rows = attach_small(rows, sizes.hot, by, sizes.n_hot, 64, "left_semi")
     cold_rows = attach_small(rows, sizes.hot, by, sizes.n_hot, 64, "left_anti")
-    hot = _by_narrowing(hot_rows, by, features, probs, sizes.n_hot, final_values)
+    hot = _by_narrowing(
+        hot_rows, by, features, probs, sizes.n_hot, sizes.n_hot_rows, final_values)
     return GroupStats(sizes, _by_aggregate(cold_rows, by, features, probs), hot, row_bytes)
 
 
@@ -80,11 +85,13 @@ def column_quantiles(
     """
     features = list(features)
     rows = df.select(*[col(f).cast("double").alias(f) for f in features])
-    if (rows.count() if n_rows is None else n_rows) * len(features) <= cells:
+    n_rows = rows.count() if n_rows is None else n_rows
+    if n_rows * len(features) <= cells:
         found = rows.agg(*_aggregates(features, probs)).first()
     else:
         everything = rows.select(F.lit(0).alias("__all"), "*")
-        found = _by_narrowing(everything, ["__all"], features, probs, 1, final_values).first()
+        found = _by_narrowing(
+            everything, ["__all"], features, probs, 1, n_rows, final_values).first()
     return {f: (found[n_col(f)], found[q_col(f)]) for f in features}
 
 
@@ -99,7 +106,7 @@ def _by_aggregate(rows, by, features, probs) -> DataFrame:
     return rows.groupBy(*[col(c) for c in by]).agg(*_aggregates(features, probs))
 
 
-def _by_narrowing(rows, by, features, probs, n_groups, final_values) -> DataFrame:
+def _by_narrowing(rows, by, features, probs, n_groups, n_rows, final_values) -> DataFrame:
     """Bracket every (group, feature, quantile) and narrow until few values are left inside."""
     values = (
         rows.unpivot([col(c) for c in by], [col(f) for f in features], "__feature", "__v")
@@ -107,23 +114,28 @@ def _by_narrowing(rows, by, features, probs, n_groups, final_values) -> DataFram
     )
     key = [*by, "__feature"]
     which = range(len(probs))
-    state_rows, state_bytes = n_groups * len(features), 96 + 32 * len(probs)
+    state_rows, state_bytes = n_groups * len(features), 96 + 48 * len(probs)
 
-    first = values.groupBy(*[col(c) for c in key]).agg(
-        F.count(F.lit(1)).alias("n"), _sketch(F.col("__v")).alias("grid"))
-    whole = {"lo": F.lit(-_INF), "hi": F.lit(_INF), "base": F.lit(0), "inside": F.col("n"),
-             "grid": F.col("grid"), "slack": F.lit(_FIRST_SLACK), "held": F.lit(True)}
-    state = materialize(first.select(
-        *[col(c) for c in key], "n",
-        *[c for i in which for c in _next_bracket(i, probs[i], whole)]), "brackets")
+    def narrowed(counted, bracket_of):
+        return materialize(counted.select(
+            *[col(c) for c in key], "n",
+            *[c for i in which for c in _next_bracket(i, probs[i], bracket_of(i))]), "brackets")
 
+    # Before any bracket exists, sample every group at the rate that suits the average one.
+    share = min(1.0, SKETCH_VALUES * n_groups / max(1, n_rows))
+    first = values.withColumn("__u", F.rand(_SEED)).groupBy(*[col(c) for c in key]).agg(
+        F.count(F.lit(1)).alias("n"),
+        _sketch(F.when(F.col("__u") < share, F.col("__v"))).alias("grid"))
+    whole = {"lo": F.lit(-_INF), "hi": F.lit(_INF), "base": F.lit(0), "inside": F.col("n"),
+             "grid": F.col("grid"), "share": F.lit(share), "slack": F.lit(1.0), "held": F.lit(True)}
+    state, passes = narrowed(first, lambda i: whole), 0
     while state.agg(F.max(F.greatest(F.lit(0), *[F.col(f"left{i}") for i in which]))).first()[0] \
             > final_values:
+        passes += 1
         counted = _count_in_brackets(
-            values, state, key, which, state_rows, state_bytes, sketch=True)
-        state = materialize(counted.select(
-            *[col(c) for c in key], "n",
-            *[c for i in which for c in _next_bracket(i, probs[i], _seen(i, probs[i]))]), "brackets")
+            values.withColumn("__u", F.rand(_SEED + passes)), state, key, which, state_rows,
+            state_bytes, sketch=True)
+        state = narrowed(counted, lambda i: _seen(i, probs[i]))
 
     last = _count_in_brackets(values, state, key, which, state_rows, state_bytes, sketch=False)
     found = last.select(
@@ -143,7 +155,7 @@ def _by_narrowing(rows, by, features, probs, n_groups, final_values) -> DataFram
             of(f).getField("q").alias(q_col(f)))]), "quantiles")
 
 
-_FIRST_SLACK = 1.0 / GRID_STEPS + 4.0 / SKETCH_ACCURACY
+_SEED = 20
 
 
 def _sketch(value: Column) -> Column:
@@ -159,29 +171,33 @@ def _ranks(prob: float) -> tuple[Column, Column, Column]:
 def _next_bracket(i: int, prob: float, seen: dict[str, Column]) -> list[Column]:
     """Edges around the wanted ranks, read off the sketch, and how many values may lie between.
 
-    Should the counts show that the bracket missed a wanted rank (a sketch outside its error bound),
-    the search starts over with twice the slack.
+    The margin covers the grid step, the sketch error and four standard errors of the sample. A
+    bracket whose counts do not hold the wanted ranks, or whose sample came out empty, starts over
+    with twice the margin.
     """
     _, low_rank, high_rank = _ranks(prob)
+    held = seen["held"] & (seen["grid"].isNotNull() | (seen["inside"] == 0))
     inside = F.greatest(seen["inside"], F.lit(1)).cast("double")
-    steps, slack = F.lit(float(GRID_STEPS)), seen["slack"]
-    from_step = F.floor(((low_rank - seen["base"]) / inside - slack) * steps)
-    to_step = F.ceil(((high_rank - seen["base"]) / inside + slack) * steps)
+    steps = F.lit(float(GRID_STEPS))
+    sampled = F.greatest(inside * seen["share"], F.lit(1.0))
+    error = F.when(seen["share"] < 1.0, F.lit(2.0) / F.sqrt(sampled)).otherwise(F.lit(0.0))
+    margin = seen["slack"] * (error + F.lit(1.0 / GRID_STEPS + 4.0 / SKETCH_ACCURACY))
+    from_step = F.floor(((low_rank - seen["base"]) / inside - margin) * steps)
+    to_step = F.ceil(((high_rank - seen["base"]) / inside + margin) * steps)
     lo = F.when(from_step < 0, seen["lo"]).otherwise(
         F.get(seen["grid"], F.least(from_step, F.lit(GRID_STEPS)).cast("int")))
     hi = F.when(to_step > GRID_STEPS, seen["hi"]).otherwise(
         F.get(seen["grid"], F.greatest(to_step, F.lit(0)).cast("int")))
     width = (F.least(to_step, F.lit(GRID_STEPS)) - F.greatest(from_step, F.lit(0))).cast("double")
-    left = F.when(~seen["held"], seen["inside"].cast("double") + F.col("n")).when(
-        seen["inside"] == 0, F.lit(0.0)).otherwise(
-        F.greatest((width / steps + slack) * inside, F.lit(0.0)))
+    left = F.when(~held, F.col("n").cast("double")).when(seen["inside"] == 0, F.lit(0.0)).otherwise(
+        F.greatest((width / steps + margin) * inside, F.lit(0.0)))
     return [
-        F.when(~seen["held"], F.lit(-_INF)).when(seen["inside"] == 0, seen["lo"])
-        .otherwise(lo).alias(f"lo{i}"),
-        F.when(~seen["held"], F.lit(_INF)).when(seen["inside"] == 0, seen["hi"])
-        .otherwise(hi).alias(f"hi{i}"),
+        F.when(~held, F.lit(-_INF)).when(seen["inside"] == 0, seen["lo"]).otherwise(lo).alias(f"lo{i}"),
+        F.when(~held, F.lit(_INF)).when(seen["inside"] == 0, seen["hi"]).otherwise(hi).alias(f"hi{i}"),
         left.alias(f"left{i}"),
-        F.when(seen["held"], slack).otherwise(slack * 2).alias(f"slack{i}"),
+        F.when(held, seen["slack"]).otherwise(seen["slack"] * 2).alias(f"slack{i}"),
+        F.least(F.lit(1.0), F.lit(float(SKETCH_VALUES)) / F.greatest(left, F.lit(1.0)))
+        .alias(f"share{i}"),
     ]
 
 
@@ -192,13 +208,14 @@ def _count_in_brackets(values, state, key, which, state_rows, state_bytes, sketc
     for i in which:
         lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
         strictly = F.when((v > lo) & (v < hi), v)
-        aggregates += [F.first(f"{c}{i}").alias(f"{c}{i}") for c in ("lo", "hi", "slack")]
+        aggregates += [F.first(f"{c}{i}").alias(f"{c}{i}") for c in ("lo", "hi", "slack", "share")]
         aggregates += [
             F.count_if(v < lo).alias(f"below{i}"),
             F.count_if(v == lo).alias(f"at_lo{i}"),
             F.count_if((v == hi) & (hi > lo)).alias(f"at_hi{i}"),
             F.count(strictly).alias(f"inside{i}"),
-            _sketch(strictly).alias(f"grid{i}") if sketch
+            _sketch(F.when(F.col("__u") < F.col(f"share{i}"), strictly)).alias(f"grid{i}")
+            if sketch
             else F.sort_array(F.collect_list(strictly)).alias(f"values{i}"),
         ]
     return joined.groupBy(*[col(c) for c in key]).agg(*aggregates)
@@ -213,6 +230,7 @@ def _held(i: int, prob: float) -> Column:
 def _seen(i: int, prob: float) -> dict[str, Column]:
     return {
         "lo": F.col(f"lo{i}"), "hi": F.col(f"hi{i}"), "slack": F.col(f"slack{i}"),
+        "share": F.col(f"share{i}"),
         "base": F.col(f"below{i}") + F.col(f"at_lo{i}"), "inside": F.col(f"inside{i}"),
         "grid": F.col(f"grid{i}"), "held": _held(i, prob),
     }

@@ -14,8 +14,9 @@ from plumbline.operators.dedup import first_per_key, numeric_features
 from plumbline.operators.drivers import summary_scores, top_drivers
 from plumbline.operators.groups import GROUP_CELLS
 from plumbline.operators.mcd import robust_mahalanobis
+from plumbline.operators.quantiles import column_quantiles
 from plumbline.operators.ranking import ordered_scores, percentile_scores
-from plumbline.operators.winsor import squared_norm, winsorize
+from plumbline.operators.winsor import apply_bounds, squared_norm
 from plumbline.operators.zscores import combine_zscores, self_and_peer_zscores
 from plumbline.session import materialize
 
@@ -44,10 +45,14 @@ def score_filings(
     carried = [c for c in dict.fromkeys([*_IDENTITY, *peer_keys, *features]) if c in unique.columns]
     panel = materialize(unique.select(*[col(c) for c in carried]), "panel")
 
-    clipped = winsorize(panel, features)
+    # Limits and medians in one measurement: limiting a feature does not move its median.
+    found = column_quantiles(
+        panel, features, [names.WINSOR_LOWER, 0.5, names.WINSOR_UPPER], cells)
+    ranges = {f: tuple(q) if n else None for f, (n, q) in found.items()}
+    clipped = apply_bounds(panel, {f: r and (r[0], r[2]) for f, r in ranges.items()})
     if distance == "mcd":
         measured = robust_mahalanobis(
-            clipped, features, support_fraction, random_state, cells=cells)
+            clipped, features, support_fraction, random_state, cells=cells, ranges=ranges)
     else:
         measured = squared_norm(clipped, features)
     ranked = percentile_scores(measured)
