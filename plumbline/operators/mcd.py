@@ -274,10 +274,9 @@ def robust_mahalanobis(
     and stays out of the fit.
 
     Pass ``ranges`` (least value, median, greatest value per feature, None if wholly missing) when
-    they are known and ``df`` is cheap to scan, such as a projection of a written table; otherwise
-    they are measured and the features are written once for the passes of the fit.
+    they are known. The filled features are written once: the fit passes over them many times, and
+    each pass then evaluates nothing but the distance.
     """
-    scannable = ranges is not None
     if ranges is None:
         found = column_quantiles(df, features, [0.0, 0.5, 1.0], cells)
         ranges = {f: tuple(q) if n else None for f, (n, q) in found.items()}
@@ -285,11 +284,9 @@ def robust_mahalanobis(
     medians = {f: ranges[f][1] for f in used}
     varying = [f for f in used if ranges[f][0] != ranges[f][2]]
     scalar = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    complete = fill_medians(df, medians).select(
+    complete = materialize(fill_medians(df, medians).select(
         *[col(f).cast("double").alias(f) for f in used],
-        F.xxhash64(*[col(c) for c in scalar]).alias("__pick"))
-    if not scannable:
-        complete = materialize(complete, "complete-features")
+        F.xxhash64(*[col(c) for c in scalar]).alias("__pick")), "complete-features")
     n_rows = complete.count()
     if not used:
         return df.withColumn(out, F.lit(None).cast("double"))

@@ -49,7 +49,8 @@ def score_filings(
     found = column_quantiles(
         panel, features, [names.WINSOR_LOWER, 0.5, names.WINSOR_UPPER], cells)
     ranges = {f: tuple(q) if n else None for f, (n, q) in found.items()}
-    clipped = apply_bounds(panel, {f: r and (r[0], r[2]) for f, r in ranges.items()})
+    clipped = materialize(
+        apply_bounds(panel, {f: r and (r[0], r[2]) for f, r in ranges.items()}), "clipped")
     if distance == "mcd":
         measured = robust_mahalanobis(
             clipped, features, support_fraction, random_state, cells=cells, ranges=ranges)
