@@ -188,14 +188,31 @@ _D2 = """((x - mx) * (x - mx) * vy - 2 * (x - mx) * (y - my) * cxy + (y - my) *
          / (vx * vy - cxy * cxy)"""
 _MOMENTS = """avg(x) AS mx, avg(y) AS my, var_pop(x) AS vx, var_pop(y) AS vy,
               covar_pop(x, y) AS cxy"""
-FULL_SUPPORT = f"""WITH {PANEL},
-xy AS (SELECT ticker, report_date, quantity AS x, tax AS y FROM panel),
+def full_support(source):
+    """CTEs up to `distances`: the robust distance of quantity and tax."""
+    return f"""
+xy AS (SELECT ticker, report_date, quantity AS x, tax AS y FROM {source}),
 raw_fit AS (SELECT {_MOMENTS} FROM xy),
 raw AS (SELECT ticker, report_date, x, y, {_D2} AS d2 FROM xy, raw_fit),
 factor AS (SELECT median(d2) / (-2 * ln(0.5)) AS f FROM raw),
 kept AS (SELECT x, y FROM raw, factor WHERE d2 < f * (-2 * ln(0.025))),
-fit AS (SELECT {_MOMENTS} FROM kept)
-SELECT ticker, report_date, {r6(_D2, 'mahalanobis_distance')} FROM xy, fit"""
+fit AS (SELECT {_MOMENTS} FROM kept),
+distances AS (SELECT ticker, report_date, {_D2} AS d2 FROM xy, fit)"""
+
+
+def full_support_scores():
+    f = ["quantity", "tax"]
+    return (f"WITH {PANEL}, {blended('panel', f)} {driver_ctes(f)}, {full_support('clipped')}, "
+            f"ranked AS (SELECT *, {percentile('d2', 'anomaly_score_0_100')} FROM distances) "
+            "SELECT b.ticker, strftime(b.report_date, '%Y-%m-%d') AS report_date, "
+            f"anomaly_score_0_100, {count_of('combined_z__', f)} AS num_features_used, "
+            f"top_driver_1, top_driver_2, {r6('d2', 'mahalanobis_distance')}, "
+            f"{r6(mean_abs('self_z__', f), 'self_history_score')}, "
+            f"{r6(mean_abs('peer_z__', f), 'peer_relative_score')}, "
+            f"{r6(mean_abs('combined_z__', f), 'combined_signal_strength')}, "
+            f"{all_r6([names.combined_z(x) for x in f])} FROM blended b "
+            "JOIN slots USING (ticker, report_date) JOIN ranked USING (ticker, report_date)")
+
 
 SUPPLIER_FILINGS = PANEL + """,
 filings AS (
@@ -360,7 +377,10 @@ ORACLE: dict[str, str] = {
     "driver_summary":
         f"WITH {SPARSE}, {blended('sparse', FEATURES)} {driver_ctes(FEATURES)} "
         f"SELECT ticker, report_date, {summary_text()} AS driver_summary FROM slots",
-    "mcd_full_support": FULL_SUPPORT,
+    "mcd_full_support":
+        f"WITH {PANEL}, {full_support('panel')} SELECT ticker, report_date, "
+        f"{r6('d2', 'mahalanobis_distance')} FROM distances",
+    "score_filings_full_support": full_support_scores(),
     "score_filings_l2": f"WITH {_EVENT_SCORES} SELECT * FROM scored",
     "scores_csv_round_trip": f"WITH {_EVENT_SCORES} SELECT * FROM scored",
     "review_pack":

@@ -222,6 +222,16 @@ def score_panel(spark, sf):
     return score_filings(filing_panel(spark, sf), FEATURES, scored_at=SCORED_AT)
 
 
+def score_full_support(spark, sf):
+    """The whole scoring job with the robust distance, in the setting that has a closed form."""
+    scored = score_filings(filing_panel(spark, sf), ["quantity", "tax"], support_fraction=1.0,
+                           scored_at=SCORED_AT)
+    return scored.select(
+        *KEYS, "anomaly_score_0_100", "num_features_used", "top_driver_1", "top_driver_2",
+        *[r6(c) for c in ("mahalanobis_distance", "self_history_score", "peer_relative_score",
+                          "combined_signal_strength", "combined_z__quantity", "combined_z__tax")])
+
+
 def _scored_events(spark, sf, ordered=True):
     return score_filings(day_text(event_panel(spark, sf)), EVENT_FEATURES, distance="l2",
                          scored_at=SCORED_AT, ordered=ordered)
@@ -462,6 +472,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mcd_distance": mcd_distance,
     "embedding_distance": embedding_distance,
     "score_filings": score_panel,
+    "score_filings_full_support": score_full_support,
     "score_filings_l2": score_events_l2,
     "scores_csv_round_trip": scores_csv_round_trip,
     "review_pack": review_pack,
