@@ -28,6 +28,9 @@ def local_session(cores: str = "*", app: str = "plumbline") -> SparkSession:
         .config("spark.driver.memory", os.environ.get("PLUMBLINE_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Small local data should still use every core.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.files.openCostInBytes", str(128 * 1024))
         # Without a call-site lookup per column expression, wide plans build several times faster.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
