@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline import names
 from plumbline.functions.expressions import col, total_of
+from plumbline.operators.dedup import first_per_key
 
 # --- fixed values: coefficients of the published model -------------------------------------------
 M_INTERCEPT = -4.84
@@ -23,14 +24,16 @@ ACCOUNT_COLUMNS = [
 
 def m_score(
     accounts: DataFrame, entity: str = names.ENTITY, period: str = names.PERIOD,
-    cutoff: float = names.MANIPULATOR_CUTOFF,
+    cutoff: float = names.MANIPULATOR_CUTOFF, unique: bool = False,
 ) -> DataFrame:
-    """Key, eight ratios, `m_score` and `likely_manipulator` of every row.
+    """Key, eight ratios, `m_score` and `likely_manipulator`, one row per key.
 
-    The year-earlier row of the same entity is found by an equi-join on (entity, date + 12 months),
-    keys that are unique in a deduplicated table, so no entity is gathered into one task. The score
-    is missing when any ratio is.
+    The year-earlier row of the same entity is found by an equi-join on (entity, date + 12 months).
+    Copies of a key are dropped first (say ``unique`` if there are none), so the join neither
+    multiplies rows nor gathers an entity into one task. The score is missing when any ratio is.
     """
+    if not unique:
+        accounts = first_per_key(accounts, [entity, period])
     keys = [col(entity).alias("__entity"), F.to_date(col(period)).alias("__day")]
     now = accounts.select(*keys, col(entity), col(period),
                           *[col(c).alias(f"t_{c}") for c in ACCOUNT_COLUMNS])

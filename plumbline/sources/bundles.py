@@ -50,11 +50,17 @@ class FlatFilings:
     collisions: dict[str, list[str]] = field(default_factory=dict)
 
 
+def last_key_wins(spark: SparkSession) -> None:
+    """A repeated key in a JSON object keeps its last value; Spark would reject the document."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def scan_bundles(
     spark: SparkSession, root: str, tickers: Sequence[str] | None = None,
     file_glob: str = "*" + names.BUNDLE_SUFFIX, ignore_unreadable: bool = False,
 ) -> DataFrame:
     """One row per bundle file below ``root``; with tickers, only their folders are listed."""
+    last_key_wins(spark)
     path = root.rstrip("/")
     if tickers:
         chosen = sorted({re.sub(r"([\\*?\[\]{},])", r"\\\1", t) for t in tickers})
@@ -75,6 +81,7 @@ def scan_bundles(
 
 def parse_bundles(texts: DataFrame, json_column: str, path_column: str) -> DataFrame:
     """The same rows as `scan_bundles` from a column of JSON text instead of files."""
+    last_key_wins(texts.sparkSession)
     parsed = F.from_json(
         col(json_column), f"{BUNDLE_SCHEMA}, {_CORRUPT} string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})

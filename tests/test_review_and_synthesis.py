@@ -58,7 +58,7 @@ def test_m_score_by_hand(spark):
             ("A", "2024-03-31", *map(float, after.values()))]
     df = spark.createDataFrame(rows, "ticker string, report_date string, " + ", ".join(
         f"{c} double" for c in ACCOUNT_COLUMNS))
-    first, last = pl.m_score(df).orderBy("report_date").collect()
+    first, last = pl.m_score(df.unionAll(df)).orderBy("report_date").collect()
     assert first["m_score"] is None and first["likely_manipulator"] is None
     ratios = {
         "dsri": (18 / 120) / (10 / 100), "gmi": (40 / 100) / (45 / 120),

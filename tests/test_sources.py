@@ -88,6 +88,20 @@ def test_malformed_documents_are_listed(spark, folder):
     assert [r["source_path"].rsplit("/bundles/", 1)[1] for r in bad] == ["DDD/1_analysis_ready.json"]
 
 
+def test_repeated_keys_and_non_finite_numbers(spark, tmp_path):
+    """Neither loses the document: the last value counts, and NaN or infinity is missing."""
+    (tmp_path / "A").mkdir()
+    text = json.dumps(bundle("A", features={"x": 1}))
+    (tmp_path / "A" / "1_analysis_ready.json").write_text(
+        text.replace('{"x": 1}', '{"x": 1, "y": NaN, "w": -Infinity, "v": 1e-7, "x": 2}'))
+    (tmp_path / "A" / "2_analysis_ready.json").write_text(json.dumps(bundle("A", features={"y": 3})))
+    flat = pl.load_bundles(spark, str(tmp_path))
+    rows = sorted(tuple(r) for r in flat.table.select("x", "v").na.fill(0.0).collect())
+    assert rows == [(0.0, 0.0), (2.0, 1e-7)]
+    assert flat.table.where("y = 3 AND w IS NULL").count() == 1
+    assert flat.table.where("isnan(y)").count() == 0
+
+
 def test_long_allow_list_joins(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "t string")
     many = [f"x{i}" for i in range(1200)] + ["b"]
