@@ -32,7 +32,7 @@ from plumbline.plans.scoring import score_filings
 from plumbline.plans.synthesis import (
     company_trend, conviction_scores, eligible, filing_intelligence, join_labels, tiered_pack,
 )
-from plumbline.session import scratch_path
+from plumbline.session import materialize, scratch_path
 from plumbline.sinks.outputs import publish_outputs, write_csv
 from plumbline.sources.bundles import (
     accepted_bundles, allow_list, feature_key_table, first_entities, flatten_bundles,
@@ -399,7 +399,7 @@ def _synthesis_tables(spark, sf):
     scores = percentile_scores(panel, "revenue", "anomaly_score_0_100").select(
         *KEYS, "anomaly_score_0_100",
         F.date_format(F.date_add(F.to_date("report_date"), 40), "yyyy-MM-dd").alias("filing_date"))
-    quality = day_text(m_score(account_panel(spark, sf)))
+    quality = day_text(m_score(account_panel(spark, sf), unique=True))
     mark = F.col("ticker").cast("bigint") + F.year(F.to_date("report_date"))
     choices = F.array(*[F.lit(x) for x in [*names.NARRATIVE_LABELS, "OTHER"]])
     narrative = panel.where(mark % 3 == 0).select(
@@ -436,7 +436,7 @@ def pack_by_tier(spark, sf):
 
 def trend(spark, sf):
     """Two filings in some quarters: the one filed last stays."""
-    first = _intelligence(spark, sf)
+    first = materialize(_intelligence(spark, sf), "intelligence")
     amended = first.where(F.col("tier").isNotNull()).withColumns({
         "filing_date": F.date_format(F.date_add(F.to_date("filing_date"), 10), "yyyy-MM-dd"),
         "report_date": F.date_format(F.date_add(F.to_date("report_date"), 1), "yyyy-MM-dd")})
