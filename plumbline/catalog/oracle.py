@@ -100,7 +100,7 @@ def driver_ctes(features):
         for i, f in enumerate(features))
     pick = cols(
         f"max(CASE WHEN rn = {i} THEN name END) AS top_driver_{i}, "
-        f"max(CASE WHEN rn = {i} THEN round(z, 4) END) AS top_driver_{i}_value" for i in (1, 2, 3))
+        f"max(CASE WHEN rn = {i} THEN round(z, 4) + 0.0 END) AS top_driver_{i}_value" for i in (1, 2, 3))
     return f""",
 entries AS ({entries}),
 placed AS (SELECT *, row_number() OVER (PARTITION BY ticker, report_date
