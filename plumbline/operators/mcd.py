@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from plumbline import names
 from plumbline.functions.chi2 import chi2_quantile
 from plumbline.functions.expressions import col, number, quoted
+from plumbline.functions.matrix import concentrate, squared_distances, whitening
 from plumbline.operators.groups import GROUP_CELLS
 from plumbline.operators.quantiles import column_quantiles
 from plumbline.operators.winsor import fill_medians, squared_norm
@@ -59,65 +60,20 @@ class Shape:
             parts = ["(" + " + ".join(f"{number(w)} * {c}" for w, c in zip(row, centred)) + ")"
                      for row in self.whiten]
             return F.expr(" + ".join(f"{part} * {part}" for part in parts) or "0.0D")
-        measure = self.of
+        location, whiten = self.location, self.whiten
 
         @F.pandas_udf("double")
         def batch_distance(rows: pd.Series) -> pd.Series:
-            return pd.Series(measure(np.stack(rows.to_numpy())) if len(rows) else [], dtype="float64")
+            found = squared_distances(np.stack(rows.to_numpy()), location, whiten) if len(rows) else []
+            return pd.Series(found, dtype="float64")
 
         return batch_distance(F.array(*[col(f) for f in self.features]))
 
-    def of(self, rows: np.ndarray) -> np.ndarray:
-        """Squared distances of the rows of a matrix."""
-        white = (rows - self.location) @ self.whiten.T
-        return np.einsum("ij,ij->i", white, white)
-
 
 def _centred(features: Sequence[str], centre: np.ndarray) -> list[str]:
     return [f"({quoted(f)} - {number(c)})" for f, c in zip(features, centre)]
 
 
-def _whitening(covariance: np.ndarray) -> tuple[np.ndarray, float]:
-    """Square root of the pseudo-inverse, and the log determinant (-inf when singular).
-
-    Works on the correlation scale, so features measured in very different units all count.
-    """
-    spread = np.sqrt(np.clip(np.diag(covariance), 0.0, None))
-    varies = spread > 0
-    scale = np.where(varies, spread, 1.0)
-    values, vectors = np.linalg.eigh(covariance / np.outer(scale, scale))
-    kept = values > max(values.max(initial=0.0), 0.0) * len(values) * np.finfo(float).eps
-    whiten = vectors[:, kept].T / np.sqrt(values[kept])[:, None] / scale
-    if not kept.all() or not varies.all():
-        return whiten, float("-inf")
-    return whiten, float(np.log(values).sum() + 2 * np.log(scale).sum())
-
-
-def _concentrate(rows: np.ndarray, subset: np.ndarray, h: int, steps: int):
-    """Concentration steps on a bounded sample; returns (logdet, location, covariance).
-
-    Only subsets of h rows are compared: the starting subset is smaller and its determinant says
-    nothing about theirs.
-    """
-    p = rows.shape[1]
-    location = rows[subset].mean(axis=0)
-    covariance = np.cov(rows[subset].T, bias=True).reshape(p, p)
-    best = None
-    for _ in range(steps):
-        whiten, _ = _whitening(covariance)
-        white = (rows - location) @ whiten.T
-        nearest = np.argpartition(np.einsum("ij,ij->i", white, white), h - 1)[:h]
-        location = rows[nearest].mean(axis=0)
-        covariance = np.cov(rows[nearest].T, bias=True).reshape(p, p)
-        logdet = _whitening(covariance)[1]
-        if best is not None and logdet >= best[0]:
-            break
-        best = (logdet, location, covariance)
-        if logdet == float("-inf"):
-            break
-    return best
-
-
 def _best_start(spark, sample: np.ndarray, support_fraction: float, seed: int):
     """Random starts as Spark tasks, two steps each; the best ones run on to convergence."""
     p = sample.shape[1]
@@ -143,7 +99,7 @@ def _best_start(spark, sample: np.ndarray, support_fraction: float, seed: int):
                 while size < min(n, 2 * p + 10) and np.linalg.matrix_rank(
                         np.cov(small[pick[:size]].T)) < p:
                     size += 1
-                found.append((int(start), _concentrate(small, pick[:size], support(small), 2)))
+                found.append((int(start), concentrate(small, pick[:size], support(small), 2)))
             yield rows_of(found)
 
     def converge(batches):
@@ -151,11 +107,11 @@ def _best_start(spark, sample: np.ndarray, support_fraction: float, seed: int):
             found = []
             for start, location, covariance in zip(
                     starts["start"], starts["location"], starts["covariance"]):
-                whiten, _ = _whitening(np.asarray(covariance).reshape(p, p))
-                white = (sample - np.asarray(location)) @ whiten.T
+                whiten, _ = whitening(np.asarray(covariance).reshape(p, p))
                 h = support(sample)
-                nearest = np.argpartition(np.einsum("ij,ij->i", white, white), h - 1)[:h]
-                found.append((int(start), _concentrate(sample, nearest, h, MAX_STEPS)))
+                nearest = np.argpartition(
+                    squared_distances(sample, np.asarray(location), whiten), h - 1)[:h]
+                found.append((int(start), concentrate(sample, nearest, h, MAX_STEPS)))
             yield rows_of(found)
 
     tasks = max(1, min(N_STARTS, spark.sparkContext.defaultParallelism))
@@ -170,7 +126,7 @@ def _moments(rows: DataFrame, near: Shape, cut: float):
 
     Products are taken around the shape's location, which keeps them small.
     """
-    features, centre = near.features, near.location
+    features, centre, whiten = near.features, near.location, near.whiten
     p = len(features)
     if p <= COLUMN_FEATURES:
         centred = _centred(features, centre)
@@ -191,7 +147,7 @@ def _moments(rows: DataFrame, near: Shape, cut: float):
             count, total, gram = 0, np.zeros(p), np.zeros((p, p))
             for batch in batches:
                 x = batch.to_numpy(dtype=float)
-                x = x[near.of(x) <= cut] - centre
+                x = x[squared_distances(x, centre, whiten) <= cut] - centre
                 count, total, gram = count + len(x), total + x.sum(axis=0), gram + x.T @ x
             yield pd.DataFrame({
                 "place": np.arange(1 + p + len(upper[0])),
@@ -223,7 +179,7 @@ def fit_shape(
     features, p = tuple(features), len(features)
 
     def shape(location, covariance, steps):
-        whiten, logdet = _whitening(covariance)
+        whiten, logdet = whitening(covariance)
         return Shape(features, location, whiten, logdet, n_rows, steps)
 
     def distance_quantile(current, prob):

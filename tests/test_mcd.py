@@ -108,3 +108,23 @@ def test_single_feature(spark, clean):
     d2 = np.array([r[2] for r in sorted(rows)])
     assert np.argmin(d2) in np.argsort(np.abs(a - np.median(a)))[:60]
     assert d2.max() == d2[np.argmax(np.abs(a - a[np.argmin(d2)]))]
+
+
+def test_worker_helpers_need_no_installed_package(tmp_path):
+    """Workers unpickle the matrix helpers without being able to import this package."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    from plumbline.functions.matrix import squared_distances
+
+    def job(rows):
+        return float(squared_distances(rows, rows[0], np.eye(2)).sum())
+
+    saved = tmp_path / "job.pkl"
+    saved.write_bytes(cloudpickle.dumps(job))
+    code = ("import pickle, sys, numpy as np; f = pickle.load(open(sys.argv[1], 'rb')); "
+            "print(f(np.array([[0.0, 0.0], [3.0, 4.0]])))")
+    done = subprocess.run([sys.executable, "-c", code, str(saved)], cwd=tmp_path,
+                          capture_output=True, text=True, check=True)
+    assert done.stdout.strip() == "25.0"
