@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import sys
-from types import ModuleType
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Word characters by contract: everything but ASCII white space, or everything but ASCII
 # punctuation, white space and control characters (after lower-casing A-Z).
@@ -16,6 +18,18 @@ NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+LONG, TEXT, BYTES, DOUBLE = T.LongType(), T.StringType(), T.BinaryType(), T.DoubleType()
+
+
+def rows_of(**fields: T.DataType) -> T.ArrayType:
+    """Type of an array of structs."""
+    return T.ArrayType(struct_of(**fields))
+
+
+def struct_of(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,8 +63,21 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def ships_by_value(module_name: str) -> ModuleType:
+def text_bytes(column: pa.Array) -> tuple[bytes, np.ndarray]:
+    """All texts of an Arrow column as one run of UTF-8 bytes, and the bounds of each; null is empty."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    column = column.cast(pa.large_string()).fill_null("")
+    bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1] \
+        if len(column) else np.zeros(1, np.int64)
+    data = column.buffers()[2] if len(column) else None
+    run = data[int(bounds[0]):int(bounds[-1])].to_pybytes() if data is not None else b""
+    return run, bounds - bounds[0]
+
+
+def ships_by_value(module_name: str) -> None:
     """Send a module's functions to the workers by value, so nothing needs installing there."""
-    module = sys.modules[module_name]
-    cloudpickle.register_pickle_by_value(module)
-    return module
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
+ships_by_value(__name__)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat, licenses, mixing, urls
+from plumbline.llm import (
+    chat, decontam, licenses, mixing, pii, simhash, suffix, toxicity, urls,
+)
 from plumbline.llm.common import SPACED_WORD, table, text_of
 from plumbline.session import materialize
 
@@ -19,6 +21,19 @@ def op1_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op2_find_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS],
+        F.sha2(pii.span_text(base), 256).alias("base_sha256"), pii.span_text(F.col("pii")).alias("spans"))
+
+
+def op3_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -50,6 +65,33 @@ def op4_format_chats(spark: SparkSession, sf: str) -> DataFrame:
             F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op5_score_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.train_toxicity(docs, table(spark, sf, "labels"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_find_contamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontam.find_contamination(
+        table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+    n_hit = decontam.hit_words(F.col("hits"))
+    return found.select(
+        "doc_id", "hits.n_words", n_hit.alias("n_hit"), F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hits.items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"))
+
+
+def op8_drop_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    left = suffix.drop_repeats(table(spark, sf, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return left.select(
+        "doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"),
+        removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_judge_urls(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf, "pages").select("page_id", "url")).drop("url")
 
@@ -59,4 +101,5 @@ def op10_scan_licenses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op4_format_chats, op9_judge_urls, op10_scan_licenses)}
+    op1_mix_sources, op2_find_personal_data, op3_near_duplicates, op4_format_chats, op5_score_toxicity,
+    op6_find_contamination, op8_drop_repeats, op9_judge_urls, op10_scan_licenses)}
