@@ -202,45 +202,45 @@ def _columns(features: np.ndarray, cues: np.ndarray, lengths: list[int]) -> np.n
 
 def train_field(table: list[list[tuple[str, str]]], rounds: int = 150, rate: float = 0.15,
                 decay: float = 2e-3) -> Field:
-    """Maximum likelihood (with weight decay) by full-batch Adam; forward and backward in log space."""
+    """Maximum likelihood (with weight decay) by full-batch Adam; scaled forward and backward passes."""
     lengths = [len(row) for row in table]
     words = [w.encode() for row in table for w, _ in row]
-    text = b" ".join(words)
-    tokens, classes = tokenise(text)
+    tokens, classes = tokenise(b" ".join(words))
     features = shape_features(classes, tokens.begin, tokens.end, tokens.pattern)
-    columns = _columns(features, np.array([cue_of(w) for w in words]), lengths)
+    columns = _columns(features, np.array([cue_of(w) for w in words]), lengths) % (_WIDTH + 1)
     gold = np.array([LABELS.index(label) for row in table for _, label in row])
     n, k, longest = len(table), len(LABELS), max(lengths)
     place = np.zeros((n, longest), np.int64)
     mask = np.arange(longest) < np.array(lengths)[:, None]
     place[mask] = np.arange(len(words))
+    same = mask[:, 1:]
     weights, moves = np.zeros((_WIDTH + 1, k)), np.zeros((k, k))
     seen = [(np.zeros_like(weights), np.zeros_like(weights)), (np.zeros_like(moves), np.zeros_like(moves))]
-    wanted = np.zeros_like(weights)
-    np.add.at(wanted, (columns, gold[:, None]), 1.0)
-    same = mask[:, 1:]
+
+    def by_feature(shares: np.ndarray) -> np.ndarray:
+        return np.stack([np.bincount(columns.ravel(), np.repeat(shares[:, label], columns.shape[1]), _WIDTH + 1)
+                         for label in range(k)], axis=1)
+
+    wanted = by_feature(np.eye(k)[gold])
     wanted_moves = np.zeros_like(moves)
     np.add.at(wanted_moves, (gold[place[:, :-1][same]], gold[place[:, 1:][same]]), 1.0)
-    logsum = np.logaddexp.reduce
     for step in range(1, rounds + 1):
         score = weights[columns].sum(axis=1)[place]
-        ahead, back = np.zeros((n, longest, k)), np.zeros((n, longest, k))
-        ahead[:, 0] = score[:, 0]
+        score = np.exp(score - score.max(axis=2, keepdims=True))
+        move = np.exp(moves)
+        ahead, back = np.zeros((n, longest, k)), np.ones((n, longest, k))
+        ahead[:, 0] = score[:, 0] / score[:, 0].sum(axis=1, keepdims=True)
         for t in range(1, longest):
-            new = logsum(ahead[:, t - 1, :, None] + moves, axis=1) + score[:, t]
-            ahead[:, t] = np.where(mask[:, t, None], new, ahead[:, t - 1])
+            new = ahead[:, t - 1] @ move * score[:, t]
+            ahead[:, t] = new / new.sum(axis=1, keepdims=True)
         for t in range(longest - 2, -1, -1):
-            new = logsum(moves + (back[:, t + 1] + score[:, t + 1])[:, None, :], axis=2)
-            back[:, t] = np.where(mask[:, t + 1, None], new, 0.0)
-        whole = logsum(ahead[:, -1], axis=1)
-        share = np.exp(ahead + back - whole[:, None, None])
-        expected = np.zeros_like(weights)
-        flat = share[mask]
-        for column in columns.T:
-            np.add.at(expected, column, flat)
-        pair = np.exp(ahead[:, :-1, :, None] + moves + (score + back)[:, 1:, None, :]
-                      - whole[:, None, None, None])
-        grads = (wanted - expected - decay * len(words) * weights,
+            new = (back[:, t + 1] * score[:, t + 1]) @ move.T
+            back[:, t] = np.where(mask[:, t + 1, None], new / new.sum(axis=1, keepdims=True), 1.0)
+        share = ahead * back
+        share /= share.sum(axis=2, keepdims=True)
+        pair = ahead[:, :-1, :, None] * move * (score * back)[:, 1:, None, :]
+        pair /= pair.sum(axis=(2, 3), keepdims=True)
+        grads = (wanted - by_feature(share[mask]) - decay * len(words) * weights,
                  wanted_moves - pair[same].sum(axis=0) - decay * len(words) * moves)
         for values, grad, (m, v) in zip((weights, moves), grads, seen):
             grad = grad / n
@@ -386,6 +386,21 @@ def label_tokens(model: Field, run: bytes, bounds: np.ndarray) -> tuple[Tokens,
 _TRIM = b".,;:!?()[]{}<>\"'`|"
 
 
+def plausible(kind: int, found: bytes) -> bool:
+    """What the field adds must hold up as its kind: enough digits, a checksum, a full address."""
+    digits = re.sub(rb"[^0-9]", b"", found).decode()
+    if KINDS[kind] == "email":
+        return re.fullmatch(rb"[^@\s]+@[^@\s]+\.[^@\s]+", found) is not None
+    if KINDS[kind] == "ip":
+        parts = found.split(b".")
+        return len(parts) == 4 and all(p.isdigit() and int(p[-9:]) <= 255 for p in parts)
+    if KINDS[kind] == "card":
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    if KINDS[kind] == "phone":
+        return 7 <= len(digits) <= 15
+    return len(found) >= 9
+
+
 def field_spans(run: bytes, tokens: Tokens, labels: np.ndarray, lo: int, hi: int) -> list[tuple[int, int, int]]:
     """(begin byte, kind number, end byte) of labelled stretches among the tokens lo .. hi."""
     found = []
@@ -402,7 +417,7 @@ def field_spans(run: bytes, tokens: Tokens, labels: np.ndarray, lo: int, hi: int
             inner = piece.lstrip(_TRIM.replace(keep, b"") if keep else _TRIM)
             a += len(piece) - len(inner)
             b = a + len(inner.rstrip(_TRIM))
-            if b > a:
+            if plausible(int(label) - 1, run[a:b]):
                 found.append((a, int(label) - 1, b))
         at = end
     return found

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm import (
-    chat, decontam, licenses, mixing, pii, simhash, suffix, toxicity, urls,
+    chat, decontam, imatch, licenses, mixing, pii, simhash, suffix, toxicity, urls,
 )
 from plumbline.llm.common import SPACED_WORD, table, text_of
 from plumbline.session import materialize
@@ -83,6 +83,13 @@ def op6_find_contamination(spark: SparkSession, sf: str) -> DataFrame:
         (n_hit > 0).alias("contaminated"))
 
 
+def op7_fingerprint_documents(spark: SparkSession, sf: str) -> DataFrame:
+    printed = imatch.edited_fingerprints(table(spark, sf, "documents"))
+    return printed.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next")
+
+
 def op8_drop_repeats(spark: SparkSession, sf: str) -> DataFrame:
     left = suffix.drop_repeats(table(spark, sf, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
@@ -102,4 +109,4 @@ def op10_scan_licenses(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_find_personal_data, op3_near_duplicates, op4_format_chats, op5_score_toxicity,
-    op6_find_contamination, op8_drop_repeats, op9_judge_urls, op10_scan_licenses)}
+    op6_find_contamination, op7_fingerprint_documents, op8_drop_repeats, op9_judge_urls, op10_scan_licenses)}

@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import DOUBLE, free_name, ships_by_value, text_bytes
 
-# Bounded training sample: labelled rows of either class, and bytes of a text taken for training.
-TOXIC_ROWS, ORDINARY_ROWS, TRAIN_BYTES = 1500, 3500, 1 << 16
+# Bounded training sample: labelled rows of either class, bytes of a text that may be in it, and bytes
+# of either class together.
+TOXIC_ROWS, ORDINARY_ROWS, TEXT_BYTES, CLASS_BYTES = 1500, 3000, 1 << 16, 8 << 20
 WINDOW = 64
 BASE_BYTES, TOXIC_BYTES = 4096, 4096
 # A stretch is telling if its bytes come in so many surroundings, so many times as often per byte.
@@ -203,16 +204,18 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text") -> To
     """Model from a bounded sample of the labelled rows outside the held-out fold.
 
     Only the text and the label are looked at. Of each class the rows whose hashed texts come first are
-    taken, texts beyond TRAIN_BYTES are left to scoring.
+    taken, up to CLASS_BYTES; texts beyond TEXT_BYTES are only scored.
     """
     known = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull()).select("doc_id", "toxic")
     rows = docs.select("doc_id", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")) \
-        .where((F.octet_length("text") > 0) & (F.octet_length("text") <= TRAIN_BYTES)) \
+        .where((F.octet_length("text") > 0) & (F.octet_length("text") <= TEXT_BYTES)) \
         .join(known, "doc_id").select("text", "toxic").distinct()
     taken = []
     for value, most in ((1, TOXIC_ROWS), (0, ORDINARY_ROWS)):
         sample = rows.where(F.col("toxic") == value).orderBy(F.xxhash64("text"), "text").limit(most)
-        taken.append([r["text"].encode(errors="replace") for r in sample.collect()])
+        texts = [r["text"].encode(errors="replace") for r in sample.collect()]
+        upto = np.cumsum([len(t) for t in texts])
+        taken.append(texts[:int(np.searchsorted(upto, CLASS_BYTES, side="right"))])
     return fit(*taken)
 
 
