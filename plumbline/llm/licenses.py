@@ -25,7 +25,7 @@ from plumbline.llm.common import plain_words, text_of, word_count
 from plumbline.session import materialize
 
 BLOCK, STEP = 64, 32
-THRESHOLD = 0.8
+THRESHOLD = 0.9
 # Phrases of the contract and their labels (fixed values).
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 # Notices by label, in normalised words (well-known public wordings).

@@ -132,11 +132,14 @@ def mix_sources(
 
     shares = capped_targets(counted.select("party", "source", "source_size"), weights, most) \
         .withColumn("all", F.lit(0)).withColumn("seats", F.lit((words + block // 2) // block))
+    # A source is cut into equal blocks of about this size; what it won is counted in those.
     blocks = F.when(F.col("source_size") > 0, F.greatest(
         F.lit(1), F.round(F.col("source_size") / block))).otherwise(F.lit(0)).cast("long")
     shares = apportion(shares, ["all"], "target", "seats", "source_no") \
         .withColumn("blocks", blocks) \
-        .withColumn("quota", F.least("quota", F.col("blocks") * most)) \
+        .withColumn("quota", F.when(F.col("source_size") > 0, F.least(F.col("blocks") * most, F.round(
+            F.col("quota").cast("double") * block * F.col("blocks") / F.col("source_size")).cast("long")))
+            .otherwise(F.lit(0))) \
         .select("party", "source_size", "target", "blocks", F.col("quota").alias("source_quota"))
     quotas = materialize(_shard_quotas(sizes, materialize(shares, "mix-shares"), seed), "mix-quotas")
 

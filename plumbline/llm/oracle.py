@@ -117,7 +117,8 @@ seats AS (
   SELECT source_no, count(*) AS quota FROM q
   WHERE place <= (SELECT (words + block // 2) // block FROM k) GROUP BY source_no),
 src AS (
-  SELECT t.*, least(coalesce(quota, 0), 3 * blocks)::BIGINT AS source_quota
+  SELECT t.*, CASE WHEN source_size > 0 THEN least(3 * blocks, round(coalesce(quota, 0)::DOUBLE
+      * (SELECT block FROM k) * blocks / source_size)) ELSE 0 END::BIGINT AS source_quota
   FROM t LEFT JOIN seats USING (source_no)),
 dd AS (
   SELECT d.*, coalesce('s' || d.source, 'n') AS party,

@@ -26,8 +26,9 @@ from plumbline.llm.common import DOUBLE, free_name, ships_by_value, text_bytes
 TOXIC_ROWS, ORDINARY_ROWS, TEXT_BYTES, CLASS_BYTES = 1500, 3000, 1 << 16, 8 << 20
 WINDOW = 64
 BASE_BYTES, TOXIC_BYTES = 4096, 4096
-# A stretch is telling if its bytes come in so many surroundings, so many times as often per byte.
-GRAM, AROUND, LEAST, TIMES = 5, 6, 12, 60.0
+# A stretch is telling if its bytes come in so many surroundings, so many times as often per byte; the
+# calibration texts decide between the given factors.
+GRAM, AROUND, LEAST, TIMES = 5, 6, 8, (8.0, 60.0)
 # Windows compressed in one call.
 CALL = 20_000
 _LETTERS = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -87,13 +88,14 @@ def _gram_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
     return grams, counts, len(first)
 
 
-def telling_grams(toxic: list[bytes], ordinary: list[bytes]) -> np.ndarray:
+def telling_grams(toxic: list[bytes], ordinary: list[bytes]) -> list[np.ndarray]:
+    """For each of TIMES the grams that are that much more frequent in toxic text."""
     grams, seen, n_toxic = _gram_counts(toxic)
     others, other_counts, n_other = _gram_counts(ordinary)
     at = np.minimum(np.searchsorted(others, grams), len(others) - 1)
     elsewhere = np.where(others[at] == grams, other_counts[at], 0)
     share = (seen / n_toxic) / ((elsewhere + 0.5) / n_other)
-    return grams[(seen >= LEAST) & (share > TIMES)]
+    return [grams[(seen >= LEAST) & (share > times)] for times in TIMES]
 
 
 def telling_stretches(texts: list[bytes], grams: np.ndarray) -> Counter:
@@ -116,19 +118,22 @@ def telling_stretches(texts: list[bytes], grams: np.ndarray) -> Counter:
     return found
 
 
-def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
-    """(toxic, ordinary) dictionary contents."""
+def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[list[bytes], bytes]:
+    """The toxic dictionary's content for each of TIMES, and the ordinary one's."""
     samples = [w for t in ordinary for w in windows_of(t)]
     try:
         base = zstandard.train_dictionary(BASE_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too little text to train on: the text itself is the dictionary
         base = b"".join(samples)[:BASE_BYTES]
     base = base or b" " * 8
-    grams = telling_grams(toxic, ordinary) if toxic and ordinary else np.zeros(0, np.uint64)
-    found = telling_stretches(toxic, grams)
-    # The most frequent last, nearest to the text.
-    stretches = sorted(found, key=lambda s: (found[s], s))
-    return b"".join(stretches)[-TOXIC_BYTES:] + base, base
+    choices = telling_grams(toxic, ordinary) if toxic and ordinary else [np.zeros(0, np.uint64)]
+    made = []
+    for grams in choices:
+        found = telling_stretches(toxic, grams)
+        # The most frequent last, nearest to the text.
+        stretches = sorted(found, key=lambda s: (found[s], s))
+        made.append(b"".join(stretches)[-TOXIC_BYTES:] + base)
+    return made, base
 
 
 @dataclass
@@ -187,12 +192,17 @@ def fit(toxic: list[bytes], ordinary: list[bytes]) -> ToxicModel:
     toxic, ordinary = ([t.lower() for t in dict.fromkeys(texts)] for texts in (toxic, ordinary))
     rest = lambda texts: ([t for i, t in enumerate(texts) if i % 3], texts[::3])
     (toxic_a, toxic_b), (ordinary_a, ordinary_b) = rest(toxic), rest(ordinary)
-    toxic_dict, base = train_dictionaries(toxic_a, ordinary_a)
-    figures = text_figures(toxic_b + ordinary_b, toxic_dict, base)
-    if not len(figures):
-        return ToxicModel(toxic_dict, base, np.zeros(7), np.ones(7), np.array([-2.0] + [0.0] * 7))
+    made, base = train_dictionaries(toxic_a, ordinary_a)
     labels = np.array([1.0] * len(toxic_b) + [0.0] * len(ordinary_b))
-    return ToxicModel(toxic_dict, base, *calibrate(figures, labels))
+    best = (np.inf, ToxicModel(made[0], base, np.zeros(7), np.ones(7), np.array([-2.0] + [0.0] * 7)))
+    for content in made if len(labels) else ():
+        figures = text_figures(toxic_b + ordinary_b, content, base)
+        model = ToxicModel(content, base, *calibrate(figures, labels))
+        scores = np.clip(model.scores(figures), 1e-9, 1 - 1e-9)
+        loss = -np.mean(labels * np.log(scores) + (1 - labels) * np.log(1 - scores))
+        if loss < best[0]:
+            best = (loss, model)
+    return best[1]
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
