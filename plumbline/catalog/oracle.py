@@ -146,7 +146,7 @@ scored AS (
     {r6(mean_abs('combined_z__', f), 'combined_signal_strength')},
     {count_of('combined_z__', f)} AS num_features_used,
     top_driver_1, top_driver_1_value, top_driver_2, top_driver_2_value, top_driver_3,
-    top_driver_3_value, '{names.MODEL_TYPE}' AS model_type,
+    top_driver_3_value, '{names.MODEL_TYPE_L2}' AS model_type,
     {cols(r6(f'{p}{x}', f'{p}{x}') for p in ('self_z__', 'peer_z__', 'combined_z__') for x in f)},
     '{names.SCORING_VERSION}' AS scoring_version
   FROM blended b JOIN slots USING (ticker, report_date) JOIN ranked USING (ticker, report_date))""")
@@ -214,6 +214,65 @@ def full_support_scores():
             "JOIN slots USING (ticker, report_date) JOIN ranked USING (ticker, report_date)")
 
 
+# Quantiles 0.5 and 0.975 of the chi-square distribution with five degrees of freedom.
+_CHI_HALF, _CHI_CUT = 4.351460191095526, 12.832501994030027
+
+
+def fitted(source, of, features, out):
+    """CTEs with the mean and Cholesky factor of ``source``, and the distance `d2` of every row of ``of``."""
+    p = len(features)
+    means = cols(f"avg({f}) AS m{i}" for i, f in enumerate(features))
+    spread = cols(f"covar_pop({features[i]}, {features[j]}) AS c{i}_{j}" for i in range(p) for j in range(i + 1))
+    steps, last = [], f"{out}_m"
+    for j in range(p):
+        squares = "".join(f" - l{j}_{k} * l{j}_{k}" for k in range(j))
+        steps.append(f"{out}_d{j} AS (SELECT *, sqrt(c{j}_{j}{squares}) AS l{j}_{j} FROM {last})")
+        below = cols(["*", *[f"(c{i}_{j}" + "".join(f" - l{i}_{k} * l{j}_{k}" for k in range(j))
+                             + f") / l{j}_{j} AS l{i}_{j}" for i in range(j + 1, p)]])
+        steps.append(f"{out}_l{j} AS (SELECT {below} FROM {out}_d{j})")
+        last = f"{out}_l{j}"
+    solve, at = [], f"(SELECT o.*, f.* FROM {of} o, {last} f)"
+    for i in range(p):
+        known = "".join(f" - l{i}_{k} * z{k}" for k in range(i))
+        solve.append(f"{out}_z{i} AS (SELECT *, ({features[i]} - m{i}{known}) / l{i}_{i} AS z{i} FROM {at})")
+        at = f"{out}_z{i}"
+    total = " + ".join(f"z{i} * z{i}" for i in range(p))
+    return (f"{out}_m AS (SELECT {means}, {spread} FROM {source}), " + ", ".join(steps + solve)
+            + f", {out} AS (SELECT ticker, report_date, {cols(features)}, {total} AS d2 FROM {at})")
+
+
+_SCALES = {"revenue": 200000.0, "discount": 0.05, "tax": 0.04, "quantity": 25.0, "n_lines": 10.0}
+_AT = "((year(report_date) - 1995) * 4 + quarter(report_date) - 1)"
+PLANTED = PANEL + f""",
+planted AS (SELECT ticker, report_date, {cols(
+    f"CASE WHEN {_AT} >= 21 THEN {f} + CASE WHEN (CAST(ticker AS BIGINT) + {_AT}) % 2 = 0 THEN 1.0::DOUBLE "
+    f"ELSE -1.0 END * CAST(40 + (CAST(ticker AS BIGINT) * {i + 3} + {_AT} * {7 - i}) % 17 AS DOUBLE) "
+    f"* {scale}::DOUBLE ELSE {f} END AS {f}" for i, (f, scale) in enumerate(_SCALES.items()))}
+  FROM panel)"""
+
+
+def planted_distances():
+    """CTEs from `clipped` (which must come before) to `distances`: the rows not moved are the raw fit."""
+    return (f"stay AS (SELECT * FROM clipped WHERE {_AT} < 21), "
+            + fitted("stay", "clipped", FEATURES, "raw")
+            + f", factor AS (SELECT median(d2) / {_CHI_HALF} AS f FROM raw), "
+              f"near AS (SELECT raw.* FROM raw, factor WHERE d2 < f * {_CHI_CUT}), "
+            + fitted("near", "clipped", FEATURES, "distances"))
+
+
+def planted_scores():
+    return (f"WITH {PLANTED}, {blended('planted', FEATURES)} {driver_ctes(FEATURES)}, {planted_distances()}, "
+            f"ranked AS (SELECT *, {percentile('d2', 'anomaly_score_0_100')} FROM distances) "
+            "SELECT b.ticker, strftime(b.report_date, '%Y-%m-%d') AS report_date, "
+            f"anomaly_score_0_100, {count_of('combined_z__', FEATURES)} AS num_features_used, "
+            f"top_driver_1, top_driver_2, '{names.MODEL_TYPE}' AS model_type, "
+            f"{r6('d2', 'mahalanobis_distance')}, "
+            f"{r6(mean_abs('self_z__', FEATURES), 'self_history_score')}, "
+            f"{r6(mean_abs('peer_z__', FEATURES), 'peer_relative_score')}, "
+            f"{r6(mean_abs('combined_z__', FEATURES), 'combined_signal_strength')} FROM blended b "
+            "JOIN slots USING (ticker, report_date) JOIN ranked USING (ticker, report_date)")
+
+
 SUPPLIER_FILINGS = PANEL + """,
 filings AS (
   SELECT ticker, s_name AS company_name, lpad(ticker, 10, '0') AS cik,
@@ -275,7 +334,8 @@ pairs AS (
     ((t.current_liabilities + t.long_term_debt) / nullif(t.total_assets, 0))
       / nullif((p.current_liabilities + p.long_term_debt) / nullif(p.total_assets, 0), 0) AS lvgi
   FROM accounts t LEFT JOIN accounts p
-    ON p.ticker = t.ticker AND p.report_date = t.report_date - INTERVAL 12 MONTH),
+    ON p.ticker = t.ticker AND year(p.report_date - 15) = year(t.report_date - 15) - 1
+      AND quarter(p.report_date - 15) = quarter(t.report_date - 15)),
 rated AS (
   SELECT *, -4.84 + 0.920 * dsri + 0.528 * gmi + 0.404 * aqi + 0.892 * sgi + 0.115 * depi
     - 0.172 * sgai + 4.679 * tata - 0.327 * lvgi AS m_score
@@ -312,6 +372,22 @@ intelligence AS (
   FROM marked m LEFT JOIN briefs b USING (ticker, report_date)
   LEFT JOIN narrative n USING (ticker, report_date) JOIN tiered USING (ticker, report_date))"""
 
+# Fewer rows than features: squares of the features, holes at the median of the column.
+_SMALL = [f"{kind}_{s}" for s in "fop" for kind in ("n", "most")]
+_SQUARES = [f"({f} * {f})" for f in _SMALL]
+SMALL_SAMPLE = f"""
+WITH g AS (
+  SELECT o_orderpriority AS ticker, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS d,
+    {cols(f"count(*) FILTER (o_orderstatus = '{s.upper()}') / 100.0::DOUBLE AS n_{s}, "
+          f"round(max(o_totalprice) FILTER (o_orderstatus = '{s.upper()}') / 1e4, 4) AS most_{s}"
+          for s in "fop")}
+  FROM orders GROUP BY 1),
+holed AS (SELECT * REPLACE (CASE WHEN d <> 2 THEN n_f END AS n_f, CASE WHEN d > 3 THEN most_o END AS most_o)
+  FROM g),
+med AS (SELECT {cols(f'median({f}) AS m_{f}' for f in _SMALL)} FROM holed),
+filled AS (SELECT ticker, {cols(f'coalesce({f}, m_{f}) AS {f}' for f in _SMALL)} FROM holed, med)
+SELECT ticker, {r6(' + '.join(_SQUARES), 'mahalanobis_distance')} FROM filled"""
+
 _EVENT_SCORES = scored_events()
 _PACK = """ticker, company_name, report_date, filing_date, filing_url, anomaly_score_0_100,
   mahalanobis_distance, self_history_score, peer_relative_score, combined_signal_strength,
@@ -381,24 +457,36 @@ ORACLE: dict[str, str] = {
         f"WITH {PANEL}, {full_support('panel')} SELECT ticker, report_date, "
         f"{r6('d2', 'mahalanobis_distance')} FROM distances",
     "score_filings_full_support": full_support_scores(),
+    "mcd_planted":
+        f"WITH {PLANTED}, {clipped('planted', FEATURES)}, {planted_distances()} "
+        f"SELECT ticker, report_date, {r6('d2', 'mahalanobis_distance')} FROM distances",
+    "score_filings_planted": planted_scores(),
     "score_filings_l2": f"WITH {_EVENT_SCORES} SELECT * FROM scored",
     "scores_csv_round_trip": f"WITH {_EVENT_SCORES} SELECT * FROM scored",
     "review_pack":
         f"WITH {_EVENT_SCORES}, top AS (SELECT * FROM scored ORDER BY anomaly_score_0_100 DESC "
-        f"NULLS LAST, ticker, report_date LIMIT 20) SELECT {_PACK}, {summary_text()} "
+        f"NULLS LAST, mahalanobis_distance DESC NULLS LAST, ticker, report_date LIMIT 20) SELECT {_PACK}, {summary_text()} "
         f"AS driver_summary, {all_r6(EVENT_FEATURES)} "
         "FROM top LEFT JOIN event_panel USING (ticker, report_date)",
     "top_scores":
         f"WITH {PANEL}, s AS (SELECT ticker, report_date, "
-        f"{percentile('revenue', 'anomaly_score_0_100')} FROM panel) SELECT * FROM s "
-        "ORDER BY anomaly_score_0_100 DESC, ticker, report_date LIMIT 20",
+        f"{percentile('revenue', 'anomaly_score_0_100')}, revenue FROM panel) "
+        "SELECT * EXCLUDE (revenue) FROM s "
+        "ORDER BY anomaly_score_0_100 DESC, revenue DESC, ticker, report_date LIMIT 20",
+    "top_scores_tied":
+        f"WITH {PANEL}, s AS (SELECT ticker, report_date, "
+        f"{percentile('revenue', 'score')}, revenue FROM panel) "
+        f"SELECT ticker, report_date, round(score / 10) * 10 AS anomaly_score_0_100, "
+        f"{r6('revenue', 'revenue')} FROM s "
+        "ORDER BY round(score / 10) DESC, s.revenue DESC, ticker, report_date LIMIT 20",
+    "small_sample_distance": SMALL_SAMPLE,
     "ordered_scores":
         f"WITH {PANEL} SELECT ticker, report_date, "
         f"{percentile('quantity', 'anomaly_score_0_100')} FROM panel",
     "score_preview":
         f"WITH {_EVENT_SCORES} SELECT ticker, report_date, anomaly_score_0_100, top_driver_1, "
-        "top_driver_1_value FROM scored ORDER BY anomaly_score_0_100 DESC NULLS LAST, ticker, "
-        "report_date LIMIT 5",
+        "top_driver_1_value FROM scored ORDER BY anomaly_score_0_100 DESC NULLS LAST, "
+        "mahalanobis_distance DESC NULLS LAST, ticker, report_date LIMIT 5",
     "publish_outputs":
         f"WITH {_EVENT_SCORES} SELECT ticker, report_date, anomaly_score_0_100, num_features_used "
         "FROM scored",

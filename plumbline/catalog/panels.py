@@ -45,6 +45,22 @@ def sparse_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         for f in FEATURES])
 
 
+def planted_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supplier panel with the last quarter of its periods moved far away, to either side.
+
+    21 of the 28 quarters stay, so the rows that stay are just those a robust fit with support 0.75
+    should rest on.
+    """
+    supplier = F.col("ticker").cast("bigint")
+    place = (F.year("report_date") - 1995) * 4 + F.quarter("report_date") - 1
+    side = F.when((supplier + place) % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+    scales = {"revenue": 200000.0, "discount": 0.05, "tax": 0.04, "quantity": 25.0, "n_lines": 10.0}
+    return supplier_panel(spark, sf_dir).select("ticker", "report_date", *[
+        F.when(place >= 21, F.col(f) + side * (40 + (supplier * (i + 3) + place * (7 - i)) % 17)
+               .cast("double") * F.lit(scale)).otherwise(F.col(f)).alias(f)
+        for i, (f, scale) in enumerate(scales.items())])
+
+
 def filing_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The supplier panel with filing metadata, shaped like a flat filing table."""
     suppliers = table(spark, sf_dir, "supplier").select(

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from plumbline import names
 from plumbline.catalog.panels import (
-    EVENT_FEATURES, FEATURES, account_panel, event_filings, event_panel, filing_panel, sparse_panel,
+    EVENT_FEATURES, FEATURES, account_panel, event_filings, event_panel, filing_panel, planted_panel,
+    sparse_panel,
     supplier_panel, table,
 )
 from plumbline.functions.expressions import col, safe_name
@@ -173,7 +174,7 @@ def percentile_score(spark, sf):
 def percentile_score_ranges(spark, sf):
     """The same scores by the path for many values and hot ties."""
     scored = percentile_scores(
-        sparse_panel(spark, sf), "n_lines", "score", single_task_values=4, hot_value_rows=10,
+        sparse_panel(spark, sf), "n_lines", "score", range_values=4, hot_value_rows=10,
         row_bytes=1 << 24)
     return scored.select(*KEYS, "score")
 
@@ -209,6 +210,21 @@ def mcd_distance(spark, sf):
                    KEYS, ["mahalanobis_distance"])
 
 
+def mcd_planted(spark, sf):
+    """Default support and five features; the planted rows fix the optimum, so SQL can follow."""
+    return rounded(robust_mahalanobis(winsorize(planted_panel(spark, sf), FEATURES), FEATURES),
+                   KEYS, ["mahalanobis_distance"])
+
+
+def score_planted(spark, sf):
+    """The scoring job as it stands, with the robust distance of all five features."""
+    scored = score_filings(day_text(planted_panel(spark, sf)), FEATURES, scored_at=SCORED_AT)
+    return scored.select(
+        *KEYS, "anomaly_score_0_100", "num_features_used", "top_driver_1", "top_driver_2", "model_type",
+        *[r6(c) for c in ("mahalanobis_distance", "self_history_score", "peer_relative_score",
+                          "combined_signal_strength")])
+
+
 def embedding_distance(spark, sf):
     """Robust distance in 64 dimensions."""
     vectors = table(spark, sf, "embeddings")
@@ -253,8 +269,7 @@ def score_events_l2(spark, sf):
 def scores_csv_round_trip(spark, sf):
     path = scratch_path(spark, "scores-csv")
     write_csv(_scored_events(spark, sf), path)
-    return _scored_rounded(read_scores_csv(spark, path, EVENT_FEATURES).withColumns(
-        {c: F.coalesce(F.col(c), F.lit("")) for c in ("company_name", "cik")}))
+    return _scored_rounded(read_scores_csv(spark, path, EVENT_FEATURES))
 
 
 def review_pack(spark, sf):
@@ -268,7 +283,30 @@ def review_pack(spark, sf):
 def top_scores(spark, sf):
     scores = percentile_scores(
         supplier_panel(spark, sf), "revenue", "anomaly_score_0_100")
-    return top_n(scores).select(*KEYS, "anomaly_score_0_100")
+    return top_n(scores, distance="revenue").select(*KEYS, "anomaly_score_0_100")
+
+
+def top_scores_tied(spark, sf):
+    """Scores in whole tens, so hundreds tie and the distance decides."""
+    scores = percentile_scores(supplier_panel(spark, sf), "revenue", "anomaly_score_0_100")
+    tied = scores.withColumn("anomaly_score_0_100", F.round(F.col("anomaly_score_0_100") / 10) * 10)
+    return top_n(tied, distance="revenue").select(*KEYS, "anomaly_score_0_100", r6("revenue"))
+
+
+def small_sample_distance(spark, sf):
+    """Fewer rows (order priorities) than features, with holes: the sum of squares."""
+    status = {"f": "F", "o": "O", "p": "P"}
+    orders = table(spark, sf, "orders")
+    panel = orders.groupBy(F.col("o_orderpriority").alias("ticker")).agg(*[
+        a for name, s in status.items() for a in (
+            (F.count_if(F.col("o_orderstatus") == s) / F.lit(100.0)).alias(f"n_{name}"),
+            F.round(F.max(F.when(F.col("o_orderstatus") == s, F.col("o_totalprice"))) / F.lit(1e4), 4)
+            .alias(f"most_{name}"))])
+    first = F.substring("ticker", 1, 1).cast("int")
+    holed = materialize(panel.withColumn("n_f", F.when(first != 2, F.col("n_f")))
+                        .withColumn("most_o", F.when(first > 3, F.col("most_o"))), "small-panel")
+    features = [f"{kind}_{name}" for name in status for kind in ("n", "most")]
+    return rounded(robust_mahalanobis(holed, features), ["ticker"], ["mahalanobis_distance"])
 
 
 def all_scores_ordered(spark, sf):
@@ -470,6 +508,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "driver_summary": driver_summaries,
     "mcd_full_support": mcd_full_support,
     "mcd_distance": mcd_distance,
+    "mcd_planted": mcd_planted,
+    "score_filings_planted": score_planted,
     "embedding_distance": embedding_distance,
     "score_filings": score_panel,
     "score_filings_full_support": score_full_support,
@@ -477,6 +517,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scores_csv_round_trip": scores_csv_round_trip,
     "review_pack": review_pack,
     "top_scores": top_scores,
+    "top_scores_tied": top_scores_tied,
+    "small_sample_distance": small_sample_distance,
     "ordered_scores": all_scores_ordered,
     "score_preview": score_preview,
     "publish_outputs": published_outputs,

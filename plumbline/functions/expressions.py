@@ -93,9 +93,9 @@ def number_text(value: Column, digits: int = 4) -> Column:
 
 
 def driver_label(value: Column, limit: float = names.Z_CLIP) -> Column:
-    side = F.when(value > 0, F.lit("above")).otherwise(F.lit("below"))
-    reach = F.when(F.abs(value) >= limit, F.lit("far ")).otherwise(F.lit(""))
-    return F.concat(reach, side, F.lit(" baseline ("), number_text(value), F.lit(")"))
+    side = F.when(value > 0, F.lit(names.ABOVE)).otherwise(F.lit(names.BELOW))
+    reach = F.when(F.abs(value) >= limit, F.lit(names.FAR)).otherwise(F.lit(""))
+    return F.concat(reach, side, F.lit(names.BASELINE), number_text(value), F.lit(")"))
 
 
 def driver_summary(slots: Sequence[int]) -> Column:
@@ -109,13 +109,18 @@ def driver_summary(slots: Sequence[int]) -> Column:
 
 def safe_name(name: Column) -> Column:
     """Lower-case identifier: other characters become "_", a leading digit gets the prefix f_."""
-    plain = F.regexp_replace(F.lower(name), "[^a-z0-9_]", "_")
-    return F.when(plain.rlike("^[0-9]"), F.concat(F.lit("f_"), plain)).otherwise(plain)
+    plain = F.regexp_replace(F.lower(name), names.UNSAFE, "_")
+    return F.when(plain.rlike("^[0-9]"), F.concat(F.lit(names.DIGIT_PREFIX), plain)).otherwise(plain)
+
+
+def day_of(date: Column) -> Column:
+    """Date of a date, timestamp or ISO date text; missing where the text is no date."""
+    return F.try_to_date(date.cast("string"))
 
 
 def calendar_quarter(date: Column) -> Column:
-    """Quarter text such as 2024Q1 of a date, timestamp or ISO date text."""
-    day = F.to_date(date)
+    """Quarter text such as 2024Q1 of a date, timestamp or ISO date text; missing for other text."""
+    day = day_of(date)
     return F.concat(F.year(day).cast("string"), F.lit("Q"), F.quarter(day).cast("string"))
 
 

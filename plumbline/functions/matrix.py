@@ -32,21 +32,29 @@ def whitening(covariance: np.ndarray) -> tuple[np.ndarray, float]:
     return whiten, float(np.log(values).sum() + 2 * np.log(scale).sum())
 
 
-def concentrate(rows: np.ndarray, subset: np.ndarray, h: int, steps: int):
-    """Concentration steps on a bounded sample; returns (logdet, location, covariance).
+def moments(rows: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance of rows that count ``copies`` times each."""
+    total = copies.sum()
+    location = copies @ rows / total
+    centred = rows - location
+    return location, (centred * copies[:, None]).T @ centred / total
 
-    Only subsets of h rows are compared: the starting subset is smaller and its determinant says
-    nothing about theirs.
+
+def concentrate(rows: np.ndarray, copies: np.ndarray, subset: np.ndarray, h: float, steps: int):
+    """Concentration steps inside one bucket; returns (logdet, location, covariance).
+
+    Each step keeps the nearest rows, h copies of them in all. Only such subsets are compared: the
+    starting subset is smaller and its determinant says nothing about theirs.
     """
-    p = rows.shape[1]
-    location = rows[subset].mean(axis=0)
-    covariance = np.cov(rows[subset].T, bias=True).reshape(p, p)
+    location, covariance = moments(rows[subset], copies[subset])
     best = None
     for _ in range(steps):
         whiten, _ = whitening(covariance)
-        nearest = np.argpartition(squared_distances(rows, location, whiten), h - 1)[:h]
-        location = rows[nearest].mean(axis=0)
-        covariance = np.cov(rows[nearest].T, bias=True).reshape(p, p)
+        nearest = np.argsort(squared_distances(rows, location, whiten), kind="stable")
+        upto = np.cumsum(copies[nearest])
+        kept = np.clip(h - (upto - copies[nearest]), 0.0, copies[nearest])
+        inside = kept > 0
+        location, covariance = moments(rows[nearest[inside]], kept[inside])
         logdet = whitening(covariance)[1]
         if best is not None and logdet >= best[0]:
             break

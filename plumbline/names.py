@@ -41,9 +41,31 @@ PATTERNS = [
 NARRATIVE_LABELS = ["CONTRADICTS", "CORROBORATES", "NEUTRAL"]
 TIER_FLOORS = {"ALERT": 65.0, "FLAG": 40.0, "WATCH": 20.0}
 MANIPULATOR_CUTOFF = -2.22
+# Columns of the score table that identify a filing, and the score columns after them, in order.
+IDENTITY = ["ticker", "company_name", "cik", "form_type", "report_date", "filing_date", "filing_url"]
+SCORES = [
+    "anomaly_score_0_100", "mahalanobis_distance", "self_history_score", "peer_relative_score",
+    "combined_signal_strength", "num_features_used",
+]
+# Columns of the review pack before its raw features, in order.
+PACK = [
+    "ticker", "company_name", "report_date", "filing_date", "filing_url",
+    "anomaly_score_0_100", "mahalanobis_distance", "self_history_score", "peer_relative_score",
+    "combined_signal_strength", "num_features_used",
+    "top_driver_1", "top_driver_1_value", "top_driver_2", "top_driver_2_value",
+    "top_driver_3", "top_driver_3_value", "driver_summary",
+]
+# Words of a driver's label: side of the baseline, and what is put before it at the clip.
+ABOVE, BELOW, FAR, BASELINE = "above", "below", "far ", " baseline ("
+# Characters of a column name that are replaced, and the prefix before a leading digit.
+UNSAFE, DIGIT_PREFIX = "[^a-z0-9_]", "f_"
 # --- end of fixed values -------------------------------------------------------------------------
 
 
+# Model type of the sum-of-squares distance, a choice of this project.
+MODEL_TYPE_L2 = "sum_of_squares"
+
+
 def self_z(feature: str) -> str:
     return f"self_z__{feature}"
 

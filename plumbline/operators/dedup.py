@@ -18,10 +18,11 @@ def first_per_key(
 
     Spark limits each map task to one row per key before the shuffle (a partial window group limit
     for ``row_number() = 1``), so a key with very many copies does not overload a task. Give
-    ``order`` the listing order of the rows; without it the row content decides, which makes the
-    choice repeatable.
+    ``order`` the listing order of the rows; by default it is the source path, then the accession
+    number, where the table has them. Rows equal in that are told apart by their content.
     """
-    ranked_by = list(order) or [F.xxhash64(*[
+    listed = [col(c) for c in ("source_path", "accession_number") if c in df.columns]
+    ranked_by = [*(list(order) or listed), F.xxhash64(*[
         col(f.name) for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")])]
     place = F.row_number().over(Window.partitionBy(*[col(k) for k in keys]).orderBy(*ranked_by))
     return df.withColumn("__place", place).where(F.col("__place") == 1).drop("__place")

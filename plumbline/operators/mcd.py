@@ -1,14 +1,17 @@
 """Robust squared Mahalanobis distance with a Minimum Covariance Determinant fit.
 
-The fit follows the published FAST-MCD scheme. Random starts run as Spark tasks on a bounded sample;
-the best start then takes concentration steps over all rows, each one a quantile of the distance and
-one aggregate of counts, sums and products. A consistency factor and one reweighting pass over all
-rows give the final location and shape. The driver holds p-by-p matrices and nothing that grows with
-the rows.
+The fit follows the published FAST-MCD scheme with nested subsets. All rows are dealt into buckets by a
+hash of their features; random starts run in every bucket in parallel; the best starts of all buckets
+then take concentration steps over all rows, several candidates in one pass: the exact distance quantile
+of each, and one pass of counts, sums and products. The best goes on until its determinant no longer
+falls. A consistency factor and one reweighting pass over all rows give the final location and shape. The
+driver holds p-by-p matrices and nothing that grows with the rows.
 """
 
 from __future__ import annotations
 
+import math
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -19,27 +22,24 @@ from pyspark.sql import functions as F
 
 from plumbline import names
 from plumbline.functions.chi2 import chi2_quantile
-from plumbline.functions.expressions import col, number, quoted
+from plumbline.functions.expressions import col, finite
 from plumbline.functions.matrix import concentrate, squared_distances, whitening
 from plumbline.operators.groups import GROUP_CELLS
 from plumbline.operators.quantiles import column_quantiles
 from plumbline.operators.winsor import fill_medians, squared_norm
 from plumbline.session import materialize
 
-# Random starts use START_ROWS sampled rows; the kept ones converge on a larger sample, at most
-# SAMPLE_ROWS rows and SAMPLE_CELLS numbers, so that few steps over all rows remain.
-START_ROWS = 2_000
-SAMPLE_ROWS = 20_000
-SAMPLE_CELLS = 1_000_000
+# Distinct rows in a bucket of random starts, and starts over all buckets; no bucket has fewer than
+# LEAST_STARTS. Two steps tell a good start from a bad one.
+BUCKET_ROWS = 1_500
 N_STARTS = 500
+LEAST_STARTS = 10
+START_STEPS = 2
+# Starts of all buckets that take CANDIDATE_STEPS steps over all rows together; the best goes on alone.
 N_KEPT = 10
-MAX_STEPS = 30
-# Steps end when the determinant falls by less than this share.
-LOGDET_TOLERANCE = 1e-5
-# Up to this many features the distance and the moments are plain column expressions. Beyond it the
-# generated code grows past what the JVM compiles (measured: faster at 8 features, 3 times slower at
-# 12), and the p-by-p arithmetic runs on Arrow batches.
-COLUMN_FEATURES = 10
+CANDIDATE_STEPS = 2
+# A fit that still improves after so many steps over all rows is reported.
+EXPECTED_STEPS = 200
 
 
 @dataclass(frozen=True)
@@ -54,176 +54,146 @@ class Shape:
     steps: int = 0
 
     def distance(self) -> Column:
-        """Squared distance of a row as a column."""
-        if len(self.features) <= COLUMN_FEATURES:
-            centred = _centred(self.features, self.location)
-            parts = ["(" + " + ".join(f"{number(w)} * {c}" for w, c in zip(row, centred)) + ")"
-                     for row in self.whiten]
-            return F.expr(" + ".join(f"{part} * {part}" for part in parts) or "0.0D")
+        """Squared distance of a row as a column, computed on Arrow batches."""
         location, whiten = self.location, self.whiten
 
         @F.pandas_udf("double")
-        def batch_distance(rows: pd.Series) -> pd.Series:
-            found = squared_distances(np.stack(rows.to_numpy()), location, whiten) if len(rows) else []
-            return pd.Series(found, dtype="float64")
-
-        return batch_distance(F.array(*[col(f) for f in self.features]))
-
-
-def _centred(features: Sequence[str], centre: np.ndarray) -> list[str]:
-    return [f"({quoted(f)} - {number(c)})" for f, c in zip(features, centre)]
-
-
-def _best_start(spark, sample: np.ndarray, support_fraction: float, seed: int):
-    """Random starts as Spark tasks, two steps each; the best ones run on to convergence."""
-    p = sample.shape[1]
-    small = sample[:START_ROWS]
-    n = len(small)
-    schema = "start int, logdet double, location array<double>, covariance array<double>"
-
-    def support(rows):
-        return max(p + 1, min(len(rows), int(support_fraction * len(rows))))
-
-    def rows_of(found):
-        return pd.DataFrame(
-            [(s, logdet, loc.tolist(), cov.ravel().tolist()) for s, (logdet, loc, cov) in found],
-            columns=["start", "logdet", "location", "covariance"])
-
-    def begin(batches):
-        for ids in batches:
-            found = []
-            for start in ids["id"]:
-                pick = np.random.default_rng([seed, int(start)]).permutation(n)
-                size = p + 1
-                # A subset without full rank grows until it has one, as the published scheme does.
-                while size < min(n, 2 * p + 10) and np.linalg.matrix_rank(
-                        np.cov(small[pick[:size]].T)) < p:
-                    size += 1
-                found.append((int(start), concentrate(small, pick[:size], support(small), 2)))
-            yield rows_of(found)
-
-    def converge(batches):
-        for starts in batches:
-            found = []
-            for start, location, covariance in zip(
-                    starts["start"], starts["location"], starts["covariance"]):
-                whiten, _ = whitening(np.asarray(covariance).reshape(p, p))
-                h = support(sample)
-                nearest = np.argpartition(
-                    squared_distances(sample, np.asarray(location), whiten), h - 1)[:h]
-                found.append((int(start), concentrate(sample, nearest, h, MAX_STEPS)))
-            yield rows_of(found)
-
-    tasks = max(1, min(N_STARTS, spark.sparkContext.defaultParallelism))
-    started = spark.range(0, N_STARTS, 1, tasks).mapInPandas(begin, schema)
-    kept = started.orderBy("logdet", "start").limit(N_KEPT).mapInPandas(converge, schema)
-    best = kept.orderBy("logdet", "start").first()
-    return np.asarray(best["location"]), np.asarray(best["covariance"]).reshape(p, p)
-
-
-def _moments(rows: DataFrame, near: Shape, cut: float):
-    """Count, mean and covariance of the rows within ``cut`` of a shape, in one pass.
+        def batch_distance(*columns: pd.Series) -> pd.Series:
+            return pd.Series(squared_distances(np.column_stack(columns), location, whiten))
 
-    Products are taken around the shape's location, which keeps them small.
+        return batch_distance(*[col(f) for f in self.features])
+
+
+def _best_starts(rows: DataFrame, features: Sequence[str], support_fraction: float, seed: int):
+    """(location, covariance) of the best random starts of all buckets.
+
+    Equal rows are counted once with their copies, so a bucket is bounded however often a row repeats.
+    Few buckets are given to several tasks each, which share the starts.
     """
-    features, centre, whiten = near.features, near.location, near.whiten
     p = len(features)
-    if p <= COLUMN_FEATURES:
-        centred = _centred(features, centre)
-        found = rows.where(near.distance() <= cut).selectExpr(
-            "count(1) AS n", *[f"sum({c}) AS s{i}" for i, c in enumerate(centred)],
-            *[f"sum({centred[i]} * {centred[j]}) AS s{i}_{j}"
-              for i in range(p) for j in range(i, p)]).first()
-        n = found["n"]
-        sums = np.array([found[f"s{i}"] for i in range(p)], dtype=float)
-        products = np.empty((p, p))
-        for i in range(p):
-            for j in range(i, p):
-                products[i, j] = products[j, i] = found[f"s{i}_{j}"]
-    else:
-        upper = np.triu_indices(p)
-
-        def partial(batches):
-            count, total, gram = 0, np.zeros(p), np.zeros((p, p))
-            for batch in batches:
-                x = batch.to_numpy(dtype=float)
-                x = x[squared_distances(x, centre, whiten) <= cut] - centre
-                count, total, gram = count + len(x), total + x.sum(axis=0), gram + x.T @ x
-            yield pd.DataFrame({
-                "place": np.arange(1 + p + len(upper[0])),
-                "amount": np.concatenate([[count], total, gram[upper]])})
-
-        summed = (
-            rows.select(*[col(f) for f in features])
-            .mapInPandas(partial, "place long, amount double")
-            .groupBy("place").agg(F.sum("amount").alias("amount")).orderBy("place").collect())
-        amounts = np.array([r["amount"] for r in summed])
-        n, sums = int(amounts[0]), amounts[1:1 + p]
+    distinct = materialize(rows.groupBy(*[col(f) for f in features]).agg(
+        F.count(F.lit(1)).cast("double").alias("__copies")), "distinct-rows")
+    buckets = max(1, distinct.count() // max(BUCKET_ROWS, 10 * p))
+    shares = max(1, math.ceil(rows.sparkSession.sparkContext.defaultParallelism / buckets))
+    starts = max(LEAST_STARTS, math.ceil(N_STARTS / buckets))
+    each = math.ceil(starts / shares)
+    order = [*features, "__copies"]
+
+    def begin(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        bucket, share = (int(k) for k in key)
+        values = group[order].sort_values(order).to_numpy(dtype=float)
+        points, copies = values[:, :p], values[:, p]
+        n, h = len(points), max(p + 1.0, math.floor(support_fraction * copies.sum()))
+        found = []
+        for start in range(share * each, min(starts, (share + 1) * each) if n > p else 0):
+            pick = np.random.default_rng([seed, bucket, start]).permutation(n)
+            size = p + 1
+            # A subset without full rank grows until it has one, as the published scheme does.
+            while size < min(n, 2 * p + 10) and np.linalg.matrix_rank(np.cov(points[pick[:size]].T)) < p:
+                size += 1
+            logdet, location, covariance = concentrate(points, copies, pick[:size], h, START_STEPS)
+            found.append((bucket, start, logdet, location.tolist(), covariance.ravel().tolist()))
+        found = sorted(found, key=lambda f: (f[2], f[1]))[:N_KEPT]
+        return pd.DataFrame(found, columns=["bucket", "start", "logdet", "location", "covariance"])
+
+    dealt = distinct.withColumn("__bucket", F.pmod(
+        F.xxhash64(F.lit(seed), *[col(f) for f in features]), F.lit(buckets))) \
+        .withColumn("__share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    tried = dealt.groupBy("__bucket", "__share").applyInPandas(
+        begin, "bucket long, start int, logdet double, location array<double>, covariance array<double>")
+    best = tried.orderBy("logdet", "bucket", "start").limit(N_KEPT).collect()
+    return [(np.asarray(b["location"]), np.asarray(b["covariance"]).reshape(p, p)) for b in best]
+
+
+def _moments(rows: DataFrame, near: Sequence[Shape], cuts: Sequence[float]):
+    """For each shape the count, mean and covariance of the rows within its cut, all in one pass.
+
+    Products are taken around the shape's location, which keeps them small.
+    """
+    features, p = near[0].features, len(near[0].features)
+    fits = [(s.location, s.whiten, float(cut)) for s, cut in zip(near, cuts)]
+    upper = np.triu_indices(p)
+
+    def partial(batches):
+        amounts = np.zeros((len(fits), 1 + p + len(upper[0])))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float)
+            for k, (centre, whiten, cut) in enumerate(fits):
+                inside = x[squared_distances(x, centre, whiten) <= cut] - centre
+                amounts[k, 0] += len(inside)
+                amounts[k, 1:1 + p] += inside.sum(axis=0)
+                amounts[k, 1 + p:] += (inside.T @ inside)[upper]
+        yield pd.DataFrame({
+            "fit": np.repeat(np.arange(len(fits)), amounts.shape[1]),
+            "place": np.tile(np.arange(amounts.shape[1]), len(fits)), "amount": amounts.ravel()})
+
+    summed = (
+        rows.select(*[col(f) for f in features])
+        .mapInPandas(partial, "fit long, place long, amount double")
+        .groupBy("fit", "place").agg(F.sum("amount").alias("amount")).orderBy("fit", "place").collect())
+    amounts = np.array([r["amount"] for r in summed]).reshape(len(fits), -1)
+    out = []
+    for (centre, _, _), found in zip(fits, amounts):
+        n, shift = int(found[0]), found[1:1 + p] / found[0]
         products = np.zeros((p, p))
-        products[upper] = amounts[1 + p:]
+        products[upper] = found[1 + p:]
         products = products + np.triu(products, 1).T
-    shift = sums / n
-    return n, centre + shift, products / n - np.outer(shift, shift)
+        out.append((n, centre + shift, products / n - np.outer(shift, shift)))
+    return out
 
 
 def fit_shape(
     rows: DataFrame, features: Sequence[str], n_rows: int,
     support_fraction: float = names.SUPPORT_FRACTION, random_state: int = names.SEED,
-    pick: str = "__pick", cells: int = GROUP_CELLS,
+    cells: int = GROUP_CELLS,
 ) -> Shape:
     """Fit location and shape to complete rows (no missing features), at least p + 1 of them.
 
-    ``pick`` is a column whose hash order chooses the sample for the starts, so the choice does not
-    depend on how the rows are partitioned.
+    Rows take part by their features alone; other columns and the partitioning have no say.
     """
     features, p = tuple(features), len(features)
+    rows = rows.select(*[col(f) for f in features])
 
     def shape(location, covariance, steps):
         whiten, logdet = whitening(covariance)
         return Shape(features, location, whiten, logdet, n_rows, steps)
 
-    def distance_quantile(current, prob):
-        measured = rows.select(current.distance().alias("d2"))
-        return column_quantiles(measured, ["d2"], [prob], cells, n_rows=n_rows)["d2"][1][0]
-
-    n_sample = min(SAMPLE_ROWS, max(START_ROWS, SAMPLE_CELLS // p))
-    order = F.xxhash64(F.lit(random_state), col(pick))
-    candidates = rows
-    if n_rows > n_sample:
-        # Twice the wanted share of the hash range, then exactly the first rows in hash order.
-        edge = int(-(2**63) + 2**64 * min(1.0, 2.0 * n_sample / n_rows))
-        candidates = rows.where(order <= F.lit(min(edge, 2**63 - 1)))
-    sample = _hash_ordered(candidates, order, features, n_sample)
-    if len(sample) < p + 1:  # so many copies of so few rows that the hash range held none
-        sample = _hash_ordered(rows, order, features, n_sample)
-
-    current = shape(*_best_start(rows.sparkSession, sample, support_fraction, random_state), 0)
+    def distance_quantiles(shapes, prob):
+        columns = [f"d{k}" for k in range(len(shapes))]
+        measured = rows.select(*[s.distance().alias(c) for s, c in zip(shapes, columns)])
+        found = column_quantiles(measured, columns, [prob], cells, n_rows=n_rows)
+        return [found[c][1][0] for c in columns]
+
     h = max(p + 1, min(n_rows, int(support_fraction * n_rows)))
     # Half a rank above the h-th distance, so rounding cannot drop the h-th row itself.
     prob = min(1.0, (h - 0.5) / max(1, n_rows - 1))
-    for step in range(1, MAX_STEPS + 1):
-        _, location, covariance = _moments(rows, current, distance_quantile(current, prob))
-        following = shape(location, covariance, step)
-        gain = current.logdet - following.logdet
-        if step == 1 or gain > 0:
-            current = following
-        if current.logdet == float("-inf") or (step > 1 and gain < LOGDET_TOLERANCE):
+
+    def step(shapes):
+        found = _moments(rows, shapes, distance_quantiles(shapes, prob))
+        return [shape(location, covariance, s.steps + 1) for s, (_, location, covariance) in zip(shapes, found)]
+
+    candidates = [shape(*start, 0) for start in _best_starts(rows, features, support_fraction, random_state)]
+    for _ in range(CANDIDATE_STEPS):
+        candidates = step(candidates)
+    current = min(candidates, key=lambda s: s.logdet)
+    # To the fixed point: a step that does not lower the determinant repeats the same rows.
+    while current.logdet > float("-inf"):
+        following = step([current])[0]
+        if following.logdet >= current.logdet - 1e-12 * max(1.0, abs(current.logdet)):
             break
+        current = following
+        if current.steps % EXPECTED_STEPS == 0:
+            warnings.warn(f"the robust fit still improves after {current.steps} steps", stacklevel=2)
 
-    factor = distance_quantile(current, 0.5) / chi2_quantile(0.5, p)
+    factor = distance_quantiles([current], 0.5)[0] / chi2_quantile(0.5, p)
     if factor > 0:
         # Rows strictly nearer than the cut-off.
         nearer = np.nextafter(factor * chi2_quantile(0.975, p), 0.0)
-        _, location, covariance = _moments(rows, current, float(nearer))
+        _, location, covariance = _moments(rows, [current], [float(nearer)])[0]
         current = shape(location, covariance, current.steps)
     return current
 
 
-def _hash_ordered(rows: DataFrame, order: Column, features: Sequence[str], n: int) -> np.ndarray:
-    chosen = rows.orderBy(order, *[col(f) for f in features]).limit(n)
-    return chosen.select(*[col(f) for f in features]).toPandas().to_numpy(dtype=float)
-
-
 def robust_mahalanobis(
     df: DataFrame, features: Sequence[str], support_fraction: float = names.SUPPORT_FRACTION,
     random_state: int = names.SEED, out: str = "mahalanobis_distance", cells: int = GROUP_CELLS,
@@ -245,16 +215,14 @@ def robust_mahalanobis(
     used = [f for f in features if ranges[f] is not None]
     medians = {f: ranges[f][1] for f in used}
     varying = [f for f in used if ranges[f][0] != ranges[f][2]]
-    scalar = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     complete = materialize(fill_medians(df, medians).select(
-        *[col(f).cast("double").alias(f) for f in used],
-        F.xxhash64(*[col(c) for c in scalar]).alias("__pick")), "complete-features")
+        *[col(f).cast("double").alias(f) for f in used]), "complete-features")
     n_rows = complete.count()
     if not used:
         return df.withColumn(out, F.lit(None).cast("double"))
     kept = [col(c) for c in df.columns if c != out]
     staged = df.select("*", *[
-        F.coalesce(col(f).cast("double"), F.lit(medians[f])).alias(f"__f_{f}") for f in used])
+        F.coalesce(finite(col(f)), F.lit(medians[f])).alias(f"__f_{f}") for f in used])
     if n_rows < len(used) + 1:
         return squared_norm(staged, [f"__f_{f}" for f in used], out).select(*kept, F.col(out))
     if not varying:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline import names
-from plumbline.functions.expressions import col, total_of
+from plumbline.functions.expressions import col, day_of, total_of
 from plumbline.operators.dedup import first_per_key
 
 # --- fixed values: coefficients of the published model -------------------------------------------
@@ -21,6 +21,9 @@ ACCOUNT_COLUMNS = [
 ]
 # --- end of fixed values -------------------------------------------------------------------------
 
+# Half a month: a period end up to that long after a quarter's last day still belongs to it.
+SHIFT_DAYS = 15
+
 
 def m_score(
     accounts: DataFrame, entity: str = names.ENTITY, period: str = names.PERIOD,
@@ -28,19 +31,24 @@ def m_score(
 ) -> DataFrame:
     """Key, eight ratios, `m_score` and `likely_manipulator`, one row per key.
 
-    The year-earlier row of the same entity is found by an equi-join on (entity, date + 12 months).
-    Copies of a key are dropped first (say ``unique`` if there are none), so the join neither
-    multiplies rows nor gathers an entity into one task. The score is missing when any ratio is.
+    The year-earlier row of the same entity is found by an equi-join on entity and fiscal quarter, the
+    quarter of the day SHIFT_DAYS earlier: period ends that move by days from year to year (month ends,
+    52/53-week years) stay in one quarter. Of several rows in a quarter the latest is the earlier one.
+    Copies of a key are dropped first (say ``unique`` if there are none), so the join neither multiplies
+    rows nor gathers an entity into one task. The score is missing when any ratio is, and so where the
+    period is no date.
     """
     if not unique:
         accounts = first_per_key(accounts, [entity, period])
-    keys = [col(entity).alias("__entity"), F.to_date(col(period)).alias("__day")]
-    now = accounts.select(*keys, col(entity), col(period),
+    shifted = F.date_sub(day_of(col(period)), SHIFT_DAYS)
+    quarter = F.year(shifted) * 4 + F.quarter(shifted)
+    now = accounts.select(col(entity).alias("__entity"), quarter.alias("__quarter"), col(entity), col(period),
                           *[col(c).alias(f"t_{c}") for c in ACCOUNT_COLUMNS])
-    before = accounts.select(
-        col(entity).alias("__entity"), F.add_months(F.to_date(col(period)), 12).alias("__day"),
+    known = accounts.withColumn("__quarter", quarter + 4).where(F.col("__quarter").isNotNull())
+    before = first_per_key(known, [entity, "__quarter"], [day_of(col(period)).desc()]).select(
+        col(entity).alias("__entity"), "__quarter",
         *[col(c).alias(f"p_{c}") for c in ACCOUNT_COLUMNS])
-    both = now.join(before, ["__entity", "__day"], "left")
+    both = now.join(before, ["__entity", "__quarter"], "left")
 
     ratio = F.try_divide
 

@@ -1,8 +1,8 @@
 """Exact linear-interpolation quantiles, per group or over everything, at any group size.
 
-Groups of bounded size are gathered and sorted, all features in one shuffle, and a table of bounded
-size takes Spark's `percentile`. Either would hold a hot group in one task, so hot groups are narrowed
-instead.
+The values of ordinary groups are sorted by the shuffle and the wanted ranks kept, and a table of
+bounded size takes Spark's `percentile`. Either would put a hot group in one task, so hot groups are
+narrowed instead.
 Each pass keeps, per group and feature, exact counts around the current bracket and a sketch of a
 bounded random sample of the values strictly inside it; the next bracket is read off the sketch.
 Runs of equal values end up on a bracket edge, where they are counted and not collected. When few
@@ -17,10 +17,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.expressions import col
+from plumbline.functions.expressions import col, finite
 from plumbline.operators.groups import (
     GROUP_CELLS, GroupSizes, all_present, attach_small, fits_broadcast, group_sizes, SPREAD,
 )
@@ -30,6 +30,8 @@ GRID_STEPS = 1000
 SKETCH_ACCURACY = 10_000
 # Values per group, feature and pass that go into a sketch.
 SKETCH_VALUES = 1_000_000
+# A pass keeps about a hundredth of a bracket; so many mean a fault, not more data.
+MAX_PASSES = 60
 # Values one bracket may hold when it is finally sorted.
 FINAL_VALUES = 200_000
 _INF = float("inf")
@@ -65,7 +67,7 @@ def group_quantiles(
     by, features = list(by), list(features)
     sizes = group_sizes(df, by, len(features), cells)
     rows = df.where(all_present(by)).select(
-        *[col(c) for c in by], *[col(f).cast("double").alias(f) for f in features])
+        *[col(c) for c in by], *[finite(col(f)).alias(f) for f in features])
     row_bytes = 64 + len(features) * (40 + 8 * len(probs))
     if not sizes.n_hot:
         return GroupStats(sizes, _by_sorting(rows, by, features, probs), None, row_bytes)
@@ -85,7 +87,7 @@ def column_quantiles(
     Pass ``n_rows`` when the row count is known already; it only chooses between the two methods.
     """
     features = list(features)
-    rows = df.select(*[col(f).cast("double").alias(f) for f in features])
+    rows = df.select(*[finite(col(f)).alias(f) for f in features])
     n_rows = rows.count() if n_rows is None else n_rows
     if n_rows * len(features) <= cells:
         found = rows.agg(*_aggregates(features, probs)).first()
@@ -104,33 +106,53 @@ def _aggregates(features: Sequence[str], probs: Sequence[float]) -> list[Column]
 
 
 def _by_sorting(rows, by, features, probs) -> DataFrame:
-    """Groups of bounded size: gather a group's rows once, then sort each feature's values.
+    """Sort each group's values of a feature in the shuffle and keep the wanted ranks.
 
-    With very many small groups this takes half the time of one `percentile` per feature.
+    The sort and the count over a group spill to disk, so no group has to fit in memory.
     """
-    gathered = rows.groupBy(*[col(c) for c in by]).agg(
-        F.collect_list(F.struct(*[col(f).alias(f"f{i}") for i, f in enumerate(features)]))
-        .alias("__rows"))
-    ordered = gathered.select(*[col(c) for c in by], *[
-        F.sort_array(F.array_compact(F.col(f"__rows.f{i}"))).alias(f"__s{i}")
-        for i in range(len(features))])
-    return ordered.select(*[col(c) for c in by], *[
-        column for i, f in enumerate(features) for column in (
-            F.size(f"__s{i}").cast("bigint").alias(n_col(f)),
-            F.expr(_of_sorted(f"__s{i}", probs)).alias(q_col(f)))])
-
-
-def _of_sorted(values: str, probs: Sequence[float]) -> str:
-    """Linear interpolation between the two order statistics around each position.
-
-    As a lambda: written out per probability, the generated code grows past what the JVM compiles.
-    """
-    wanted = ", ".join(f"{float(p)!r}D" for p in probs)
-    low, high = f"get({values}, int(floor(at)))", f"get({values}, int(ceil(at)))"
-    return f"""
-        if(size({values}) = 0, NULL, transform(
-            transform(array({wanted}), prob -> prob * (size({values}) - 1)),
-            at -> if({low} = {high}, {low}, (ceil(at) - at) * {low} + (at - floor(at)) * {high})))"""
+    cells = rows.unpivot([col(c) for c in by], [col(f) for f in features], "__feature", "__v")
+    # A group whose values are all missing still has its row of counts.
+    group = Window.partitionBy(*[col(c) for c in by], "__feature")
+    placed = cells.withColumn("__n", F.count("__v").over(group)).withColumn(
+        "__at", F.row_number().over(group.orderBy(F.col("__v").asc_nulls_last())) - 1)
+    last = (F.col("__n") - 1).cast("double")
+    position = [F.lit(float(p)) * last for p in probs]
+
+    def at(rank):
+        return F.max(F.when((F.col("__at") == rank) & (F.col("__at") < F.col("__n")), F.col("__v")))
+
+    wanted = F.lit(False)
+    for p in position:
+        wanted = wanted | (F.col("__at") == F.floor(p)) | (F.col("__at") == F.ceil(p))
+    found = placed.where(wanted | (F.col("__at") == 0)).groupBy(*[col(c) for c in by], "__feature").agg(
+        F.first("__n").alias("n"),
+        *[c for i, p in enumerate(position) for c in (
+            at(F.floor(p)).alias(f"low{i}"), at(F.ceil(p)).alias(f"high{i}"))])
+
+    def between(i, prob):
+        exact = F.lit(float(prob)) * (F.col("n") - 1).cast("double")
+        low, high = F.col(f"low{i}"), F.col(f"high{i}")
+        return F.when(low == high, low).otherwise(
+            (F.ceil(exact) - exact) * low + (exact - F.floor(exact)) * high)
+
+    values = F.when(F.col("n") > 0, F.array(*[between(i, p) for i, p in enumerate(probs)]))
+    return _wide(found.select(
+        *[col(c) for c in by], "__feature", F.struct("n", values.alias("q")).alias("found")), by, features)
+
+
+def _wide(found: DataFrame, by, features) -> DataFrame:
+    """One row per group from one row per group and feature."""
+    wide = found.groupBy(*[col(c) for c in by]).agg(
+        F.map_from_entries(F.collect_list(F.struct("__feature", "found"))).alias("by_feature"))
+
+    def of(feature):
+        return F.try_element_at("by_feature", F.lit(feature))
+
+    return wide.select(
+        *[col(c) for c in by],
+        *[c for f in features for c in (
+            F.coalesce(of(f).getField("n"), F.lit(0)).cast("bigint").alias(n_col(f)),
+            of(f).getField("q").alias(q_col(f)))])
 
 
 def _by_narrowing(rows, by, features, probs, n_groups, n_rows, final_values) -> DataFrame:
@@ -159,6 +181,8 @@ def _by_narrowing(rows, by, features, probs, n_groups, n_rows, final_values) ->
     while state.agg(F.max(F.greatest(F.lit(0), *[F.col(f"left{i}") for i in which]))).first()[0] \
             > final_values:
         passes += 1
+        if passes > MAX_PASSES:
+            raise RuntimeError(f"quantile brackets are not narrow after {MAX_PASSES} passes")
         counted = _count_in_brackets(
             values.withColumn("__u", F.rand(_SEED + passes)), state, key, which, state_rows,
             state_bytes, sketch=True)
@@ -169,17 +193,7 @@ def _by_narrowing(rows, by, features, probs, n_groups, n_rows, final_values) ->
         *[col(c) for c in by], "__feature",
         F.struct(F.col("n"), F.array(*[_pick(i, probs[i]) for i in which]).alias("q")).alias("found"),
     )
-    wide = found.groupBy(*[col(c) for c in by]).agg(
-        F.map_from_entries(F.collect_list(F.struct("__feature", "found"))).alias("by_feature"))
-
-    def of(feature):
-        return F.try_element_at("by_feature", F.lit(feature))
-
-    return materialize(wide.select(
-        *[col(c) for c in by],
-        *[c for f in features for c in (
-            F.coalesce(of(f).getField("n"), F.lit(0)).cast("bigint").alias(n_col(f)),
-            of(f).getField("q").alias(q_col(f)))]), "quantiles")
+    return materialize(_wide(found, by, features), "quantiles")
 
 
 _SEED = 20
@@ -222,7 +236,7 @@ def _next_bracket(i: int, prob: float, seen: dict[str, Column]) -> list[Column]:
         F.when(~held, F.lit(-_INF)).when(seen["inside"] == 0, seen["lo"]).otherwise(lo).alias(f"lo{i}"),
         F.when(~held, F.lit(_INF)).when(seen["inside"] == 0, seen["hi"]).otherwise(hi).alias(f"hi{i}"),
         left.alias(f"left{i}"),
-        F.when(held, seen["slack"]).otherwise(seen["slack"] * 2).alias(f"slack{i}"),
+        F.when(held, F.lit(1.0)).otherwise(F.least(seen["slack"] * 2, F.lit(64.0))).alias(f"slack{i}"),
         F.least(F.lit(1.0), F.lit(float(SKETCH_VALUES)) / F.greatest(left, F.lit(1.0)))
         .alias(f"share{i}"),
     ]
@@ -290,19 +304,22 @@ def attach_group_stats(df: DataFrame, stats: GroupStats) -> DataFrame:
     sizes, by = stats.sizes, list(stats.sizes.by)
     if fits_broadcast(sizes.n_groups, stats.row_bytes):
         return df.join(F.broadcast(stats.table), by, "left")
-    if stats.hot is None:
-        return df.join(stats.cold, by, "left")
-    if not fits_broadcast(sizes.n_hot, stats.row_bytes):
+    if stats.hot is not None and not fits_broadcast(sizes.n_hot, stats.row_bytes):
         return attach_small(df, stats.table, by, sizes.n_groups, stats.row_bytes)
     payload = [c for c in stats.cold.columns if c not in by]
-    hot = stats.hot.select(
-        *[col(c) for c in by], F.struct(*[col(c) for c in payload]).alias("__hot"))
-    spread = F.pmod(F.xxhash64(*[
+    spread = F.lit(1) + F.pmod(F.xxhash64(*[
         col(f.name) for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")
     ]), F.lit(SPREAD)).cast("int")
-    marked = df.join(F.broadcast(hot), by, "left").withColumn(
-        "__salt", F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(F.lit(1) + spread))
+    # Rows without a key match nothing either, so they are spread as well.
+    marked = df.withColumn("__salt", F.when(all_present(by), F.lit(0)).otherwise(spread))
+    if stats.hot is not None:
+        hot = stats.hot.select(
+            *[col(c) for c in by], F.struct(*[col(c) for c in payload]).alias("__hot"))
+        marked = marked.join(F.broadcast(hot), by, "left").withColumn(
+            "__salt", F.when(F.col("__hot").isNull(), F.col("__salt")).otherwise(spread))
     joined = marked.join(stats.cold.withColumn("__salt", F.lit(0)), [*by, "__salt"], "left")
+    if stats.hot is None:
+        return joined.drop("__salt")
     return joined.select(
         *[col(c) for c in df.columns],
         *[F.coalesce(F.col("__hot").getField(c), col(c)).alias(c) for c in payload])

@@ -8,47 +8,41 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline import names
-from plumbline.functions.expressions import col
+from plumbline.functions.expressions import col, finite
 from plumbline.operators.groups import SPREAD, fits_broadcast
 from plumbline.session import BROADCAST_BYTES, materialize
 
-# Distinct values that one task may rank.
-SINGLE_TASK_VALUES = 1_000_000
-MAX_RANGES = 20_000
+# Distinct values per range; a range is ranked by one task.
+RANGE_VALUES = 1_000_000
 # Values held by more rows than this are spread when ranks are joined back.
 HOT_VALUE_ROWS = 1_000_000
 
 
 def average_ranks(
-    df: DataFrame, value: str, single_task_values: int = SINGLE_TASK_VALUES,
+    df: DataFrame, value: str, range_values: int = RANGE_VALUES,
 ) -> tuple[DataFrame, int, int]:
     """Distinct present values with their row count and average rank; plus how many rows and values.
 
     Rows collapse to distinct values with counts before anything is ordered, so ties cost nothing.
-    Many distinct values are cut into value ranges: each range is summed on its own, and a range
-    starts from the total of the ranges before it.
+    The distinct values are cut into value ranges: each range is summed on its own, and a range starts
+    from the total of the ranges before it, of which there is one row per range.
     """
+    known = finite(col(value))
     counts = materialize(
-        df.where(col(value).isNotNull()).groupBy(col(value).alias("value"))
+        df.where(known.isNotNull()).groupBy(known.alias("value"))
         .agg(F.count(F.lit(1)).alias("copies")), "value-counts")
     seen = counts.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
                       F.count(F.lit(1)).alias("values")).first()
-    before_here = F.sum("copies")
-    if seen["values"] <= single_task_values:
-        running = counts.withColumn("through", before_here.over(
-            Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)))
-    else:
-        ranges = min(MAX_RANGES, max(2, -(-seen["values"] // single_task_values)))
-        placed = materialize(
-            counts.repartitionByRange(ranges, "value")
-            .withColumn("range", F.spark_partition_id()), "value-ranges")
-        totals = placed.groupBy("range").agg(F.sum("copies").alias("total"))
-        offsets = totals.withColumn("offset", F.coalesce(F.sum("total").over(
-            Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        running = placed.join(F.broadcast(offsets.select("range", "offset")), "range").withColumn(
-            "through", F.col("offset") + before_here.over(
-                Window.partitionBy("range").orderBy("value")
-                .rowsBetween(Window.unboundedPreceding, 0)))
+    ranges = max(2, -(-seen["values"] // range_values))
+    placed = materialize(
+        counts.repartitionByRange(ranges, "value")
+        .withColumn("range", F.spark_partition_id()), "value-ranges")
+    totals = placed.groupBy("range").agg(F.sum("copies").alias("total"))
+    offsets = totals.withColumn("offset", F.coalesce(F.sum("total").over(
+        Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    within = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    running = placed.join(F.broadcast(offsets.select("range", "offset")), "range").withColumn(
+        "through", F.col("offset") + F.sum("copies").over(within))
     ranked = running.select(
         "value", "copies",
         (F.col("through").cast("double") - (F.col("copies").cast("double") - 1.0) / 2.0)
@@ -58,7 +52,7 @@ def average_ranks(
 
 def percentile_scores(
     df: DataFrame, value: str = "mahalanobis_distance", out: str = "anomaly_score_0_100",
-    single_task_values: int = SINGLE_TASK_VALUES, hot_value_rows: int = HOT_VALUE_ROWS,
+    range_values: int = RANGE_VALUES, hot_value_rows: int = HOT_VALUE_ROWS,
     row_bytes: int = 32,
 ) -> DataFrame:
     """Add 100 * average rank / number of present values, rounded to 4; missing stays missing.
@@ -66,7 +60,7 @@ def percentile_scores(
     The ranks are joined back by value: broadcast while few distinct values exist, otherwise by a
     shuffle in which rows of very frequent values are spread over all tasks.
     """
-    ranked, n_rows, n_values = average_ranks(df, value, single_task_values)
+    ranked, n_rows, n_values = average_ranks(df, value, range_values)
     scores = ranked.select(
         F.col("value").alias("__value"), "copies",
         F.round(F.col("average_rank") / F.lit(float(max(1, n_rows))) * 100.0, 4).alias(out))
@@ -97,18 +91,22 @@ def percentile_scores(
 
 def ordered_scores(
     df: DataFrame, score: str = "anomaly_score_0_100",
-    ties: Sequence[str] = (names.ENTITY, names.PERIOD),
+    ties: Sequence[str] = (names.ENTITY, names.PERIOD), distance: str = "mahalanobis_distance",
 ) -> DataFrame:
-    """Highest score first, missing last; equal scores in key order."""
-    return df.orderBy(col(score).desc_nulls_last(), *[col(t) for t in ties])
+    """Highest score first, missing last; equal scores by distance where there is one, then by key.
+
+    Scores are rounded, so among very many rows equal ones are the rule.
+    """
+    further = [col(distance).desc_nulls_last()] if distance in df.columns else []
+    return df.orderBy(col(score).desc_nulls_last(), *further, *[col(t) for t in ties])
 
 
 def top_n(
     df: DataFrame, n: int = names.TOP_N, score: str = "anomaly_score_0_100",
-    ties: Sequence[str] = (names.ENTITY, names.PERIOD),
+    ties: Sequence[str] = (names.ENTITY, names.PERIOD), distance: str = "mahalanobis_distance",
 ) -> DataFrame:
     """The n highest scores; Spark keeps n rows per task and never sorts the table."""
-    return ordered_scores(df, score, ties).limit(n)
+    return ordered_scores(df, score, ties, distance).limit(n)
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline import names
-from plumbline.functions.expressions import clip, col, total_of
+from plumbline.functions.expressions import clip, col, finite, total_of
 from plumbline.operators.groups import GROUP_CELLS
 from plumbline.operators.quantiles import column_quantiles
 
@@ -24,7 +24,7 @@ def winsor_bounds(
 
 def apply_bounds(df: DataFrame, bounds: dict[str, tuple[float, float] | None]) -> DataFrame:
     return df.select(*[
-        clip(col(c), *bounds[c]).alias(c) if bounds.get(c) else col(c) for c in df.columns])
+        clip(finite(col(c)), *bounds[c]).alias(c) if bounds.get(c) else col(c) for c in df.columns])
 
 
 def winsorize(
@@ -48,7 +48,7 @@ def feature_medians(
 
 def fill_medians(df: DataFrame, medians: dict[str, float | None]) -> DataFrame:
     return df.select(*[
-        F.coalesce(col(c), F.lit(medians[c])).alias(c) if medians.get(c) is not None else col(c)
+        F.coalesce(finite(col(c)), F.lit(medians[c])).alias(c) if medians.get(c) is not None else col(c)
         for c in df.columns])
 
 
@@ -57,6 +57,19 @@ def impute_medians(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return fill_medians(df, feature_medians(df, features))
 
 
-def squared_norm(df: DataFrame, features: Sequence[str], out: str = "mahalanobis_distance") -> DataFrame:
-    """Sum of squared features, the distance used when there are too few rows to fit a shape."""
-    return df.withColumn(out, total_of([col(f) * col(f) for f in features]))
+def squared_norm(
+    df: DataFrame, features: Sequence[str], out: str = "mahalanobis_distance",
+    medians: dict[str, float | None] | None = None,
+) -> DataFrame:
+    """Sum of squared features, the distance used when there are too few rows to fit a shape.
+
+    Missing features count as their medians where those are given; a feature without a median, missing
+    everywhere, takes no part.
+    """
+    known = {f: finite(col(f)) for f in features}
+    if medians is not None:
+        known = {f: F.coalesce(value, F.lit(medians[f])) for f, value in known.items()
+                 if medians.get(f) is not None}
+    if not known:
+        return df.withColumn(out, F.lit(None).cast("double"))
+    return df.withColumn(out, total_of([value * value for value in known.values()]))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline import names
-from plumbline.functions.expressions import blend, calendar_quarter, col, robust_z
+from plumbline.functions.expressions import blend, calendar_quarter, col, finite, robust_z
 from plumbline.operators.groups import GROUP_CELLS, attach_small
 from plumbline.operators.quantiles import (
     GroupStats, attach_group_stats, group_quantiles, n_col, q_col,
@@ -36,7 +36,7 @@ def attach_zscores(
     out, added = df, []
     for i, (stats, name) in enumerate(scores):
         joined = attach_group_stats(out, stats)
-        fresh = {name(f): robust_z(col(f).cast("double"), col(n_col(f)), col(q_col(f)))
+        fresh = {name(f): robust_z(finite(col(f)), col(n_col(f)), col(q_col(f)))
                  for f in features}
         out = joined.select(
             *[col(c) for c in df.columns], *[col(c) for c in added],

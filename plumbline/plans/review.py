@@ -15,14 +15,6 @@ from plumbline.operators.groups import attach_small, fits_broadcast
 from plumbline.operators.ranking import top_n
 from plumbline.session import materialize
 
-_PACK_COLUMNS = [
-    "ticker", "company_name", "report_date", "filing_date", "filing_url",
-    "anomaly_score_0_100", "mahalanobis_distance", "self_history_score", "peer_relative_score",
-    "combined_signal_strength", "num_features_used",
-    "top_driver_1", "top_driver_1_value", "top_driver_2", "top_driver_2_value",
-    "top_driver_3", "top_driver_3_value", "driver_summary",
-]
-
 
 def select_present(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     """Project to the wanted columns in their order, leaving out those the table lacks."""
@@ -58,4 +50,4 @@ def build_review_pack(
     pack = with_driver_summary(top).drop(*[f for f in features if f in top.columns])
     few = fits_broadcast(n, 64 + 8 * len(features))
     joined = pack.join(F.broadcast(once) if few else once, same_key, "left")
-    return top_n(select_present(joined, [*_PACK_COLUMNS, *features]), n)
+    return top_n(select_present(joined, [*names.PACK, *features]), n)

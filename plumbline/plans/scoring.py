@@ -21,7 +21,6 @@ from plumbline.operators.zscores import combine_zscores, self_and_peer_zscores
 from plumbline.session import materialize
 
 DISTANCES = ("mcd", "l2")
-_IDENTITY = ["ticker", "company_name", "cik", "form_type", "report_date", "filing_date", "filing_url"]
 
 
 def score_filings(
@@ -42,7 +41,7 @@ def score_filings(
     features = list(features)
     started = scored_at or datetime.now(timezone.utc)
     unique = numeric_features(first_per_key(features_df, order=listing_order), features)
-    carried = [c for c in dict.fromkeys([*_IDENTITY, *peer_keys, *features]) if c in unique.columns]
+    carried = [c for c in dict.fromkeys([*names.IDENTITY, *peer_keys, *features]) if c in unique.columns]
     panel = materialize(unique.select(*[col(c) for c in carried]), "panel")
 
     # Limits and medians in one measurement: limiting a feature does not move its median.
@@ -55,31 +54,33 @@ def score_filings(
         measured = robust_mahalanobis(
             clipped, features, support_fraction, random_state, cells=cells, ranges=ranges)
     else:
-        measured = squared_norm(clipped, features)
+        medians = {f: r and r[1] for f, r in ranges.items()}
+        measured = squared_norm(clipped, features, medians=medians)
     ranked = percentile_scores(measured)
     scored = combine_zscores(
         self_and_peer_zscores(ranked, features, names.ENTITY, peer_keys, cells, measure=clipped),
         features)
     finished = top_drivers(summary_scores(scored, features), features, n_drivers)
-    out = finished.select(*score_columns(finished, features, n_drivers, started))
+    out = finished.select(*score_columns(
+        finished, features, n_drivers, started,
+        names.MODEL_TYPE if distance == "mcd" else names.MODEL_TYPE_L2))
     return ordered_scores(out) if ordered else out
 
 
 def score_columns(
     df: DataFrame, features: Sequence[str], n_drivers: int, scored_at: datetime,
+    model_type: str = names.MODEL_TYPE,
 ) -> list[Column]:
     """The score table, in order; company name and CIK default to empty text when absent."""
     identity = [
         col(c) if c in df.columns else F.lit("" if c in ("company_name", "cik") else None)
-        .cast("string").alias(c) for c in _IDENTITY]
+        .cast("string").alias(c) for c in names.IDENTITY]
     drivers = [c for i in range(1, n_drivers + 1)
                for c in (f"top_driver_{i}", f"top_driver_{i}_value")]
-    scores = ["anomaly_score_0_100", "mahalanobis_distance", "self_history_score",
-              "peer_relative_score", "combined_signal_strength", "num_features_used"]
     z_scores = [of(f) for of in (names.self_z, names.peer_z, names.combined_z) for f in features]
     return [
-        *identity, *[col(c) for c in scores + drivers],
-        F.lit(names.MODEL_TYPE).alias("model_type"), *[col(c) for c in z_scores],
+        *identity, *[col(c) for c in names.SCORES + drivers],
+        F.lit(model_type).alias("model_type"), *[col(c) for c in z_scores],
         F.lit(names.SCORING_VERSION).alias("scoring_version"),
         F.lit(scored_at).cast("timestamp").alias("scored_at"),
     ]

@@ -13,6 +13,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Scratch tables this process has written, by the application that wrote them.
+_WRITTEN: dict[str, list[str]] = {}
+
 # Tables with at most this many bytes may be broadcast; anything larger is shuffled.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -54,7 +57,22 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables of this application and return how many there were.
+
+    Results read them until they are written themselves, so call it after the last result is.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+    return len(paths)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -4,24 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline import names
+from plumbline.functions.expressions import col
 
 DEFAULT_OUTPUTS = (names.SCORES_TABLE, names.REVIEW_TABLE)
+# Missing values are written as \N, so that an empty text is not taken for one.
+CSV_OPTIONS = {"header": True, "escape": '"', "nullValue": "\\N"}
+
+
+def escape_lines(text: Column) -> Column:
+    """Backslash, line feed and carriage return as two-character codes: one record is one line."""
+    coded = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(coded, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def unescape_lines(text: Column) -> Column:
+    """Undo `escape_lines`: a backslash's code is set aside before the other two are read."""
+    mark = F.lit("\0")
+    plain = F.replace(text, F.lit("\\\\"), mark)
+    plain = F.replace(F.replace(plain, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    return F.replace(plain, mark, F.lit("\\"))
+
+
+def csv_ready(df: DataFrame) -> DataFrame:
+    return df.select(*[
+        escape_lines(col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else col(f.name)
+        for f in df.schema.fields])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header line in every part; the order of rows across parts is not a contract."""
-    df.write.option("header", True).option("escape", '"').csv(path)
+    """CSV with a header line in every part; the order of rows across parts is not a contract.
+
+    Line breaks inside texts are escaped, so files stay splittable; `read_scores_csv` undoes it.
+    """
+    csv_ready(df).write.options(**CSV_OPTIONS).csv(path)
 
 
 def publish_output(df: DataFrame, root: str, name: str, fmt: str = "parquet") -> str:
     """Write one result below ``root``, replacing the previous one, and return where it is."""
     uri = f"{root.rstrip('/')}/{name}"
-    writer = df.write.mode("overwrite").format(fmt)
+    writer = (csv_ready(df) if fmt == "csv" else df).write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        writer = writer.options(**CSV_OPTIONS)
     writer.save(uri)
     return uri
 

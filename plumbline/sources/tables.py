@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from plumbline import names
 from plumbline.functions.expressions import col
+from plumbline.sinks.outputs import CSV_OPTIONS, unescape_lines
 
 
 def load_filings_table(
@@ -63,11 +64,8 @@ def read_feature_keys(spark: SparkSession, path: str) -> list[str]:
 
 def scores_schema(features: Sequence[str], n_drivers: int = names.N_DRIVERS) -> T.StructType:
     """Types of the score table, so reading it back never guesses (leading zeros, ticker "NA")."""
-    text = ["ticker", "company_name", "cik", "form_type", "report_date", "filing_date", "filing_url"]
-    numbers = ["anomaly_score_0_100", "mahalanobis_distance", "self_history_score",
-               "peer_relative_score", "combined_signal_strength"]
-    fields = [(c, "string") for c in text] + [(c, "double") for c in numbers]
-    fields.append(("num_features_used", "integer"))
+    fields = [(c, "string") for c in names.IDENTITY]
+    fields += [(c, "integer" if c == "num_features_used" else "double") for c in names.SCORES]
     for i in range(1, n_drivers + 1):
         fields += [(f"top_driver_{i}", "string"), (f"top_driver_{i}_value", "double")]
     fields.append(("model_type", "string"))
@@ -83,7 +81,8 @@ def scores_schema(features: Sequence[str], n_drivers: int = names.N_DRIVERS) ->
 def read_scores_csv(
     spark: SparkSession, path: str, features: Sequence[str], n_drivers: int = names.N_DRIVERS,
 ) -> DataFrame:
-    return (
-        spark.read.schema(scores_schema(features, n_drivers)).option("header", True)
-        .option("escape", '"').option("multiLine", False).csv(path)
-    )
+    """Scores written by `write_csv`: missing and empty text stay apart, line breaks come back."""
+    raw = spark.read.schema(scores_schema(features, n_drivers)).options(**CSV_OPTIONS).csv(path)
+    return raw.select(*[
+        unescape_lines(col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType)
+        else col(f.name) for f in raw.schema.fields])

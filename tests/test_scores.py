@@ -85,11 +85,10 @@ def test_percentile_scores_share_ties(spark):
 
 
 @pytest.mark.parametrize("options", [
-    {}, {"single_task_values": 7}, {"single_task_values": 7, "row_bytes": 1 << 22,
+    {}, {"range_values": 7}, {"range_values": 7, "row_bytes": 1 << 22,
                                     "hot_value_rows": 50}])
-def test_percentile_scores_every_path(spark, options, monkeypatch):
-    """Single ranking, ranges, and the shuffle join with a value held by a third of the rows."""
-    monkeypatch.setattr(ranking, "MAX_RANGES", 9)
+def test_percentile_scores_every_path(spark, options):
+    """Few and many ranges, and the shuffle join with a value held by a third of the rows."""
     rng = np.random.default_rng(2)
     x = np.where(rng.random(900) < 1 / 3, 3.0, rng.integers(0, 60, 900)).astype(float)
     x[:20] = np.nan
