@@ -132,10 +132,17 @@ def percentile(value, alias):
 
 def scored_events():
     """CTE `scored`: the whole score table of the event panel with the sum-of-squares distance."""
-    f = EVENT_FEATURES
-    return (EVENTS + "," + blended("event_panel", f) + driver_ctes(f) + f""",
+    return EVENTS + "," + scored_by_squares("event_panel", EVENT_FEATURES)
+
+
+def scored_by_squares(source, f):
+    """CTEs up to `scored` from a panel: four features, holes at the median in the distance."""
+    medians = cols(f"median({x}) AS m_{x}" for x in f)
+    filled = cols(f"coalesce({x}, m_{x}) AS {x}" for x in f)
+    return (blended(source, f) + driver_ctes(f) + f""",
+filled AS (SELECT ticker, report_date, {filled} FROM clipped, (SELECT {medians} FROM clipped)),
 measured AS (SELECT ticker, report_date,
-    ({f[0]} * {f[0]} + {f[1]} * {f[1]}) + ({f[2]} * {f[2]} + {f[3]} * {f[3]}) AS d2 FROM clipped),
+    ({f[0]} * {f[0]} + {f[1]} * {f[1]}) + ({f[2]} * {f[2]} + {f[3]} * {f[3]}) AS d2 FROM filled),
 ranked AS (SELECT *, {percentile('d2', 'anomaly_score_0_100')} FROM measured),
 scored AS (
   SELECT b.ticker, '' AS company_name, '' AS cik, CAST(NULL AS VARCHAR) AS form_type, b.report_date,
@@ -310,6 +317,10 @@ SELECT ticker, company_name, cik, '10-Q' AS form_type, report_date, filing_date,
        {r6('CASE WHEN t % 2 = 0 THEN quantity END', 'mix_ed_key')}
 FROM accepted"""
 
+_CHAIN = ["revenue_total", "f_2yr_tax", "n_lines_", "mix_ed_key"]
+_FLAT_NUMBERS = cols([r6("revenue", "revenue_total"), r6("tax", "f_2yr_tax"), r6("n_lines", "n_lines_"),
+                      r6("CASE WHEN t % 2 = 0 THEN quantity END", "mix_ed_key")])
+
 ACCOUNTS = PANEL + """,
 accounts AS (
   SELECT ticker, report_date, revenue * tax AS receivables, revenue AS sales,
@@ -508,6 +519,29 @@ ORACLE: dict[str, str] = {
     "bundle_malformed":
         f"WITH {FILINGS} SELECT ticker || '/' || report_date AS path FROM filings "
         "WHERE t % 17 = 0 AND n_lines % 3 = 0",
+    "bundle_pruned":
+        f"WITH {EVENT_FILINGS} {_ACCEPT} SELECT ticker, report_date, {r6('revenue', 'revenue_total')} "
+        "FROM accepted WHERE t % 3 = 0 AND t < 150",
+    "bundle_counts": f"""WITH {EVENT_FILINGS}, r AS (
+        SELECT CASE WHEN t % 17 = 0 AND n_lines % 3 = 0 THEN 'malformed' WHEN n_lines % 7 = 0 THEN 'other_form'
+          WHEN (t + y) % 11 = 0 THEN 'no_ticker' WHEN t % 13 = 0 AND n_lines % 2 = 0 THEN 'no_features' END
+          AS reason FROM filings)
+        SELECT 'documents' AS reason, count(*) AS n FROM r
+        UNION ALL SELECT k, count(reason) FROM (VALUES ('malformed'), ('other_form'), ('no_ticker'),
+          ('not_listed'), ('no_features')) v(k) LEFT JOIN r ON reason = k GROUP BY k""",
+    "flatten_job": f"WITH {EVENT_FILINGS} {_ACCEPT} SELECT ticker, report_date, {_FLAT_NUMBERS} FROM accepted",
+    "table_flatten_job":
+        f"WITH {PANEL} SELECT ticker, strftime(report_date, '%Y-%m-%d') AS report_date, "
+        f"'10-Q' AS form_type, {all_r6(FEATURES)} FROM panel",
+    "three_jobs": f"""WITH {EVENT_FILINGS} {_ACCEPT},
+        flat AS (SELECT ticker, company_name, report_date, filing_date, filing_url, revenue AS revenue_total,
+          tax AS f_2yr_tax, n_lines AS n_lines_, CASE WHEN t % 2 = 0 THEN quantity END AS mix_ed_key
+          FROM accepted), {scored_by_squares('flat', _CHAIN)},
+        top AS (SELECT * FROM scored ORDER BY anomaly_score_0_100 DESC NULLS LAST,
+          mahalanobis_distance DESC NULLS LAST, ticker, report_date LIMIT 30)
+        SELECT {_PACK.replace('company_name', 'flat.company_name').replace('filing_date', 'flat.filing_date').replace('filing_url', 'flat.filing_url')},
+          {summary_text()} AS driver_summary, {all_r6(_CHAIN)}, '2024-01-01 00:00:00' AS scored_at
+        FROM top JOIN flat USING (ticker, report_date)""",
     "json_flatten":
         "SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events",
     "features_round_trip":

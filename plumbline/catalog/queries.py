@@ -14,7 +14,7 @@ from plumbline.catalog.panels import (
     sparse_panel,
     supplier_panel, table,
 )
-from plumbline.functions.expressions import col, safe_name
+from plumbline.functions.expressions import col, safe_name, split_list
 from plumbline.operators.dedup import feature_profile, first_per_key
 from plumbline.operators.drivers import summary_scores, top_drivers, with_driver_summary
 from plumbline.operators.mcd import robust_mahalanobis
@@ -28,6 +28,7 @@ from plumbline.operators.zscores import (
     QUARTILES, combine_zscores, peer_zscores, sector_peer_zscores, self_and_peer_zscores,
     self_history_zscores,
 )
+from plumbline.plans.flatten import flatten_bundle_folder, flatten_filings_table
 from plumbline.plans.review import build_review_pack
 from plumbline.plans.scoring import score_filings
 from plumbline.plans.synthesis import (
@@ -37,10 +38,11 @@ from plumbline.session import materialize, scratch_path
 from plumbline.sinks.outputs import publish_outputs, write_csv
 from plumbline.sources.bundles import (
     accepted_bundles, allow_list, feature_key_table, first_entities, flatten_bundles,
-    flatten_feature_map, load_bundles, malformed_bundles, parse_bundles,
+    flatten_feature_map, load_bundles, malformed_bundles, parse_bundles, scan_bundles,
 )
 from plumbline.sources.tables import (
-    discover_features, load_filings_table, read_feature_keys, read_feature_lines, read_scores_csv,
+    discover_features, load_filings_table, read_feature_keys, read_feature_lines, read_features,
+    read_scores_csv,
     write_feature_keys, write_features,
 )
 
@@ -392,6 +394,73 @@ def bundle_scan(spark, sf):
     return _flat_output(load_bundles(spark, root, file_glob="*.txt"))
 
 
+def _bundle_folder(spark, sf, copies=1):
+    """Bundle files in a folder per ticker, and beside them files of another suffix."""
+    root = scratch_path(spark, "bundles")
+    files = bundle_texts(event_filings(spark, sf)).select(
+        "text", F.col("ticker").alias("folder"), F.col("report_date").alias("day"))
+    for _ in range(copies):
+        files.repartition(64, "folder", "day").write.mode("append").partitionBy("folder", "day").text(root)
+    files.withColumn("text", F.lit("{}")).repartition(16, "folder").write.mode("append") \
+        .partitionBy("folder", "day").json(root)
+    return root
+
+
+def bundle_pruned(spark, sf):
+    """Only the folders of chosen tickers are listed, only files of the right suffix read."""
+    root = _bundle_folder(spark, sf)
+    chosen = [f"folder={n}" for n in range(0, 150, 3)]
+    kept = accepted_bundles(scan_bundles(spark, root, chosen, "*.txt"))
+    return flatten_bundles(kept).table.select("ticker", "report_date", r6("revenue_total"))
+
+
+def bundle_counts(spark, sf):
+    """How many documents of a folder were read and left out."""
+    counts = load_bundles(spark, _bundle_folder(spark, sf), file_glob="*.txt").counts
+    return spark.createDataFrame(list(counts.items()), "reason string, n long")
+
+
+def flatten_job(spark, sf):
+    """Bundles to written features and keys, both read back."""
+    features_at, keys_at = scratch_path(spark, "features"), scratch_path(spark, "keys")
+    flatten_bundle_folder(spark, _bundle_folder(spark, sf), features_path=features_at,
+                          keys_path=keys_at, file_glob="*.txt")
+    back = read_features(spark, features_at)
+    return rounded(back, KEYS, read_feature_keys(spark, keys_at))
+
+
+def table_flatten_job(spark, sf):
+    """A filings table to written features and keys, both read back."""
+    features_at, keys_at = scratch_path(spark, "features"), scratch_path(spark, "keys")
+    filings = filing_panel(spark, sf).withColumnRenamed("form_type", "form")
+    flatten_filings_table(spark, filings, features_path=features_at, keys_path=keys_at)
+    return rounded(read_features(spark, features_at), [*KEYS, "form_type"], read_feature_keys(spark, keys_at))
+
+
+def three_jobs(spark, sf):
+    """Flatten, score and review as three jobs that meet in files; every bundle is there twice."""
+    root = scratch_path(spark, "three-jobs")
+    features_at, keys_at, scores_at = (f"{root}/{name}" for name in ("features", "keys", "scores"))
+    tickers = split_list(F.lit(" ,".join(str(n) for n in range(150))))
+    wanted = spark.range(1).select(F.explode(tickers).alias("t")).collect()
+    flatten_bundle_folder(spark, _bundle_folder(spark, sf, copies=2), features_path=features_at,
+                          keys_path=keys_at, file_glob="*.txt")
+    keys = read_feature_keys(spark, keys_at)
+    flat = read_features(spark, features_at)
+    listed = allow_list(flat, F.col("ticker"), [r["t"] for r in wanted])
+    write_csv(score_filings(listed, keys, distance="l2", scored_at=SCORED_AT, ordered=False), scores_at)
+    pack = build_review_pack(read_scores_csv(spark, scores_at, keys), flat, keys, 30)
+    published, _ = publish_outputs({names.SCORES_TABLE: read_scores_csv(spark, scores_at, keys),
+                                    names.REVIEW_TABLE: pack}, f"{root}/published")
+    scored = spark.read.parquet(published[names.SCORES_TABLE]).select(*KEYS, "scored_at")
+    shown = spark.read.parquet(published[names.REVIEW_TABLE])
+    numbers = {"mahalanobis_distance", "self_history_score", "peer_relative_score",
+               "combined_signal_strength", *keys}
+    return shown.join(scored, KEYS).select(
+        *[r6(c) if c in numbers else col(c) for c in shown.columns],
+        F.date_format("scored_at", "yyyy-MM-dd HH:mm:ss").alias("scored_at"))
+
+
 def json_flatten(spark, sf):
     events = table(spark, sf, "events").select(
         "event_id", F.parse_json("props").alias("props"))
@@ -527,6 +596,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bundle_keys": bundle_keys,
     "bundle_malformed": bundle_malformed,
     "bundle_scan": bundle_scan,
+    "bundle_pruned": bundle_pruned,
+    "bundle_counts": bundle_counts,
+    "flatten_job": flatten_job,
+    "table_flatten_job": table_flatten_job,
+    "three_jobs": three_jobs,
     "json_flatten": json_flatten,
     "features_round_trip": features_round_trip,
     "m_score": earnings_quality,

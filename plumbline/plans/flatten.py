@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,9 +19,10 @@ def flatten_bundle_folder(
     spark: SparkSession, root: str, form_type: str = names.DEFAULT_FORM,
     max_tickers: int | None = None, tickers: Sequence[str] | None = None,
     features_path: str | None = None, keys_path: str | None = None,
+    file_glob: str = "*" + names.BUNDLE_SUFFIX,
 ) -> FlatFilings:
     """Flatten a folder of bundles; with paths, also write the features and the key list."""
-    flat = load_bundles(spark, root, form_type, max_tickers, tickers)
+    flat = load_bundles(spark, root, form_type, max_tickers, tickers, file_glob)
     return _written(spark, flat, features_path, keys_path)
 
 
@@ -38,7 +40,7 @@ def flatten_filings_table(
 def _written(spark, flat: FlatFilings, features_path, keys_path) -> FlatFilings:
     if features_path:
         write_features(flat.table, features_path)
-        flat = FlatFilings(spark.read.parquet(features_path), flat.features, flat.collisions)
+        flat = replace(flat, table=spark.read.parquet(features_path))
     if keys_path:
         write_feature_keys(spark, flat.features, keys_path)
     return flat

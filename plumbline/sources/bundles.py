@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from plumbline import names
 from plumbline.functions.expressions import col, finite, safe_name
 from plumbline.operators.groups import attach_small
+from plumbline.session import materialize
 
 # --- fixed values: the layout of a bundle --------------------------------------------------------
 BUNDLE_SCHEMA = """
@@ -38,16 +39,19 @@ FEATURE_MAP = "engineered_anomaly_features"
 SOURCE_PATH = "source_path"
 _CORRUPT = "_corrupt_record"
 _NUMERIC = "^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
-_ISIN_LIMIT = 1000
+# Feature keys a flat table may have; keys are columns, so more are a fault of the documents.
+MAX_KEYS = 20_000
 
 
 @dataclass(frozen=True)
 class FlatFilings:
-    """Flat table, ordered feature names, and feature keys that shared one column name."""
+    """Flat table, ordered feature names, feature keys that shared one column name, and how many
+    documents were read, accepted and left out for what reason."""
 
     table: DataFrame
     features: list[str]
     collisions: dict[str, list[str]] = field(default_factory=dict)
+    counts: dict[str, int] = field(default_factory=dict)
 
 
 def last_key_wins(spark: SparkSession) -> None:
@@ -59,7 +63,10 @@ def scan_bundles(
     spark: SparkSession, root: str, tickers: Sequence[str] | None = None,
     file_glob: str = "*" + names.BUNDLE_SUFFIX, ignore_unreadable: bool = False,
 ) -> DataFrame:
-    """One row per bundle file below ``root``; with tickers, only their folders are listed."""
+    """One row per bundle file below ``root``; with tickers, only their folders are listed.
+
+    Folders of tickers that are not there are no error, a missing root is one.
+    """
     last_key_wins(spark)
     path = root.rstrip("/")
     if tickers:
@@ -74,7 +81,9 @@ def scan_bundles(
     try:
         return reader.json(path).select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
     except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+        at = spark._jvm.org.apache.hadoop.fs.Path(root)
+        there = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+        if missing.getCondition() != "PATH_NOT_FOUND" or not there:
             raise
         return spark.createDataFrame([], f"{schema}, {SOURCE_PATH} string")
 
@@ -121,12 +130,7 @@ def accepted_bundles(
 
 
 def allow_list(df: DataFrame, value: Column, allowed: Sequence[str]) -> DataFrame:
-    allowed = sorted(set(allowed))
-    if len(allowed) <= _ISIN_LIMIT:
-        return df.where(value.isin(allowed))
-    listed = df.sparkSession.createDataFrame([(a,) for a in allowed], "__allowed string")
-    marked = df.withColumn("__allowed", value)
-    return attach_small(marked, listed, ["__allowed"], len(allowed), 64, "left_semi").drop("__allowed")
+    return df.where(value.isin(sorted(set(allowed))))
 
 
 def first_entities(df: DataFrame, entity: str, order: str, n: int) -> DataFrame:
@@ -201,9 +205,28 @@ def _entry(feature_map: str, key: str, kind: str) -> Column:
 def flatten_bundles(bundles: DataFrame) -> FlatFilings:
     """Flat filing table of accepted bundles: metadata, source path, and a column per feature."""
     keep = [F.col(path).alias(name) for name, path in METADATA.items()] + [F.col(SOURCE_PATH)]
+    keys = materialize(feature_key_table(bundles), "feature-keys")
+    found = keys.count()
+    if found > MAX_KEYS:
+        raise ValueError(f"{found} distinct feature keys, more than {MAX_KEYS}: they look generated")
     # One row per distinct feature name, the size of a schema.
-    key_rows = feature_key_table(bundles).collect()
-    return flatten_feature_map(bundles, keep, key_rows)
+    return flatten_feature_map(bundles, keep, keys.collect())
+
+
+def count_bundles(bundles: DataFrame, form_type: str, tickers: Sequence[str] | None) -> dict[str, int]:
+    """Documents read, and those left out, each under the first reason that holds."""
+    ticker = F.col(METADATA["ticker"])
+    allowed = ticker.isin(sorted(set(tickers))) if tickers else F.lit(True)
+    no = lambda condition: ~F.coalesce(condition, F.lit(False))
+    reason = (
+        F.when(F.col(_CORRUPT).isNotNull(), "malformed")
+        .when(no(F.col(METADATA["form_type"]) == form_type), "other_form")
+        .when(no(ticker != ""), "no_ticker").when(no(allowed), "not_listed")
+        .when(no(F.schema_of_variant(F.col(FEATURE_MAP)).rlike("^OBJECT<.+>$")), "no_features"))
+    rows = bundles.groupBy(F.coalesce(reason, F.lit("kept")).alias("reason")).count().collect()
+    counts = {r["reason"]: r["count"] for r in rows}
+    names_of = ("malformed", "other_form", "no_ticker", "not_listed", "no_features")
+    return {"documents": sum(counts.values())} | {name: counts.get(name, 0) for name in names_of}
 
 
 def load_bundles(
@@ -211,6 +234,10 @@ def load_bundles(
     max_tickers: int | None = None, tickers: Sequence[str] | None = None,
     file_glob: str = "*" + names.BUNDLE_SUFFIX, ignore_unreadable: bool = False,
 ) -> FlatFilings:
-    """Scan, filter and flatten the bundles below ``root``."""
-    bundles = scan_bundles(spark, root, tickers, file_glob, ignore_unreadable)
-    return flatten_bundles(accepted_bundles(bundles, form_type, tickers, max_tickers))
+    """Scan, filter and flatten the bundles below ``root``.
+
+    The documents are parsed once, into a written table; keys, counts and columns come from that.
+    """
+    bundles = materialize(scan_bundles(spark, root, tickers, file_glob, ignore_unreadable), "bundles")
+    flat = flatten_bundles(accepted_bundles(bundles, form_type, tickers, max_tickers))
+    return replace(flat, counts=count_bundles(bundles, form_type, tickers))
