@@ -79,6 +79,26 @@ def test_attach_gives_every_row_its_group(spark, skewed, monkeypatch, broadcast_
     assert {r["k"]: r["m"] for r in got} == pytest.approx({**medians, None: None})
 
 
+def test_rows_without_a_key_are_spread_over_the_join(spark, monkeypatch):
+    """With 90 % of the keys missing no task of the shuffle join gets them all."""
+    monkeypatch.setattr(groups, "BROADCAST_BYTES", 0)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 10 == 0, (F.col("id") % 37).cast("string")).alias("k"),
+        F.col("id").cast("double").alias("a"))
+    stats = group_quantiles(df, ["k"], ["a"], (0.5,))
+    for c, v in zip(before, ("-1", "false")):
+        spark.conf.set(c, v)
+    try:
+        joined = attach_group_stats(df, stats)
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(sizes) == 20_000 and max(sizes) < 3 * 20_000 / 8
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
 def test_group_sizes_ignore_missing_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "k string, v int")
     sizes = groups.group_sizes(df, ["k"], 1)

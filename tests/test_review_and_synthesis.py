@@ -78,6 +78,31 @@ def test_m_score_with_a_zero_denominator_is_missing(spark):
     assert [r["m_score"] for r in pl.m_score(df).collect()] == [None, None]
 
 
+@pytest.mark.parametrize("earlier, later", [
+    ("2023-02-28", "2024-02-29"), ("2022-06-25", "2023-07-01"), ("2023-07-01", "2024-06-29"),
+    ("2023-03-31", "2024-04-06"), ("2022-12-31", "2023-12-30")])
+def test_m_score_finds_period_ends_that_drift(spark, earlier, later):
+    rows = [("A", d, *[float(i + 2 + n) for i in range(len(ACCOUNT_COLUMNS))])
+            for n, d in enumerate([earlier, later])] + [("A", "n/a", *[1.0] * len(ACCOUNT_COLUMNS))]
+    df = spark.createDataFrame(rows, "ticker string, report_date string, " + ", ".join(
+        f"{c} double" for c in ACCOUNT_COLUMNS))
+    got = {r["report_date"]: r["sgi"] for r in pl.m_score(df).collect()}
+    assert got == {earlier: None, later: pytest.approx(4 / 3), "n/a": None}
+
+
+def test_top_n_takes_the_distance_among_equal_scores(spark):
+    df = spark.createDataFrame([("A", "d", 100.0, 1.0), ("B", "d", 100.0, 3.0), ("C", "d", 100.0, None),
+                                ("D", "d", None, 9.0), ("E", "d", 50.0, 7.0)],
+                               "ticker string, report_date string, anomaly_score_0_100 double, "
+                               "mahalanobis_distance double")
+    assert [r["ticker"] for r in pl.top_n(df, 4).collect()] == ["B", "A", "C", "E"]
+
+
+def test_a_bad_date_ends_no_job(spark, scores):
+    bad = scores.withColumn("report_date", F.lit("n/a"))
+    assert pl.company_trend(bad).where("calendar_quarter IS NULL").count() > 0
+
+
 def test_tiers_are_half_open(spark):
     df = spark.createDataFrame([(s,) for s in (65.0, 64.9999, 40.0, 39.9999, 20.0, 19.9999, None)],
                                "s double")

@@ -78,6 +78,27 @@ def test_winsorize_and_impute_keep_the_missing_rules(spark):
     assert filled.f1.tolist() == [1.0, 3.0, 5.0] and filled.f2.tolist() == [1.0, 3.0, 2.0]
 
 
+def test_nan_and_infinity_are_missing_at_every_operator(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", "d", nan, 1.0), ("b", "d", inf, 2.0), ("c", "d", 1.0, 3.0), ("e", "d", 2.0, 4.0), ("f", "d", 3.0, nan)]
+    df = frame(spark, rows)
+    clean = frame(spark, [tuple(None if v in (inf,) or v != v else v for v in r) for r in rows])
+    same = lambda one, other: sorted(map(repr, one.collect())) == sorted(map(repr, other.collect()))
+    assert same(pl.winsorize(df, FEATURES), pl.winsorize(clean, FEATURES))
+    assert same(pl.impute_medians(df, FEATURES), pl.impute_medians(clean, FEATURES))
+    assert same(pl.peer_zscores(df, FEATURES).drop(*FEATURES), pl.peer_zscores(clean, FEATURES).drop(*FEATURES))
+    assert same(pl.percentile_scores(df, "f1", "s").select("ticker", "s"),
+                pl.percentile_scores(clean, "f1", "s").select("ticker", "s"))
+    assert same(pl.robust_mahalanobis(df, FEATURES).drop(*FEATURES), pl.robust_mahalanobis(clean, FEATURES).drop(*FEATURES))
+
+
+def test_the_plain_distance_fills_holes_and_names_itself(spark):
+    df = frame(spark, [("a", "d1", None, 1.0), ("b", "d1", 2.0, None), ("c", "d1", 4.0, 3.0)])
+    rows = pl.score_filings(df, FEATURES, distance="l2").collect()
+    assert all(r["mahalanobis_distance"] is not None and r["anomaly_score_0_100"] is not None for r in rows)
+    assert {r["model_type"] for r in rows} == {"sum_of_squares"}
+
+
 def test_percentile_scores_share_ties(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (2.0,), (5.0,), (5.0,), (None,)], "x double")
     got = pl.percentile_scores(df, "x", "s").orderBy(F.col("x").asc_nulls_last()).collect()

@@ -165,6 +165,42 @@ def test_scores_csv_keeps_text_and_numbers(spark, tmp_path):
     assert left == right
 
 
+def test_csv_keeps_line_breaks_empty_text_and_missing_apart(spark, tmp_path):
+    names_of = ["two\nlines", "", None, "back\\slash \\n", "\r\n", "NA", "\\N", 'quo"te, comma']
+    panel = spark.createDataFrame(
+        [(f"T{i}", f"2024-0{q}-01", name, float(i * q), float(q - i)) for i, name in enumerate(names_of)
+         for q in (1, 2)], "ticker string, report_date string, company_name string, f1 double, f2 double")
+    scores = pl.score_filings(panel, ["f1", "f2"], distance="l2")
+    write_csv(scores, str(tmp_path / "csv"))
+    back = T.read_scores_csv(spark, str(tmp_path / "csv"), ["f1", "f2"])
+    shown = lambda df: sorted((r["ticker"], r["report_date"], r["company_name"] or repr(r["company_name"]))
+                              for r in df.collect())
+    assert shown(back) == shown(scores)
+
+
+def test_a_missing_root_is_an_error_and_missing_ticker_folders_are_not(spark, folder):
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException):
+        B.scan_bundles(spark, folder + "-nowhere")
+    with pytest.raises(AnalysisException):
+        B.scan_bundles(spark, folder + "-nowhere", ["AAA"])
+    assert B.scan_bundles(spark, folder, ["XYZ"]).count() == 0
+    assert B.scan_bundles(spark, folder, ["AAA", "XYZ"]).count() == 2
+
+
+def test_flatten_reports_what_it_left_out(spark, folder):
+    assert pl.load_bundles(spark, folder).counts == {
+        "documents": 10, "malformed": 1, "other_form": 2, "no_ticker": 1, "not_listed": 0, "no_features": 1}
+    counts = pl.load_bundles(spark, folder, tickers=["AAA", "BBB"]).counts
+    assert (counts["documents"], counts["no_features"]) == (3, 1)
+
+
+def test_generated_keys_end_the_flatten_with_a_message(spark, folder, monkeypatch):
+    monkeypatch.setattr(B, "MAX_KEYS", 3)
+    with pytest.raises(ValueError, match="distinct feature keys"):
+        pl.load_bundles(spark, folder)
+
+
 def test_publish_outputs_skips_missing_and_replaces(spark, tmp_path):
     root = str(tmp_path / "pub")
     df = spark.range(3).toDF("v")
