@@ -20,11 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import DOUBLE, free_name, ships_by_value, text_bytes
+from plumbline.session import materialize
 
 # Bounded training sample: labelled rows of either class, bytes of a text that may be in it, and bytes
 # of either class together.
-TOXIC_ROWS, ORDINARY_ROWS, TEXT_BYTES, CLASS_BYTES = 1500, 3000, 1 << 16, 8 << 20
-WINDOW = 64
+TOXIC_ROWS, ORDINARY_ROWS, TEXT_BYTES, CLASS_BYTES = 1200, 2000, 1 << 16, 5 << 20
+WINDOW, MIN_MATCH = 64, 5
 BASE_BYTES, TOXIC_BYTES = 4096, 4096
 # A stretch is telling if its bytes come in so many surroundings, so many times as often per byte; the
 # calibration texts decide between the given factors.
@@ -49,7 +50,7 @@ def windows_of(text: bytes) -> list[bytes]:
 
 def compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     settings = zstandard.ZstdCompressionParameters.from_level(
-        3, window_log=15, hash_log=14, chain_log=14, search_log=4, min_match=GRAM,
+        3, window_log=15, hash_log=14, chain_log=14, search_log=4, min_match=MIN_MATCH,
         strategy=zstandard.STRATEGY_GREEDY, write_checksum=False, write_content_size=False,
         write_dict_id=False)
     return zstandard.ZstdCompressor(compression_params=settings, dict_data=zstandard.ZstdCompressionDict(
@@ -83,8 +84,10 @@ def _gram_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
     gap = bytes(AROUND + GRAM)
     run = np.frombuffer(gap.join([b"", *texts, b""]), np.uint8)
     wide = _names(run, GRAM + 2 * AROUND)
-    _, first = np.unique(wide, return_index=True)
-    grams, counts = np.unique(_names(run, GRAM)[AROUND:AROUND + len(wide)][first], return_counts=True)
+    places = len(wide)
+    first = np.unique(wide, return_index=True)[1]
+    del wide
+    grams, counts = np.unique(_names(run, GRAM)[AROUND:AROUND + places][first], return_counts=True)
     return grams, counts, len(first)
 
 
@@ -213,16 +216,23 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
 def train_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text") -> ToxicModel:
     """Model from a bounded sample of the labelled rows outside the held-out fold.
 
-    Only the text and the label are looked at. Of each class the rows whose hashed texts come first are
-    taken, up to CLASS_BYTES; texts beyond TEXT_BYTES are only scored.
+    Of each class the labelled ids whose hashes come first are drawn, a fixed number, and their texts are
+    looked up in one scan; up to CLASS_BYTES of them train. Texts beyond TEXT_BYTES are only scored.
     """
-    known = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull()).select("doc_id", "toxic")
-    rows = docs.select("doc_id", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")) \
-        .where((F.octet_length("text") > 0) & (F.octet_length("text") <= TEXT_BYTES)) \
-        .join(known, "doc_id").select("text", "toxic").distinct()
+    known = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()) \
+        .select("doc_id", "toxic").distinct()
+    most = {1: TOXIC_ROWS, 0: ORDINARY_ROWS}
+    # Half as many again as train, as copies and long texts fall away.
+    drawn = [known.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id")
+             .limit(rows + rows // 2) for value, rows in most.items()]
+    drawn = F.broadcast(materialize(drawn[0].union(drawn[1]), "toxic-labels"))  # 4,800 ids at most
+    rows = materialize(
+        docs.select("doc_id", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+        .where((F.octet_length("text") > 0) & (F.octet_length("text") <= TEXT_BYTES))
+        .join(drawn, "doc_id").select("text", "toxic"), "toxic-sample").distinct()
     taken = []
-    for value, most in ((1, TOXIC_ROWS), (0, ORDINARY_ROWS)):
-        sample = rows.where(F.col("toxic") == value).orderBy(F.xxhash64("text"), "text").limit(most)
+    for value, count in most.items():
+        sample = rows.where(F.col("toxic") == value).orderBy(F.xxhash64("text"), "text").limit(count)
         texts = [r["text"].encode(errors="replace") for r in sample.collect()]
         upto = np.cumsum([len(t) for t in texts])
         taken.append(texts[:int(np.searchsorted(upto, CLASS_BYTES, side="right"))])
