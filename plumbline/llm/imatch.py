@@ -146,9 +146,10 @@ def compare_with_edits(docs: DataFrame, lexicon: list[int], text: str = "text")
     ranges = Window.partitionBy().orderBy("bucket")
     around = materialize(firsts, "imatch-firsts")
     last = around.agg(F.max("bucket").alias("b")).first()["b"]
-    ahead = around.select(
-        F.coalesce(F.lag("bucket").over(ranges), F.lit(last)).cast("int").alias("bucket"), "f.*",
-        F.lit(1).alias("copy"))
+    # The range before each; only range numbers are ordered together, the texts stay where they are.
+    before = around.select("bucket", F.coalesce(
+        F.lag("bucket").over(ranges), F.lit(last)).cast("int").alias("before"))
+    ahead = around.join(before, "bucket").select(F.col("before").alias("bucket"), "f.*", F.lit(1).alias("copy"))
     every = placed.withColumn("copy", F.lit(0)).unionByName(ahead) \
         .withColumn("print", fingerprint(terms_of(F.col("text")), lexicon))
     order = Window.partitionBy("bucket").orderBy("copy", F.col("doc_id").asc_nulls_first(), "tie")

@@ -161,5 +161,48 @@ taken AS (
 SELECT doc_id, laid.source, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
 FROM laid JOIN src USING (party) LEFT JOIN taken USING (row_no)""".replace("{seed}", "1")
 
-ORACLE = {"op1_mix_sources": OP1, "op4_format_chats": OP4, "op9_judge_urls": OP9,
+# Op 6: every window of the items against every window of the texts.
+OP6 = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row_no, {_WORDS} AS w0 FROM documents),
+t AS (SELECT doc_id, row_no, CASE WHEN w0 = [''] THEN []::VARCHAR[] ELSE w0 END AS w FROM d),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+i AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[k:k + least(10, len(w)) - 1], ' ') AS win
+  FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS k FROM b WHERE w <> [''])),
+tw AS (
+  SELECT row_no, k, n, array_to_string(w[k:k + n - 1], ' ') AS win
+  FROM (SELECT row_no, w, n, unnest(range(1, len(w) - n + 2)) AS k
+        FROM t, (SELECT DISTINCT n FROM i) WHERE len(w) >= n)),
+hits AS (SELECT row_no, k, tw.n, item FROM tw JOIN i USING (n, win)),
+places AS (SELECT row_no, count(DISTINCT p) AS n_hit FROM (
+  SELECT row_no, unnest(range(k, k + n)) AS p FROM (SELECT DISTINCT row_no, k, n FROM hits)) GROUP BY row_no),
+found AS (SELECT row_no, count(DISTINCT item) AS n_items,
+  string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY row_no)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM t LEFT JOIN places USING (row_no) LEFT JOIN found USING (row_no)"""
+
+# Op 8: every stretch of 100 bytes, in hexadecimal digits.
+OP8 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, k, substr(h, 2 * k + 1, 200) AS stretch
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS k FROM d WHERE len(h) >= 200)),
+again AS (SELECT doc_id, k FROM (
+  SELECT doc_id, k, row_number() OVER (PARTITION BY stretch ORDER BY doc_id, k) AS n FROM s) WHERE n > 1),
+marked AS (SELECT *, CASE WHEN k <= lag(k) OVER w + 100 THEN 0 ELSE 1 END AS new FROM again
+  WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+runs AS (SELECT doc_id, min(k) AS a, max(k) + 100 AS b FROM (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM marked) GROUP BY doc_id, run),
+cut AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs),
+kept AS (
+  SELECT c.doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a)
+      || substr(any_value(h), 2 * max(b) + 1) AS h
+  FROM cut c JOIN d USING (doc_id) GROUP BY c.doc_id)
+SELECT doc_id, len(d.h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+ORACLE = {"op6_find_contamination": OP6, "op8_drop_repeats": OP8, "op1_mix_sources": OP1, "op4_format_chats": OP4, "op9_judge_urls": OP9,
           "op10_scan_licenses": OP10}

@@ -423,46 +423,62 @@ def field_spans(run: bytes, tokens: Tokens, labels: np.ndarray, lo: int, hi: int
     return found
 
 
+# Texts are worked on in parts of about so many bytes, which bounds the arrays.
+PART_BYTES = 1 << 21
+
+
+def spans_of(model: Field, pieces: list[bytes]) -> list[list[dict]]:
+    """Spans of each text, base patterns and field together, by start."""
+    # One line feed after each text, so that no token crosses texts.
+    run = b"\n".join(pieces)
+    starts = np.cumsum([0, *[len(p) + 1 for p in pieces[:-1]]])
+    tokens, labels = label_tokens(model, run, starts)
+    first = np.searchsorted(tokens.begin, starts)
+    last = np.append(first[1:], len(tokens.begin))
+    marked = np.concatenate(([0], np.cumsum(labels != 0)))
+    codes = np.frombuffer(run, np.uint8)
+    special = np.concatenate(([0], np.cumsum(((codes >= 48) & (codes <= 57)) | (codes == 64), dtype=np.int32)))
+    out = []
+    for piece, start, lo, hi in zip(pieces, starts.tolist(), first.tolist(), last.tolist()):
+        if special[start] == special[start + len(piece)] and marked[lo] == marked[hi]:
+            out.append([])
+            continue
+        text = piece.decode(errors="replace")
+        base = base_spans(text)
+        every = [(a, k, b, True) for a, k, b in base]
+        reach = []  # the furthest end among the base spans so far
+        for _, _, b in base:
+            reach.append(max(b, reach[-1] if reach else 0))
+        at, point = start, 0
+        for a, k, b in field_spans(run, tokens, labels, lo, hi):
+            begin = point + len(run[at:a].decode(errors="replace"))
+            end = begin + len(run[a:b].decode(errors="replace"))
+            at, point = b, end
+            earlier = bisect_left(base, (end,))  # base spans that begin before the end
+            if not earlier or reach[earlier - 1] <= begin:
+                every.append((begin, k, end, False))
+        out.append([{"kind": KINDS[k], "begin": a, "end": b, "base": is_base}
+                    for a, k, b, is_base in sorted(every)])
+    return out
+
+
 def spans_udf(model: Field):
     @F.arrow_udf(SPANS)
     def spans(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind_type = pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32()),
-                               ("base", pa.bool_())])
+        kind = pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32()),
+                          ("base", pa.bool_())])
         for column in texts:
             run, bounds = text_bytes(column)
-            # One line feed after each text, so that no token crosses texts.
-            pieces = [run[a:b] for a, b in zip(bounds, bounds[1:])]
-            run = b"\n".join(pieces)
-            starts = np.concatenate(([0], np.cumsum([len(p) + 1 for p in pieces])[:-1])) if pieces else np.zeros(0)
-            tokens, labels = label_tokens(model, run, starts.astype(np.int64))
-            first = np.searchsorted(tokens.begin, starts)
-            last = np.append(first[1:], len(tokens.begin))
-            marked = np.concatenate(([0], np.cumsum(labels != 0)))
-            digit = np.frombuffer(run, np.uint8)
-            special = np.concatenate(([0], np.cumsum(
-                ((digit >= 48) & (digit <= 57)) | (digit == 64), dtype=np.int64)))
-            out = []
-            for piece, start, lo, hi in zip(pieces, starts.astype(np.int64).tolist(), first.tolist(), last.tolist()):
-                if special[start] == special[start + len(piece)] and marked[lo] == marked[hi]:
-                    out.append([])
-                    continue
-                text = piece.decode(errors="replace")
-                base = base_spans(text)
-                every = [(a, k, b, True) for a, k, b in base]
-                reach = []  # the furthest end among the base spans so far
-                for _, _, b in base:
-                    reach.append(max(b, reach[-1] if reach else 0))
-                at, point = start, 0
-                for a, k, b in field_spans(run, tokens, labels, lo, hi):
-                    begin = point + len(run[at:a].decode(errors="replace"))
-                    end = begin + len(run[a:b].decode(errors="replace"))
-                    at, point = b, end
-                    earlier = bisect_left(base, (end,))  # base spans that begin before the end
-                    if not earlier or reach[earlier - 1] <= begin:
-                        every.append((begin, k, end, False))
-                out.append([{"kind": KINDS[k], "begin": a, "end": b, "base": is_base}
-                            for a, k, b, is_base in sorted(every)])
-            yield pa.array(out, pa.list_(kind_type))
+            out, part, held = [], [], 0
+            for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+                if part and held + b - a > PART_BYTES:
+                    out += spans_of(model, part)
+                    part, held = [], 0
+                part.append(run[a:b])
+                held += b - a
+            if part:
+                out += spans_of(model, part)
+            yield pa.array(out, pa.list_(kind))
     return spans
 
 
