@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 import warnings
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,7 +26,7 @@ from plumbline.functions.expressions import col, finite
 from plumbline.functions.matrix import concentrate, squared_distances, whitening
 from plumbline.operators.groups import GROUP_CELLS
 from plumbline.operators.quantiles import column_quantiles
-from plumbline.operators.winsor import fill_medians, squared_norm
+from plumbline.operators.winsor import squared_norm
 from plumbline.session import materialize
 
 # Distinct rows in a bucket of random starts, and starts over all buckets; no bucket has fewer than
@@ -194,6 +194,36 @@ def fit_shape(
     return current
 
 
+def with_filled(df: DataFrame, medians: Mapping[str, float | None]) -> DataFrame:
+    """Add `__f_*`: each feature that has a median, as a number, its holes filled with the median."""
+    return df.select("*", *[
+        F.coalesce(finite(col(f)), F.lit(m)).alias(f"__f_{f}") for f, m in medians.items() if m is not None])
+
+
+def robust_distance(
+    staged: DataFrame, ranges: Mapping[str, tuple[float, float, float] | None],
+    support_fraction: float = names.SUPPORT_FRACTION, random_state: int = names.SEED,
+    out: str = "mahalanobis_distance", cells: int = GROUP_CELLS,
+) -> DataFrame:
+    """The robust distance of a written table with filled features (`with_filled`), which it drops.
+
+    The fit passes over the table many times and reads nothing but the filled features.
+    """
+    used = [f for f, r in ranges.items() if r is not None]
+    varying = [f for f in used if ranges[f][0] != ranges[f][2]]
+    kept = [col(c) for c in staged.columns if c != out and c not in {f"__f_{f}" for f in used}]
+    if not used:
+        return staged.select(*kept, F.lit(None).cast("double").alias(out))
+    n_rows = staged.count()
+    if n_rows < len(used) + 1:
+        return squared_norm(staged, [f"__f_{f}" for f in used], out).select(*kept, F.col(out))
+    if not varying:
+        return staged.select(*kept, F.lit(0.0).alias(out))
+    fitted = fit_shape(
+        staged, [f"__f_{f}" for f in varying], n_rows, support_fraction, random_state, cells)
+    return staged.withColumn(out, fitted.distance()).select(*kept, F.col(out))
+
+
 def robust_mahalanobis(
     df: DataFrame, features: Sequence[str], support_fraction: float = names.SUPPORT_FRACTION,
     random_state: int = names.SEED, out: str = "mahalanobis_distance", cells: int = GROUP_CELLS,
@@ -206,27 +236,12 @@ def robust_mahalanobis(
     and stays out of the fit.
 
     Pass ``ranges`` (least value, median, greatest value per feature, None if wholly missing) when
-    they are known. The filled features are written once: the fit passes over them many times, and
-    each pass then evaluates nothing but the distance.
+    they are known.
     """
     if ranges is None:
         found = column_quantiles(df, features, [0.0, 0.5, 1.0], cells)
         ranges = {f: tuple(q) if n else None for f, (n, q) in found.items()}
-    used = [f for f in features if ranges[f] is not None]
-    medians = {f: ranges[f][1] for f in used}
-    varying = [f for f in used if ranges[f][0] != ranges[f][2]]
-    complete = materialize(fill_medians(df, medians).select(
-        *[col(f).cast("double").alias(f) for f in used]), "complete-features")
-    n_rows = complete.count()
-    if not used:
-        return df.withColumn(out, F.lit(None).cast("double"))
-    kept = [col(c) for c in df.columns if c != out]
-    staged = df.select("*", *[
-        F.coalesce(finite(col(f)), F.lit(medians[f])).alias(f"__f_{f}") for f in used])
-    if n_rows < len(used) + 1:
-        return squared_norm(staged, [f"__f_{f}" for f in used], out).select(*kept, F.col(out))
-    if not varying:
-        return df.withColumn(out, F.lit(0.0))
-    fitted = fit_shape(complete, varying, n_rows, support_fraction, random_state, cells=cells)
-    own = replace(fitted, features=tuple(f"__f_{f}" for f in varying))
-    return staged.withColumn(out, own.distance()).select(*kept, F.col(out))
+    staged = materialize(
+        with_filled(df, {f: ranges[f] and ranges[f][1] for f in features}), "filled-features")
+    return robust_distance(
+        staged, {f: ranges[f] for f in features}, support_fraction, random_state, out, cells)

@@ -13,7 +13,7 @@ from plumbline.functions.expressions import col
 from plumbline.operators.dedup import first_per_key, numeric_features
 from plumbline.operators.drivers import summary_scores, top_drivers
 from plumbline.operators.groups import GROUP_CELLS
-from plumbline.operators.mcd import robust_mahalanobis
+from plumbline.operators.mcd import robust_distance, with_filled
 from plumbline.operators.quantiles import column_quantiles
 from plumbline.operators.ranking import ordered_scores, percentile_scores
 from plumbline.operators.winsor import apply_bounds, squared_norm
@@ -48,13 +48,15 @@ def score_filings(
     found = column_quantiles(
         panel, features, [names.WINSOR_LOWER, 0.5, names.WINSOR_UPPER], cells)
     ranges = {f: tuple(q) if n else None for f, (n, q) in found.items()}
-    clipped = materialize(
-        apply_bounds(panel, {f: r and (r[0], r[2]) for f, r in ranges.items()}), "clipped")
+    medians = {f: r and r[1] for f, r in ranges.items()}
+    limited = apply_bounds(panel, {f: r and (r[0], r[2]) for f, r in ranges.items()})
+    # Clipped features, and filled ones for the fit, in one table.
+    staged = materialize(with_filled(limited, medians) if distance == "mcd" else limited, "clipped")
+    clipped = staged.select(*[col(c) for c in panel.columns])
     if distance == "mcd":
-        measured = robust_mahalanobis(
-            clipped, features, support_fraction, random_state, cells=cells, ranges=ranges)
+        measured = robust_distance(
+            staged, ranges, support_fraction, random_state, cells=cells)
     else:
-        medians = {f: r and r[1] for f, r in ranges.items()}
         measured = squared_norm(clipped, features, medians=medians)
     ranked = percentile_scores(measured)
     scored = combine_zscores(
@@ -64,7 +66,8 @@ def score_filings(
     out = finished.select(*score_columns(
         finished, features, n_drivers, started,
         names.MODEL_TYPE if distance == "mcd" else names.MODEL_TYPE_L2))
-    return ordered_scores(out) if ordered else out
+    # A global sort looks at its input twice, so that is written first.
+    return ordered_scores(materialize(out, "scored")) if ordered else out
 
 
 def score_columns(
