@@ -63,15 +63,19 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def text_bytes(column: pa.Array) -> tuple[bytes, np.ndarray]:
-    """All texts of an Arrow column as one run of UTF-8 bytes, and the bounds of each; null is empty."""
+def text_bytes(column: pa.Array) -> tuple[memoryview, np.ndarray]:
+    """All texts of an Arrow column as one run of UTF-8 bytes, not copied, and the bounds of each.
+
+    A null text is empty. What earlier batches held goes back to the system first.
+    """
+    pa.default_memory_pool().release_unused()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
     bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1] \
         if len(column) else np.zeros(1, np.int64)
     data = column.buffers()[2] if len(column) else None
-    run = data[int(bounds[0]):int(bounds[-1])].to_pybytes() if data is not None else b""
+    run = memoryview(data)[int(bounds[0]):int(bounds[-1])] if data is not None else memoryview(b"")
     return run, bounds - bounds[0]
 
 

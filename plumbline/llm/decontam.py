@@ -29,8 +29,10 @@ SLICE_BYTES = 1 << 20
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
     for c in range(256))
+# ``rest`` is the text without the spans, where that is asked for and there are any.
 HITS = struct_of(
-    n_words=LONG, spans=rows_of(begin=T.IntegerType(), end=T.IntegerType()), items=T.ArrayType(TEXT))
+    n_words=LONG, spans=rows_of(begin=T.IntegerType(), end=T.IntegerType()), items=T.ArrayType(TEXT),
+    rest=TEXT)
 _SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
 
 
@@ -164,30 +166,37 @@ def find_hits(made: Automaton, words: list[bytes]) -> tuple[list[tuple[int, int]
     return [(a, b) for a, b in spans], found
 
 
-def hits_udf(made: Automaton):
+def hits_udf(made: Automaton, cut_text: bool = False):
     @F.arrow_udf(HITS)
     def hits(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
-            run, bounds = text_bytes(column)
-            run = run.translate(_FOLD)
-            counts, spans, items = [], [], []
-            for a, b in zip(bounds, bounds[1:]):
-                words = run[a:b].split()
-                where, found = find_hits(made, words)
-                counts.append(len(words))
-                spans.append([{"begin": x, "end": y} for x, y in where])
-                items.append(sorted(found))
-            yield pa.StructArray.from_arrays(
-                [pa.array(counts, pa.int64()), pa.array(spans, _SPANS),
-                 pa.array(items, pa.list_(pa.string()))], ["n_words", "spans", "items"])
+            yield column_hits(made, column, cut_text)
     return hits
 
 
+def column_hits(made: Automaton, column: pa.Array, cut_text: bool) -> pa.Array:
+    run, bounds = text_bytes(column)
+    counts, spans, items, rests = [], [], [], []
+    for a, b in zip(bounds, bounds[1:]):
+        text = bytes(run[a:b])
+        words = text.translate(_FOLD).split()
+        where, found = find_hits(made, words)
+        counts.append(len(words))
+        spans.append([{"begin": x, "end": y} for x, y in where])
+        items.append(sorted(found))
+        rests.append(without_words(text, where).decode(errors="replace") if cut_text and where else None)
+    return pa.StructArray.from_arrays(
+        [pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string())),
+         pa.array(rests, pa.string())], ["n_words", "spans", "items", "rest"])
+
+
 def find_contamination(
     docs: DataFrame, items: DataFrame, *, window: int = WINDOW, text: str = "text", into: str = "hits",
     item_id: str = "item_id", item_text: str = "text", slice_bytes: int = SLICE_BYTES,
+    cut_text: bool = False,
 ) -> DataFrame:
-    """``docs`` with a column ``into``: n_words, merged word spans hit, and the ids of the items hit.
+    """``docs`` with a column ``into``: n_words, merged word spans hit, the ids of the items hit, and
+    with ``cut_text`` the rest of a text that is hit.
 
     Null and empty texts have no words; items without words hit nothing; without items nothing is hit.
     An item may be listed several times. Rows of ``docs`` come back once each. The items are collected
@@ -202,7 +211,7 @@ def find_contamination(
     for k in range(slices):
         rows = slim.where(part == k).collect()  # one slice, bounded in bytes
         made = build_automaton([(r["item"] or "", r["text"].encode()) for r in rows], window)
-        found = hits_udf(made)(F.col(text))
+        found = hits_udf(made, cut_text and slices == 1)(F.col(text))
         if slices == 1:
             return out.withColumn(into, found)
         # Later passes add to what the earlier ones found.
@@ -212,9 +221,20 @@ def find_contamination(
             more = free_name(out, "more")
             out = materialize(out.withColumn(more, found).withColumn(
                 into, merge_hits(F.col(into), F.col(more))).drop(more), "hits")
+    if cut_text:
+        out = out.withColumn(into, F.col(into).withField("rest", cut_words(F.col(text), F.col(into)["spans"])))
     return out
 
 
+@F.arrow_udf(TEXT)
+def cut_words(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    """Texts without the given word spans, null without spans."""
+    run, bounds = text_bytes(texts)
+    cuts = [[(c["begin"], c["end"]) for c in row] for row in spans.to_pylist()]
+    return pa.array([without_words(bytes(run[a:b]), c).decode(errors="replace") if c else None
+                     for a, b, c in zip(bounds, bounds[1:], cuts)], pa.string())
+
+
 def merge_hits(one: Column, other: Column) -> Column:
     @F.arrow_udf(HITS)
     def merged(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -227,9 +247,9 @@ def merge_hits(one: Column, other: Column) -> Column:
                 else:
                     spans.append(dict(s))
             rows.append({"n_words": a["n_words"], "spans": spans,
-                         "items": sorted({*a["items"], *b["items"]})})
+                         "items": sorted({*a["items"], *b["items"]}), "rest": None})
         return pa.array(rows, pa.struct([("n_words", pa.int64()), ("spans", _SPANS),
-                                         ("items", pa.list_(pa.string()))]))
+                                         ("items", pa.list_(pa.string())), ("rest", pa.string())]))
     return merged(one, other)
 
 
@@ -249,34 +269,26 @@ def remove_contamination(
     words are hit; from the others the passages are cut out, with one space left in their place. Clean
     documents, null and empty texts are returned as they are.
     """
-    hits = free_name(docs, "hits")
-    found = find_contamination(docs, items, window=window, text=text, into=hits)
-    spans, n = F.col(hits)["spans"], F.col(hits)["n_words"]
+    found = free_name(docs, "found")
+    hits = find_contamination(docs, items, window=window, text=text, into=found, cut_text=True)
+    spans, n = F.col(found)["spans"], F.col(found)["n_words"]
     longest = F.coalesce(F.array_max(F.transform(spans, lambda s: s["end"] - s["begin"])), F.lit(0))
-    kept = found.where((longest <= max_words)
-                       & (hit_words(F.col(hits)) <= F.lit(max_coverage) * n))
-    return kept.withColumn(text, F.when(F.size(spans) > 0, cut_words(F.col(text), spans))
-                           .otherwise(F.col(text))).drop(hits)
-
-
-@F.arrow_udf(TEXT)
-def cut_words(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    """Texts without the given word spans."""
-    run, bounds = text_bytes(texts)
-    folded = np.frombuffer(run.translate(_FOLD), np.uint8) != 32
-    out = []
-    for a, b, cuts in zip(bounds, bounds[1:], spans.to_pylist()):
-        if not cuts:
-            out.append(run[a:b].decode())
-            continue
-        edges = np.flatnonzero(np.diff(np.concatenate(([0], folded[a:b].view(np.int8), [0]))))
-        pieces, at = [], int(a)
-        for cut in cuts:
-            pieces.append(run[at:int(a) + int(edges[2 * cut["begin"]])])
-            at = int(a) + int(edges[2 * cut["end"] - 1])
-        pieces.append(run[at:b])
-        out.append(b" ".join(p.strip(b" ") for p in pieces).strip(b" ").decode())
-    return pa.array(out, pa.string())
+    clean = hits.where((longest <= max_words)
+                       & (hit_words(F.col(found)) <= F.lit(max_coverage) * n))
+    return clean.withColumn(text, F.when(F.size(spans) > 0, F.col(found)["rest"])
+                            .otherwise(F.col(text))).drop(found)
+
+
+def without_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the given word spans, one space in the place of each."""
+    inside = np.frombuffer(text.translate(_FOLD), np.uint8) != 32
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], inside.view(np.int8), [0]))))
+    pieces, at = [], 0
+    for begin, end in spans:
+        pieces.append(text[at:int(edges[2 * begin])])
+        at = int(edges[2 * end - 1])
+    pieces.append(text[at:])
+    return b" ".join(p.strip(b" ") for p in pieces).strip(b" ")
 
 
 ships_by_value(__name__)

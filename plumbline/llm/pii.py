@@ -251,68 +251,68 @@ def train_field(table: list[list[tuple[str, str]]], rounds: int = 150, rate: flo
     return Field(weights[:-1].astype(np.float32), moves.astype(np.float32))
 
 
+# Patterns of the labelled table: {kind count} or {kind least-most} stands for random characters, d digits,
+# l small letters, u capitals and digits, m letters of both cases, h hexadecimal digits; | separates choices.
+_LABELLED = {
+    "email": ("{l2-9}.{d2}@{l2-8}.example.com", "{l3-12}@{l3-9}.{l2-3}", "{l2-6}{d1-3}@{l3-9}.{l2-3}"),
+    "ip": ("{d1-2}.{d1-2}.{d1-2}.{d1-2}", "1{d2}.{d1-2}.1{d2}.{d1-2}", "{d2}.1{d2}.{d2}.1{d2}"),
+    "card": ("4{d15}", "{d4} {d4} {d4} {d4}", "{d4}-{d4}-{d4}-{d4}"),
+    "phone": ("+{d1-2} ({d3}) {d3}-{d4}", "({d3}) {d3}-{d4}", "{d3}-{d3}-{d4}", "+{d1-2} {d3} {d3} {d4}"),
+    "secret": ("AKIA{u16}", "sk-{m20-36}", "ghp_{m20-36}", "xoxb-{m20-36}", "password={h10-20}",
+               "secret={h10-20}", "token={h10-20}", "pwd={h10-20}", "key={h10-20}"),
+    "account": ("{u2}{d18-22}", "{d3}-{d2}-{d4}"),
+}
+# Cue words before a labelled token.
+_AFTER_CUE = (
+    ("phone", ("call", "tel", "phone:", "mobile"), "{d3} {d3} {d4}"),
+    ("secret", ("api_key =", "token =", "secret :", "key =", "token :"), '"{h16-40}"'),
+    ("secret", ("key:", "token:", "password:", "secret:"), "{m12-32}"),
+)
+# What is no personal data though it has digits or marks.
+_PLAIN = (
+    "{d1-4}", "{d1}.{d1}", "{d1}.{d1}.", "{d1-2}%", "{d1-3},{d3}", "v{d1}.{d1-2}", "19{d2}", "20{d2}",
+    "({d1-2})", "#{d1-4}", "{l1-4}{d1-2}", "{d2}:{d2}", "20{d2}-{d2}-{d2}", "{d1-2}/{d1-2}/20{d2}",
+    "{l2-8}-{d1-2}", "{d6-9}", "${d1-5}", "{d1-2}x{d1-2}", "{l2-9}***", "{l2-9}###", "{l2-9}&&&",
+    "{l2-9}%%%", "{l2-9}$$$", "{l2-9}.***", '"{l2-9}"', "({l2-9})", "{l2-6}/{l2-6}", "--", "=", "-", "/",
+    "{l1-6}={l1-6}", "https://{l3-9}.example/{l2-7}", "@{l3-9}", "{l3-8}_{l3-8}", "+{d1-2}",
+)
+_SETS = {"d": "0123456789", "l": "abcdefghijklmnopqrstuvwxyz", "u": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+         "m": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "h": "0123456789abcdef"}
+
+
 def labelled_table(rows: int = 900, seed: int = 7) -> list[list[tuple[str, str]]]:
-    """The small labelled table: token rows made from a few patterns of each kind, and counterexamples."""
+    """The small labelled table: rows of tokens made from the patterns, among ordinary words."""
     rng = random.Random(seed)
-    letters, digits, hexes = "abcdefghijklmnopqrstuvwxyz", "0123456789", "0123456789abcdef"
-    pick = lambda chars, lo, hi=None: "".join(
-        rng.choice(chars) for _ in range(rng.randint(lo, hi or lo)))
-    upper = letters.upper() + digits
-
-    def word() -> str:
-        plain = pick(letters + "äéñü", 1, 11)
-        return rng.choice([plain] * 8 + [plain.capitalize(), plain + ".", plain + ",", plain.capitalize()])
-
-    def tagged(label: str, *tokens: str) -> list[tuple[str, str]]:
-        return [(t + (rng.choice(["", "", "", ".", ","]) if i == len(tokens) - 1 else ""), label)
-                for i, t in enumerate(tokens)]
-
-    def plain(*tokens: str) -> list[tuple[str, str]]:
-        return [(t, "other") for t in tokens]
-
-    def number() -> str:
-        return rng.choice([pick(digits, 1, 4), f"{pick(digits, 1)}.{pick(digits, 1)}", f"{pick(digits, 1, 2)}%",
-                           f"{pick(digits, 1, 3)},{pick(digits, 3)}", f"v{pick(digits, 1)}.{pick(digits, 1, 2)}",
-                           f"{pick('12', 1)}{pick(digits, 3)}", f"({pick(digits, 1, 2)})", f"#{pick(digits, 1, 4)}",
-                           f"{pick(digits, 1)}.{pick(digits, 1)}.", f"{pick(letters, 1, 4)}{pick(digits, 1, 2)}",
-                           f"{pick(digits, 2)}:{pick(digits, 2)}", f"20{pick(digits, 2)}-{pick(digits, 2)}-{pick(digits, 2)}",
-                           f"{pick(digits, 1, 2)}/{pick(digits, 1, 2)}/20{pick(digits, 2)}", f"{pick(letters, 2, 8)}-{pick(digits, 1, 2)}",
-                           f"{pick(digits, 6, 9)}", f"${pick(digits, 1, 5)}", f"{pick(digits, 1, 2)}x{pick(digits, 1, 2)}"])
-
-    def junk() -> str:
-        return rng.choice([pick(letters, 2, 9) + rng.choice(["***", "###", "&&&", "%%%", "$$$", ".***"]), "|",
-                           f'"{word()}"', f"({word()})", f"{pick(letters, 2, 6)}/{pick(letters, 2, 6)}", "--", "=",
-                           f"{pick(letters, 1, 6)}={pick(letters, 1, 6)}", f"https://{pick(letters, 3, 9)}.example/{pick(letters, 2, 7)}",
-                           f"@{pick(letters, 3, 9)}", f"{pick(letters, 3, 8)}_{pick(letters, 3, 8)}", f"+{pick(digits, 1, 2)}"])
-
-    makers = [
-        lambda: tagged("email", f"{pick(letters, 2, 9)}.{pick(digits, 2)}@{pick(letters, 2, 8)}.example.com"),
-        lambda: tagged("email", f"{pick(letters + digits, 3, 12)}@{pick(letters, 3, 9)}.{pick(letters, 2, 3)}"),
-        lambda: tagged("ip", ".".join(str(rng.randint(0, 255)) for _ in range(4))),
-        lambda: tagged("card", "4" + pick(digits, 15)),
-        lambda: tagged("card", *[pick(digits, 4) for _ in range(4)]),
-        lambda: tagged("card", "-".join(pick(digits, 4) for _ in range(4))),
-        lambda: tagged("phone", f"+{pick('1234', 1, 2)}", f"({pick(digits, 3)})", f"{pick(digits, 3)}-{pick(digits, 4)}"),
-        lambda: tagged("phone", f"({pick(digits, 3)})", f"{pick(digits, 3)}-{pick(digits, 4)}"),
-        lambda: tagged("phone", f"{pick(digits, 3)}-{pick(digits, 3)}-{pick(digits, 4)}"),
-        lambda: plain(rng.choice(["call", "tel", "phone:", "mobile"])) + tagged("phone", pick(digits, 3), pick(digits, 3), pick(digits, 4)),
-        lambda: tagged("phone", f"+{pick('1234', 1, 2)}", pick(digits, 3), pick(digits, 3), pick(digits, 4)),
-        lambda: tagged("secret", "AKIA" + pick(upper, 16)),
-        lambda: tagged("secret", rng.choice(["sk-", "ghp_", "xoxb-"]) + pick(letters + upper, 20, 36)),
-        lambda: tagged("secret", f"{rng.choice(['password', 'secret', 'token', 'pwd', 'key'])}={pick(hexes, 10, 20)}"),
-        lambda: plain(rng.choice(["api_key", "token", "secret", "key"]), rng.choice(["=", ":"])) + tagged("secret", f'"{pick(hexes, 16, 32)}"'),
-        lambda: plain(rng.choice(["key", "token", "password", "secret"]) + ":") + tagged("secret", pick(letters + upper, 12, 32)),
-        lambda: tagged("account", f"{pick('ABCDEFG', 2)}{pick(digits, 18, 22)}"),
-        lambda: tagged("account", f"{pick(digits, 3)}-{pick(digits, 2)}-{pick(digits, 4)}"),
-    ]
+
+    def fill(pattern: str) -> str:
+        return re.sub(r"\{(\w)(\d+)(?:-(\d+))?\}", lambda m: "".join(
+            rng.choice(_SETS[m[1]]) for _ in range(rng.randint(int(m[2]), int(m[3] or m[2])))), pattern)
+
+    def labelled() -> list[tuple[str, str]]:
+        if rng.random() < 0.2:
+            label, cues, pattern = rng.choice(_AFTER_CUE)
+            row = [(t, "other") for t in rng.choice(cues).split()]
+        else:
+            label, row = rng.choice(list(_LABELLED)), []
+            pattern = rng.choice(_LABELLED[label])
+        tokens = fill(pattern).split()
+        tokens[-1] += rng.choice(["", "", "", ".", ","])
+        return row + [(t, label) for t in tokens]
+
+    def words(most: int, plain: float = 0.0) -> list[tuple[str, str]]:
+        row = []
+        for _ in range(rng.randint(0, most)):
+            word = fill("{l1-11}") + rng.choice(["", "", "", "ä", "éñ"])
+            word = rng.choice([word] * 6 + [word.capitalize(), word + ".", word + ","])
+            row.append((fill(rng.choice(_PLAIN)) if rng.random() < plain else word, "other"))
+        return row
+
     table = []
     for _ in range(rows):
-        row = plain(*[word() for _ in range(rng.randint(0, 5))])
+        row = words(5)
         for _ in range(rng.randint(0, 2)):
-            row += rng.choice(makers)()
-            row += plain(*[rng.choice([word, word, word, number, junk])() for _ in range(rng.randint(0, 4))])
-        row += plain(*[rng.choice([word, word, number, number, junk])() for _ in range(rng.randint(1, 5))])
-        table.append(row)
+            row += labelled() + words(4, 0.4)
+        table.append(row + [(fill("{l2-9}"), "other")] + words(4, 0.6))
     return table
 
 
@@ -468,20 +468,24 @@ def spans_udf(model: Field):
         kind = pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32()),
                           ("base", pa.bool_())])
         for column in texts:
-            run, bounds = text_bytes(column)
-            out, part, held = [], [], 0
-            for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
-                if part and held + b - a > PART_BYTES:
-                    out += spans_of(model, part)
-                    part, held = [], 0
-                part.append(run[a:b])
-                held += b - a
-            if part:
-                out += spans_of(model, part)
-            yield pa.array(out, pa.list_(kind))
+            yield pa.array(column_spans(model, column), pa.list_(kind))
     return spans
 
 
+def column_spans(model: Field, column: pa.Array) -> list[list[dict]]:
+    run, bounds = text_bytes(column)
+    out, part, held = [], [], 0
+    for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+        if part and held + b - a > PART_BYTES:
+            out += spans_of(model, part)
+            part, held = [], 0
+        part.append(bytes(run[a:b]))
+        held += b - a
+    if part:
+        out += spans_of(model, part)
+    return out
+
+
 def find_personal_data(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFrame:
     """``docs`` with the column ``into``: spans (kind, begin, end in code points, base) by start.
 
@@ -492,27 +496,37 @@ def find_personal_data(docs: DataFrame, text: str = "text", into: str = "pii") -
 
 
 def mask_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with every span replaced by its kind in brackets, overlapping ones by the first's."""
-    into = free_name(docs, "pii")
-    found = find_personal_data(docs, text, into)
-    return found.withColumn(text, F.when(F.size(into) > 0, mask_spans(F.col(text), F.col(into)))
-                            .otherwise(F.col(text))).drop(into)
+    """``docs`` with every span replaced by its kind in brackets, overlapping ones by the first's.
 
+    Texts without spans, null texts among them, stay as they are.
+    """
+    masked = free_name(docs, "masked")
+    found = docs.withColumn(masked, mask_udf(trained_field())(F.col(text)))
+    return found.withColumn(text, F.coalesce(F.col(masked), F.col(text))).drop(masked)
 
-@F.arrow_udf(TEXT)
-def mask_spans(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    out = []
-    for text, cuts in zip(texts.to_pylist(), spans.to_pylist()):
-        if not cuts:
-            out.append(text)
-            continue
-        pieces, at = [], 0
-        for cut in cuts:
-            if cut["begin"] >= at:
-                pieces += [text[at:cut["begin"]], f"[{cut['kind'].upper()}]"]
-            at = max(at, cut["end"])
-        out.append("".join(pieces) + text[at:])
-    return pa.array(out, pa.string())
+
+def mask_udf(model: Field):
+    @F.arrow_udf(TEXT)
+    def masked(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        """The masked text where there is something to mask, else null."""
+        for column in texts:
+            yield pa.array(column_masked(model, column), pa.string())
+    return masked
+
+
+def column_masked(model: Field, column: pa.Array) -> list[str | None]:
+    run, bounds = text_bytes(column)
+    return [mask_text(bytes(run[a:b]).decode(errors="replace"), spans) if spans else None
+            for a, b, spans in zip(bounds, bounds[1:], column_spans(model, column))]
+
+
+def mask_text(text: str, spans: list[dict]) -> str:
+    pieces, at = [], 0
+    for span in spans:
+        if span["begin"] >= at:
+            pieces += [text[at:span["begin"]], f"[{span['kind'].upper()}]"]
+        at = max(at, span["end"])
+    return "".join(pieces) + text[at:]
 
 
 def span_text(spans: Column) -> Column:

@@ -20,7 +20,6 @@ from collections.abc import Iterator
 from itertools import combinations, repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -61,10 +60,12 @@ def fingerprint_of(words: list[bytes]) -> int:
 def simhash(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Fingerprint of each whole text: A-Z lower-cased, words split at ASCII white space."""
     for column in texts:
-        run, bounds = text_bytes(column)
-        run = run.lower()
-        yield pa.array([fingerprint_of(run[a:b].split()) for a, b in zip(bounds, bounds[1:])],
-                       pa.int64())
+        yield pa.array(fingerprints_of(column), pa.int64())
+
+
+def fingerprints_of(column: pa.Array) -> list[int]:
+    run, bounds = text_bytes(column)
+    return [fingerprint_of(bytes(run[a:b]).lower().split()) for a, b in zip(bounds, bounds[1:])]
 
 
 def hex_fingerprint(fingerprint: Column) -> Column:
@@ -98,15 +99,17 @@ def pivot_tables(fingerprint: Column) -> list[Column]:
     return tables
 
 
-def link_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def link_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spanning links (a, b) of buckets given as lists of distinct fingerprints."""
     masks = np.array(block_masks(), np.uint64)
     pivots = np.array(references(), np.uint64)
     for batch in batches:
         found_a, found_b = [], []
-        sizes = batch["members"].map(len).to_numpy()
+        lists = batch.column(0)
+        starts = lists.offsets.to_numpy()
+        values, sizes = lists.values.to_numpy(zero_copy_only=False), np.diff(starts)
         for size in np.unique(sizes):
-            groups = np.stack(batch["members"].to_numpy()[sizes == size]).astype(np.int64)
+            groups = values[starts[:-1][sizes == size][:, None] + np.arange(size)]
             room = max(1, (1 << 20) // int(size * size))
             for begin in range(0, len(groups), room):
                 members = np.sort(groups[begin:begin + room], axis=1)
@@ -134,7 +137,8 @@ def link_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 found_a.append(members[b, low[b, at]])
                 found_b.append(members[b, at])
         if found_a:
-            yield pd.DataFrame({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], ["a", "b"])
 
 
 def steps_between(spark, masks: list[int]) -> DataFrame:
@@ -159,7 +163,7 @@ def near_links(fingerprints: DataFrame) -> DataFrame:
     buckets = materialize(keyed.join(shared, "key"), "simhash-buckets")
     small = buckets.where(F.col("n") <= BUCKET).groupBy("key") \
         .agg(F.collect_list("fp").alias("members")).select("members") \
-        .mapInPandas(link_buckets, "a long, b long")
+        .mapInArrow(link_buckets, "a long, b long")
 
     large = buckets.where(F.col("n") > BUCKET)
     if large.isEmpty():

@@ -30,8 +30,8 @@ BASE_BYTES, TOXIC_BYTES = 4096, 4096
 # A stretch is telling if its bytes come in so many surroundings, so many times as often per byte; the
 # calibration texts decide between the given factors.
 GRAM, AROUND, LEAST, TIMES = 5, 6, 8, (8.0, 60.0)
-# Windows compressed in one call.
-CALL = 20_000
+# Windows compressed in one call, and bytes of the texts that are worked on together.
+CALL, PART_BYTES = 20_000, 1 << 20
 _LETTERS = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
@@ -243,15 +243,25 @@ def score_udf(model: ToxicModel):
     @F.arrow_udf(DOUBLE)
     def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
-            run, bounds = text_bytes(column)
-            out = []
-            for at in range(0, len(column), 256):
-                part = [run[a:b] for a, b in zip(bounds[at:at + 256], bounds[at + 1:at + 257])]
-                out.append(model.scores(text_figures(part, model.toxic, model.ordinary)))
-            yield pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
+            yield pa.array(column_scores(model, column), pa.float64())
     return scores
 
 
+def column_scores(model: ToxicModel, column: pa.Array) -> np.ndarray:
+    """Scores of a column's texts, in parts of about PART_BYTES."""
+    run, bounds = text_bytes(column)
+    out, part, held = [np.zeros(0)], [], 0
+    for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+        if part and held + b - a > PART_BYTES:
+            out.append(model.scores(text_figures(part, model.toxic, model.ordinary)))
+            part, held = [], 0
+        part.append(bytes(run[a:b]))
+        held += b - a
+    if part:
+        out.append(model.scores(text_figures(part, model.toxic, model.ordinary)))
+    return np.concatenate(out)
+
+
 def score_toxicity(docs: DataFrame, model: ToxicModel, text: str = "text", into: str = "score") -> DataFrame:
     """``docs`` with the score of each whole text in ``into`` (a column of that name is replaced).
 
