@@ -37,8 +37,10 @@ _CHOICES = LIMIT - PREFIX + 1
 MIDDLE = (LIMIT - PREFIX) // 2
 # Long texts are ranked in slices of so many positions.
 SLICE = 1 << 20
-# Prefixes with more rows than this are told apart before the first shuffle, found in every 64th text.
-HOT_ROWS, HOT_SHARE = 1_000_000, 64
+# Prefixes with more rows than this are hot: found in every 64th text, and spread over SPREAD tasks.
+HOT_ROWS, HOT_SHARE, SPREAD = 100_000, 64, 64
+# Hot prefixes (at most one in HOT_ROWS rows) that may be broadcast.
+HOT_BROADCAST = 1_000_000
 # Groups of surroundings up to this many are compared in one task, larger ones by rows of stretches.
 GROUP = 4096
 
@@ -109,24 +111,28 @@ _RANKED = rows_of(code=LONG, around=LONG, at=LONG)
 def ranked_positions(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Per text its sampled positions: name, hash of their surroundings, packed place."""
     for column in texts:
-        run, bounds = text_bytes(column)
-        counts, code, around, places = [0], [], [], []
-        for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
-            n = 0
-            for at in range(a, b - LIMIT + 1, SLICE):
-                end = min(b, at + SLICE + LIMIT - 1)
-                position, first, last, name = sampled_positions(np.frombuffer(run, np.uint8, end - at, at))
-                hashes = (xxhash.xxh64_intdigest(run[x:y], z) for x, y, z in zip(
-                    (at + first).tolist(), (at + last + LIMIT).tolist(), (position - first).tolist()))
-                around.append(np.fromiter(hashes, np.uint64, len(first)))
-                code.append(name)
-                places.append(pack(first + (at - a), position + (at - a), last + (at - a)))
-                n += len(first)
-            counts.append(n)
-        whole = lambda parts, kind: np.concatenate(parts or [np.zeros(0, kind)]).view(np.int64)
-        yield pa.ListArray.from_arrays(pa.array(np.cumsum(counts), pa.int32()), pa.StructArray.from_arrays(
-            [pa.array(whole(code, np.uint64)), pa.array(whole(around, np.uint64)),
-             pa.array(whole(places, np.int64))], ["code", "around", "at"]))
+        yield column_positions(column)
+
+
+def column_positions(column: pa.Array) -> pa.Array:
+    run, bounds = text_bytes(column)
+    counts, code, around, places = [0], [], [], []
+    for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+        n = 0
+        for at in range(a, b - LIMIT + 1, SLICE):
+            end = min(b, at + SLICE + LIMIT - 1)
+            position, first, last, name = sampled_positions(np.frombuffer(run, np.uint8, end - at, at))
+            hashes = (xxhash.xxh64_intdigest(run[x:y], z) for x, y, z in zip(
+                (at + first).tolist(), (at + last + LIMIT).tolist(), (position - first).tolist()))
+            around.append(np.fromiter(hashes, np.uint64, len(first)))
+            code.append(name)
+            places.append(pack(first + (at - a), position + (at - a), last + (at - a)))
+            n += len(first)
+        counts.append(n)
+    whole = lambda parts, kind: np.concatenate(parts or [np.zeros(0, kind)]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(counts), pa.int32()), pa.StructArray.from_arrays(
+        [pa.array(whole(code, np.uint64)), pa.array(whole(around, np.uint64)),
+         pa.array(whole(places, np.int64))], ["code", "around", "at"]))
 
 
 @F.arrow_udf(BYTES)
@@ -216,19 +222,20 @@ def find_repeats(docs: DataFrame, doc: Column, text: str = "text", hot_rows: int
     long_enough = docs.where(F.octet_length(text) >= LIMIT).select(doc.alias("doc"), F.col(text).alias("text"))
     ranked = long_enough.select("doc", F.inline(ranked_positions("text")))
 
-    # Rank at PREFIX bytes. A prefix that very many texts hold is no unique one: its rows pass at once.
+    # Rank at PREFIX bytes. A hot prefix is no unique one: its rows pass, wherever they are counted.
     sample = long_enough.where(F.pmod(F.xxhash64("doc"), F.lit(HOT_SHARE)) == 0) \
         .select(F.inline(ranked_positions("text")))
     hot = materialize(sample.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
                       .where(F.col("n") > hot_rows // HOT_SHARE).select("code"), "suffix-hot")
-    shared = F.count(F.lit(1)).over(Window.partitionBy("code"))
-    if hot.isEmpty():
-        repeated = ranked.withColumn("n", shared).where(F.col("n") > 1).drop("n")
-    else:
-        cold = ranked.join(hot, "code", "left_anti")
-        repeated = cold.withColumn("n", shared).where(F.col("n") > 1).drop("n") \
-            .unionByName(ranked.join(hot, "code", "left_semi"))
-    repeated = materialize(repeated, "suffix-repeated")
+    n_hot = hot.count()
+    hot = hot.withColumn("hot", F.lit(True))
+    marked = ranked.join(F.broadcast(hot) if n_hot <= HOT_BROADCAST else hot, "code", "left") if n_hot \
+        else ranked.withColumn("hot", F.lit(None).cast("boolean"))
+    spread = F.when(F.col("hot"), F.pmod(F.xxhash64("doc", "at"), F.lit(SPREAD))).otherwise(F.lit(0))
+    shared = F.count(F.lit(1)).over(Window.partitionBy("code", "spread"))
+    repeated = materialize(
+        marked.withColumn("spread", spread).withColumn("n", shared)
+        .where((F.col("n") > 1) | F.col("hot")).drop("n", "hot", "spread"), "suffix-repeated")
 
     # Equal surroundings: the earliest stands for all, the others are repeats from end to end.
     stands = repeated.groupBy("code", "around").agg(F.min(F.struct("doc", "at")).alias("first"))
