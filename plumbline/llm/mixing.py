@@ -23,7 +23,8 @@ WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 BLOCK_WORDS = 1024
 BLOCKS_PER_SOURCE = 1000
-SHARD_ROWS = 100_000
+# A source is spread over one shard for so many rows of the table, and over LEAST_SHARDS at least.
+SHARD_ROWS, LEAST_SHARDS = 100_000, 16
 # Strides of the seeded order; of any three, one is prime to a number below 10**18.
 _STRIDES = (1_000_000_007, 998_244_353, 1_000_000_009)
 
@@ -119,7 +120,7 @@ def mix_sources(
         ident.alias("ident"), F.xxhash64(*flat).alias("tie"))
     # A key that is never null joins and partitions alike.
     rows = rows.withColumn("party", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
-    shards = n_shards or max(4, -(-docs.count() // SHARD_ROWS))
+    shards = n_shards or max(LEAST_SHARDS, -(-docs.count() // SHARD_ROWS))
     rows = rows.withColumn("shard", (
         F.conv(F.substring("ident", 1, 8), 16, 10).cast("long") % shards).cast("int"))
     sizes = materialize(rows.groupBy("party", "source", "shard").agg(

@@ -93,7 +93,7 @@ k AS (
   SELECT sum(source_size)::BIGINT AS words, count(*) AS sources,
     greatest(1, least({mixing.BLOCK_WORDS}, sum(source_size) // ({mixing.BLOCKS_PER_SOURCE} * count(*))))
       ::BIGINT AS block,
-    greatest(4, ((SELECT count(*) FROM d) + {mixing.SHARD_ROWS} - 1) // {mixing.SHARD_ROWS}) AS shards
+    greatest({mixing.LEAST_SHARDS}, ((SELECT count(*) FROM d) + {mixing.SHARD_ROWS} - 1) // {mixing.SHARD_ROWS}) AS shards
   FROM s),
 w AS (SELECT s.*, [5, 2, 1][((source_no - 1) % 3 + 1)::INT] AS weight FROM s),
 bite AS (SELECT *, (3 * source_size)::DOUBLE / weight AS bite FROM w),
