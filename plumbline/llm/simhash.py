@@ -241,11 +241,20 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
 
     The row with the smallest doc_id stays; of repeated rows one, and a null doc_id comes last.
     """
+    hashed = simhash(F.col(text))
+    slim = materialize(docs.select("doc_id", hashed.alias("fp")), "simhash")
+    classes = materialize(fingerprint_classes(slim), "simhash-classes")
+    return one_of_each(docs, hashed, slim, classes)
+
+
+def one_of_each(docs: DataFrame, key: Column, slim: DataFrame, classes: DataFrame) -> DataFrame:
+    """One row of ``docs`` of each root, the one with the smallest doc_id.
+
+    ``key`` gives each row's fp, ``slim`` has doc_id and fp of all rows, ``classes`` fp and root.
+    """
     fp, rep_fp, rep_id, copies, place = (
         free_name(docs, n) for n in ("fp", "kept_fp", "kept_id", "copies", "place"))
-    hashed = docs.withColumn(fp, simhash(F.col(text)))
-    slim = materialize(hashed.select("doc_id", F.col(fp).alias("fp")), "simhash")
-    classes = materialize(fingerprint_classes(slim), "simhash-classes")
+    hashed = docs.withColumn(fp, key)
     # One (doc_id, fp) stands for each component.
     stands = materialize(
         slim.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n")).join(classes, "fp")
