@@ -14,7 +14,7 @@ from plumbline.catalog.panels import (
     sparse_panel,
     supplier_panel, table,
 )
-from plumbline.functions.expressions import col, safe_name, split_list
+from plumbline.functions.expressions import col, safe_name
 from plumbline.operators.dedup import feature_profile, first_per_key
 from plumbline.operators.drivers import summary_scores, top_drivers, with_driver_summary
 from plumbline.operators.mcd import robust_mahalanobis
@@ -441,14 +441,11 @@ def three_jobs(spark, sf):
     """Flatten, score and review as three jobs that meet in files; every bundle is there twice."""
     root = scratch_path(spark, "three-jobs")
     features_at, keys_at, scores_at = (f"{root}/{name}" for name in ("features", "keys", "scores"))
-    tickers = split_list(F.lit(" ,".join(str(n) for n in range(150))))
-    wanted = spark.range(1).select(F.explode(tickers).alias("t")).collect()
     flatten_bundle_folder(spark, _bundle_folder(spark, sf, copies=2), features_path=features_at,
                           keys_path=keys_at, file_glob="*.txt")
     keys = read_feature_keys(spark, keys_at)
     flat = read_features(spark, features_at)
-    listed = allow_list(flat, F.col("ticker"), [r["t"] for r in wanted])
-    write_csv(score_filings(listed, keys, distance="l2", scored_at=SCORED_AT, ordered=False), scores_at)
+    write_csv(score_filings(flat, keys, distance="l2", scored_at=SCORED_AT, ordered=False), scores_at)
     pack = build_review_pack(read_scores_csv(spark, scores_at, keys), flat, keys, 30)
     published, _ = publish_outputs({names.SCORES_TABLE: read_scores_csv(spark, scores_at, keys),
                                     names.REVIEW_TABLE: pack}, f"{root}/published")
