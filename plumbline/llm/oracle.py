@@ -204,5 +204,42 @@ SELECT doc_id, len(d.h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_rem
   coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""
 
+# Op 13: every phrase of one to four words counted on its own.
+OP13 = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece_no, lang, piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM pieces),
+phrases AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' '))) AS phrase
+  FROM words, (VALUES (1), (2), (3), (4)) AS sizes(size) WHERE len(ws) >= size),
+found AS (SELECT lang, size, phrase, count(*) AS f FROM phrases GROUP BY ALL HAVING count(*) >= 30),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM words GROUP BY lang),
+longer AS (SELECT *, string_split(phrase, ' ') AS ws FROM found WHERE size > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.k, x.f AS l, y.f AS r,
+    (2000000::HUGEINT * c.f) // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM longer) c
+  JOIN found x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[:c.k], ' ')
+  JOIN found y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.k + 1:], ' ')),
+scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+around AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, f, array_to_string(ws[b:b + s - 1], ' ') AS phrase
+    FROM longer, (VALUES (2), (3)) AS sizes(s), (VALUES (1), (2), (3)) AS begins(b)
+    WHERE s < size AND b + s - 1 <= size) GROUP BY ALL),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, encode(s.phrase)) AS rank
+  FROM scored s LEFT JOIN around o ON o.lang = s.lang AND o.phrase = s.phrase
+  WHERE o.f IS NULL OR 100::HUGEINT * o.f < 80::HUGEINT * s.a)
+SELECT r.lang, r.rank::BIGINT AS rank, r.phrase, r.a::BIGINT AS a, r.l::BIGINT AS l, r.r::BIGINT AS r,
+  t.n, r.score::BIGINT AS score
+FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000
+"""
+
 ORACLE = {"op6_find_contamination": OP6, "op8_drop_repeats": OP8, "op1_mix_sources": OP1, "op4_format_chats": OP4, "op9_judge_urls": OP9,
-          "op10_scan_licenses": OP10}
+          "op10_scan_licenses": OP10, "op13_mine_collocations": OP13}

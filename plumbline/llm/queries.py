@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm import (
-    chat, decontam, imatch, licenses, mixing, pii, simhash, suffix, toxicity, urls,
+    chat, collocations, decontam, imatch, licenses, mixing, pii, simhash, suffix, toxicity, urls,
 )
 from plumbline.llm.common import SPACED_WORD, table, text_of
 from plumbline.session import materialize
@@ -107,6 +107,11 @@ def op10_scan_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf, "documents"))[0]
 
 
+def op13_mine_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.mine_collocations(table(spark, sf, "documents").select("text", "lang"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_find_personal_data, op3_near_duplicates, op4_format_chats, op5_score_toxicity,
-    op6_find_contamination, op7_fingerprint_documents, op8_drop_repeats, op9_judge_urls, op10_scan_licenses)}
+    op6_find_contamination, op7_fingerprint_documents, op8_drop_repeats, op9_judge_urls, op10_scan_licenses,
+    op13_mine_collocations)}
