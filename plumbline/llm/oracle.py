@@ -204,6 +204,42 @@ SELECT doc_id, len(d.h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_rem
   coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""
 
+# Op 11: crc32 bit by bit; every conversation lists its prefixes.
+OP11 = """
+WITH own AS (
+  SELECT conv_id, list(sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) || ' '
+      || len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::VARCHAR
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+crc AS (
+  SELECT conv_id, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+    lambda a, c: list_reduce([xor(a, c)] || range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 4 AS h
+  FROM own),
+rebuilt AS (
+  SELECT o.conv_id, coalesce(b.turns[:c.h], []) || o.turns[c.h + 1:] AS turns
+  FROM own o JOIN crc c USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+steps AS (
+  SELECT conv_id, d, len(turns) AS size, array_to_string(turns[:d], ',') AS path, turns[d] AS step,
+    array_to_string(turns[:d - 1], ',') AS above
+  FROM rebuilt, unnest(range(0, len(turns) + 1)) AS r(d)),
+nodes AS (
+  SELECT d, path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(above) AS above,
+    bool_and(size = d) AS leaf, count(*) FILTER (size > d) AS more,
+    CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * string_split(any_value(step), ' ')[2]::BIGINT END AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d), '')) AS ends_sha256
+  FROM steps GROUP BY d, path),
+children AS (SELECT d - 1 AS d, above AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+-- A node and what is above it meet in the node's smallest member.
+sums AS (
+  SELECT s.d, s.path, sum(n.leaf::BIGINT) AS n_leaves, sum(n.saved) AS saved
+  FROM nodes n JOIN steps s ON s.conv_id = n.conv_id AND s.d <= n.d GROUP BY ALL)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children,
+  s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.d = n.d AND s.path = n.path
+LEFT JOIN children c ON c.d = n.d AND c.path = n.path
+LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.path = n.above
+"""
+
 # Op 13: every phrase of one to four words counted on its own.
 OP13 = r"""
 WITH pieces AS (
@@ -242,4 +278,5 @@ FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000
 """
 
 ORACLE = {"op6_find_contamination": OP6, "op8_drop_repeats": OP8, "op1_mix_sources": OP1, "op4_format_chats": OP4, "op9_judge_urls": OP9,
-          "op10_scan_licenses": OP10, "op13_mine_collocations": OP13}
+          "op10_scan_licenses": OP10, "op11_prefix_trie": OP11,
+          "op13_mine_collocations": OP13}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm import (
-    chat, collocations, decontam, imatch, licenses, mixing, pii, simhash, suffix, toxicity, urls,
+    chat, collocations, decontam, imatch, licenses, mixing, pii, simhash, suffix, toxicity, trie, urls,
 )
 from plumbline.llm.common import SPACED_WORD, table, text_of
 from plumbline.session import materialize
@@ -107,6 +107,18 @@ def op10_scan_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf, "documents"))[0]
 
 
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """All conversations, each rebuilt with the first turns of the one that begins its block of twenty."""
+    paths = materialize(trie.conversation_paths(table(spark, sf, "conversations")), "trie-conversations")
+    begins = F.col("conv_id") - F.col("conv_id") % 20
+    heads = paths.where(F.col("conv_id") % 20 == 0).select(
+        F.col("conv_id").alias("block"), trie.first_turns(F.col("path"), F.lit(3)).alias("head"))
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    rebuilt = paths.withColumn("block", begins).join(heads, "block", "left").select("conv_id", F.concat(
+        trie.first_turns(F.coalesce("head", F.lit(b"")), h), trie.turns_after(F.col("path"), h)).alias("path"))
+    return trie.prefix_trie(rebuilt).drop("turn_id")
+
+
 def op13_mine_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.mine_collocations(table(spark, sf, "documents").select("text", "lang"))
 
@@ -114,4 +126,4 @@ def op13_mine_collocations(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_find_personal_data, op3_near_duplicates, op4_format_chats, op5_score_toxicity,
     op6_find_contamination, op7_fingerprint_documents, op8_drop_repeats, op9_judge_urls, op10_scan_licenses,
-    op13_mine_collocations)}
+    op11_prefix_trie, op13_mine_collocations)}
