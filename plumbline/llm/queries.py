@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm import (
-    chat, collocations, decontam, imatch, licenses, mixing, pii, simhash, suffix, toxicity, trie, urls,
+    chat, collocations, decontam, imatch, licenses, mixing, pii, secrets, simhash, suffix, toxicity, trie, urls,
 )
 from plumbline.llm.common import SPACED_WORD, table, text_of
 from plumbline.session import materialize
@@ -119,6 +119,16 @@ def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     return trie.prefix_trie(rebuilt).drop("turn_id")
 
 
+def op12_find_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in secrets.BASE_KINDS],
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("secrets")).alias("spans"))
+
+
 def op13_mine_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.mine_collocations(table(spark, sf, "documents").select("text", "lang"))
 
@@ -126,4 +136,4 @@ def op13_mine_collocations(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_find_personal_data, op3_near_duplicates, op4_format_chats, op5_score_toxicity,
     op6_find_contamination, op7_fingerprint_documents, op8_drop_repeats, op9_judge_urls, op10_scan_licenses,
-    op11_prefix_trie, op13_mine_collocations)}
+    op11_prefix_trie, op12_find_secrets, op13_mine_collocations)}
