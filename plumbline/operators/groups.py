@@ -34,6 +34,7 @@ class GroupSizes:
     n_hot: int
     n_hot_rows: int
     hot: DataFrame | None
+    largest: int = 0  # rows of the largest group that is not hot
 
 
 def all_present(by: Sequence[str]) -> Column:
@@ -43,25 +44,59 @@ def all_present(by: Sequence[str]) -> Column:
     return present
 
 
+def by_grouping(
+    df: DataFrame, groupings: Sequence[Sequence[str]], payload: Sequence[str] = (),
+    taken: Sequence[Column] | None = None,
+) -> tuple[DataFrame, list[str]]:
+    """One row for each row of ``df`` and grouping whose keys it has: ``__grouping``, all groupings' keys
+    (null where a grouping has no such key) and the payload; and the names of the keys.
+
+    ``taken`` limits each grouping to the rows where its condition holds.
+    """
+    keys = list(dict.fromkeys(c for by in groupings for c in by))
+    taken = taken or [F.lit(True)] * len(groupings)
+    held = [all_present(by) & t for by, t in zip(groupings, taken)]
+    if len(groupings) == 1:
+        return df.where(held[0]).select(
+            F.lit(0).alias("__grouping"), *[col(c) for c in keys], *[col(c) for c in payload]), keys
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    entries = [F.when(h, F.struct(F.lit(i).alias("__grouping"), *[
+        (col(c) if c in by else F.lit(None).cast(kinds[c])).alias(c) for c in keys]))
+        for i, (by, h) in enumerate(zip(groupings, held))]
+    rows = df.select(*[col(c).alias(f"__p{i}") for i, c in enumerate(payload)], F.inline(F.array(*entries)))
+    return rows.where(F.col("__grouping").isNotNull()).select(
+        "__grouping", *[col(c) for c in keys], *[F.col(f"__p{i}").alias(c) for i, c in enumerate(payload)]), keys
+
+
 def group_sizes(df: DataFrame, by: Sequence[str], width: int, cells: int = GROUP_CELLS) -> GroupSizes:
     """Count groups and find the hot ones; rows with a missing key belong to no group."""
+    return groupings_sizes(df, [by], width, cells)[0]
+
+
+def groupings_sizes(
+    df: DataFrame, groupings: Sequence[Sequence[str]], width: int, cells: int = GROUP_CELLS,
+) -> list[GroupSizes]:
+    """``group_sizes`` of several groupings from one pass."""
     hot_rows = max(1, cells // max(1, width))
-    sizes = (
-        df.where(all_present(by)).groupBy(*[col(c) for c in by])
-        .agg(F.count(F.lit(1)).alias("__rows"))
-    )
-    seen = sizes.agg(
-        F.count(F.lit(1)).alias("groups"),
-        F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows"),
-        F.count_if(F.col("__rows") > hot_rows).alias("hot"),
-        F.coalesce(F.sum(F.when(F.col("__rows") > hot_rows, F.col("__rows"))), F.lit(0))
-        .alias("hot_row_count"),
-    ).first()
-    hot = None
-    if seen["hot"]:
-        hot = materialize(
-            sizes.where(F.col("__rows") > hot_rows).select(*[col(c) for c in by]), "hot-keys")
-    return GroupSizes(tuple(by), seen["groups"], seen["rows"], seen["hot"], seen["hot_row_count"], hot)
+    rows, keys = by_grouping(df, groupings)
+    sizes = rows.groupBy("__grouping", *[col(c) for c in keys]).agg(F.count(F.lit(1)).alias("__rows"))
+    is_hot = F.col("__rows") > hot_rows
+    seen = {r["__grouping"]: r for r in sizes.groupBy("__grouping").agg(
+        F.count(F.lit(1)).alias("groups"), F.sum("__rows").alias("rows"), F.count_if(is_hot).alias("hot"),
+        F.coalesce(F.sum(F.when(is_hot, F.col("__rows"))), F.lit(0)).alias("hot_row_count"),
+        F.coalesce(F.max(F.when(~is_hot, F.col("__rows"))), F.lit(0)).alias("largest")).collect()}
+    out = []
+    for i, by in enumerate(groupings):
+        if i not in seen:
+            out.append(GroupSizes(tuple(by), 0, 0, 0, 0, None))
+            continue
+        hot = None
+        if seen[i]["hot"]:
+            hot = materialize(sizes.where((F.col("__grouping") == i) & is_hot)
+                              .select(*[col(c) for c in by]), "hot-keys")
+        out.append(GroupSizes(tuple(by), seen[i]["groups"], seen[i]["rows"], seen[i]["hot"],
+                              seen[i]["hot_row_count"], hot, seen[i]["largest"]))
+    return out
 
 
 def fits_broadcast(rows: int, row_bytes: int) -> bool:

@@ -2,10 +2,9 @@
 
 The fit follows the published FAST-MCD scheme with nested subsets. All rows are dealt into buckets by a
 hash of their features; random starts run in every bucket in parallel; the best starts of all buckets
-then take concentration steps over all rows, several candidates in one pass: the exact distance quantile
-of each, and one pass of counts, sums and products. The best goes on until its determinant no longer
-falls. A consistency factor and one reweighting pass over all rows give the final location and shape. The
-driver holds p-by-p matrices and nothing that grows with the rows.
+then take concentration steps over all rows, several candidates in one scan (`concentration.py`). The best
+goes on until its determinant no longer falls. A consistency factor and one reweighting pass over all rows
+give the final location and shape. The driver holds p-by-p matrices and a bounded number of rows.
 """
 
 from __future__ import annotations
@@ -24,6 +23,7 @@ from plumbline import names
 from plumbline.functions.chi2 import chi2_quantile
 from plumbline.functions.expressions import col, finite
 from plumbline.functions.matrix import concentrate, squared_distances, whitening
+from plumbline.operators.concentration import moments_within, nearest_moments
 from plumbline.operators.groups import GROUP_CELLS
 from plumbline.operators.quantiles import column_quantiles
 from plumbline.operators.winsor import squared_norm
@@ -65,7 +65,7 @@ class Shape:
 
 
 def _best_starts(rows: DataFrame, features: Sequence[str], support_fraction: float, seed: int):
-    """(location, covariance) of the best random starts of all buckets.
+    """(location, covariance, expected cut) of the best random starts of all buckets.
 
     Equal rows are counted once with their copies, so a bucket is bounded however often a row repeats.
     Few buckets are given to several tasks each, which share the starts.
@@ -94,52 +94,22 @@ def _best_starts(rows: DataFrame, features: Sequence[str], support_fraction: flo
             logdet, location, covariance = concentrate(points, copies, pick[:size], h, START_STEPS)
             found.append((bucket, start, logdet, location.tolist(), covariance.ravel().tolist()))
         found = sorted(found, key=lambda f: (f[2], f[1]))[:N_KEPT]
-        return pd.DataFrame(found, columns=["bucket", "start", "logdet", "location", "covariance"])
+        cuts = []  # the distance of the h-th of the bucket's rows
+        for *_, location, covariance in found:
+            whiten, _ = whitening(np.asarray(covariance).reshape(p, p))
+            d = squared_distances(points, np.asarray(location), whiten)
+            near = np.argsort(d)
+            cuts.append(float(d[near][min(n - 1, np.searchsorted(np.cumsum(copies[near]), h))]))
+        return pd.DataFrame(found, columns=["bucket", "start", "logdet", "location", "covariance"]).assign(cut=cuts)
 
     dealt = distinct.withColumn("__bucket", F.pmod(
         F.xxhash64(F.lit(seed), *[col(f) for f in features]), F.lit(buckets))) \
         .withColumn("__share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
     tried = dealt.groupBy("__bucket", "__share").applyInPandas(
-        begin, "bucket long, start int, logdet double, location array<double>, covariance array<double>")
+        begin, "bucket long, start int, logdet double, location array<double>, "
+        "covariance array<double>, cut double")
     best = tried.orderBy("logdet", "bucket", "start").limit(N_KEPT).collect()
-    return [(np.asarray(b["location"]), np.asarray(b["covariance"]).reshape(p, p)) for b in best]
-
-
-def _moments(rows: DataFrame, near: Sequence[Shape], cuts: Sequence[float]):
-    """For each shape the count, mean and covariance of the rows within its cut, all in one pass.
-
-    Products are taken around the shape's location, which keeps them small.
-    """
-    features, p = near[0].features, len(near[0].features)
-    fits = [(s.location, s.whiten, float(cut)) for s, cut in zip(near, cuts)]
-    upper = np.triu_indices(p)
-
-    def partial(batches):
-        amounts = np.zeros((len(fits), 1 + p + len(upper[0])))
-        for batch in batches:
-            x = batch.to_numpy(dtype=float)
-            for k, (centre, whiten, cut) in enumerate(fits):
-                inside = x[squared_distances(x, centre, whiten) <= cut] - centre
-                amounts[k, 0] += len(inside)
-                amounts[k, 1:1 + p] += inside.sum(axis=0)
-                amounts[k, 1 + p:] += (inside.T @ inside)[upper]
-        yield pd.DataFrame({
-            "fit": np.repeat(np.arange(len(fits)), amounts.shape[1]),
-            "place": np.tile(np.arange(amounts.shape[1]), len(fits)), "amount": amounts.ravel()})
-
-    summed = (
-        rows.select(*[col(f) for f in features])
-        .mapInPandas(partial, "fit long, place long, amount double")
-        .groupBy("fit", "place").agg(F.sum("amount").alias("amount")).orderBy("fit", "place").collect())
-    amounts = np.array([r["amount"] for r in summed]).reshape(len(fits), -1)
-    out = []
-    for (centre, _, _), found in zip(fits, amounts):
-        n, shift = int(found[0]), found[1:1 + p] / found[0]
-        products = np.zeros((p, p))
-        products[upper] = found[1 + p:]
-        products = products + np.triu(products, 1).T
-        out.append((n, centre + shift, products / n - np.outer(shift, shift)))
-    return out
+    return [(np.asarray(b["location"]), np.asarray(b["covariance"]).reshape(p, p), b["cut"]) for b in best]
 
 
 def fit_shape(
@@ -158,39 +128,42 @@ def fit_shape(
         whiten, logdet = whitening(covariance)
         return Shape(features, location, whiten, logdet, n_rows, steps)
 
-    def distance_quantiles(shapes, prob):
-        columns = [f"d{k}" for k in range(len(shapes))]
-        measured = rows.select(*[s.distance().alias(c) for s, c in zip(shapes, columns)])
-        found = column_quantiles(measured, columns, [prob], cells, n_rows=n_rows)
-        return [found[c][1][0] for c in columns]
-
     h = max(p + 1, min(n_rows, int(support_fraction * n_rows)))
-    # Half a rank above the h-th distance, so rounding cannot drop the h-th row itself.
-    prob = min(1.0, (h - 0.5) / max(1, n_rows - 1))
-
-    def step(shapes):
-        found = _moments(rows, shapes, distance_quantiles(shapes, prob))
-        return [shape(location, covariance, s.steps + 1) for s, (_, location, covariance) in zip(shapes, found)]
 
-    candidates = [shape(*start, 0) for start in _best_starts(rows, features, support_fraction, random_state)]
+    def step(fits):
+        """Shapes and guesses of their cuts after one step from the given ones."""
+        found = nearest_moments(rows, [(s.location, s.whiten) for s, *_ in fits], h, [g for _, *g in fits])
+        following = []
+        for (before, *_), f in zip(fits, found):
+            after = shape(f.location, f.covariance, before.steps + 1)
+            # A smaller shape measures the same rows as farther away.
+            grows = math.exp(min(50.0, (before.logdet - after.logdet) / p)) \
+                if math.isfinite(before.logdet) and math.isfinite(after.logdet) else 1.0
+            following.append((after, f.cut * grows, f.density / grows))
+        return following
+
+    candidates = [(shape(location, covariance, 0), cut, 0.0) for location, covariance, cut
+                  in _best_starts(rows, features, support_fraction, random_state)]
     for _ in range(CANDIDATE_STEPS):
         candidates = step(candidates)
-    current = min(candidates, key=lambda s: s.logdet)
+    best = min(candidates, key=lambda c: c[0].logdet)
     # To the fixed point: a step that does not lower the determinant repeats the same rows.
-    while current.logdet > float("-inf"):
-        following = step([current])[0]
-        if following.logdet >= current.logdet - 1e-12 * max(1.0, abs(current.logdet)):
+    while best[0].logdet > float("-inf"):
+        following = step([best])[0]
+        if following[0].logdet >= best[0].logdet - 1e-12 * max(1.0, abs(best[0].logdet)):
             break
-        current = following
-        if current.steps % EXPECTED_STEPS == 0:
-            warnings.warn(f"the robust fit still improves after {current.steps} steps", stacklevel=2)
-
-    factor = distance_quantiles([current], 0.5)[0] / chi2_quantile(0.5, p)
+        best = following
+        if best[0].steps % EXPECTED_STEPS == 0:
+            warnings.warn(f"the robust fit still improves after {best[0].steps} steps", stacklevel=2)
+
+    current = best[0]
+    measured = column_quantiles(
+        rows.select(current.distance().alias("d")), ["d"], [0.5], cells, n_rows=n_rows)["d"][1][0]
+    factor = measured / chi2_quantile(0.5, p)
     if factor > 0:
         # Rows strictly nearer than the cut-off.
-        nearer = np.nextafter(factor * chi2_quantile(0.975, p), 0.0)
-        _, location, covariance = _moments(rows, [current], [float(nearer)])[0]
-        current = shape(location, covariance, current.steps)
+        found = moments_within(rows, current.location, current.whiten, factor * chi2_quantile(0.975, p))
+        current = shape(found.location, found.covariance, current.steps)
     return current
 
 

@@ -1,8 +1,9 @@
 """Exact linear-interpolation quantiles, per group or over everything, at any group size.
 
-The values of ordinary groups are sorted by the shuffle and the wanted ranks kept, and a table of
-bounded size takes Spark's `percentile`. Either would put a hot group in one task, so hot groups are
-narrowed instead.
+Which way is taken follows from the measured sizes. Values of small groups travel packed, one array per
+group, feature and map task, all groupings in one shuffle. Where a group is larger, its values are sorted
+by the shuffle and the wanted ranks kept, and a table of bounded size takes Spark's `percentile`. Either
+would put a hot group in one task, so hot groups are narrowed instead.
 Each pass keeps, per group and feature, exact counts around the current bracket and a sketch of a
 bounded random sample of the values strictly inside it; the next bracket is read off the sketch.
 Runs of equal values end up on a bracket edge, where they are counted and not collected. When few
@@ -22,10 +23,12 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.expressions import col, finite
 from plumbline.operators.groups import (
-    GROUP_CELLS, GroupSizes, all_present, attach_small, fits_broadcast, group_sizes, SPREAD,
+    GROUP_CELLS, GroupSizes, all_present, attach_small, by_grouping, fits_broadcast, groupings_sizes, SPREAD,
 )
 from plumbline.session import materialize
 
+# Groups of at most so many cells are packed; Spark holds up to 128 of them side by side in a task.
+PACKED_CELLS = 50_000
 GRID_STEPS = 1000
 SKETCH_ACCURACY = 10_000
 # Values per group, feature and pass that go into a sketch.
@@ -64,18 +67,63 @@ def group_quantiles(
     cells: int = GROUP_CELLS, final_values: int = FINAL_VALUES,
 ) -> GroupStats:
     """Count and quantiles of every feature within every group of ``by``; missing values ignored."""
-    by, features = list(by), list(features)
-    sizes = group_sizes(df, by, len(features), cells)
-    rows = df.where(all_present(by)).select(
-        *[col(c) for c in by], *[finite(col(f)).alias(f) for f in features])
+    return groupings_quantiles(df, [by], features, probs, cells, final_values)[0]
+
+
+def groupings_quantiles(
+    df: DataFrame, groupings: Sequence[Sequence[str]], features: Sequence[str], probs: Sequence[float],
+    cells: int = GROUP_CELLS, final_values: int = FINAL_VALUES,
+) -> list[GroupStats]:
+    """``group_quantiles`` of several groupings, which share the pass over the rows and the shuffle."""
+    groupings, features = [list(by) for by in groupings], list(features)
+    sizes = groupings_sizes(df, groupings, len(features), cells)
+    keys = dict.fromkeys(c for by in groupings for c in by)
+    rows = df.select(*[col(c) for c in keys], *[finite(col(f)).alias(f) for f in features])
+    for i, (by, size) in enumerate(zip(groupings, sizes)):
+        if size.n_hot:
+            rows = attach_small(rows, size.hot.withColumn(f"__hot{i}", F.lit(True)), by, size.n_hot, 64)
+    is_hot = [F.col(f"__hot{i}").isNotNull() if s.n_hot else F.lit(False) for i, s in enumerate(sizes)]
+    packed = [i for i, s in enumerate(sizes) if s.largest * len(features) <= PACKED_CELLS]
     row_bytes = 64 + len(features) * (40 + 8 * len(probs))
-    if not sizes.n_hot:
-        return GroupStats(sizes, _by_sorting(rows, by, features, probs), None, row_bytes)
-    hot_rows = attach_small(rows, sizes.hot, by, sizes.n_hot, 64, "left_semi")
-    cold_rows = attach_small(rows, sizes.hot, by, sizes.n_hot, 64, "left_anti")
-    hot = _by_narrowing(
-        hot_rows, by, features, probs, sizes.n_hot, sizes.n_hot_rows, final_values)
-    return GroupStats(sizes, _by_sorting(cold_rows, by, features, probs), hot, row_bytes)
+    cold: dict[int, DataFrame] = {}
+    if packed:
+        found, names = _by_packing(
+            rows, [groupings[i] for i in packed], features, probs, [~is_hot[i] for i in packed])
+        for place, i in enumerate(packed):
+            cold[i] = found.where(F.col("__grouping") == place).drop(
+                "__grouping", *[c for c in names if c not in groupings[i]])
+    out = []
+    for i, (by, size) in enumerate(zip(groupings, sizes)):
+        own = rows.where(all_present(by)).select(*[col(c) for c in by], *[col(f) for f in features],
+                                                 is_hot[i].alias("__is_hot"))
+        if i not in cold:
+            cold[i] = _by_sorting(own.where(~F.col("__is_hot")).drop("__is_hot"), by, features, probs)
+        hot = _by_narrowing(own.where(F.col("__is_hot")).drop("__is_hot"), by, features, probs, size.n_hot,
+                            size.n_hot_rows, final_values) if size.n_hot else None
+        out.append(GroupStats(size, cold[i], hot, row_bytes))
+    return out
+
+
+def _by_packing(rows, groupings, features, probs, taken) -> tuple[DataFrame, list[str]]:
+    """Each group's values of a feature in one sorted array; one shuffle for all groupings.
+
+    With several groupings the result is written, so that taking one of them does not repeat the rest.
+    """
+    expanded, keys = by_grouping(rows, groupings, features, taken)
+    packed = expanded.groupBy("__grouping", *[col(c) for c in keys]).agg(
+        *[F.sort_array(F.collect_list(col(f))).alias(f) for f in features])
+
+    def at(feature, prob):
+        values = col(feature)
+        exact = F.lit(float(prob)) * (F.size(values) - 1).cast("double")
+        low, high = (F.get(values, rank(exact).cast("int")) for rank in (F.floor, F.ceil))
+        return F.when(low == high, low).otherwise(
+            (F.ceil(exact) - exact) * low + (exact - F.floor(exact)) * high)
+
+    found = packed.select("__grouping", *[col(c) for c in keys], *[c for f in features for c in (
+        F.size(col(f)).cast("bigint").alias(n_col(f)),
+        F.when(F.size(col(f)) > 0, F.array(*[at(f, p) for p in probs])).alias(q_col(f)))])
+    return (materialize(found, "group-stats") if len(groupings) > 1 else found), keys
 
 
 def column_quantiles(
@@ -317,7 +365,9 @@ def attach_group_stats(df: DataFrame, stats: GroupStats) -> DataFrame:
             *[col(c) for c in by], F.struct(*[col(c) for c in payload]).alias("__hot"))
         marked = marked.join(F.broadcast(hot), by, "left").withColumn(
             "__salt", F.when(F.col("__hot").isNull(), F.col("__salt")).otherwise(spread))
-    joined = marked.join(stats.cold.withColumn("__salt", F.lit(0)), [*by, "__salt"], "left")
+    # Always 0, but no constant: that would be taken out of the join's keys, and the salt would not spread.
+    zero = F.pmod(F.hash(*[col(c) for c in by]), F.lit(1))
+    joined = marked.join(stats.cold.withColumn("__salt", zero), [*by, "__salt"], "left")
     if stats.hot is None:
         return joined.drop("__salt")
     return joined.select(

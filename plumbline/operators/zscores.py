@@ -11,7 +11,7 @@ from plumbline import names
 from plumbline.functions.expressions import blend, calendar_quarter, col, finite, robust_z
 from plumbline.operators.groups import GROUP_CELLS, attach_small
 from plumbline.operators.quantiles import (
-    GroupStats, attach_group_stats, group_quantiles, n_col, q_col,
+    GroupStats, attach_group_stats, group_quantiles, groupings_quantiles, n_col, q_col,
 )
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -67,14 +67,13 @@ def self_and_peer_zscores(
     peer_keys: Sequence[str] = (names.PERIOD,), cells: int = GROUP_CELLS,
     measure: DataFrame | None = None,
 ) -> DataFrame:
-    """Add both `self_z__*` and `peer_z__*`.
+    """Add both `self_z__*` and `peer_z__*`; both groupings are measured in one pass.
 
     ``measure`` is a cheaper table with the same keys and features to take the statistics from, for
     when ``df`` already carries joins that the statistics do not need.
     """
     source = df if measure is None else measure
-    own = quartile_stats(source, [entity], features, cells)
-    peers = quartile_stats(source, peer_keys, features, cells)
+    own, peers = groupings_quantiles(source, [[entity], peer_keys], features, QUARTILES, cells)
     return attach_zscores(df, [(own, names.self_z), (peers, names.peer_z)], features)
 
 

@@ -83,3 +83,16 @@ def test_top_n_never_sorts_the_table(panel):
 def test_trend_ranges_over_entity_and_quarter(panel):
     plan = plan_of(pl.company_trend(panel.withColumn("filing_date", F.col("report_date"))))
     assert "rangepartitioning(ticker" in plan and "calendar_quarter" in plan
+
+
+def test_both_groupings_are_measured_by_one_shuffle(panel, monkeypatch):
+    from plumbline.operators import quantiles
+    written = []
+    kept = quantiles.materialize
+    monkeypatch.setattr(quantiles, "materialize", lambda df, name: written.append((name, plan_of(df))) or kept(df, name))
+    scored = pl.self_and_peer_zscores(panel, FEATURES)
+    plans = [plan for name, plan in written if name == "group-stats"]
+    assert len(plans) == 1 and plans[0].count("Exchange hashpartitioning") == 1
+    assert "collect_list" in plans[0] and plans[0].count("FileScan") == 1
+    # Nothing is measured again when the scores are joined.
+    assert "collect_list" not in plan_of(scored) and plan_of(scored).count("group-stats") == 2

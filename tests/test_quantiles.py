@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import groups
+from plumbline.operators import groups, quantiles
 from plumbline.operators.quantiles import (
     attach_group_stats, column_quantiles, group_quantiles, n_col, q_col,
 )
@@ -113,3 +113,32 @@ def test_brackets_from_a_small_sample_are_still_exact(spark, skewed, monkeypatch
     got = column_quantiles(frame(spark, skewed), list("abc"), PROBS, 100, 30)
     for f in "abc":
         np.testing.assert_allclose(got[f][1], skewed[f].dropna().quantile(list(PROBS)), rtol=1e-12)
+
+
+@pytest.mark.parametrize("packed", [0, 400, 50_000])
+@pytest.mark.parametrize("cells", [500_000, 3000])
+def test_several_groupings_at_once_equal_brute_force(spark, skewed, monkeypatch, packed, cells):
+    """Packed, sorted and narrowed groups side by side, keys missing in either grouping."""
+    monkeypatch.setattr(quantiles, "PACKED_CELLS", packed)
+    pdf = skewed.assign(g=skewed.index % 7, day=skewed.index % 3)
+    pdf.loc[pdf.index % 11 == 0, "g"] = np.nan
+    pdf.loc[pdf.k == "3", "k"] = None
+    rows = [tuple(None if v != v else v for v in row) for row in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(
+        [(*r[:5], None if r[5] is None else int(r[5]), r[6]) for r in rows],
+        "k string, a double, b double, c double, d double, g int, day int").repartition(4)
+    groupings = [["k"], ["g", "day"], ["day"]]
+    found = quantiles.groupings_quantiles(df, groupings, list("abcd"), PROBS, cells=cells, final_values=16)
+    for by, stats in zip(groupings, found):
+        assert [c for c in stats.table.columns if "__" not in c] == by
+        got = {tuple(r[c] for c in by): r for r in stats.table.collect()}
+        wanted = {key if isinstance(key, tuple) else (key,): part
+                  for key, part in pdf.dropna(subset=by).groupby(by)}
+        assert set(got) == {tuple(k if isinstance(k, str) else int(k) for k in key) for key in wanted}
+        for key, part in wanted.items():
+            row = got[tuple(k if isinstance(k, str) else int(k) for k in key)]
+            for f in "abcd":
+                known = part[f].dropna()
+                assert row[n_col(f)] == len(known)
+                if len(known):
+                    np.testing.assert_allclose(row[q_col(f)], known.quantile(list(PROBS)), rtol=1e-12, atol=1e-12)
