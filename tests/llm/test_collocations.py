@@ -76,12 +76,20 @@ def test_ranks_stop_at_the_best_and_ties_go_by_phrase(spark):
     assert set(found) == plain(rows, 3, best=4)
 
 
-def test_counters_shared_by_all_words_change_nothing(spark, monkeypatch):
+@pytest.mark.parametrize("size", [0, 1, 4])
+def test_words_outside_the_vocabulary_count_alike(spark, monkeypatch, size):
+    monkeypatch.setattr(collocations, "VOCABULARY", size)
     rows = some_rows(9)
     docs = spark.createDataFrame(rows, NAMES).repartition(3)
-    full = np.full(collocations.N_COUNTERS // 8, 255, np.uint8)
-    monkeypatch.setattr(collocations, "frequency_filter", lambda *_: full)
-    assert set(mined(docs, least=20)) == plain(rows, 20)
+    assert set(mined(docs, least=10)) == plain(rows, 10)
+
+
+def test_hot_pairs_dealt_by_their_third_word(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "HOT_SHARE", 1e-9)
+    monkeypatch.setattr(collocations, "REPORTED_SHARE", 1e-9)
+    monkeypatch.setattr(collocations, "VOCABULARY", 6)
+    rows = some_rows(6)
+    assert set(mined(spark.createDataFrame(rows, NAMES).repartition(2), least=8)) == plain(rows, 8)
 
 
 def test_a_hot_language_many_parts_and_repeated_rows(spark, monkeypatch):
@@ -101,8 +109,9 @@ def test_empty_table_extra_and_clashing_columns(spark):
 
 
 def test_a_text_larger_than_a_part(spark, monkeypatch):
-    part = collocations.Part([b"One two", b"", b"three, Four"], np.array([0, 0, 1]), np.zeros(2, np.uint64))
-    assert part.words.to_pylist() == ["one", "two", "three", "four"]
-    assert part.follows.tolist() == [True, False, False, False] and part.langs.tolist() == [0, 0, 1, 1]
+    part = collocations.Part([b"One two", b"", b"three, Two"], np.array([0, 0, 1]))
+    assert part.entry_words().to_pylist() == ["one", "two", "two", "three"]
+    assert part.entry_langs().tolist() == [0, 0, 1, 1] and part.entries.tolist() == [0, 1, 3, 2]
+    assert part.follows.tolist() == [True, False, False, False]
     rows = [("en", "long text of words " * 300_000), ("en", "short")]  # over PART_BYTES
     assert set(mined(spark.createDataFrame(rows, NAMES))) == plain(rows, 30)
