@@ -80,8 +80,11 @@ def bracket(guess: float, density: float, bins: int) -> tuple[np.ndarray, int]:
     return edges, int(np.searchsorted(edges, lo, side="right"))
 
 
-def _scan(fits: Sequence[tuple], cap: int):
-    """Zone sums of a partition; see ``_ZONES``. Place 0 is the count, -1 the bits' histogram."""
+def _scan(fits: Sequence[tuple], cap: int, around: np.ndarray | None = None):
+    """Zone sums of a partition; see ``_ZONES``. Place 0 is the count, -1 the bits' histogram.
+
+    Products are taken around each shape's centre, or around another given place.
+    """
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = lows = None
         octaves = [{} for _ in fits]
@@ -102,7 +105,7 @@ def _scan(fits: Sequence[tuple], cap: int):
                     if z == len(edges) or (z == 0 and narrowed):
                         continue
                     inside = zone == z
-                    part = x[inside] - centre
+                    part = x[inside] - (centre if around is None else around)
                     sums[k][z, 0] += len(part)
                     sums[k][z, 1:1 + x.shape[1]] += part.sum(axis=0)
                     sums[k][z, 1 + x.shape[1]:] += (part.T @ part)[upper]
@@ -178,13 +181,20 @@ def nearest_moments(
 
 
 def moments_within(rows: DataFrame, centre: np.ndarray, whiten: np.ndarray, cut: float) -> Nearest:
-    """Moments of the rows strictly nearer than ``cut``, of which there are some."""
+    """Moments of the rows strictly nearer than ``cut``, of which there are some.
+
+    Summed twice, the second time around the mean found first, which takes most of the rounding out.
+    """
     p = len(rows.columns)
-    found = rows.mapInPandas(_scan([(centre, whiten, np.array([cut]), 0, False)], 0), _ZONES) \
-        .where(F.col("place") >= 0).groupBy("place").agg(F.sum("amount").alias("amount")).toPandas()
-    total = np.zeros(1 + p + p * (p + 1) // 2)
-    total[found["place"]] = found["amount"]
-    return _nearest(_Search(centre, whiten, np.zeros(0), 0, total, cut=cut, total=total), p)
+    around = centre
+    for _ in range(2):
+        found = rows.mapInPandas(_scan([(centre, whiten, np.array([cut]), 0, False)], 0, around), _ZONES) \
+            .where(F.col("place") >= 0).groupBy("place").agg(F.sum("amount").alias("amount")).toPandas()
+        total = np.zeros(1 + p + p * (p + 1) // 2)
+        total[found["place"]] = found["amount"]
+        nearest = _nearest(_Search(around, whiten, np.zeros(0), 0, total, cut=cut, total=total), p)
+        around = nearest.location
+    return nearest
 
 
 def _nearest(search: _Search, p: int) -> Nearest:
