@@ -41,6 +41,12 @@ def r6(value, alias):
     return f"round({value}, 6) + 0.0 AS {alias}"
 
 
+def r3(value, alias):
+    """Three decimals, for distances of half a million: sums in another order move their tenth decimal,
+    and one of the planted rows lies on an edge of the sixth."""
+    return f"round({value}, 3) + 0.0 AS {alias}"
+
+
 def cols(parts):
     return ", ".join(parts)
 
@@ -273,7 +279,7 @@ def planted_scores():
             "SELECT b.ticker, strftime(b.report_date, '%Y-%m-%d') AS report_date, "
             f"anomaly_score_0_100, {count_of('combined_z__', FEATURES)} AS num_features_used, "
             f"top_driver_1, top_driver_2, '{names.MODEL_TYPE}' AS model_type, "
-            f"{r6('d2', 'mahalanobis_distance')}, "
+            f"{r3('d2', 'mahalanobis_distance')}, "
             f"{r6(mean_abs('self_z__', FEATURES), 'self_history_score')}, "
             f"{r6(mean_abs('peer_z__', FEATURES), 'peer_relative_score')}, "
             f"{r6(mean_abs('combined_z__', FEATURES), 'combined_signal_strength')} FROM blended b "
@@ -470,7 +476,7 @@ ORACLE: dict[str, str] = {
     "score_filings_full_support": full_support_scores(),
     "mcd_planted":
         f"WITH {PLANTED}, {clipped('planted', FEATURES)}, {planted_distances()} "
-        f"SELECT ticker, report_date, {r6('d2', 'mahalanobis_distance')} FROM distances",
+        f"SELECT ticker, report_date, {r3('d2', 'mahalanobis_distance')} FROM distances",
     "score_filings_planted": planted_scores(),
     "score_filings_l2": f"WITH {_EVENT_SCORES} SELECT * FROM scored",
     "scores_csv_round_trip": f"WITH {_EVENT_SCORES} SELECT * FROM scored",

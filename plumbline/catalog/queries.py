@@ -214,8 +214,13 @@ def mcd_distance(spark, sf):
 
 def mcd_planted(spark, sf):
     """Default support and five features; the planted rows fix the optimum, so SQL can follow."""
-    return rounded(robust_mahalanobis(winsorize(planted_panel(spark, sf), FEATURES), FEATURES),
-                   KEYS, ["mahalanobis_distance"])
+    measured = robust_mahalanobis(winsorize(planted_panel(spark, sf), FEATURES), FEATURES)
+    return measured.select(*KEYS, planted_distance())
+
+
+def planted_distance():
+    """Three decimals: the planted rows' distances are up to half a million, and sums move the tenth."""
+    return F.round("mahalanobis_distance", 3).alias("mahalanobis_distance")
 
 
 def score_planted(spark, sf):
@@ -223,8 +228,8 @@ def score_planted(spark, sf):
     scored = score_filings(day_text(planted_panel(spark, sf)), FEATURES, scored_at=SCORED_AT)
     return scored.select(
         *KEYS, "anomaly_score_0_100", "num_features_used", "top_driver_1", "top_driver_2", "model_type",
-        *[r6(c) for c in ("mahalanobis_distance", "self_history_score", "peer_relative_score",
-                          "combined_signal_strength")])
+        planted_distance(),
+        *[r6(c) for c in ("self_history_score", "peer_relative_score", "combined_signal_strength")])
 
 
 def embedding_distance(spark, sf):

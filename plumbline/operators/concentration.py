@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.matrix import squared_distances
+from plumbline.functions.matrix import squared_distances, whitening
 
 # Bins of a bracket, and moments over all shapes and bins that the driver may receive.
 BINS = 16
@@ -205,6 +205,45 @@ def _nearest(search: _Search, p: int) -> Nearest:
     return Nearest(search.centre + shift, products / n - np.outer(shift, shift), search.cut, search.density)
 
 
+def settled_in_task(
+    rows: DataFrame, starts: Sequence[tuple[np.ndarray, np.ndarray]], h: int, steps: int,
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """Location, covariance and steps of the fixed point for a table that one task may hold.
+
+    Every start (location, covariance) takes ``steps`` steps; the one with the least determinant goes on
+    until a step does not lower it. The caller has checked the size of ``rows``.
+    """
+    p, columns = len(rows.columns), rows.columns
+
+    def settle(table: pd.DataFrame) -> pd.DataFrame:
+        x = table[columns].sort_values(columns).to_numpy(dtype=float)
+
+        def step(shape):
+            location, covariance, _, done = shape
+            d = squared_distances(x, location, whitening(covariance)[0])
+            inside = x[d <= np.partition(d, h - 1)[h - 1] * _TIE]
+            location = inside.mean(axis=0)
+            centred = inside - location
+            covariance = centred.T @ centred / len(inside)
+            return location, covariance, whitening(covariance)[1], done + 1
+
+        shapes = [(location, covariance, math.inf, 0) for location, covariance in starts]
+        for _ in range(steps):
+            shapes = [step(s) for s in shapes]
+        best = min(shapes, key=lambda s: s[2])
+        while best[2] > -math.inf:
+            following = step(best)
+            if following[2] >= best[2] - 1e-12 * max(1.0, abs(best[2])):
+                break
+            best = following
+        return pd.DataFrame({"location": [best[0].tolist()], "covariance": [best[1].ravel().tolist()],
+                             "steps": [best[3]]})
+
+    found = rows.groupBy().applyInPandas(
+        settle, "location array<double>, covariance array<double>, steps int").first()
+    return np.asarray(found["location"]), np.asarray(found["covariance"]).reshape(p, p), found["steps"]
+
+
 def _narrow(rows: DataFrame, searches: list[_Search], h: int, bins: int, width: int, cap: int,
             read_rows: int) -> None:
     """One scan for all searches, and one more for those whose bin is small enough to be read."""

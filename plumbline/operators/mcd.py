@@ -23,7 +23,7 @@ from plumbline import names
 from plumbline.functions.chi2 import chi2_quantile
 from plumbline.functions.expressions import col, finite
 from plumbline.functions.matrix import concentrate, squared_distances, whitening
-from plumbline.operators.concentration import moments_within, nearest_moments
+from plumbline.operators.concentration import moments_within, nearest_moments, settled_in_task
 from plumbline.operators.groups import GROUP_CELLS
 from plumbline.operators.quantiles import column_quantiles
 from plumbline.operators.winsor import squared_norm
@@ -142,21 +142,26 @@ def fit_shape(
             following.append((after, f.cut * grows, f.density / grows))
         return following
 
-    candidates = [(shape(location, covariance, 0), cut, 0.0) for location, covariance, cut
-                  in _best_starts(rows, features, support_fraction, random_state)]
-    for _ in range(CANDIDATE_STEPS):
-        candidates = step(candidates)
-    best = min(candidates, key=lambda c: c[0].logdet)
-    # To the fixed point: a step that does not lower the determinant repeats the same rows.
-    while best[0].logdet > float("-inf"):
-        following = step([best])[0]
-        if following[0].logdet >= best[0].logdet - 1e-12 * max(1.0, abs(best[0].logdet)):
-            break
-        best = following
-        if best[0].steps % EXPECTED_STEPS == 0:
-            warnings.warn(f"the robust fit still improves after {best[0].steps} steps", stacklevel=2)
-
-    current = best[0]
+    def settled(starts):
+        candidates = [(shape(location, covariance, 0), cut, 0.0) for location, covariance, cut in starts]
+        for _ in range(CANDIDATE_STEPS):
+            candidates = step(candidates)
+        best = min(candidates, key=lambda c: c[0].logdet)
+        # To the fixed point: a step that does not lower the determinant repeats the same rows.
+        while best[0].logdet > float("-inf"):
+            following = step([best])[0]
+            if following[0].logdet >= best[0].logdet - 1e-12 * max(1.0, abs(best[0].logdet)):
+                break
+            best = following
+            if best[0].steps % EXPECTED_STEPS == 0:
+                warnings.warn(f"the robust fit still improves after {best[0].steps} steps", stacklevel=2)
+        return best[0]
+
+    starts = _best_starts(rows, features, support_fraction, random_state)
+    if n_rows * p <= cells:  # few enough for one task, which takes all steps at once
+        current = shape(*settled_in_task(rows, [s[:2] for s in starts], h, CANDIDATE_STEPS))
+    else:
+        current = settled(starts)
     measured = column_quantiles(
         rows.select(current.distance().alias("d")), ["d"], [0.5], cells, n_rows=n_rows)["d"][1][0]
     factor = measured / chi2_quantile(0.5, p)

@@ -148,3 +148,11 @@ def test_worker_helpers_need_no_installed_package(tmp_path):
     done = subprocess.run([sys.executable, "-c", code, str(saved)], cwd=tmp_path,
                           capture_output=True, text=True, check=True)
     assert done.stdout.strip() == "25.0"
+
+
+@pytest.mark.parametrize("cells", [500_000, 100])
+def test_one_task_and_many_scans_reach_the_same_fit(spark, planted, cells):
+    """A small table settles in one task, a large one by scans; ties and copies included."""
+    values = np.concatenate([planted, np.repeat(planted[700:702], 60, axis=0)])
+    d2 = distances(frame(spark, values), cells=cells)
+    np.testing.assert_allclose(d2, distances(frame(spark, values), cells=100), rtol=1e-9)
