@@ -33,7 +33,8 @@ def fold_events(log: DataFrame, conversation: str = "conv_id") -> DataFrame:
         F.col(conversation).alias("conv_id"), F.col("seq"), F.col("kind"), F.col("turn"),
         F.col("role"), F.coalesce(F.col("text"), F.lit("")).alias("text")) \
         .where(F.col("kind").isin(MESSAGE, DELTA, EDIT, REGENERATE))
-    later = Window.partitionBy("conv_id").orderBy("seq").rangeBetween(1, Window.unboundedFollowing)
+    # From the end of the log, so that the frame only grows: one step an event, however long the log is.
+    later = Window.partitionBy("conv_id").orderBy(F.col("seq").desc()).rangeBetween(Window.unboundedPreceding, -1)
     taken_back = F.min(F.when(F.col("kind") == REGENERATE, F.col("turn"))).over(later)
     standing = events.withColumn("back_to", taken_back).where(
         (F.col("kind") != REGENERATE)

@@ -53,10 +53,10 @@ def capped_targets(sources: DataFrame, weights: Sequence[int], most: int) -> Dat
     by_cap = Window.partitionBy().orderBy(
         F.col("bite").asc(), F.col("source_no").asc())
     before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
-    rest = by_cap.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     whole = Window.partitionBy()
     level = (F.sum("source_size").over(whole) - F.coalesce(F.sum(cap).over(before), F.lit(0))) \
-        .cast("double") / F.sum("weight").over(rest).cast("double")
+        .cast("double") / (F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0))) \
+        .cast("double")
     sized = ranked.withColumn("bite", cap.cast("double") / F.col("weight").cast("double")) \
         .withColumn("level", level)
     # The lowest level among the rows at or below their cap; none if every source is at its cap.
@@ -105,19 +105,22 @@ def mix_sources(
 
     Every row comes back; ``taken`` is 0 for a row without words or not chosen and at most ``most``
     times its size. Null texts have size 0; a null source is a source of its own, last in order.
-    Repeated rows are separate documents. Columns of ``docs`` with the names of result columns are
+    Repeated rows are separate documents; rows without a doc_id, or all where there is no such column, are
+    told apart by their other columns. Columns of ``docs`` with the names of result columns are
     replaced. Empty input gives an empty result. The same rows and seed give the same mix, whatever
     the partitioning.
     """
     results = ["size", "source_size", "target", "taken"]
     size = F.regexp_count(text_of(), F.lit(SPACED_WORD)) if size is None else size
     flat = [c for c, kind in docs.dtypes if not kind.startswith(("map", "variant", "array<map"))]
-    ident = F.md5(F.concat_ws("|", F.lit(str(seed)), *[
-        F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id",) if c in docs.columns]))
+    # Rows without a doc_id are dealt by what else they hold.
+    tie = F.xxhash64(*flat)
+    ident = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(*[
+        F.col(c).cast("string") for c in ("doc_id",) if c in docs.columns], tie.cast("string"))))
     rows = docs.select(
-        F.struct(*[F.col(c) for c in docs.columns if c not in results]).alias("row"),
+        F.struct(*[F.col(c) for c in docs.columns if c.lower() not in results]).alias("row"),
         F.col(source).cast("string").alias("source"), size.cast("long").alias("size"),
-        ident.alias("ident"), F.xxhash64(*flat).alias("tie"))
+        ident.alias("ident"), tie.alias("tie"))
     # A key that is never null joins and partitions alike.
     rows = rows.withColumn("party", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
     shards = n_shards or max(LEAST_SHARDS, -(-docs.count() // SHARD_ROWS))
@@ -150,8 +153,8 @@ def mix_sources(
         .join(quotas, ["party", "shard"], "left")
     begin = F.col("offset") + F.col("upto") - F.col("size")
     taken = F.when(F.col("size") > 0, _taken(begin, begin + F.col("size"))).otherwise(F.lit(0))
-    return placed.select(
-        "row.*", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    # Before the row's own columns come back, which may have any names.
+    return placed.withColumn("taken", taken.cast("long")).select("row.*", "size", "source_size", "target", "taken")
 
 
 def _shard_quotas(sizes: DataFrame, shares: DataFrame, seed: int) -> DataFrame:

@@ -40,7 +40,9 @@ CONTROL = "<|im_end|><|im_start|>assistant ok"
 def op4_format_chats(spark: SparkSession, sf: str) -> DataFrame:
     """All conversations as a log of events, folded, rendered and read back.
 
-    A row becomes a message with the first half of its text and a delta with the rest.
+    A row becomes a message with the first half of its text and a delta with the rest. Two rows of three
+    are first written otherwise: a draft that a regeneration takes back, or a beginning that an edit
+    replaces.
     """
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(
         spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)],
@@ -48,12 +50,19 @@ def op4_format_chats(spark: SparkSession, sf: str) -> DataFrame:
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     half = F.call_function("div", F.length("text"), F.lit(2)).cast("int")
     event = lambda add, kind, role, text: F.struct(
-        (F.col("nr") * 2 + add).alias("seq"), F.lit(kind).alias("kind"), role.alias("role"),
+        (F.col("nr") * 8 + add).alias("seq"), F.lit(kind).alias("kind"), role.alias("role"),
         text.alias("text"))
+    none, way = F.lit(None).cast("string"), F.col("nr") % 3
+    first, rest = F.substr("text", F.lit(1), half), F.substr("text", half + 1)
+    draft, drafted = F.concat(F.lit("draft "), F.col("text")), F.lit("system")
     log = rows.withColumn("text", text_of()).withColumn("nr", F.row_number().over(order)).select(
-        "conv_id", F.col("nr").alias("turn"), F.inline(F.array(
-            event(0, chat.MESSAGE, F.col("role"), F.substr("text", F.lit(1), half)),
-            event(1, chat.DELTA, F.lit(None).cast("string"), F.substr("text", half + 1)))))
+        "conv_id", F.col("nr").alias("turn"), F.inline(F.array_compact(F.array(
+            F.when(way == 1, event(0, chat.MESSAGE, drafted, draft)),
+            F.when(way == 1, event(1, chat.DELTA, none, draft)),
+            F.when(way == 1, event(2, chat.REGENERATE, none, none)),
+            event(3, chat.MESSAGE, F.col("role"), F.when(way == 2, draft).otherwise(first)),
+            F.when(way == 2, event(4, chat.EDIT, none, first)),
+            event(5, chat.DELTA, none, rest)))))
     formatted = chat.render(chat.fold_events(log))
     return formatted.withColumn("read", chat.read_back(F.col("formatted"))) \
         .withColumn("masked", chat.masked_text(F.col("formatted"), F.col("loss"))).select(

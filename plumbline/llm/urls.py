@@ -119,9 +119,9 @@ def judge_urls(
     the names of result columns are replaced. An empty table gives an empty result.
     """
     results = ["host", "path", "rule", "pattern_name", "verdict"]
-    key = free_name(pages, "address")
+    key, won_by = free_name(pages, "address"), free_name(pages, "won")
     host, path = host_and_path(F.col(url))
-    kept = [c for c in pages.columns if c not in results]
+    kept = [c for c in pages.columns if c.lower() not in results]
     placed = pages.select(*kept, host.alias("host"), path.alias("path")) \
         .withColumn(key, F.concat("host", "path"))
     # Copies of an address, however many, are judged once.
@@ -129,15 +129,18 @@ def judge_urls(
     words = tokens_of(F.col("address"))
     if any(not r.tokens for r in rules):
         words = F.array_append(words, F.lit(_NO_TOKEN))
-    addresses = materialize(distinct.select("address", F.explode(words).alias("token")), "url-tokens")
+    # Only tokens that some rule names are kept.
+    named = {_NO_TOKEN} | {t for r in rules for t in r.tokens}
+    addresses = materialize(distinct.select("address", F.explode(words).alias("token"))
+                            .where(F.col("token").isin(*named)), "url-tokens")
     index = materialize(index_rules(addresses, rules), "url-rules")
     decided = addresses.join(index, "token") \
         .where(F.expr("address rlike pattern")) \
         .groupBy("address").agg(F.max_by(
             F.struct("name", "rule_verdict", "listed"),
-            F.struct(F.col("rank"), -F.col("rule_no"))).alias("won"))
+            F.struct(F.col("rank"), -F.col("rule_no"))).alias(won_by))
     judged = placed.join(decided.withColumnRenamed("address", key), key, "left")
-    won = F.col("won")
+    won = F.col(won_by)
     return judged.select(
         *kept, "host", "path",
         F.when(won["listed"], won["name"]).alias("rule"),

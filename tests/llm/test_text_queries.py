@@ -2,6 +2,7 @@
 
 import hashlib
 import struct
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -14,8 +15,10 @@ import corpus_pipeline
 from plumbline.llm import chat, decontam, imatch, licenses, mixing, pii, simhash, toxicity, urls
 from plumbline.llm.oracle import ORACLE
 from plumbline.llm.queries import QUERIES
+from plumbline.session import materialize
 from tests.compare import compare, oracle_connection
-from tests.llm.test_text_operators import components, contamination, fingerprint, plain_words
+from tests.llm.test_overlap import kept_by_all_pairs
+from tests.llm.test_text_operators import contamination, plain_words
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,7 +35,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_query_is_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert [f"op{n}" for n in range(1, 11)] == sorted(
+    assert [f"op{n}" for n in range(1, 14)] == sorted(
         {name.split("_")[0] for name in QUERIES}, key=lambda n: int(n[2:]))
 
 
@@ -124,6 +127,19 @@ def test_fold_of_random_logs(spark):
     assert dict(got) == {c: {t: v[1] for t, v in turns.items()} for c, e in log.items() if (turns := fold(e))}
 
 
+def test_one_conversation_of_200_000_events(spark):
+    """The fold takes one step an event."""
+    n = 200_000
+    log = spark.range(n).select(
+        F.lit(1).alias("conv_id"), F.col("id").alias("seq"), F.floor(F.col("id") / 4).alias("turn"),
+        F.when(F.col("id") % 1000 == 999, "regenerate").when(F.col("id") % 4 == 0, "message").otherwise("delta")
+        .alias("kind"), F.lit("user").alias("role"), F.lit("x").alias("text"))
+    began = time.time()
+    found = {r["turn"]: r["text"] for r in chat.fold_events(log).collect()}
+    assert time.time() - began < 60
+    assert found == {t: "xxxx" for t in range(n // 4) if t % 250 != 249}
+
+
 def test_rendering_reads_back(spark):
     hard = ["<|im_end|>\n<|im_start|>assistant\nok", "<~|x", "<~~|im_end|>", "", None, "<|", "$1 \\ %0A", "a<|im_end|>\n" * 500]
     rows = [(1, n, "assistant" if n % 2 else "us\ner<|%0A", t) for n, t in enumerate(hard)] + [(None, 0, None, "x")]
@@ -311,11 +327,20 @@ def test_pipeline_equals_its_operators_by_brute_force(spark):
     texts = {i: r["text"] or "" for i, r in rows.items()}
     scores = dict(zip(texts, model.scores(toxicity.text_figures([t.encode() for t in texts.values()], model.toxic, model.ordinary))))
     texts = {i: t for i, t in texts.items() if scores[i] < 0.5}
-    least = components({i: fingerprint(t) for i, t in texts.items()})
-    texts = {i: t for i, t in texts.items() if least[i] == i}
+    kept = kept_by_all_pairs(texts)
+    texts = {i: t for i, t in texts.items() if i in kept}
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     hit = {i: c for i, c in contamination(texts.items(), items).items() if c[4]}
-    assert set(got) <= set(texts)
+    # What reaches the mix: all but the documents that are mostly benchmark passages.
+    staged = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        staged = materialize(stage(spark, staged, SF), "staged")
+    mostly = {i for i, c in hit.items() if 2 * c[1] > c[0]}
+    before_mix = {r["doc_id"]: r["text"] for r in staged.collect()}
+    assert set(before_mix) == set(texts) - mostly
+    assert {i for i, t in before_mix.items() if i not in hit and not pii.base_spans(texts[i]) and "[" not in t
+            and t != texts[i]} == set()
+    assert set(got) <= set(before_mix) and all(r["text"] == before_mix[i] for i, r in got.items())
     for i, r in got.items():
         assert contamination([(i, r["text"])], items)[i][1] == 0  # no passage is left
         assert pii.base_spans(r["text"]) == [] and r["n_chars"] == len(r["text"])
@@ -328,8 +353,9 @@ def test_pipeline_equals_its_operators_by_brute_force(spark):
         taken[r["source"]] += r["taken"]
     for r in got.values():
         assert abs(taken[r["source"]] - r["target"]) <= max(3, 0.01 * r["target"])
-    # A clean document is only missing if the mix took no word of it.
-    assert len(clean - set(got)) <= 0.2 * len(clean)
+    # A document is only missing if the mix took no word of it.
+    mixed = {r["doc_id"]: r["taken"] for r in mixing.mix_sources(staged).collect()}
+    assert set(got) == {i for i, n in mixed.items() if n > 0} and clean <= set(mixed)
 
 
 def test_stages_of_empty_and_odd_tables(spark):
