@@ -411,6 +411,64 @@ _PACK = """ticker, company_name, report_date, filing_date, filing_url, anomaly_s
   num_features_used, top_driver_1, top_driver_1_value, top_driver_2, top_driver_2_value,
   top_driver_3, top_driver_3_value"""
 
+_TREND = f"""{SYNTHESIS}, filed AS (
+        SELECT * FROM intelligence UNION ALL
+        SELECT * REPLACE (strftime(CAST(report_date AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d')
+          AS report_date, strftime(CAST(filing_date AS DATE) + INTERVAL 10 DAY, '%Y-%m-%d')
+          AS filing_date) FROM intelligence WHERE tier IS NOT NULL),
+        quartered AS (SELECT *, CAST(year(CAST(report_date AS DATE)) AS VARCHAR) || 'Q' ||
+          CAST(quarter(CAST(report_date AS DATE)) AS VARCHAR) AS calendar_quarter FROM filed),
+        trend AS (SELECT * FROM (SELECT *, row_number() OVER (
+          PARTITION BY ticker, calendar_quarter ORDER BY filing_date DESC, report_date DESC) AS rn
+          FROM quartered) WHERE rn = 1)"""
+
+# The rows of `bundle_counts` from `r`, one row a document with the reason it was left out for.
+_COUNTS = """SELECT 'documents' AS reason, count(*) AS n FROM r
+        UNION ALL SELECT 'kept', count(*) FROM r WHERE reason IS NULL
+        UNION ALL SELECT k, count(reason) FROM (VALUES ('malformed'), ('other_form'), ('no_ticker'),
+          ('not_listed'), ('over_limit'), ('no_features')) v(k) LEFT JOIN r ON reason = k GROUP BY k"""
+
+
+def robust_z_of(group, value="value"):
+    """The robust z of a value, whose group has n, q1, m and q3 in `group`."""
+    spread = f"({group}.q3 - {group}.q1)"
+    return (f"CASE WHEN {group}.n >= 2 THEN CASE WHEN {spread} = 0 THEN 0.0 "
+            f"ELSE ({value} - {group}.m) / ({spread} / {names.IQR_TO_SIGMA}) END END")
+
+
+def quartiles_by(key):
+    return (f"SELECT {key}, feature, count(*) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS m, "
+            f"quantile_cont(value, 0.75) AS q3 FROM c GROUP BY {key}, feature")
+
+
+WIDE_SCORES = f"""WITH lines AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS ticker,
+    strftime(date_trunc('quarter', l_shipdate), '%Y-%m-%d') AS report_date, l_quantity AS q,
+    unnest(['part_' || l_partkey, 'order_' || l_orderkey, 'line_' || l_partkey || '_' || l_linenumber]) AS feature
+  FROM lineitem),
+cells AS (SELECT ticker, report_date, feature, sum(q) AS value FROM lines GROUP BY ALL),
+bounds AS (SELECT feature, quantile_cont(value, 0.05) AS lo, quantile_cont(value, 0.5) AS median,
+  quantile_cont(value, 0.95) AS hi FROM cells GROUP BY feature),
+c AS (SELECT ticker, report_date, feature, greatest(least(value, hi), lo) AS value, median
+  FROM cells JOIN bounds USING (feature)),
+own AS ({quartiles_by('ticker')}), peer AS ({quartiles_by('report_date')}),
+z AS (SELECT c.*, {robust_z_of('own')} AS s, {robust_z_of('peer')} AS p
+  FROM c JOIN own ON own.ticker = c.ticker AND own.feature = c.feature
+  JOIN peer ON peer.report_date = c.report_date AND peer.feature = c.feature),
+b AS (SELECT *, greatest(least(coalesce((s + p) / 2, s, p), {names.Z_CLIP}), -{names.Z_CLIP}) AS z
+  FROM (SELECT *, s IS NULL AND p IS NULL AS none FROM z)),
+b2 AS (SELECT * REPLACE (CASE WHEN none THEN NULL ELSE z END AS z) FROM b),
+top AS (SELECT * FROM b2 WHERE z IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY ticker, report_date ORDER BY round(abs(z), 9) DESC, feature) = 1),
+sums AS (SELECT ticker, report_date, CAST(count(z) AS INTEGER) AS num_features_used, avg(abs(s)) AS own_score,
+  avg(abs(p)) AS peer_score, avg(abs(z)) AS strength, sum(value * value - median * median) AS more
+  FROM b2 GROUP BY ticker, report_date)
+SELECT sums.ticker, sums.report_date, num_features_used, top.feature AS top_driver_1,
+  {r6("more + (SELECT sum(median * median) FROM bounds) + 1e-9", 'mahalanobis_distance')},
+  {r6('own_score + 1e-9', 'self_history_score')}, {r6('peer_score + 1e-9', 'peer_relative_score')},
+  {r6('strength + 1e-9', 'combined_signal_strength')}, {r6('top.z + 1e-9', 'top_driver_1_value')}
+FROM sums LEFT JOIN top ON top.ticker = sums.ticker AND top.report_date = sums.report_date"""
+
 ORACLE: dict[str, str] = {
     "scan_form_filter":
         "SELECT o_orderkey, o_orderstatus AS form_type, o_totalprice FROM orders "
@@ -527,14 +585,32 @@ ORACLE: dict[str, str] = {
         "WHERE t % 17 = 0 AND n_lines % 3 = 0",
     "bundle_pruned":
         f"WITH {EVENT_FILINGS} {_ACCEPT} SELECT ticker, report_date, {r6('revenue', 'revenue_total')} "
-        "FROM accepted WHERE t % 3 = 0 AND t < 150",
+        "FROM accepted WHERE t % 3 = 0",
     "bundle_counts": f"""WITH {EVENT_FILINGS}, r AS (
         SELECT CASE WHEN t % 17 = 0 AND n_lines % 3 = 0 THEN 'malformed' WHEN n_lines % 7 = 0 THEN 'other_form'
           WHEN (t + y) % 11 = 0 THEN 'no_ticker' WHEN t % 13 = 0 AND n_lines % 2 = 0 THEN 'no_features' END
           AS reason FROM filings)
-        SELECT 'documents' AS reason, count(*) AS n FROM r
-        UNION ALL SELECT k, count(reason) FROM (VALUES ('malformed'), ('other_form'), ('no_ticker'),
-          ('not_listed'), ('no_features')) v(k) LEFT JOIN r ON reason = k GROUP BY k""",
+        {_COUNTS}""",
+    "bundle_counts_limited": f"""WITH {EVENT_FILINGS} {_ACCEPT}, chosen AS (
+        SELECT ticker FROM listed GROUP BY ticker
+        ORDER BY min('/folder=' || ticker || '/day=' || report_date), ticker LIMIT 40), r AS (
+        SELECT CASE WHEN t % 17 = 0 AND n_lines % 3 = 0 THEN 'malformed' WHEN n_lines % 7 = 0 THEN 'other_form'
+          WHEN (t + y) % 11 = 0 THEN 'no_ticker' WHEN ticker NOT IN (SELECT ticker FROM chosen) THEN 'over_limit'
+          WHEN t % 13 = 0 AND n_lines % 2 = 0 THEN 'no_features' END AS reason FROM filings)
+        {_COUNTS}""",
+    "score_counts": f"""WITH {PANEL}, n AS (SELECT count(*) AS rows,
+          count_if(CAST(ticker AS BIGINT) % 2 = 0) AS twice FROM panel)
+        SELECT 'rows_read' AS what, rows + twice AS n FROM n UNION ALL
+        SELECT 'duplicates_dropped', twice FROM n UNION ALL SELECT 'filings_scored', rows FROM n UNION ALL
+        SELECT 'features', {len(FEATURES) + 1} UNION ALL SELECT 'features_with_values', {len(FEATURES)}""",
+    "wide_scores": WIDE_SCORES,
+    "publish_set":
+        f"WITH {_EVENT_SCORES} SELECT ticker, report_date, anomaly_score_0_100, num_features_used "
+        "FROM scored",
+    "trend_table": f"""WITH {_TREND}
+        SELECT ticker, calendar_quarter, {r6("anomaly_score_0_100 - lag(anomaly_score_0_100) OVER ("
+            "PARTITION BY ticker ORDER BY calendar_quarter)", 'change')},
+          count(*) OVER (PARTITION BY ticker) AS n_quarters FROM trend""",
     "flatten_job": f"WITH {EVENT_FILINGS} {_ACCEPT} SELECT ticker, report_date, {_FLAT_NUMBERS} FROM accepted",
     "table_flatten_job":
         f"WITH {PANEL} SELECT ticker, strftime(report_date, '%Y-%m-%d') AS report_date, "
@@ -568,15 +644,6 @@ ORACLE: dict[str, str] = {
         f"WITH {SYNTHESIS} SELECT ticker, report_date, conviction_score, tier, label "
         "FROM intelligence WHERE tier IS NOT NULL",
     "company_trend":
-        f"""WITH {SYNTHESIS}, filed AS (
-        SELECT * FROM intelligence UNION ALL
-        SELECT * REPLACE (strftime(CAST(report_date AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d')
-          AS report_date, strftime(CAST(filing_date AS DATE) + INTERVAL 10 DAY, '%Y-%m-%d')
-          AS filing_date) FROM intelligence WHERE tier IS NOT NULL),
-        quartered AS (SELECT *, CAST(year(CAST(report_date AS DATE)) AS VARCHAR) || 'Q' ||
-          CAST(quarter(CAST(report_date AS DATE)) AS VARCHAR) AS calendar_quarter FROM filed)
-        SELECT ticker, calendar_quarter, report_date, filing_date, anomaly_score_0_100,
-          conviction_score, tier, label, pattern FROM (SELECT *, row_number() OVER (
-          PARTITION BY ticker, calendar_quarter ORDER BY filing_date DESC, report_date DESC) AS rn
-          FROM quartered) WHERE rn = 1""",
+        f"""WITH {_TREND} SELECT ticker, calendar_quarter, report_date, filing_date, anomaly_score_0_100,
+          conviction_score, tier, label, pattern FROM trend""",
 }

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import SparkRuntimeException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline import names
@@ -30,14 +33,14 @@ from plumbline.operators.zscores import (
 )
 from plumbline.plans.flatten import flatten_bundle_folder, flatten_filings_table
 from plumbline.plans.review import build_review_pack
-from plumbline.plans.scoring import score_filings
+from plumbline.plans.scoring import score_filings, score_wide_map, score_with_counts
 from plumbline.plans.synthesis import (
-    company_trend, conviction_scores, eligible, filing_intelligence, join_labels, tiered_pack,
+    company_trend, conviction_scores, eligible, filing_intelligence, join_labels, save_trend, tiered_pack,
 )
 from plumbline.session import materialize, scratch_path
-from plumbline.sinks.outputs import publish_outputs, write_csv
+from plumbline.sinks.outputs import publish_outputs, publish_set, read_published, write_csv
 from plumbline.sources.bundles import (
-    accepted_bundles, allow_list, feature_key_table, first_entities, flatten_bundles,
+    accepted_bundles, allow_list, feature_cells, feature_key_table, first_entities, flatten_bundles,
     flatten_feature_map, load_bundles, malformed_bundles, parse_bundles, scan_bundles,
 )
 from plumbline.sources.tables import (
@@ -325,6 +328,19 @@ def score_preview(spark, sf):
     return preview(_scored_events(spark, sf))
 
 
+def published_set(spark, sf):
+    """Two sets published after each other, the second in vain: the first is what is read."""
+    scores, root = _scored_events(spark, sf), scratch_path(spark, "published-set")
+    publish_set({names.SCORES_TABLE: scores, names.REVIEW_TABLE: scores.limit(5)}, root)
+    broken = scores.select(F.raise_error(F.lit("cannot be written")).cast("string").alias("ticker"))
+    try:
+        publish_set({names.SCORES_TABLE: scores.limit(1), names.REVIEW_TABLE: broken}, root)
+    except SparkRuntimeException as error:
+        assert "cannot be written" in str(error)
+    return read_published(spark, root, names.SCORES_TABLE).select(
+        *KEYS, "anomaly_score_0_100", "num_features_used")
+
+
 def published_outputs(spark, sf):
     scores = _scored_events(spark, sf)
     published, skipped = publish_outputs(
@@ -414,7 +430,9 @@ def _bundle_folder(spark, sf, copies=1):
 def bundle_pruned(spark, sf):
     """Only the folders of chosen tickers are listed, only files of the right suffix read."""
     root = _bundle_folder(spark, sf)
-    chosen = [f"folder={n}" for n in range(0, 150, 3)]
+    # The folders of every third user that has events.
+    users = table(spark, sf, "events").where(F.col("user_id") % 3 == 0).select("user_id").distinct()
+    chosen = [f"folder={r['user_id']}" for r in users.collect()]
     kept = accepted_bundles(scan_bundles(spark, root, chosen, "*.txt"))
     return flatten_bundles(kept).table.select("ticker", "report_date", r6("revenue_total"))
 
@@ -425,6 +443,50 @@ def bundle_counts(spark, sf):
     return spark.createDataFrame(list(counts.items()), "reason string, n long")
 
 
+def bundle_counts_limited(spark, sf):
+    """The same with a limit on the tickers; the counts add up to the documents."""
+    counts = load_bundles(spark, _bundle_folder(spark, sf), file_glob="*.txt", max_tickers=40).counts
+    return spark.createDataFrame(list(counts.items()), "reason string, n long")
+
+
+def score_counts(spark, sf):
+    """What the scoring job saw: every other row of the panel is there twice, one feature has no value."""
+    panel = day_text(supplier_panel(spark, sf)).withColumn("nothing", F.lit(None).cast("double"))
+    twice = panel.unionByName(panel.where(F.col("ticker").cast("bigint") % 2 == 0))
+    counts = score_with_counts(twice, [*FEATURES, "nothing"], distance="l2", ordered=False).counts
+    return spark.createDataFrame(list(counts.items()), "what string, n long")
+
+
+def wide_bundles(spark, sf):
+    """A bundle per supplier and quarter whose feature map has a key for every part, order and line."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("ticker"),
+        F.date_format(F.date_trunc("quarter", "l_shipdate"), "yyyy-MM-dd").alias("report_date"),
+        F.explode(F.array(
+            F.concat(F.lit("part_"), "l_partkey"), F.concat(F.lit("order_"), "l_orderkey"),
+            F.concat(F.lit("line_"), "l_partkey", F.lit("_"), "l_linenumber"))).alias("key"), "l_quantity")
+    maps = lines.groupBy("ticker", "report_date", "key").agg(F.sum("l_quantity").alias("value")) \
+        .groupBy("ticker", "report_date").agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("map"))
+    text = F.to_json(F.struct(
+        F.struct(F.lit("10-Q").alias("form"), F.col("report_date")).alias("selected_filing"),
+        F.struct(F.col("ticker")).alias("extraction_input"), F.col("map").alias("engineered_anomaly_features")))
+    texts = maps.select(text.alias("text"), F.concat("ticker", F.lit("/"), "report_date").alias("path"))
+    return materialize(accepted_bundles(parse_bundles(texts, "text", "path")), "wide-bundles")
+
+
+def wide_scores(spark, sf):
+    """Scores from feature maps with more keys than a table may have columns."""
+    flat = flatten_bundles(wide_bundles(spark, sf))
+    if flat.cells is None:  # the smallest tables have fewer keys
+        keys = materialize(feature_key_table(wide_bundles(spark, sf)), "feature-keys")
+        flat = replace(flat, cells=feature_cells(wide_bundles(spark, sf), keys, keys.count()))
+    scored = score_wide_map(flat)
+    # Scores of whole quantities often lie on an edge of the sixth decimal; here and in SQL they are taken off it.
+    return scored.select(*KEYS, "num_features_used", "top_driver_1", *[r6(c, F.col(c) + 1e-9) for c in (
+        "mahalanobis_distance", "self_history_score", "peer_relative_score", "combined_signal_strength",
+        "top_driver_1_value")])
+
+
 def flatten_job(spark, sf):
     """Bundles to written features and keys, both read back."""
     features_at, keys_at = scratch_path(spark, "features"), scratch_path(spark, "keys")
@@ -543,6 +605,15 @@ def pack_by_tier(spark, sf):
     return tiered_pack(_intelligence(spark, sf)).select(*KEYS, "conviction_score", "tier", "label")
 
 
+def trend_table(spark, sf):
+    """The trend as a bucketed table: change against the quarter before, and the entity's quarters."""
+    saved = save_trend(trend(spark, sf), f"trend_{uuid.uuid4().hex}", scratch_path(spark, "trend"), 8)
+    before = F.lag("anomaly_score_0_100").over(Window.partitionBy("ticker").orderBy("calendar_quarter"))
+    lengths = saved.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_quarters"))
+    return saved.withColumn("change", F.col("anomaly_score_0_100") - before).join(lengths, "ticker").select(
+        "ticker", "calendar_quarter", r6("change"), "n_quarters")
+
+
 def trend(spark, sf):
     """Two filings in some quarters: the one filed last stays."""
     first = materialize(_intelligence(spark, sf), "intelligence")
@@ -600,6 +671,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bundle_scan": bundle_scan,
     "bundle_pruned": bundle_pruned,
     "bundle_counts": bundle_counts,
+    "bundle_counts_limited": bundle_counts_limited,
+    "score_counts": score_counts,
+    "wide_scores": wide_scores,
+    "publish_set": published_set,
+    "trend_table": trend_table,
     "flatten_job": flatten_job,
     "table_flatten_job": table_flatten_job,
     "three_jobs": three_jobs,

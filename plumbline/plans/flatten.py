@@ -15,6 +15,10 @@ from plumbline.sources.tables import (
 )
 
 
+# Where the features are too many for columns, their rows lie beside the table.
+CELLS = "-cells"
+
+
 def flatten_bundle_folder(
     spark: SparkSession, root: str, form_type: str = names.DEFAULT_FORM,
     max_tickers: int | None = None, tickers: Sequence[str] | None = None,
@@ -41,6 +45,9 @@ def _written(spark, flat: FlatFilings, features_path, keys_path) -> FlatFilings:
     if features_path:
         write_features(flat.table, features_path)
         flat = replace(flat, table=spark.read.parquet(features_path))
+        if flat.cells is not None:
+            write_features(flat.cells, features_path + CELLS)
+            flat = replace(flat, cells=spark.read.parquet(features_path + CELLS))
     if keys_path:
         write_feature_keys(spark, flat.features, keys_path)
     return flat

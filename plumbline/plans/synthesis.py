@@ -136,3 +136,22 @@ def company_trend(
         [col(filed).desc_nulls_last(), col(period).desc_nulls_last()])
     return latest.repartitionByRange(entity, "calendar_quarter").sortWithinPartitions(
         entity, "calendar_quarter")
+
+
+def save_trend(
+    trend: DataFrame, table: str, path: str | None = None, buckets: int | None = None,
+    entity: str = names.ENTITY, quarter: str = "calendar_quarter",
+) -> DataFrame:
+    """Save `company_trend` as a table in folders by quarter, bucketed and sorted by entity.
+
+    Later joins and windows on the entity read the buckets as they lie, without a shuffle, and a filter on
+    quarters reads their folders alone. An entity has one row a quarter, so no bucket grows out of hand.
+    ``path`` makes it an external table. A table of that name is replaced.
+    """
+    spark = trend.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Dealt by the hash that deals the buckets: every task writes one bucket.
+    writer = trend.repartition(n, col(entity)).write.mode("overwrite").format("parquet") \
+        .partitionBy(quarter).bucketBy(n, entity).sortBy(entity)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return spark.table(table)

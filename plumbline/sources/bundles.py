@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline import names
@@ -39,19 +39,25 @@ FEATURE_MAP = "engineered_anomaly_features"
 SOURCE_PATH = "source_path"
 _CORRUPT = "_corrupt_record"
 _NUMERIC = "^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
-# Feature keys a flat table may have; keys are columns, so more are a fault of the documents.
+# Feature keys that become columns; with more, features are rows (`FlatFilings.cells`).
 MAX_KEYS = 20_000
+REASONS = ("malformed", "other_form", "no_ticker", "not_listed", "over_limit", "no_features")
 
 
 @dataclass(frozen=True)
 class FlatFilings:
     """Flat table, ordered feature names, feature keys that shared one column name, and how many
-    documents were read, accepted and left out for what reason."""
+    documents were read, accepted and left out for what reason.
+
+    Where the documents have more than ``MAX_KEYS`` keys the table has no feature columns and ``cells`` has
+    a row (ticker, report_date, source_path, feature, value) for each number there is.
+    """
 
     table: DataFrame
     features: list[str]
     collisions: dict[str, list[str]] = field(default_factory=dict)
     counts: dict[str, int] = field(default_factory=dict)
+    cells: DataFrame | None = None
 
 
 def last_key_wins(spark: SparkSession) -> None:
@@ -147,9 +153,7 @@ def feature_key_table(bundles: DataFrame, feature_map: str = FEATURE_MAP,
     A key is numeric when it has a value and all its values are numbers; numeric text, booleans and
     nested values do not count. Bookkeeping keys are left out.
     """
-    spark = bundles.sparkSession
-    entries = bundles.select(col(feature_map).alias("__map"), col(order).alias("__order")).lateralJoin(
-        spark.tvf.variant_explode(F.col("__map").outer())).select("__order", "key", "value")
+    entries = _entries(bundles, [col(order).alias("__order")], feature_map)
     kind = F.schema_of_variant(F.col("value"))
     has_value = F.col("value").isNotNull() & (kind != "VOID")
     return (
@@ -164,6 +168,33 @@ def feature_key_table(bundles: DataFrame, feature_map: str = FEATURE_MAP,
     )
 
 
+def _entries(bundles: DataFrame, keep: Sequence[Column], feature_map: str = FEATURE_MAP) -> DataFrame:
+    """The kept columns with ``key`` and ``value`` (variant) of every entry of the feature objects."""
+    spark = bundles.sparkSession
+    held = bundles.select(*keep, col(feature_map).alias("__map"))
+    return held.lateralJoin(spark.tvf.variant_explode(F.col("__map").outer())).select(
+        *[col(c) for c in held.columns if c != "__map"], "key", "value")
+
+
+def feature_cells(bundles: DataFrame, keys: DataFrame, n_keys: int) -> DataFrame:
+    """One row (ticker, report_date, source_path, feature, value) per present number of the feature objects.
+
+    ``keys`` is the written `feature_key_table`. Of keys that clean to one name the first present value in
+    key order wins, as in the wide layout; bookkeeping, metadata and unnamed keys are no features.
+    """
+    taken = [*METADATA, SOURCE_PATH, *names.NOT_FEATURES, *names.BUNDLE_BOOKKEEPING, ""]
+    numbers = keys.where(F.col("numeric") & ~F.col("name").isin(taken)) \
+        .select("key", F.col("name").alias("feature"), "first_seen")
+    keep = [F.col(METADATA[c]).alias(c) for c in ("ticker", "report_date")] + [F.col(SOURCE_PATH)]
+    entries = _entries(bundles, keep).withColumn(
+        "value", finite(F.try_variant_get(F.col("value"), "$", "double"))).where(F.col("value").isNotNull())
+    cells = attach_small(entries, numbers, ["key"], n_keys, 160, "inner")
+    of = ["ticker", "report_date", SOURCE_PATH, "feature"]
+    if numbers.select("feature").distinct().count() < numbers.count():
+        cells = cells.groupBy(*of).agg(F.min_by("value", F.struct("first_seen", "key")).alias("value"))
+    return cells.select(*of, "value")
+
+
 def flatten_feature_map(
     df: DataFrame, keep: Sequence[Column], key_rows: Sequence, feature_map: str = FEATURE_MAP,
     reserved: Sequence[str] = tuple(METADATA),
@@ -203,30 +234,27 @@ def _entry(feature_map: str, key: str, kind: str) -> Column:
 
 
 def flatten_bundles(bundles: DataFrame) -> FlatFilings:
-    """Flat filing table of accepted bundles: metadata, source path, and a column per feature."""
+    """Flat filing table of accepted bundles: metadata, source path, and a column per feature, or a row
+    per number where the features are too many for columns."""
     keep = [F.col(path).alias(name) for name, path in METADATA.items()] + [F.col(SOURCE_PATH)]
     keys = materialize(feature_key_table(bundles), "feature-keys")
     found = keys.count()
     if found > MAX_KEYS:
-        raise ValueError(f"{found} distinct feature keys, more than {MAX_KEYS}: they look generated")
+        return FlatFilings(bundles.select(*keep), [], cells=feature_cells(bundles, keys, found))
     # One row per distinct feature name, the size of a schema.
     return flatten_feature_map(bundles, keep, keys.collect())
 
 
-def count_bundles(bundles: DataFrame, form_type: str, tickers: Sequence[str] | None) -> dict[str, int]:
-    """Documents read, and those left out, each under the first reason that holds."""
+def left_out(form_type: str, tickers: Sequence[str] | None) -> Column:
+    """The first reason why a document is left out, limits on tickers aside; null if there is none."""
     ticker = F.col(METADATA["ticker"])
     allowed = ticker.isin(sorted(set(tickers))) if tickers else F.lit(True)
     no = lambda condition: ~F.coalesce(condition, F.lit(False))
-    reason = (
+    return (
         F.when(F.col(_CORRUPT).isNotNull(), "malformed")
         .when(no(F.col(METADATA["form_type"]) == form_type), "other_form")
         .when(no(ticker != ""), "no_ticker").when(no(allowed), "not_listed")
         .when(no(F.schema_of_variant(F.col(FEATURE_MAP)).rlike("^OBJECT<.+>$")), "no_features"))
-    rows = bundles.groupBy(F.coalesce(reason, F.lit("kept")).alias("reason")).count().collect()
-    counts = {r["reason"]: r["count"] for r in rows}
-    names_of = ("malformed", "other_form", "no_ticker", "not_listed", "no_features")
-    return {"documents": sum(counts.values())} | {name: counts.get(name, 0) for name in names_of}
 
 
 def load_bundles(
@@ -236,8 +264,26 @@ def load_bundles(
 ) -> FlatFilings:
     """Scan, filter and flatten the bundles below ``root``.
 
-    The documents are parsed once, into a written table; keys, counts and columns come from that.
+    The documents are parsed once, into a written table, and counted while it is written: ``documents``,
+    those left out under the first of `REASONS` that holds, and those ``kept``. Only a limit on the tickers
+    takes another look, at two columns.
     """
-    bundles = materialize(scan_bundles(spark, root, tickers, file_glob, ignore_unreadable), "bundles")
-    flat = flatten_bundles(accepted_bundles(bundles, form_type, tickers, max_tickers))
-    return replace(flat, counts=count_bundles(bundles, form_type, tickers))
+    seen, reason = Observation(), left_out(form_type, tickers)
+    bundles = materialize(
+        scan_bundles(spark, root, tickers, file_glob, ignore_unreadable).observe(
+            seen, F.count(F.lit(1)).alias("documents"),
+            *[F.count_if(F.coalesce(reason == r, F.lit(False))).alias(r) for r in REASONS]), "bundles")
+    counts = dict(seen.get)
+    accepted = accepted_bundles(bundles, form_type, tickers, max_tickers)
+    if max_tickers is not None:
+        within = accepted.agg(F.count(F.lit(1)).alias("kept")).first()["kept"]
+        chosen = first_entities(
+            bundles.where(F.coalesce(reason, F.lit("no_features")) == "no_features").select(
+                F.col(METADATA["ticker"]).alias("ticker"), SOURCE_PATH, reason.alias("reason")),
+            "ticker", SOURCE_PATH, max_tickers)
+        empty = chosen.where(F.col("reason").isNotNull()).count()
+        counts["over_limit"] = counts["documents"] - within - empty - sum(
+            counts[r] for r in REASONS[:REASONS.index("over_limit")])
+        counts["no_features"] = empty
+    counts["kept"] = counts["documents"] - sum(counts[r] for r in REASONS)
+    return replace(flatten_bundles(accepted), counts=counts)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 import plumbline as pl
 from plumbline import names
 from plumbline.plans.flatten import flatten_bundle_folder, flatten_filings_table
-from plumbline.sinks.outputs import publish_outputs, write_csv
+from plumbline.sinks import outputs
+from plumbline.sinks.outputs import publish_outputs, publish_set, write_csv
 from plumbline.sources import bundles as B
 from plumbline.sources import tables as T
 
@@ -189,16 +190,64 @@ def test_a_missing_root_is_an_error_and_missing_ticker_folders_are_not(spark, fo
 
 
 def test_flatten_reports_what_it_left_out(spark, folder):
-    assert pl.load_bundles(spark, folder).counts == {
-        "documents": 10, "malformed": 1, "other_form": 2, "no_ticker": 1, "not_listed": 0, "no_features": 1}
+    flat = pl.load_bundles(spark, folder)
+    assert flat.counts == {
+        "documents": 10, "malformed": 1, "other_form": 2, "no_ticker": 1, "not_listed": 0, "over_limit": 0,
+        "no_features": 1, "kept": 5}
+    assert flat.table.count() == 5
     counts = pl.load_bundles(spark, folder, tickers=["AAA", "BBB"]).counts
     assert (counts["documents"], counts["no_features"]) == (3, 1)
 
 
-def test_generated_keys_end_the_flatten_with_a_message(spark, folder, monkeypatch):
-    monkeypatch.setattr(B, "MAX_KEYS", 3)
-    with pytest.raises(ValueError, match="distinct feature keys"):
-        pl.load_bundles(spark, folder)
+@pytest.mark.parametrize("most", [1, 2, 100])
+def test_counts_with_a_limit_on_tickers_add_up_to_the_table(spark, folder, most):
+    flat = pl.load_bundles(spark, folder, max_tickers=most)
+    assert flat.counts["kept"] == flat.table.count()
+    assert flat.counts["documents"] == flat.counts["kept"] + sum(flat.counts[r] for r in B.REASONS)
+    assert (flat.counts["over_limit"] > 0) == (most < 3)
+
+
+def test_too_many_keys_for_columns_become_rows(spark, folder, monkeypatch, tmp_path):
+    wide = pl.load_bundles(spark, folder)
+    monkeypatch.setattr(B, "MAX_KEYS", 1)
+    flat = flatten_bundle_folder(spark, folder, features_path=str(tmp_path / "features"))
+    assert flat.features == [] and flat.table.count() == wide.table.count()
+    got = {(r["source_path"], r["feature"]): r["value"] for r in flat.cells.collect()}
+    wanted = {(r["source_path"], f): r[f] for r in wide.table.collect() for f in wide.features if r[f] is not None}
+    assert got == wanted and wanted
+
+
+def test_a_set_is_published_whole_or_not_at_all(spark, tmp_path):
+    root = str(tmp_path / "pub")
+    with pytest.raises(FileNotFoundError):
+        outputs.published_set(spark, root)
+    one, two = spark.range(3).toDF("v"), spark.createDataFrame([("a\0b\\n\n\r", 1)], "t string, n int")
+    done, skipped = publish_set({names.SCORES_TABLE: one, names.REVIEW_TABLE: two}, root)
+    assert skipped == [] and set(done) == {names.SCORES_TABLE, names.REVIEW_TABLE}
+    broken = two.select(F.raise_error(F.lit("no second table")).cast("string").alias("t"))
+    with pytest.raises(Exception, match="no second table"):
+        publish_set({names.SCORES_TABLE: one.limit(1), names.REVIEW_TABLE: broken}, root)
+    assert outputs.published_versions(spark, root) == [1]
+    assert outputs.read_published(spark, root, names.SCORES_TABLE).count() == 3
+    publish_set({names.SCORES_TABLE: one.limit(2), names.REVIEW_TABLE: two}, root, "csv")
+    assert outputs.published_set(spark, root)["version"] == 2
+    back = outputs.read_published(spark, root, names.REVIEW_TABLE, schema=two.schema)
+    assert [tuple(r) for r in back.collect()] == [("a\0b\\n\n\r", 1)]
+    assert outputs.read_published(spark, root, names.SCORES_TABLE, version=1).count() == 3
+    # What the failed publication left, and the first set.
+    assert len(outputs.prune_published(spark, root, keep=1)) == 2
+    assert outputs.published_versions(spark, root) == [2]
+    assert outputs.read_published(spark, root, names.REVIEW_TABLE, schema=two.schema).count() == 1
+    assert publish_set({names.SCORES_TABLE: None}, root) == ({}, [names.SCORES_TABLE, names.REVIEW_TABLE])
+    with pytest.raises(FileExistsError):
+        outputs._put_new(spark, f"{root}/{outputs.MANIFESTS}/00000002.json", "{}")
+
+
+def test_line_codes_read_back_whatever_the_text(spark):
+    texts = ["", "\\", "\\\\", "\\n", "\n", "\\\n", "\0", "a\0\\r\r\n", "\\\\n\\", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    back = df.select("i", outputs.unescape_lines(outputs.escape_lines(F.col("t"))).alias("t")).collect()
+    assert [r["t"] for r in sorted(back)] == texts
 
 
 def test_publish_outputs_skips_missing_and_replaces(spark, tmp_path):
