@@ -480,6 +480,22 @@ ORACLE: dict[str, str] = {
         "SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_entities, count(*) - "
         "(SELECT count(*) FROM (SELECT DISTINCT user_id, event_type FROM events)) AS n_duplicates, "
         "3 AS n_features FROM events",
+    "filings_of_quarters": """WITH q AS (SELECT DISTINCT year(l_shipdate) || 'Q' || quarter(l_shipdate) AS cq
+          FROM lineitem WHERE l_quantity = 50 AND l_discount = 0 AND year(l_shipdate) < 1996)
+        SELECT o_orderkey, 'F' AS form_type, cq AS calendar_quarter, o_totalprice FROM (
+          SELECT *, year(o_orderdate) || 'Q' || quarter(o_orderdate) AS cq FROM orders WHERE o_orderstatus = 'F')
+        JOIN q USING (cq)""",
+    "listed_orders":
+        "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey IN "
+        "(SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')",
+    "quantile_sketch_ranks": """SELECT l_returnflag, feature, count(*) AS n, prob, true AS within
+        FROM lineitem, (VALUES ('l_quantity'), ('l_extendedprice'), ('l_discount')) f(feature),
+          (VALUES (0.05::DOUBLE), (0.25), (0.5), (0.75), (0.95)) p(prob) GROUP BY l_returnflag, feature, prob""",
+    "distinct_sketch_users":
+        "SELECT event_type, count(DISTINCT user_id) AS n_users, true AS within FROM events GROUP BY event_type",
+    "records_round_trip":
+        "SELECT doc_id, sha256(coalesce('{\"' || text || '\"}, {', '')) AS text_sha256, lang, source, n_chars "
+        "FROM documents",
     "allow_list":
         "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN "
         "('1-URGENT', '5-LOW', 'none')",

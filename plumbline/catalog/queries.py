@@ -17,13 +17,17 @@ from plumbline.catalog.panels import (
     sparse_panel,
     supplier_panel, table,
 )
-from plumbline.functions.expressions import col, safe_name
+from plumbline.functions.expressions import calendar_quarter, col, safe_name
 from plumbline.operators.dedup import feature_profile, first_per_key
 from plumbline.operators.drivers import summary_scores, top_drivers, with_driver_summary
+from plumbline.operators.listed import listed_rows
 from plumbline.operators.mcd import robust_mahalanobis
 from plumbline.operators.quality import M_WEIGHTS, m_score
 from plumbline.operators.quantiles import group_quantiles, n_col, q_col
 from plumbline.operators.ranking import ordered_scores, percentile_scores, preview, top_n
+from plumbline.operators.sketches import (
+    distinct_sketches, merged_quantile_sketches, quantile_sketches, sketched_distinct, sketched_quantiles,
+)
 from plumbline.operators.winsor import (
     apply_bounds, impute_medians, squared_norm, winsor_bounds, winsorize,
 )
@@ -43,10 +47,10 @@ from plumbline.sources.bundles import (
     accepted_bundles, allow_list, feature_cells, feature_key_table, first_entities, flatten_bundles,
     flatten_feature_map, load_bundles, malformed_bundles, parse_bundles, scan_bundles,
 )
+from plumbline.sources.records import read_records
 from plumbline.sources.tables import (
-    discover_features, load_filings_table, read_feature_keys, read_feature_lines, read_features,
-    read_scores_csv,
-    write_feature_keys, write_features,
+    discover_features, filings_of_quarters, load_filings_table, read_feature_keys, read_feature_lines,
+    read_features, read_scores_csv, save_filings_table, write_feature_keys, write_features,
 )
 
 SCORED_AT = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -74,6 +78,49 @@ def scan_form_filter(spark, sf):
     return load_filings_table(filings, "F").select("o_orderkey", "form_type", "o_totalprice")
 
 
+def filings_of_chosen_quarters(spark, sf):
+    """A filings table in folders; the quarters come from another table and prune them at run time."""
+    filings = table(spark, sf, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("report_date"), F.col("o_orderstatus").alias("form"), "o_totalprice")
+    saved = save_filings_table(filings, f"filings_{uuid.uuid4().hex}", scratch_path(spark, "filings"))
+    quarters = table(spark, sf, "lineitem").where((F.col("l_quantity") == 50) & (F.col("l_discount") == 0)).select(
+        calendar_quarter(F.to_date("l_shipdate")).alias("calendar_quarter")).where(F.col("calendar_quarter") < "1996")
+    return filings_of_quarters(saved, quarters, "F").select("o_orderkey", "form_type", "calendar_quarter", "o_totalprice")
+
+
+def listed_orders(spark, sf):
+    """Lines of the orders in a list that is a table, by the way for lists too long to broadcast."""
+    urgent = table(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey")
+    return listed_rows(table(spark, sf, "lineitem"), "l_orderkey", urgent, "o_orderkey", 0).select(
+        "l_orderkey", "l_linenumber", "l_quantity")
+
+
+def quantile_sketch_ranks(spark, sf):
+    """Sketches of two halves of the lines, merged: whether each quantile's rank is within half a percent."""
+    lines = table(spark, sf, "lineitem").withColumn("half", F.col("l_orderkey") % 2)
+    measures = ["l_quantity", "l_extendedprice", "l_discount"]
+    halves = materialize(quantile_sketches(lines, ["half", "l_returnflag"], measures), "quantile-sketches")
+    merged = merged_quantile_sketches(halves, ["l_returnflag"], measures)
+    read = sketched_quantiles(merged, ["l_returnflag"], measures, [0.05, 0.25, 0.5, 0.75, 0.95])
+    cells = lines.unpivot(["l_returnflag"], measures, "feature", "v")
+    ranked = cells.join(read, ["l_returnflag", "feature"]).groupBy("l_returnflag", "feature", "n", "prob").agg(
+        F.avg((F.col("v") < F.col("value")).cast("int")).alias("below"),
+        F.avg((F.col("v") <= F.col("value")).cast("int")).alias("upto"))
+    return ranked.select("l_returnflag", "feature", "n", "prob", (
+        (F.col("below") - 0.005 <= F.col("prob")) & (F.col("prob") <= F.col("upto") + 0.005)).alias("within"))
+
+
+def distinct_sketch_users(spark, sf):
+    """Sketches of users per day and event type, united by type: whether the estimate is within 2 %."""
+    events = table(spark, sf, "events")
+    daily = materialize(distinct_sketches(
+        events.withColumn("day", F.to_date("ts")), ["day", "event_type"], "user_id"), "distinct-sketches")
+    exact = events.groupBy("event_type").agg(F.countDistinct("user_id").alias("n_users"))
+    return sketched_distinct(daily, ["event_type"]).join(exact, "event_type").select(
+        "event_type", "n_users", (F.abs(F.col("n_distinct") - F.col("n_users")) <= 0.02 * F.col("n_users"))
+        .alias("within"))
+
+
 def dedup_panel(spark, sf):
     return first_per_key(
         table(spark, sf, "events"), ["user_id", "event_type"], [F.col("event_id")]
@@ -542,6 +589,22 @@ def features_round_trip(spark, sf):
     return rounded(back, KEYS, read_feature_keys(spark, keys_at))
 
 
+def records_round_trip(spark, sf):
+    """Documents written as arrays of records, texts with braces and quotation marks among them, and read
+    back by many tasks."""
+    at = scratch_path(spark, "records")
+    docs = table(spark, sf, "documents").select(
+        "doc_id", F.concat(F.lit('{"'), "text", F.lit('"}, {')).alias("text"), "lang",
+        F.struct("source", "n_chars").alias("origin"))
+    line = F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})
+    docs.select(F.spark_partition_id().alias("part"), line.alias("line")).groupBy(
+        "part", F.pmod(F.xxhash64("line"), F.lit(8))).agg(F.collect_list("line").alias("lines")).select(
+        F.concat(F.lit("["), F.array_join("lines", ",\n"), F.lit("]"))).write.text(at)
+    read = read_records(spark, at, docs.schema)
+    return read.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), "lang",
+                       "origin.source", "origin.n_chars")
+
+
 # --- quality, labels, conviction, trend ----------------------------------------------------------
 
 def earnings_quality(spark, sf):
@@ -627,6 +690,10 @@ def trend(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_form_filter": scan_form_filter,
+    "filings_of_quarters": filings_of_chosen_quarters,
+    "listed_orders": listed_orders,
+    "quantile_sketch_ranks": quantile_sketch_ranks,
+    "distinct_sketch_users": distinct_sketch_users,
     "dedup_panel": dedup_panel,
     "feature_profile": profile_of_features,
     "allow_list": allowed_priorities,
@@ -681,6 +748,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "three_jobs": three_jobs,
     "json_flatten": json_flatten,
     "features_round_trip": features_round_trip,
+    "records_round_trip": records_round_trip,
     "m_score": earnings_quality,
     "label_join": label_join,
     "eligible_filings": eligible_filings,

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline import names
-from plumbline.functions.expressions import col
+from plumbline.functions.expressions import calendar_quarter, col
 from plumbline.sinks.outputs import CSV_OPTIONS, unescape_lines
+from plumbline.sources.records import read_records
 
 
 def load_filings_table(
@@ -22,6 +24,33 @@ def load_filings_table(
     return kept.withColumnRenamed(form_column, "form_type")
 
 
+def save_filings_table(
+    filings: DataFrame, table: str, path: str | None = None, form_column: str = "form",
+    period: str = names.PERIOD,
+) -> DataFrame:
+    """Save filings as a table in folders by form and calendar quarter of their period.
+
+    Rows of a folder are spread over as many tasks as they need. A table of that name is replaced.
+    """
+    quartered = filings.withColumn("calendar_quarter", calendar_quarter(col(period)))
+    writer = quartered.hint("rebalance", col(form_column), F.col("calendar_quarter")).write \
+        .mode("overwrite").format("parquet").partitionBy(form_column, "calendar_quarter")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return filings.sparkSession.table(table)
+
+
+def filings_of_quarters(filings: DataFrame, quarters: DataFrame, form_type: str = names.DEFAULT_FORM,
+                        form_column: str = "form") -> DataFrame:
+    """Filings of one form in the quarters of a (filtered) table with a column `calendar_quarter`.
+
+    The form is pruned when the query is planned; the quarters, one row each and so few, are broadcast and
+    prune the folders when it runs.
+    """
+    wanted = quarters.select("calendar_quarter").distinct()
+    return load_filings_table(filings, form_type, form_column).join(
+        F.broadcast(wanted), "calendar_quarter", "left_semi")
+
+
 def discover_features(df: DataFrame) -> list[str]:
     """Numeric columns that are not metadata, in column order; booleans are not numeric."""
     excluded = {*names.NOT_FEATURES, *names.BUNDLE_BOOKKEEPING}
@@ -38,10 +67,10 @@ def write_features(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def read_features(spark: SparkSession, path: str, schema=None, fmt: str = "parquet") -> DataFrame:
-    """Flat features; records JSON may be one array or lines, and needs its schema."""
+    """Flat features; records JSON may be one array or lines, of any size, and needs its schema."""
     if fmt != "json":
         return spark.read.format(fmt).load(path)
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    return read_records(spark, path, schema)
 
 
 def read_feature_lines(spark: SparkSession, path: str, schema) -> DataFrame:
