@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.expressions import col
 from plumbline.session import materialize
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -46,12 +45,16 @@ def _parsed(records: DataFrame, schema: T.StructType, date_format: str) -> DataF
             F.col("r").getField(f.name).alias(f.name) for f in schema.fields])
 
 
-def read_records(spark: SparkSession, path: str, schema: T.StructType, date_format: str = "yyyy-MM-dd") -> DataFrame:
+def read_records(
+    spark: SparkSession, path: str, schema: T.StructType | str, date_format: str = "yyyy-MM-dd",
+) -> DataFrame:
     """The objects of the files below ``path`` as rows of ``schema``, in no order.
 
     Keys that an object lacks are missing values, keys the schema lacks are left out. An object that is no
     JSON is an error. Empty arrays and files have no rows.
     """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     pieces = _pieces(spark, path).withColumn("quotes", _quotes(F.col("piece"))).withColumn(
         "opened", _opened(F.col("piece")))
     flat = (F.col("quotes") % 2 == 0) & ((F.col("opened") == 1) | F.trim("piece").rlike(r"^[\[\],\s]*$"))
