@@ -1,8 +1,9 @@
 """License scan: exact set-similarity join of text blocks with license notices.
 
 A block is a window of ``BLOCK`` words, one beginning every ``STEP`` words, so any passage of up to
-``STEP`` words lies whole in some block. A notice is found in a block that holds at least
-``THRESHOLD`` of its distinct words. The join is exact:
+``STEP`` words lies whole in some block. Longer notices, whole licenses among them, have blocks of their
+own, twice as long and as far apart again and again until the step holds them. A notice is found in a block
+that holds at least ``THRESHOLD`` of its distinct words. The join is exact:
 
 - notice words are ordered by how often they occur in the whole corpus, rarest first;
 - prefix filter: of n words, more than (1 - threshold) n must be missed to fail, so a block that
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,6 +76,44 @@ def notice_index(seen: Mapping[str, int], notices: Sequence[tuple[str, str]], th
                    for label, words in members]
 
 
+def step_of(words: int) -> int:
+    """The step between blocks for a notice of so many words: STEP, doubled until the notice fits."""
+    step = STEP
+    while step < words:
+        step *= 2
+    return step
+
+
+def _links(scanned: DataFrame, step: int, indexed: Mapping[int, tuple], order: list[str]) -> DataFrame:
+    """Blocks of one step that reach the threshold of a notice; ``scanned`` has doc_id, text_key, spaced."""
+    literal = lambda items: F.array(*[F.lit(i) for i in items])
+    prefixes = {number: words[:len(words) - needed + 1] for number, (_, words, needed) in indexed.items()}
+    index = scanned.sparkSession.createDataFrame(
+        [(token, number, label, at, len(words), needed, words)
+         for number, (label, words, needed) in indexed.items()
+         for at, token in enumerate(prefixes[number])],
+        "token string, notice int, label string, at int, n_notice int, needed int, members "
+        "array<string>")
+    starts = F.sequence(F.lit(0), F.call_function("div", F.size("words") - 1, F.lit(step)).cast("int"))
+    least = min(needed for _, _, needed in indexed.values())
+    of_notices = {w for _, words, _ in indexed.values() for w in words}
+    blocks = scanned.withColumn("words", F.split("spaced", " ")) \
+        .where(F.arrays_overlap("words", literal(sorted({t for p in prefixes.values() for t in p})))) \
+        .select("doc_id", "text_key", "words", F.explode(starts).alias("block")) \
+        .withColumn("words", F.slice("words", F.col("block") * step + 1, step * BLOCK // STEP)) \
+        .select("doc_id", "text_key", "block", F.size("words").alias("n_block"),
+                F.array_intersect(literal([w for w in order if w in of_notices]), "words").alias("tokens")) \
+        .where(F.size("tokens") >= least)
+    ahead = F.least(F.col("n_notice") - F.col("at"), F.size("tokens") - F.col("b"))
+    return blocks.select("*", F.posexplode("tokens").alias("b", "token")) \
+        .join(F.broadcast(index), "token") \
+        .where((F.col("n_block") >= F.col("needed")) & (ahead >= F.col("needed"))) \
+        .withColumn("common", F.size(F.array_intersect("tokens", "members"))) \
+        .where(F.col("common") >= F.col("needed")) \
+        .select("doc_id", "text_key", F.lit(step).alias("step"), "block", "notice", "label",
+                (F.col("common") / F.col("n_notice")).alias("containment")).distinct()
+
+
 def scan_licenses(
     docs: DataFrame, notices: Sequence[tuple[str, str]] = NOTICES, threshold: float = THRESHOLD,
     phrases: Mapping[str, str] = PHRASES, text: str = "text",
@@ -82,14 +122,11 @@ def scan_licenses(
 
     ``documents``: one row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels (comma-joined), score (the greatest containment found, 1 for a phrase, else 0).
-    ``links``: doc_id, text_key, block, label, notice and containment of every block at or above the
-    threshold. Rows with the same doc_id and text share their links. Null and empty texts have no
-    words, no labels and score 0. Other columns of ``docs`` are ignored, so names never clash.
+    ``links``: doc_id, text_key, step, block, label, notice and containment of every block at or above the
+    threshold; block n of a step begins with word n times the step. Notices may have any length. Rows with
+    the same doc_id and text share their links. Null and empty texts have no words, no labels and score 0.
+    Other columns of ``docs`` are ignored, so names never clash.
     """
-    spark = docs.sparkSession
-    longest = max(len(notice.split()) for _, notice in notices)
-    if longest > STEP:
-        raise ValueError(f"a notice of {longest} words is longer than the step of {STEP}")
     vocabulary = sorted({w for _, notice in notices for w in notice.split()})
     literal = lambda items: F.array(*[F.lit(i) for i in items])
 
@@ -109,33 +146,11 @@ def scan_licenses(
     # Global order. One row per word of the fixed notices comes back, however many texts there are.
     seen = dict(base.select(F.explode("tokens").alias("token")).groupBy("token").count().collect())
     order, indexed = notice_index(seen, notices, threshold)
-    prefixes = [words[:len(words) - needed + 1] for _, words, needed in indexed]
-    index = spark.createDataFrame(
-        [(token, number, label, at, len(words), needed, words)
-         for number, (label, words, needed) in enumerate(indexed)
-         for at, token in enumerate(prefixes[number])],
-        "token string, notice int, label string, at int, n_notice int, needed int, members "
-        "array<string>")
-
-    starts = F.sequence(F.lit(0), F.call_function("div", F.size("words") - 1, F.lit(STEP)).cast("int"))
-    least = min(needed for _, _, needed in indexed)
-    blocks = scanned.withColumn("words", F.split("spaced", " ")) \
-        .where(F.arrays_overlap("words", literal(sorted({t for p in prefixes for t in p})))) \
-        .select("doc_id", "text_key", "words", F.explode(starts).alias("block")) \
-        .withColumn("words", F.slice("words", F.col("block") * STEP + 1, BLOCK)) \
-        .select("doc_id", "text_key", "block", F.size("words").alias("n_block"),
-                F.array_intersect(literal(order), "words").alias("tokens")) \
-        .where(F.size("tokens") >= least)
-    ahead = F.least(F.col("n_notice") - F.col("at"), F.size("tokens") - F.col("b"))
-    links = materialize(
-        blocks.select("*", F.posexplode("tokens").alias("b", "token"))
-        .join(F.broadcast(index), "token")  # one row per prefix word of the fixed notices
-        .where((F.col("n_block") >= F.col("needed")) & (ahead >= F.col("needed")))
-        .withColumn("common", F.size(F.array_intersect("tokens", "members")))
-        .where(F.col("common") >= F.col("needed"))
-        .select("doc_id", "text_key", "block", "notice", "label",
-                (F.col("common") / F.col("n_notice")).alias("containment")).distinct(),
-        "license-links")
+    by_step: dict[int, list[int]] = {}
+    for number, (_, notice) in enumerate(notices):
+        by_step.setdefault(step_of(len(notice.split())), []).append(number)
+    found = [_links(scanned, step, {n: indexed[n] for n in numbers}, order) for step, numbers in by_step.items()]
+    links = materialize(reduce(DataFrame.unionByName, found), "license-links")
 
     per_text = links.groupBy(F.col("doc_id").alias("l_doc"), F.col("text_key").alias("l_key")).agg(
         F.collect_set("label").alias("found"), F.max("containment").alias("best"))

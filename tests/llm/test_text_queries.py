@@ -367,3 +367,25 @@ def test_stages_of_empty_and_odd_tables(spark):
             assert stage(spark, docs, SF).columns == docs.columns
             assert stage(spark, docs, SF).count() <= docs.count()
         assert corpus_pipeline.mix(spark, docs, SF).count() <= docs.count()
+
+
+def test_whole_licenses_as_templates(spark):
+    """A notice of 300 words, found whole, with a tenth changed, but not when a fifth is missing."""
+    rng = np.random.default_rng(12)
+    words = [f"w{n}" for n in range(300)]
+    changed = list(words)
+    for at in rng.choice(300, 25, replace=False):
+        changed[at] = "other"
+    filler = lambda n: [f"f{k}" for k in rng.integers(0, 50, n)]
+    texts = {1: filler(431) + words + filler(90), 2: filler(40) + changed, 3: filler(20) + words[:230] + filler(40),
+             4: filler(900), 5: "proprietary and confidential all rights reserved".split(), 6: words * 3}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    notices = [("long", " ".join(words)), *licenses.NOTICES]
+    found, links = licenses.scan_licenses(docs, notices)
+    assert {r["doc_id"]: r["labels"] for r in found.collect()} == {
+        1: "long", 2: "long", 3: "", 4: "", 5: "proprietary", 6: "long"}
+    for r in links.collect():
+        block = texts[r["doc_id"]][r["block"] * r["step"]:][:2 * r["step"]]
+        notice = set(notices[r["notice"]][1].split())
+        assert r["containment"] == pytest.approx(len(notice & set(block)) / len(notice)) and r["containment"] >= 0.9
+    assert {r["step"] for r in links.collect()} == {32, 512}
