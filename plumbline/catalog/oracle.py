@@ -488,6 +488,9 @@ ORACLE: dict[str, str] = {
     "listed_orders":
         "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey IN "
         "(SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')",
+    "split_list":
+        "SELECT event_id, CAST(place AS INTEGER) - 1 AS place, trim([event_type, CAST(user_id AS VARCHAR), ' last '][place]) "
+        "AS entry FROM events, (VALUES (1), (2), (3)) v(place)",
     "quantile_sketch_ranks": """SELECT l_returnflag, feature, count(*) AS n, prob, true AS within
         FROM lineitem, (VALUES ('l_quantity'), ('l_extendedprice'), ('l_discount')) f(feature),
           (VALUES (0.05::DOUBLE), (0.25), (0.5), (0.75), (0.95)) p(prob) GROUP BY l_returnflag, feature, prob""",

@@ -17,7 +17,7 @@ from plumbline.catalog.panels import (
     sparse_panel,
     supplier_panel, table,
 )
-from plumbline.functions.expressions import calendar_quarter, col, safe_name
+from plumbline.functions.expressions import calendar_quarter, col, safe_name, split_list
 from plumbline.operators.dedup import feature_profile, first_per_key
 from plumbline.operators.drivers import summary_scores, top_drivers, with_driver_summary
 from plumbline.operators.listed import listed_rows
@@ -88,6 +88,12 @@ def filings_of_chosen_quarters(spark, sf):
     return filings_of_quarters(saved, quarters, "F").select("o_orderkey", "form_type", "calendar_quarter", "o_totalprice")
 
 
+def split_lists(spark, sf):
+    """Comma-separated text as it comes in options, split into trimmed entries."""
+    text = F.concat_ws(" , ", F.col("event_type"), F.col("user_id").cast("string"), F.lit(" last "))
+    return table(spark, sf, "events").select("event_id", F.posexplode(split_list(text)).alias("place", "entry"))
+
+
 def listed_orders(spark, sf):
     """Lines of the orders in a list that is a table, by the way for lists too long to broadcast."""
     urgent = table(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey")
@@ -692,6 +698,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_form_filter": scan_form_filter,
     "filings_of_quarters": filings_of_chosen_quarters,
     "listed_orders": listed_orders,
+    "split_list": split_lists,
     "quantile_sketch_ranks": quantile_sketch_ranks,
     "distinct_sketch_users": distinct_sketch_users,
     "dedup_panel": dedup_panel,

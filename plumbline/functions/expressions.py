@@ -20,11 +20,6 @@ def col(name: str) -> Column:
     return F.col(quoted(name))
 
 
-def number(value: float) -> str:
-    """A double as SQL text."""
-    return f"({float(value)!r}D)"
-
-
 def finite(value: Column) -> Column:
     """NaN and infinities are missing; `percentile` would otherwise sort NaN in as a value."""
     v = value.cast("double")
