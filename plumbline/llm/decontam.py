@@ -3,6 +3,10 @@
 The automaton of all items' normalised words is built once and sent to the tasks; documents stream
 their words through it, and after each word the length of the longest matching stretch is known. A
 stretch of ``WINDOW`` words is a hit, as is a whole item of fewer words. Documents are never shuffled.
+
+A benchmark too large for one automaton is cut into slices. Then one pass over the documents looks up hashes
+of their windows among those of all items, 8 bytes each; only the few documents with such a window stream
+through the slices' automata, whatever the number of slices.
 """
 
 from __future__ import annotations
@@ -23,8 +27,9 @@ from plumbline.session import materialize
 
 WINDOW = 10
 # Bytes of item texts per automaton (about 400 bytes of memory for each); more items are
-# matched in several passes.
+# matched slice by slice.
 SLICE_BYTES = 1 << 20
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 # Word bytes: A-Z lower-cased, other ASCII but letters and digits becomes space.
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -200,13 +205,22 @@ def find_contamination(
 
     Null and empty texts have no words; items without words hit nothing; without items nothing is hit.
     An item may be listed several times. Rows of ``docs`` come back once each. The items are collected
-    in slices of about ``slice_bytes``; beyond one slice documents pass once per slice.
+    in slices of about ``slice_bytes``; beyond one slice only documents that may hold a window pass through
+    every slice.
     """
     slim = items.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text")) \
-        .where(F.col("text").isNotNull())
+        .where(F.col("text").isNotNull()).distinct()
     total = slim.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     slices = max(1, -(-total // slice_bytes))
     part = F.pmod(F.xxhash64("item", "text"), F.lit(slices))
+    if slices > 1:
+        suspect = free_name(docs, "suspect")
+        marked = materialize(docs.withColumn(suspect, windows_known(slim, window)(F.col(text))), "suspects")
+        clean = marked.where(~F.col(suspect)["hit"]).withColumn(into, F.struct(
+            F.col(suspect)["n_words"].alias("n_words"), *[
+                (F.array() if c != "rest" else F.lit(None)).cast(HITS[c].dataType).alias(c)
+                for c in ("spans", "items", "rest")])).drop(suspect)
+        docs = marked.where(F.col(suspect)["hit"]).drop(suspect)
     out = docs
     for k in range(slices):
         rows = slim.where(part == k).collect()  # one slice, bounded in bytes
@@ -223,7 +237,72 @@ def find_contamination(
                 into, merge_hits(F.col(into), F.col(more))).drop(more), "hits")
     if cut_text:
         out = out.withColumn(into, F.col(into).withField("rest", cut_words(F.col(text), F.col(into)["spans"])))
-    return out
+    return out.unionByName(clean)
+
+
+def _window_keys(numbers: np.ndarray, length: int) -> np.ndarray:
+    """A hash of every window of word numbers; 0 for those with a word the benchmark has not."""
+    n = max(0, len(numbers) - length + 1)
+    keys, known = np.zeros(n, np.uint64), np.ones(n, bool)
+    for j in range(length):
+        keys = keys * _STEP + numbers[j:j + n].astype(np.uint64)
+        keys ^= keys >> np.uint64(29)
+        known &= numbers[j:j + n] > 0
+    return np.where(known, keys | np.uint64(1), np.uint64(0))
+
+
+def windows_known(items: DataFrame, window: int):
+    """For a text: how many words it has, and whether it may hold a window of some item.
+
+    The driver gets the items' distinct words and 8 bytes for each of their windows.
+    """
+    @F.arrow_udf(T.ArrayType(TEXT))
+    def words_of(texts: pa.Array) -> pa.Array:
+        return pa.array([[w.decode(errors="replace") for w in t.encode().translate(_FOLD).split()]
+                         for t in texts.to_pylist()], pa.list_(pa.string()))
+
+    worded = materialize(items.select(words_of(F.col("text")).alias("words")).where(F.size("words") > 0), "item-words")
+    listed = worded.select(F.explode("words").alias("word")).distinct().orderBy("word").collect()
+    numbers = {r["word"].encode(): n for n, r in enumerate(listed, 1)}
+    sent = items.sparkSession.sparkContext.broadcast(numbers)
+
+    @F.arrow_udf(rows_of(length=LONG, key=LONG))
+    def keys_of(words: pa.Array) -> pa.Array:
+        out = []
+        for row in words.to_pylist():
+            length = min(window, len(row))
+            keys = _window_keys(np.array([sent.value[w.encode()] for w in row], np.int64), length)
+            out.append([{"length": length, "key": k} for k in np.unique(keys).view(np.int64).tolist()])
+        return pa.array(out, pa.list_(pa.struct([("length", pa.int64()), ("key", pa.int64())])))
+
+    found = worded.select(F.inline(keys_of(F.col("words")))).distinct().toArrow()
+    lengths = found.column("length").to_numpy()
+    keys = found.column("key").to_numpy().view(np.uint64)
+    tables = {int(n): np.sort(keys[lengths == n]) for n in np.unique(lengths)}
+    shipped = items.sparkSession.sparkContext.broadcast(tables)
+
+    @F.arrow_udf(struct_of(n_words=LONG, hit=T.BooleanType()))
+    def known(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        get = sent.value.get
+        for column in texts:
+            run, bounds = text_bytes(column)
+            counts, hits = [], []
+            for a, b in zip(bounds, bounds[1:]):
+                words = bytes(run[a:b]).translate(_FOLD).split()
+                coded = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
+                counts.append(len(words))
+                hits.append(any(_among(_window_keys(coded, n), table) for n, table in shipped.value.items()))
+            yield pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(hits, pa.bool_())],
+                                             ["n_words", "hit"])
+    return known
+
+
+def _among(keys: np.ndarray, table: np.ndarray) -> bool:
+    keys = keys[keys > 0]
+    if not len(keys):
+        return False
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return bool((table[at] == keys).any())
 
 
 @F.arrow_udf(TEXT)

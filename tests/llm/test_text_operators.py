@@ -325,3 +325,30 @@ def test_field_on_sentences_by_hand():
         found += sum(any(k == kind and (piece in f or f in piece) for k, f in spans) for kind, piece in wanted)
         wrong += bool(spans and not wanted)
     assert found >= 0.7 * there and wrong <= 2
+
+
+def test_a_benchmark_of_several_slices_passes_the_documents_once(spark, monkeypatch):
+    """Five megabytes of items; only documents with a window go through the slices."""
+    rng = np.random.default_rng(7)
+    words = np.array([f"w{n}" for n in range(5000)])
+    items = [(f"i{n}", " ".join(words[rng.integers(0, 5000, 400)])) for n in range(2200)]
+    items += [("short", "W1 w2, w3"), ("one", "unusualword"), ("empty", " .,"), ("i0", items[0][1]), (None, "w9 w8 w7 w6")]
+    texts = {n: " ".join(words[rng.integers(0, 5000, 200)]) for n in range(60)}
+    texts[100] = "before " + " ".join(items[17][1].split()[30:45]) + " after"
+    texts[101] = " ".join(items[900][1].split()[:12]) + " x " + " ".join(items[1500][1].split()[:9])
+    texts[102], texts[103], texts[104] = "w1 W2 w3", "an unusualword. here", ""
+    passed = []
+    kept = decontam.hits_udf
+    monkeypatch.setattr(decontam, "hits_udf", lambda made, cut: passed.append(made) or kept(made, cut))
+    frame = spark.createDataFrame(list(texts.items()) + [(105, None)], "doc_id long, text string").withColumn(
+        "suspect", F.lit(1))
+    listed = spark.createDataFrame(items, "item_id string, text string")
+    found = decontam.find_contamination(frame, listed)
+    assert len(passed) >= 5 and found.columns == [*frame.columns, "hits"]
+    got = {r["doc_id"]: r["hits"] for r in found.collect()}
+    wanted = contamination(list(texts.items()) + [(105, None)], [(i or "", t) for i, t in items])
+    assert set(got) == set(wanted)
+    for i, (n_words, n_hit, n_items, _, _) in wanted.items():
+        assert got[i]["n_words"] == n_words and len(got[i]["items"]) == n_items
+        assert sum(s["end"] - s["begin"] for s in got[i]["spans"]) == n_hit
+    assert {i for i, w in wanted.items() if w[1]} >= {100, 101, 102, 103}
