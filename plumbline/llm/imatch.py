@@ -65,8 +65,8 @@ def fingerprint(terms: Column, lexicon: list[int]) -> Column:
     """
     hashed = lambda items: F.when(F.size(items) == 0, F.lit(0).cast("bigint")).otherwise(
         F.xxhash64(items))
-    # The sorted lexicon comes first, so the common terms come out sorted.
-    in_band = _numbers(lexicon)
+    # A constant set: each term is looked up, whatever the size of the lexicon. Spark numbers it once.
+    in_band = lambda t: t.isin(*lexicon) if lexicon else F.lit(False)
     masks = _numbers([(1 << level) - 1 for level in LEVELS])
 
     def thinned(kept: Column, seed: Column) -> Column:
@@ -86,7 +86,7 @@ def fingerprint(terms: Column, lexicon: list[int]) -> Column:
             _numbers(list(range(SUBSETS))), lambda seed: thinned(kept, seed))))
 
     return _let(terms, lambda every: _let(
-        F.array_intersect(in_band, every), lambda kept: whole(every, kept)))
+        F.array_sort(F.filter(every, in_band)), lambda kept: whole(every, kept)))
 
 
 def fingerprint_text(hashes: Column) -> Column:

@@ -13,7 +13,8 @@ Suffixes are ranked by growing prefixes and leave as soon as their rank is uniqu
 Ranks are hash names instead of ordinal numbers, as only equality matters. Sorting by name brings
 equal prefixes together: first at ``PREFIX`` bytes, then at ``MIDDLE`` bytes to either side (any stretch
 reaches that far to the left or to the right of its position), then at ``LIMIT`` bytes, where the bytes
-themselves are compared.
+themselves are compared. Positions with the same surroundings are not: there two 64-bit names, of the first
+``PREFIX`` bytes and of all surroundings, are taken for the bytes, 128 bits in all.
 """
 
 from __future__ import annotations
