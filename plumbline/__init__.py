@@ -12,7 +12,7 @@ from plumbline.operators.zscores import (
     combine_zscores, peer_zscores, sector_peer_zscores, self_and_peer_zscores,
     self_history_zscores,
 )
-from plumbline.plans.flatten import flatten_bundle_folder, flatten_filings_table
+from plumbline.plans.flatten import flatten_bundle_folder, flatten_bundle_packs, flatten_filings_table
 from plumbline.plans.review import build_review_pack
 from plumbline.plans.scoring import score_filings, score_wide_map, score_with_counts
 from plumbline.plans.synthesis import (
@@ -20,7 +20,7 @@ from plumbline.plans.synthesis import (
     join_narrative, save_trend, tiered_pack,
 )
 from plumbline.sinks.outputs import publish_output, publish_outputs, publish_set, read_published, write_csv
-from plumbline.sources.bundles import load_bundles
+from plumbline.sources.bundles import load_bundles, load_packs, pack_folder, save_packs
 from plumbline.sources.records import read_records
 from plumbline.sources.tables import (
     discover_features, filings_of_quarters, load_filings_table, save_filings_table,

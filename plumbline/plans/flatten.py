@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plumbline import names
 from plumbline.operators.dedup import numeric_features
-from plumbline.sources.bundles import FlatFilings, load_bundles
+from plumbline.sources.bundles import FlatFilings, load_bundles, load_packs
 from plumbline.sources.tables import (
     discover_features, load_filings_table, write_feature_keys, write_features,
 )
@@ -30,6 +30,15 @@ def flatten_bundle_folder(
     return _written(spark, flat, features_path, keys_path)
 
 
+def flatten_bundle_packs(
+    spark: SparkSession, root: str, form_type: str = names.DEFAULT_FORM,
+    max_tickers: int | None = None, tickers: Sequence[str] | None = None,
+    features_path: str | None = None, keys_path: str | None = None,
+) -> FlatFilings:
+    """`flatten_bundle_folder` from packs (`bundles.save_packs`), for bundles too many for a file each."""
+    return _written(spark, load_packs(spark, root, form_type, max_tickers, tickers), features_path, keys_path)
+
+
 def flatten_filings_table(
     spark: SparkSession, filings: DataFrame, form_type: str = names.DEFAULT_FORM,
     features_path: str | None = None, keys_path: str | None = None,

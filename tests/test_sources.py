@@ -118,6 +118,56 @@ def test_flatten_job_writes_features_and_keys(spark, folder, tmp_path):
     assert scored.count() == 5
 
 
+def test_packs_of_single_files_flatten_alike(spark, folder, tmp_path):
+    packed = str(tmp_path / "packed")
+    B.pack_folder(spark, folder, packed)
+    for options in ({}, {"tickers": ["CCC", "EEE"]}, {"max_tickers": 3}):
+        one, many = B.load_bundles(spark, folder, **options), B.load_packs(spark, packed, **options)
+        assert many.counts == one.counts and many.features == one.features
+        rows = [sorted(map(str, f.table.collect())) for f in (one, many)]
+        assert rows[0] == rows[1]
+    chosen = spark.createDataFrame([("DDD",), ("AAA",), ("none",), (None,)], "folder string")
+    listed = B.scan_packs(spark, packed, ["AAA", "DDD"]).select("source_path").collect()
+    assert sorted(B.scan_packs(spark, packed, chosen).select("source_path").collect()) == sorted(listed)
+    assert len(listed) == 4
+
+
+def test_many_bundles_take_few_files(spark, tmp_path):
+    n, root = 3000, tmp_path / "packs"
+    texts = spark.range(n).select(
+        F.concat(F.lit('{"extraction_input": {"ticker": "T'), F.col("id") % 500, F.lit('"}, "selected_filing": {"form": "10-Q"},\n'),
+                 F.lit('"engineered_anomaly_features": {"x": '), "id", F.lit("}}")).alias("text"),
+        F.concat(F.lit("T"), F.col("id") % 500).alias("folder"), F.col("id").cast("string").alias("path"))
+    B.save_packs(texts.union(texts.limit(1).select(F.lit(None), "folder", "path")), str(root), "text", "path", "folder")
+    assert len(list(root.rglob("*.parquet"))) <= B.PACKS
+    flat = B.load_packs(spark, str(root))
+    assert flat.counts["documents"] == flat.counts["kept"] == n
+    assert flat.table.agg(F.sum("x")).first()[0] == n * (n - 1) / 2
+    assert B.load_packs(spark, str(root), tickers=["T7"]).table.count() == n // 500
+
+
+def test_no_bundles_at_all(spark, tmp_path):
+    B.save_packs(spark.createDataFrame([], "text string, path string, folder string"), str(tmp_path / "p"), "text", "path", "folder")
+    assert B.load_packs(spark, str(tmp_path / "p")).counts["documents"] == 0
+
+
+def test_bundle_queries_write_few_files(spark, tmp_path):
+    from plumbline.catalog import queries as Q
+
+    days = spark.range(400).select(
+        (F.col("id") % 200).alias("user_id"), F.timestamp_seconds(1704067200 + F.col("id") * 6000).alias("ts"),
+        F.lit(1.5).alias("value"))
+    days.write.parquet(str(tmp_path / "events.parquet"))
+    kept = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "scratch"))
+    try:
+        Q.bundle_counts(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.checkpoint.dir") if kept is None else spark.conf.set("spark.checkpoint.dir", kept)
+    written = next((tmp_path / "scratch").glob("bundles-*"))
+    assert len([f for f in written.rglob("*") if f.suffix in (".txt", ".parquet", ".json")]) <= 3 * B.PACKS
+
+
 def test_filings_table(spark, tmp_path):
     df = spark.createDataFrame(
         [("A", "10-Q", 1.0, 2, True, 2024), ("B", "10-K", 2.0, 3, False, 2024),
