@@ -367,7 +367,7 @@ def attach_group_stats(df: DataFrame, stats: GroupStats) -> DataFrame:
             "__salt", F.when(F.col("__hot").isNull(), F.col("__salt")).otherwise(spread))
     # Always 0, but no constant: that would be taken out of the join's keys, and the salt would not spread.
     zero = F.pmod(F.hash(*[col(c) for c in by]), F.lit(1))
-    joined = marked.join(stats.cold.withColumn("__salt", zero), [*by, "__salt"], "left")
+    joined = marked.join(stats.cold.withColumn("__salt", zero).hint("merge"), [*by, "__salt"], "left")
     if stats.hot is None:
         return joined.drop("__salt")
     return joined.select(

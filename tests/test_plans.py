@@ -11,6 +11,7 @@ from plumbline.operators import groups
 from plumbline.operators.dedup import first_per_key
 from plumbline.operators.zscores import attach_zscores, quartile_stats
 from plumbline import names
+from plumbline.session import materialize
 
 FEATURES = ["f1", "f2", "f3"]
 
@@ -96,3 +97,19 @@ def test_both_groupings_are_measured_by_one_shuffle(panel, monkeypatch):
     assert "collect_list" in plans[0] and plans[0].count("FileScan") == 1
     # Nothing is measured again when the scores are joined.
     assert "collect_list" not in plan_of(scored) and plan_of(scored).count("group-stats") == 2
+
+
+def test_a_table_too_large_to_broadcast_is_shuffled(spark):
+    # The tables are small to Spark, as written tables of many rows are; what was counted decides.
+    rows = spark.range(2000).select((F.col("id") % 50).alias("k"), "id")
+    table = materialize(spark.range(40).select(F.col("id").alias("k"), F.lit(40).alias("n"), F.lit("x").alias("v")), "counted")
+    many = groups.BROADCAST_BYTES
+    for joined in (groups.attach_small(rows, table, ["k"], many, 64, "inner"),
+                   groups.attach_counted(rows, table, "k", many, 64, "n"),
+                   groups.attach_counted(rows, table, "k", many, 64, "n", hot_rows=30)):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        got = joined.select("k", "id", "v").collect()
+        assert sorted(r["id"] for r in got) == [i for i in range(2000) if i % 50 < 40]
+    small = groups.attach_counted(rows, table, "k", 40, 64, "n")
+    assert small.count() == 1600 and "SortMergeJoin" not in small._jdf.queryExecution().executedPlan().toString()
