@@ -7,6 +7,11 @@ again: its rows are few and are read, or, where they are many, it becomes the ne
 around the last cut sends its rows along with the scan, so that steps near the fixed point need no second
 one. A histogram over the bits of the distances finds the h-th row where a bracket missed it.
 
+Near the fixed point a step moves few rows across the cut, so one task takes many (`steps_around`): it holds
+the rows in a band around the cut and the moments of all nearer ones, and goes on as long as bounds on how
+far any distance can have changed prove that no row outside the band has crossed the cut. The steps are the
+same as those by scans.
+
 The driver holds the zones' moments and the rows of one bin per shape, both bounded by parameters.
 """
 
@@ -244,6 +249,99 @@ def settled_in_task(
     return np.asarray(found["location"]), np.asarray(found["covariance"]).reshape(p, p), found["steps"]
 
 
+@dataclass(frozen=True)
+class Walk:
+    """Where some steps ended: the shape, its log determinant, the steps taken, the cut to be expected next
+    and the rows per unit around it, and whether a further step would not lower the determinant."""
+
+    location: np.ndarray
+    covariance: np.ndarray | None
+    logdet: float
+    taken: int
+    cut: float
+    density: float
+    done: bool
+
+
+def _none_crossed(centre, whiten, lo: float, hi: float, location, now, cut: float) -> bool:
+    """Whether rows nearer than ``lo`` by the first shape are surely within ``cut`` by the second, and those
+    from ``hi`` on surely beyond it."""
+    change = now @ np.linalg.inv(whiten)
+    stretch = np.linalg.svd(change, compute_uv=False)
+    shift = float(np.linalg.norm(now @ (centre - location)))
+    edge = math.sqrt(cut * _TIE) * (1 + 1e-9)
+    inner = lo <= 0 or stretch[0] * math.sqrt(lo) + shift < math.sqrt(cut) * (1 - 1e-9)
+    return inner and (hi == math.inf or stretch[-1] * math.sqrt(hi) - shift > edge)
+
+
+def steps_around(
+    rows: DataFrame, centre: np.ndarray, whiten: np.ndarray, logdet: float, h: int, n_rows: int,
+    guess: float, density: float, cells: int,
+) -> Walk | None:
+    """Steps from a shape of full rank by one task, with the rows around the expected cut, ``cells`` numbers at
+    most; None if the cut is not known well enough for that. Takes one step at least."""
+    p, columns = len(rows.columns), rows.columns
+    most, width = cells // p, 1 + p + p * (p + 1) // 2
+    lo, hi, base = -1.0, math.inf, np.zeros(width)
+    if n_rows > most:
+        if not (0 < guess < math.inf) or not density > 0:
+            return None
+        half = 0.35 * most / density
+        for _ in range(4):
+            lo, hi = guess - half, guess + half
+            lo = lo if lo > 0 else -1.0
+            found = rows.mapInPandas(_scan([(centre, whiten, np.array([lo, hi]), 0, False)], 0), _ZONES) \
+                .where(F.col("place") >= 0).groupBy("zone", "place").agg(F.sum("amount").alias("amount")).toPandas()
+            zones = np.zeros((2, width))
+            zones[found["zone"], found["place"]] = found["amount"]
+            base, held = zones[0], int(zones[1, 0])
+            if not base[0] < h <= base[0] + held:
+                return None
+            if held <= most:
+                break
+            half *= 0.8 * most / held
+        else:
+            return None
+    wanted = h - int(base[0])
+
+    def band(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            d = squared_distances(batch.to_numpy(dtype=float), centre, whiten)
+            yield batch[(d >= lo) & (d < hi)]
+
+    def walk(table: pd.DataFrame) -> pd.DataFrame:
+        x = table[columns].to_numpy(dtype=float)
+        x = x[np.lexsort((*x.T[:3], squared_distances(x, centre, whiten)))]
+        upper = np.triu_indices(p)
+        location, now, best, covariance, taken, done = centre, whiten, logdet, None, 0, False
+        while True:
+            d = squared_distances(x, location, now)
+            cut = float(np.partition(d, wanted - 1)[wanted - 1])
+            if taken and not _none_crossed(centre, whiten, lo, hi, location, now, cut):
+                break
+            inside = x[d <= cut * _TIE] - centre
+            total = base + np.concatenate(([len(inside)], inside.sum(axis=0), (inside.T @ inside)[upper]))
+            nearest = _nearest(_Search(centre, whiten, np.zeros(0), 0, total, cut=cut, total=total), p)
+            following, lower = whitening(nearest.covariance)
+            if lower >= best - 1e-12 * max(1.0, abs(best)):
+                done = True
+                break
+            location, now, best, covariance = nearest.location, following, lower, nearest.covariance
+            taken += 1
+            if best == -math.inf:
+                done = True
+                break
+        around = max(1, int(((d >= cut * 0.99) & (d <= cut * 1.01)).sum())) / max(0.02 * cut, 1e-300)
+        return pd.DataFrame({
+            "location": [location.tolist()], "covariance": [None if covariance is None else covariance.ravel().tolist()],
+            "logdet": [best], "taken": [taken], "cut": [cut], "density": [around], "done": [done]})
+
+    schema = "location array<double>, covariance array<double>, logdet double, taken int, cut double, density double, done boolean"
+    r = rows.mapInPandas(band, rows.schema).groupBy().applyInPandas(walk, schema).first()
+    covariance = None if r["covariance"] is None else np.asarray(r["covariance"]).reshape(p, p)
+    return Walk(np.asarray(r["location"]), covariance, r["logdet"], r["taken"], r["cut"], r["density"], r["done"])
+
+
 def _narrow(rows: DataFrame, searches: list[_Search], h: int, bins: int, width: int, cap: int,
             read_rows: int) -> None:
     """One scan for all searches, and one more for those whose bin is small enough to be read."""

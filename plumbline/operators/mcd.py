@@ -23,7 +23,7 @@ from plumbline import names
 from plumbline.functions.chi2 import chi2_quantile
 from plumbline.functions.expressions import col, finite
 from plumbline.functions.matrix import concentrate, squared_distances, whitening
-from plumbline.operators.concentration import moments_within, nearest_moments, settled_in_task
+from plumbline.operators.concentration import moments_within, nearest_moments, settled_in_task, steps_around
 from plumbline.operators.groups import GROUP_CELLS
 from plumbline.operators.quantiles import column_quantiles
 from plumbline.operators.winsor import squared_norm
@@ -38,6 +38,8 @@ START_STEPS = 2
 # Starts of all buckets that take CANDIDATE_STEPS steps over all rows together; the best goes on alone.
 N_KEPT = 10
 CANDIDATE_STEPS = 2
+# The rows around the cut that one task takes steps with, in times the cells of a group it may hold.
+BAND_TIMES = 8
 # A fit that still improves after so many steps over all rows is reported.
 EXPECTED_STEPS = 200
 
@@ -149,12 +151,20 @@ def fit_shape(
         best = min(candidates, key=lambda c: c[0].logdet)
         # To the fixed point: a step that does not lower the determinant repeats the same rows.
         while best[0].logdet > float("-inf"):
-            following = step([best])[0]
-            if following[0].logdet >= best[0].logdet - 1e-12 * max(1.0, abs(best[0].logdet)):
-                break
-            best = following
-            if best[0].steps % EXPECTED_STEPS == 0:
+            now, guess, density = best
+            walked = steps_around(rows, now.location, now.whiten, now.logdet, h, n_rows, guess, density,
+                                  cells * BAND_TIMES) if math.isfinite(now.logdet) else None
+            if walked is None:
+                following = step([best])[0]
+                if following[0].logdet >= now.logdet - 1e-12 * max(1.0, abs(now.logdet)):
+                    break
+            elif walked.taken:
+                following = (shape(walked.location, walked.covariance, now.steps + walked.taken), walked.cut, walked.density)
+            best = following if walked is None or walked.taken else best
+            if best[0].steps // EXPECTED_STEPS > now.steps // EXPECTED_STEPS:
                 warnings.warn(f"the robust fit still improves after {best[0].steps} steps", stacklevel=2)
+            if walked is not None and walked.done:
+                break
         return best[0]
 
     starts = _best_starts(rows, features, support_fraction, random_state)

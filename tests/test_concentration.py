@@ -78,3 +78,37 @@ def test_moments_within_is_strict(spark):
     found = moments_within(frame(spark, values, 2), np.zeros(2), np.eye(2), 4.0)
     np.testing.assert_allclose(found.location, [0.5, 0.0])
     np.testing.assert_allclose(found.covariance, [[0.25, 0.0], [0.0, 0.0]])
+
+
+def test_steps_in_one_task_are_those_of_the_scans(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 4))
+    x[:600] += 6
+    df = spark.createDataFrame(x.tolist(), "a double, b double, c double, d double").repartition(5)
+    n, h, p = len(x), 4500, 4
+    whiten, logdet = whitening(np.cov(x.T))
+    shape, guess, density, scans = (x.mean(axis=0), whiten, logdet), 0.0, 0.0, []
+    for _ in range(60):
+        found = nearest_moments(df, [shape[:2]], h, [(guess, density)])[0]
+        whiten, logdet = whitening(found.covariance)
+        if logdet >= shape[2] - 1e-12 * abs(shape[2]):
+            break
+        shape, guess, density = (found.location, whiten, logdet), found.cut, found.density
+        scans.append(shape)
+    start, first = scans[0], nearest_moments(df, [scans[0][:2]], h, [(0.0, 0.0)])[0]
+    near = first.density or 500.0
+    for cells in (n * p, 3000 * p, 600 * p):  # all rows, and bands that must be taken again
+        location, whiten, logdet, cut, rate, taken, rounds = *start, first.cut, near, 0, 0
+        while True:
+            walk = concentration.steps_around(df, location, whiten, logdet, h, n, cut, rate, cells)
+            assert walk is not None and (walk.taken or walk.done)
+            taken, rounds = taken + walk.taken, rounds + 1
+            if walk.taken:
+                location, logdet, cut, rate = walk.location, walk.logdet, walk.cut, walk.density
+                whiten = whitening(walk.covariance)[0]
+            if walk.done:
+                break
+        assert taken == len(scans) - 1 and rounds <= taken + 1
+        np.testing.assert_allclose(location, scans[-1][0], rtol=0, atol=1e-9)
+        assert abs(logdet - scans[-1][2]) < 1e-9 and (cells < n * p or rounds == 1)
+    assert concentration.steps_around(df, *start, h, n, first.cut * 50, near, 600 * p) is None
