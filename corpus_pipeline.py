@@ -28,7 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of texts linked by five-word shingles alike to 0.8 or more, the one with
-    the smallest doc_id. An exact join of the shingle sets, not op3's digests, which would miss pairs."""
+    the smallest doc_id. SimHash fingerprints and their pivot tables find links, as in op3, here of five-word
+    shingles and checked exactly; an exact join of the shingle sets adds the pairs they are too far apart for."""
     return overlap.drop_near_copies(docs)
 
 

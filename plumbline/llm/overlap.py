@@ -1,7 +1,10 @@
-"""Near copies by word overlap: an exact join of shingle sets at a Jaccard index of ``LIKE``.
+"""Near copies: SimHash fingerprints linked by pivot tables, held to a Jaccard index of ``LIKE``.
 
-A text is the set of its ``SHINGLE``-word shingles, as 64-bit hashes. Every pair of texts that reaches
-the index is found, because each filter passes all of them:
+A text is the set of its ``SHINGLE``-word shingles, as 64-bit hashes; its fingerprint is the SimHash of that
+set. The pivot tables of `simhash` link near fingerprints, and the sets of these links are compared shingle by
+shingle. Sets at the index differ in about ten bits, too many for fingerprints alone, so what the links leave
+apart goes through an exact join of the sets. Every pair of texts that reaches the index is found, because
+each filter of it passes all of them:
 
 - prefix filter: with the shingles of all sets in one common order, two sets that reach p/q share one
   among the first n - ceil(p n / q) + 1 of each, which makes an equi-join key. Any order will do;
@@ -11,8 +14,8 @@ the index is found, because each filter passes all of them:
   falls there. Maps differ in no more bits than the sets differ in shingles.
 
 Pairs that pass are compared shingle by shingle. As only the components of the links matter, each text
-of a bucket first proposes two of its pairs; what the links found so far do not join is then compared
-in full.
+of a bucket first proposes two of its pairs with texts the fingerprints have not joined it to; what the links
+found so far do not join is then compared in full.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.llm.common import BYTES, LONG, ships_by_value, struct_of, text_bytes
-from plumbline.llm.simhash import one_of_each, star_components
+from plumbline.llm.simhash import majority, near_links, one_of_each, star_components
 from plumbline.session import BROADCAST_BYTES, materialize
 
 SHINGLE, SEED = 5, 42
@@ -84,22 +87,17 @@ def shingle_list(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield _arrays([shingles_of(t) for t in _texts(column)])
 
 
-@F.arrow_udf(BYTES)
-def shingle_bytes(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for column in texts:
-        yield pa.array([shingles_of(t).tobytes() for t in _texts(column)], pa.binary())
-
-
 def shingle_sets(text: Column, frequent: np.ndarray, counts: np.ndarray) -> Column:
-    """id (hash of the set, 0 for the empty one), n, prefix and parity map of each text."""
-    @F.arrow_udf(struct_of(id=LONG, n=LONG, prefix=T.ArrayType(LONG), parity=BYTES))
+    """id (hash of the set, 0 for the empty one), n, fingerprint, prefix and parity map of each text."""
+    @F.arrow_udf(struct_of(id=LONG, n=LONG, print=LONG, prefix=T.ArrayType(LONG), parity=BYTES))
     def sets(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
-            ids, sizes, prefixes, maps = [], [], [], []
+            ids, sizes, prints, prefixes, maps = [], [], [], [], []
             for one in _texts(column):
                 found = shingles_of(one)
                 ids.append(xxhash.xxh64_intdigest(found.tobytes(), SEED) if len(found) else 0)
                 sizes.append(len(found))
+                prints.append(majority(found) if len(found) else 0)
                 weight = np.zeros(len(found), np.int64)
                 if len(frequent):
                     at = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
@@ -109,7 +107,8 @@ def shingle_sets(text: Column, frequent: np.ndarray, counts: np.ndarray) -> Colu
                 maps.append(parity_map(found))
             yield pa.StructArray.from_arrays(
                 [pa.array(np.array(ids, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()),
-                 _arrays(prefixes), pa.array(maps, pa.binary())], ["id", "n", "prefix", "parity"])
+                 pa.array(prints, pa.int64()), _arrays(prefixes), pa.array(maps, pa.binary())],
+                ["id", "n", "print", "prefix", "parity"])
 
     return sets(text)
 
@@ -191,16 +190,11 @@ def proposed(buckets: DataFrame, full: bool) -> DataFrame:
         .where(F.size("members") > 1).select("members").mapInArrow(pairs, "a long, b long").distinct()
 
 
-@F.arrow_udf(T.BooleanType())
-def alike(one: pa.Array, other: pa.Array) -> pa.Array:
-    """Whether two sets reach the index, compared shingle by shingle."""
+def alike(one: Column, other: Column) -> Column:
+    """Whether two sets reach the index, compared shingle by shingle, row by row in Spark: batches for
+    Python would hold thousands of long sets at once."""
     p, q = LIKE
-    out = []
-    for x, y in zip(one, other):
-        a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-        shared = len(np.intersect1d(a, b, assume_unique=True))
-        out.append(shared * (p + q) >= p * (len(a) + len(b)))
-    return pa.array(out, pa.bool_())
+    return F.size(F.array_intersect(one, other)) * (p + q) >= (F.size(one) + F.size(other)) * p
 
 
 def verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
@@ -213,7 +207,7 @@ def verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     sets = materialize(
         texts.join(F.broadcast(used) if small else used, "fp")
         .groupBy("id", "links").agg(F.min("text").alias("text")).select(
-            "id", shingle_bytes(F.col("text")).alias("s"),
+            "id", shingle_list(F.col("text")).alias("s"),
             F.call_function("div", F.col("links"), F.lit(HUB)).cast("int").alias("more")), "overlap-sets")
     # Sets of many pairs are copied, and their pairs dealt over the copies.
     hubs = materialize(sets.where(F.col("more") > 0).select("id", "more"), "overlap-hubs")
@@ -240,19 +234,36 @@ def set_buckets(sets: DataFrame) -> DataFrame:
     return materialize(keyed.join(shared, "key"), "overlap-buckets")
 
 
+def print_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets with one fingerprint, or with fingerprints that the pivot tables link."""
+    prints = materialize(sets.where(F.col("n") > 0).groupBy("print").agg(
+        F.min("id").alias("least"), F.count(F.lit(1)).alias("sets")), "overlap-prints")
+    pairs = near_links(prints.select(F.col("print").alias("fp")))
+    for side in ("a", "b"):
+        pairs = pairs.join(prints.select(F.col("print").alias(side), F.col("least").alias(f"least_{side}")), side)
+    same = sets.join(prints.where(F.col("sets") > 1), "print").where(F.col("id") != F.col("least"))
+    return pairs.select(F.least("least_a", "least_b").alias("a"), F.greatest("least_a", "least_b").alias("b")).union(
+        same.select("least", "id"))
+
+
 def set_classes(sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, root) for every set that has a link; ``sets`` (id, fp, n, prefix, parity) are distinct and
-    ``texts`` has fp and text."""
+    """(node, root) for every set that has a link; ``sets`` (id, fp, n, print, prefix, parity) are distinct
+    and ``texts`` has fp and text."""
+    links = verified(print_pairs(sets), sets, texts)
     buckets = set_buckets(sets)
     shown = sets.select("id", "n", "parity")
-    links = verified(proposed(buckets.join(shown, "id").withColumn("root", F.col("id")), False), sets, texts)
-    roots = materialize(star_components(links), "overlap-roots")
-    rooted = materialize(
-        buckets.join(roots.withColumnRenamed("node", "id"), "id", "left")
-        .withColumn("root", F.coalesce("root", "id")), "overlap-rooted")
-    apart = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")) \
+
+    def rooted(links):
+        roots = materialize(star_components(links), "overlap-roots")
+        return buckets.join(roots.withColumnRenamed("node", "id"), "id", "left") \
+            .withColumn("root", F.coalesce("root", "id"))
+
+    links = links.union(verified(
+        proposed(rooted(links).join(shown, "id"), False).join(links, ["a", "b"], "left_anti"), sets, texts))
+    held = materialize(rooted(links), "overlap-rooted")
+    apart = held.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")) \
         .where(F.col("a") != F.col("b")).select("key")
-    rest = verified(proposed(rooted.join(apart, "key").join(shown, "id"), True)
+    rest = verified(proposed(held.join(apart, "key").join(shown, "id"), True)
                     .join(links, ["a", "b"], "left_anti"), sets, texts)
     return star_components(links.union(rest))
 
@@ -269,8 +280,8 @@ def drop_near_copies(docs: DataFrame, text: str = "text") -> DataFrame:
         "doc_id", key.alias("fp"), shingle_sets(F.col(text), *frequent_shingles(docs, text)).alias("set")),
         "overlap")
     sets = materialize(made.select("fp", "set.*").groupBy("id").agg(
-        F.min("fp").alias("fp"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-        F.first("parity").alias("parity")), "overlap-distinct")
+        F.min("fp").alias("fp"), F.first("n").alias("n"), F.first("print").alias("print"),
+        F.first("prefix").alias("prefix"), F.first("parity").alias("parity")), "overlap-distinct")
     texts = docs.select(key.alias("fp"), F.col(text).alias("text"))
     roots = set_classes(sets, texts)
     rows = made.select("doc_id", "fp", F.col("set.id").alias("node"))

@@ -46,7 +46,11 @@ def fingerprint_of(words: list[bytes]) -> int:
         shingles = [b" ".join(words)]
     else:
         shingles = map(b" ".join, zip(*[words[i:] for i in range(SHINGLE)]))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64)
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes, as a signed number."""
     # Eight byte-wide counters per lane, emptied before any can pass 255.
     lanes = (hashes[:, None] >> np.arange(8, dtype=np.uint64)) & np.uint64(_LOW_BITS)
     counts = np.add.reduceat(lanes, np.arange(0, len(hashes), 255), axis=0)

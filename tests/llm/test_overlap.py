@@ -89,3 +89,26 @@ def test_near_copies_of_odd_rows(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4, 9]
     assert overlap.drop_near_copies(docs.limit(0)).collect() == []
     assert overlap.drop_near_copies(docs.where(F.col("text") == "")).count() == 1
+
+
+def test_fingerprints_find_links_that_are_checked(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = rng.choice([f"w{n}" for n in range(3000)], 400).tolist()
+    texts = {0: base, 1: base[1:], 2: base + ["more"], 4: rng.choice(["a", "b", "c"], 50).tolist()}
+    docs = spark.createDataFrame([(n, " ".join(t)) for n, t in texts.items()], "doc_id long, text string")
+    asked = []
+    linked = overlap.near_links
+
+    def spied(prints):
+        asked.append(prints.count())
+        return linked(prints)
+
+    monkeypatch.setattr(overlap, "near_links", spied)
+    # With the exact join shut, the fingerprints alone join what is nearly equal.
+    with monkeypatch.context() as shut:
+        shut.setattr(overlap, "proposed", lambda buckets, full: spark.createDataFrame([], "a long, b long"))
+        assert {r["doc_id"] for r in overlap.drop_near_copies(docs).collect()} == {0, 4}
+    assert 2 <= asked[0] <= 4
+    # Fingerprints that are equal by force are candidates only: unlike texts stay apart.
+    monkeypatch.setattr(overlap, "majority", lambda hashes: 7)
+    assert {r["doc_id"] for r in overlap.drop_near_copies(docs).collect()} == {0, 4}
