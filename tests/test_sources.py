@@ -151,20 +151,16 @@ def test_no_bundles_at_all(spark, tmp_path):
     assert B.load_packs(spark, str(tmp_path / "p")).counts["documents"] == 0
 
 
-def test_bundle_queries_write_few_files(spark, tmp_path):
+def test_bundle_queries_write_few_files(spark, tmp_path, monkeypatch):
     from plumbline.catalog import queries as Q
 
     days = spark.range(400).select(
         (F.col("id") % 200).alias("user_id"), F.timestamp_seconds(1704067200 + F.col("id") * 6000).alias("ts"),
         F.lit(1.5).alias("value"))
     days.write.parquet(str(tmp_path / "events.parquet"))
-    kept = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "scratch"))
-    try:
-        Q.bundle_counts(spark, str(tmp_path)).collect()
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if kept is None else spark.conf.set("spark.checkpoint.dir", kept)
-    written = next((tmp_path / "scratch").glob("bundles-*"))
+    monkeypatch.setattr(Q, "scratch_path", lambda spark, name: str(tmp_path / name))
+    Q.bundle_counts(spark, str(tmp_path)).collect()
+    written = tmp_path / "bundles"
     assert len([f for f in written.rglob("*") if f.suffix in (".txt", ".parquet", ".json")]) <= 3 * B.PACKS
 
 
