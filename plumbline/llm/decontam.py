@@ -176,7 +176,9 @@ def hits_udf(made: Automaton, cut_text: bool = False):
     def hits(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
             yield column_hits(made, column, cut_text)
-    return hits
+    # What is cut depends on the hits twice, as a filter and as a text. Spark would copy the function into
+    # both and stream every text through two workers a task; what may vary it evaluates once.
+    return hits.asNondeterministic() if cut_text else hits
 
 
 def column_hits(made: Automaton, column: pa.Array, cut_text: bool) -> pa.Array:

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from plumbline.llm.common import BYTES, LONG, ships_by_value, struct_of, text_bytes
 from plumbline.llm.simhash import majority, near_links, one_of_each, star_components
-from plumbline.session import BROADCAST_BYTES, materialize
+from plumbline.session import BROADCAST_BYTES, materialize, small_batches
 
 SHINGLE, SEED = 5, 42
 # Least Jaccard index, p / q.
@@ -274,20 +274,21 @@ def drop_near_copies(docs: DataFrame, text: str = "text") -> DataFrame:
     The row with the smallest doc_id stays; of repeated rows one, and a null doc_id comes last. Texts
     without words are copies of each other. Columns as in ``docs``.
     """
-    # Texts are told apart by this key; equal ones have one set.
-    key = F.xxhash64(F.col(text).cast("string"))
-    made = materialize(docs.select(
-        "doc_id", key.alias("fp"), shingle_sets(F.col(text), *frequent_shingles(docs, text)).alias("set")),
-        "overlap")
-    sets = materialize(made.select("fp", "set.*").groupBy("id").agg(
-        F.min("fp").alias("fp"), F.first("n").alias("n"), F.first("print").alias("print"),
-        F.first("prefix").alias("prefix"), F.first("parity").alias("parity")), "overlap-distinct")
-    texts = docs.select(key.alias("fp"), F.col(text).alias("text"))
-    roots = set_classes(sets, texts)
-    rows = made.select("doc_id", "fp", F.col("set.id").alias("node"))
-    classes = rows.select("fp", "node").distinct().join(roots, "node", "left") \
-        .select("fp", F.coalesce("root", "node").alias("root"))
-    return one_of_each(docs, key, rows.select("doc_id", "fp"), materialize(classes, "overlap-classes"))
+    with small_batches(docs.sparkSession):
+        # Texts are told apart by this key; equal ones have one set.
+        key = F.xxhash64(F.col(text).cast("string"))
+        made = materialize(docs.select(
+            "doc_id", key.alias("fp"), shingle_sets(F.col(text), *frequent_shingles(docs, text)).alias("set")),
+            "overlap")
+        sets = materialize(made.select("fp", "set.*").groupBy("id").agg(
+            F.min("fp").alias("fp"), F.first("n").alias("n"), F.first("print").alias("print"),
+            F.first("prefix").alias("prefix"), F.first("parity").alias("parity")), "overlap-distinct")
+        texts = docs.select(key.alias("fp"), F.col(text).alias("text"))
+        roots = set_classes(sets, texts)
+        rows = made.select("doc_id", "fp", F.col("set.id").alias("node"))
+        classes = rows.select("fp", "node").distinct().join(roots, "node", "left") \
+            .select("fp", F.coalesce("root", "node").alias("root"))
+        return one_of_each(docs, key, rows.select("doc_id", "fp"), materialize(classes, "overlap-classes"))
 
 
 ships_by_value(__name__)

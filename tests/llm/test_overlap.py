@@ -1,6 +1,7 @@
 """The exact join of shingle sets against brute force over all pairs, and planted near copies."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,3 +113,23 @@ def test_fingerprints_find_links_that_are_checked(spark, monkeypatch):
     # Fingerprints that are equal by force are candidates only: unlike texts stay apart.
     monkeypatch.setattr(overlap, "majority", lambda hashes: 7)
     assert {r["doc_id"] for r in overlap.drop_near_copies(docs).collect()} == {0, 4}
+
+
+def test_long_rows_go_to_workers_in_small_batches(spark, monkeypatch):
+    limits = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before, seen, write = [spark.conf.get(name) for name in limits], set(), overlap.materialize
+
+    @F.arrow_udf("int")
+    def rows(column: pa.Array) -> pa.Array:
+        return pa.array([len(column)] * len(column), pa.int32())
+
+    def spied(df, name):
+        # What a worker gets of 2,500 rows while the stage runs.
+        seen.add(max(r[0] for r in spark.range(0, 2500, 1, 1).select(rows("id")).collect()))
+        return write(df, name)
+
+    monkeypatch.setattr(overlap, "materialize", spied)
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "g")], "doc_id long, text string")
+    assert {r["doc_id"] for r in overlap.drop_near_copies(docs).collect()} == {1, 3}
+    assert seen == {1000}
+    assert [spark.conf.get(name) for name in limits] == before

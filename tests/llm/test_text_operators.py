@@ -352,3 +352,15 @@ def test_a_benchmark_of_several_slices_passes_the_documents_once(spark, monkeypa
         assert got[i]["n_words"] == n_words and len(got[i]["items"]) == n_items
         assert sum(s["end"] - s["begin"] for s in got[i]["spans"]) == n_hit
     assert {i for i, w in wanted.items() if w[1]} >= {100, 101, 102, 103}
+
+
+def test_cutting_contamination_streams_each_text_once(spark):
+    passage = " ".join(f"q{n}" for n in range(12))
+    docs = spark.createDataFrame(
+        [(1, "w " * 30 + passage + " end"), (2, passage), (3, "clean"), (4, None)], "doc_id long, text string")
+    items = spark.createDataFrame([("i", passage)], "item_id string, text string")
+    out = decontam.remove_contamination(docs, items)
+    # A function copied into the filter and into the text would be two workers a task.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {
+        1: " ".join(["w"] * 30) + " end", 3: "clean", 4: None}
