@@ -13,7 +13,7 @@ from plumbline import names
 from plumbline.functions.expressions import col
 from plumbline.operators.dedup import first_per_key, numeric_features
 from plumbline.operators.drivers import summary_scores, top_drivers
-from plumbline.operators.groups import GROUP_CELLS
+from plumbline.operators.groups import GROUP_CELLS, fits_broadcast
 from plumbline.operators.mcd import robust_distance, with_filled
 from plumbline.operators.quantiles import column_quantiles
 from plumbline.operators.ranking import ordered_scores, percentile_scores
@@ -101,8 +101,15 @@ def score_wide_map(flat: FlatFilings, **options) -> DataFrame:
     those of `sparse.score_cells`.
     """
     filings = materialize(first_per_key(flat.table), "wide-filings")
-    cells = flat.cells.join(filings.select("source_path"), "source_path", "left_semi")
-    scored = score_cells(filings, cells, **options)
+    cells = flat.cells.where(F.col("source_path").isNotNull())
+    if flat.table.count() > filings.count():
+        # Documents that gave way to others of their key are few, as a rule.
+        gone = materialize(flat.table.select("source_path").join(
+            filings.select("source_path"), "source_path", "left_anti").distinct(), "other-documents")
+        cells = cells.join(F.broadcast(gone), "source_path", "left_anti") if fits_broadcast(gone.count(), 160) \
+            else cells.join(filings.select("source_path"), "source_path", "left_semi")
+    # Every key of the table has its filing.
+    scored = score_cells(filings, cells, strangers=False, **options)
     identity = [c for c in names.IDENTITY if c in filings.columns]
     return filings.select(*[col(c) for c in identity]).join(scored, [names.ENTITY, names.PERIOD])
 
